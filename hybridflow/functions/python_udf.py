@@ -11,6 +11,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Partial results a task keeps before it passes them on.
+KEYS_HELD = 100_000
+
 
 def map_values(fn: Callable[[pd.Series], pd.Series], return_type: str) -> Callable[[Column], Column]:
     """A vectorised 1→1 user function as a column function."""
@@ -47,7 +50,7 @@ def reduce_by_key(
 ) -> DataFrame:
     """Reduce a key's values with an associative, commutative user function.
 
-    Every Arrow batch is reduced where it is read, then partial results meet in
+    Rows are reduced in the task that reads them, then partial results meet in
     ``branches`` groups per key, then those meet once more. A key that holds most of
     the rows therefore never has more than partial results in one task.
     """
@@ -64,9 +67,16 @@ def reduce_by_key(
         return pd.DataFrame(rows, columns=[key, value])
 
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None
         for batch in batches:
-            if len(batch):
-                yield combine(batch)
+            if not len(batch):
+                continue
+            held = combine(batch if held is None else pd.concat([held, batch]))
+            if len(held) >= KEYS_HELD:
+                yield held
+                held = None
+        if held is not None:
+            yield held
 
     parts = df.select(key, value).mapInPandas(partial, schema)
     branch = F.pmod(F.spark_partition_id(), F.lit(branches)).alias("branch")

@@ -6,7 +6,7 @@ gives it its attributes.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hybridflow.operators.keyed import ROWS_PER_TASK
@@ -57,19 +57,20 @@ def full(
     key: list[str],
     order: list[str],
     folds: list[Fold],
-    complete: Column,
+    complete_at: str,
     rows_per_slice: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Nothing until the batch side is complete, then every entry once, then one row per stream row.
 
-    ``complete`` tells for a stream row whether it came after completion. Earlier rows are
-    only aggregated; the entries flushed at completion are also what later rows start from,
-    so ``phase`` is ``flush`` for the entries and ``stream`` for the rows after them.
+    The batch side is complete once the first order column reaches ``complete_at``. Earlier
+    rows are only aggregated; the entries flushed at completion are also what later rows
+    start from. ``phase`` is ``flush`` for the entries and ``stream`` for the rows after them.
     """
     has_key = F.expr(" and ".join(f"{k} is not null" for k in key))
-    early = stream.where(~F.coalesce(complete, F.lit(False)))
+    at, time = F.lit(complete_at).cast(stream.schema[order[0]].dataType), F.col(order[0])
+    early = stream.where(time.isNull() | (time < at))
     entries = snapshot(early, batch.where(has_key), key, folds)
-    later = rolling_fold(stream.where(complete), key, order, folds, entries, rows_per_slice)
+    later = rolling_fold(stream.where(time >= at), key, order, folds, entries, rows_per_slice)
     attributes = [c for c in batch.columns if c not in key]
     shown = [*key, *order, *[f.name for f in folds], *attributes]
     keyless = snapshot(early.where(F.lit(False)), batch.where(~has_key), key, folds)

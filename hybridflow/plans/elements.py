@@ -17,9 +17,8 @@ from hybridflow.operators.rolling import Fold, rolling_fold
 from hybridflow.session import new_path
 from hybridflow.sources.queue import BatchQueue, split_at
 from hybridflow.sources.tables import events, inline_elements, table
-from hybridflow.streaming.rolling import per_batch_totals
+from hybridflow.streaming.rolling import MicroBatchJoin, per_batch_totals
 from hybridflow.streaming.sinks import batch_folder, first_rows, read_batches
-from hybridflow.streaming.stateful import rolling_fold_stream
 
 # Where the event table is cut into micro-batches.
 CUTS = ["2024-01-08", "2024-01-15", "2024-01-22"]
@@ -102,14 +101,10 @@ def reduce_rolling_stream(spark, folder):
     rows = events(spark, folder).select(
         "ts", parity(F.col("event_id")).alias("key"), F.col("event_id").alias("value")
     )
-    out = new_path(spark, "rolling")
-
-    def sink(stream):
-        rolled = rolling_fold_stream(stream, ["key"], ["ts", "value"], [Fold("total", "sum", "value")])
-        return rolled.writeStream.foreachBatch(batch_folder(out))
-
-    BatchQueue(spark).run(split_at(rows, "ts", CUTS), sink)
-    return read_batches(spark, out).select("key", "value", "total")
+    folds = [Fold("total", "sum", "value")]
+    job = MicroBatchJoin(None, ["key"], ["ts", "value"], folds, new_path(spark, "rolling"))
+    BatchQueue(spark).run(split_at(rows, "ts", CUTS), lambda s: s.writeStream.foreachBatch(job))
+    return job.joined(spark).select("key", "value", "total")
 
 
 def reduce_by_key_total(spark, folder):

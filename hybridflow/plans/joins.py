@@ -12,7 +12,7 @@ from hybridflow.sources.queue import BatchQueue, split_at
 from hybridflow.sources.tables import events, table
 from hybridflow.streaming.rolling import MicroBatchJoin
 from hybridflow.streaming.sinks import batch_folder, read_batches
-from hybridflow.streaming.stateful import rolling_fold_stream
+from hybridflow.streaming.stateful import totals_stream
 
 COMPLETE_AT = "2024-01-15 00:00:00"
 KEY = ["k"]
@@ -83,8 +83,7 @@ def hybrid_join_repeated_side(spark, folder):
 
 
 def _full(spark, folder, batch):
-    complete = F.col("ts") >= F.lit(COMPLETE_AT).cast("timestamp_ntz")
-    joined = full(_events(spark, folder), batch, KEY, ORDER, FOLDS, complete)
+    joined = full(_events(spark, folder), batch, KEY, ORDER, FOLDS, COMPLETE_AT)
     return _shown(joined, "phase", "event_id")
 
 
@@ -98,15 +97,24 @@ def hybrid_join_full_suppliers(spark, folder):
 
 def hybrid_join_enrich_stream(spark, folder):
     rows = _event_rows(events(spark, folder))
-    side = _customers(spark, folder)
-    out = new_path(spark, "enriched")
+    job = MicroBatchJoin(_customers(spark, folder), KEY, ORDER, FOLDS, new_path(spark, "enriched"))
+    BatchQueue(spark).run(split_at(rows, "ts", CUTS), lambda s: s.writeStream.foreachBatch(job))
+    return _shown(job.joined(spark), "event_id", "c_mktsegment")
+
+
+def hybrid_join_snapshot_stream(spark, folder):
+    """Entries kept in keyed state; the last one that came out for a key is its final one."""
+    rows = _event_rows(events(spark, folder))
+    side = _suppliers(spark, folder)
+    out = new_path(spark, "entries")
 
     def sink(stream):
-        joined = rolling_fold_stream(stream, KEY, ORDER, FOLDS, side)
-        return joined.writeStream.foreachBatch(batch_folder(out))
+        entries = totals_stream(stream, KEY, FOLDS, side)
+        return entries.writeStream.foreachBatch(batch_folder(out))
 
     BatchQueue(spark).run(split_at(rows, "ts", CUTS), sink)
-    return _shown(read_batches(spark, out), "event_id", "c_mktsegment")
+    latest = F.max_by(F.struct("n", "total", "balance"), "batch_id").alias("e")
+    return _shown(read_batches(spark, out).groupBy("k").agg(latest).select("k", "e.*"))
 
 
 def hybrid_join_full_stream(spark, folder):
@@ -135,6 +143,7 @@ QUERIES = {
     "hybrid_join_full_stream": hybrid_join_full_stream,
     "hybrid_join_snapshot": hybrid_join_snapshot,
     "hybrid_join_snapshot_suppliers": hybrid_join_snapshot_suppliers,
+    "hybrid_join_snapshot_stream": hybrid_join_snapshot_stream,
     "hybrid_join_repeated_side": hybrid_join_repeated_side,
 }
 
@@ -186,5 +195,6 @@ SQL = {
     "hybrid_join_full_stream": _full_sql(_SUPPLIERS),
     "hybrid_join_snapshot": _snapshot_sql(_CUSTOMERS),
     "hybrid_join_snapshot_suppliers": _snapshot_sql(_SUPPLIERS),
+    "hybrid_join_snapshot_stream": f"SELECT * FROM ({_snapshot_sql(_SUPPLIERS)}) WHERE n > 0",
     "hybrid_join_repeated_side": _snapshot_sql(_LATEST_LINES),
 }

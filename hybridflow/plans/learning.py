@@ -7,14 +7,14 @@ half of the table is history, the second half is the stream in five micro-batche
 from __future__ import annotations
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hybridflow.functions.sampling import sample_rows
 from hybridflow.functions.vectors import parse_labeled_vector, vector_add
 from hybridflow.operators.learn import error_rate, gradient, gradient_sums, score, stepped
 from hybridflow.session import new_path
-from hybridflow.sources.queue import BatchQueue
+from hybridflow.sources.queue import BatchQueue, split_at
 from hybridflow.sources.tables import table
 from hybridflow.sources.text import history_ready, read_clean_lines
 from hybridflow.streaming.training import HybridTrainer, Settings
@@ -34,10 +34,10 @@ def vectors(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def part_of(rows: DataFrame, n: int) -> Column:
-    """Number of a row's run of ``vec_id``, of ``n`` runs of equal width over the whole table."""
-    last = rows.agg(F.max("vec_id")).first()[0]
-    return F.expr(f"vec_id * {n} div ({last} + 1)")
+def parts(rows: DataFrame, n: int) -> list[DataFrame]:
+    """The whole table as ``n`` runs of ``vec_id`` of equal width, each a range filter."""
+    width = rows.agg(F.max("vec_id")).first()[0] + 1
+    return split_at(rows, "vec_id", [-(-i * width // n) for i in range(1, n)])
 
 
 def _exploded(df, column, alias, *keep):
@@ -93,10 +93,8 @@ def lr_gradient(spark, folder):
 def lr_sgd_steps(spark, folder):
     """Five steps, each on a fifth of the table."""
     weights, steps = [0.0] * N, []
-    rows = vectors(spark, folder)
-    part = part_of(rows, BATCHES)
-    for i in range(BATCHES):
-        weights = stepped(weights, gradient(rows.where(part == i), weights), SETTINGS.rate)
+    for i, batch in enumerate(parts(vectors(spark, folder), BATCHES)):
+        weights = stepped(weights, gradient(batch, weights), SETTINGS.rate)
         steps.append((i, weights))
     frame = spark.createDataFrame(steps, "step BIGINT, weights ARRAY<DOUBLE>")
     return _exploded(frame, "weights", "w", "step")
@@ -104,8 +102,8 @@ def lr_sgd_steps(spark, folder):
 
 def _halves(spark, folder):
     rows = vectors(spark, folder)
-    part = part_of(rows, 2 * BATCHES)
-    return rows.where(part < BATCHES), [rows.where(part == BATCHES + b) for b in range(BATCHES)]
+    history, _ = parts(rows, 2)
+    return history, parts(rows, 2 * BATCHES)[BATCHES:]
 
 
 def _trained(spark, folder) -> HybridTrainer:

@@ -112,8 +112,12 @@ def unzip_lines(zipped: DataFrame, end: date, days: int) -> DataFrame:
 
 
 def write_by_day(lines: DataFrame, path: str) -> None:
-    """The window as a table partitioned by day; later windows read only their days."""
-    lines.write.mode("overwrite").partitionBy("file_date").parquet(path)
+    """The window as a table partitioned by day; later windows read only their days.
+
+    Rows of a day are brought together before writing; a day too large for one file is
+    split, and small ones share a task.
+    """
+    lines.hint("rebalance", "file_date").write.mode("overwrite").partitionBy("file_date").parquet(path)
 
 
 def write_master(lines: DataFrame, order: list[str], path: str, parts: int) -> None:

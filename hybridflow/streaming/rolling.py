@@ -10,10 +10,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hybridflow.operators.hybrid_join import snapshot
 from hybridflow.operators.keyed import ROWS_PER_TASK
 from hybridflow.operators.rolling import Fold, fold_totals, merge_totals, rolling_fold
 
@@ -21,60 +21,74 @@ from hybridflow.operators.rolling import Fold, fold_totals, merge_totals, rollin
 class MicroBatchJoin:
     """``foreachBatch`` function that joins each micro-batch with the entries so far.
 
+    ``entries`` has one row per key: the batch side's attributes, and the folds to start
+    from if it has columns named like them. Without it keys start from nothing.
+
     Micro-batch ``b`` reads entries from slot ``b % 2`` and writes those after it to the
     other slot. Run again after a failure it finds its input as it was, and replaces what
     it wrote; two slots are all the space it takes.
 
     With ``flush`` the entries the stream starts from are written once, by micro-batch 0.
+    ``keep_rows`` keeps a micro-batch while it is used, for sources that are slow to read twice.
     """
 
     def __init__(
         self,
-        batch: DataFrame,
+        entries: DataFrame | None,
         key: list[str],
         order: list[str],
         folds: list[Fold],
         path: str,
         flush: bool = False,
+        keep_rows: bool = False,
         rows_per_slice: int = ROWS_PER_TASK,
     ):
-        self.batch = batch
+        self.entries = entries
         self.key = key
         self.order = order
         self.folds = folds
         self.path = path
         self.flush = flush
+        self.keep_rows = keep_rows
         self.rows_per_slice = rows_per_slice
 
     def _slot(self, batch_id: int) -> str:
         return f"{self.path}/entries/slot={batch_id % 2}"
 
-    def _first_entries(self, rows: DataFrame) -> DataFrame:
-        has_key = F.expr(" and ".join(f"{k} is not null" for k in self.key))
-        known = [f for f in self.folds if f.name in self.batch.columns]
-        if len(known) == len(self.folds):
-            return self.batch
-        return snapshot(rows.where(F.lit(False)), self.batch.where(has_key), self.key, self.folds)
+    def _start(self, rows: DataFrame) -> DataFrame:
+        none = fold_totals(rows.where(F.lit(False)), self.key, self.folds)
+        if self.entries is None:
+            return none
+        if all(f.name in self.entries.columns for f in self.folds):
+            return self.entries
+        return none.join(self.entries, self.key, "right")
 
     def __call__(self, rows: DataFrame, batch_id: int) -> None:
+        if self.keep_rows:
+            rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            self._join(rows, batch_id)
+        finally:
+            if self.keep_rows:
+                rows.unpersist()
+
+    def _join(self, rows: DataFrame, batch_id: int) -> None:
         spark = rows.sparkSession
         if batch_id == 0:
-            self._first_entries(rows).write.mode("overwrite").parquet(self._slot(0))
+            self._start(rows).write.mode("overwrite").parquet(self._slot(0))
         entries = spark.read.parquet(self._slot(batch_id))
         if self.flush and batch_id == 0:
             entries.write.mode("overwrite").parquet(f"{self.path}/flush")
-        joined = rolling_fold(
-            rows, self.key, self.order, self.folds, entries, self.rows_per_slice
-        )
+        joined = rolling_fold(rows, self.key, self.order, self.folds, entries, self.rows_per_slice)
         joined.write.mode("overwrite").parquet(f"{self.path}/joined/batch_id={batch_id}")
         totals = fold_totals(rows, self.key, self.folds)
         merged = merge_totals(entries, totals, self.key, self.folds)
         merged.write.mode("overwrite").parquet(self._slot(batch_id + 1))
 
-    def joined(self, spark) -> DataFrame:
+    def joined(self, spark: SparkSession) -> DataFrame:
         return spark.read.parquet(f"{self.path}/joined")
 
-    def flushed(self, spark) -> DataFrame:
+    def flushed(self, spark: SparkSession) -> DataFrame:
         return spark.read.parquet(f"{self.path}/flush")
 
 

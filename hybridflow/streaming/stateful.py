@@ -1,17 +1,22 @@
-"""Running folds of an unbounded stream in keyed state.
+"""Folds of an unbounded stream in keyed state; only keys that occur are touched.
 
-Use these where a key gets few rows per micro-batch: state is touched only for keys that
-occur. For streams in which one key may dominate use ``hybridflow.streaming.rolling``.
+``totals_stream`` emits a key's entry per micro-batch and combines rows before they meet,
+so it takes any distribution of keys. ``rolling_fold_stream`` emits an entry per row and
+has all of a key's rows of one micro-batch in one task: give its source a row limit per
+trigger, and where one key may dominate use ``hybridflow.streaming.rolling`` instead.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, Row
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from hybridflow.functions.python_udf import KEYS_HELD
 from hybridflow.operators.rolling import Fold
 from hybridflow.session import use_rocksdb_state
 
@@ -69,6 +74,18 @@ class RollingFoldProcessor(StatefulProcessor):
         pass
 
 
+def _entry_schema(stream, key, folds, side) -> tuple[list[str], StructType]:
+    fields = []
+    for f in folds:
+        kind = LongType() if f.kind == "count" else stream.schema[f.column].dataType
+        fields.append(StructField(f.name, kind, True))
+    attributes = [] if side is None else [
+        c for c in side.columns if c not in key and c not in {f.name for f in folds}
+    ]
+    fields += [StructField(c, side.schema[c].dataType, True) for c in attributes]
+    return attributes, StructType(fields)
+
+
 def rolling_fold_stream(
     stream: DataFrame,
     key: list[str],
@@ -84,15 +101,7 @@ def rolling_fold_stream(
     for that long; by default nothing is dropped.
     """
     use_rocksdb_state(stream.sparkSession)
-    fold_fields = []
-    for f in folds:
-        kind = LongType() if f.kind == "count" else stream.schema[f.column].dataType
-        fold_fields.append(StructField(f.name, kind, True))
-    attributes = [] if side is None else [
-        c for c in side.columns if c not in key and c not in {f.name for f in folds}
-    ]
-    attribute_fields = [StructField(c, side.schema[c].dataType, True) for c in attributes]
-    state_schema = StructType([*fold_fields, *attribute_fields])
+    attributes, state_schema = _entry_schema(stream, key, folds, side)
     out_schema = StructType([
         *[StructField(f.name, f.dataType, True) for f in stream.schema.fields],
         *state_schema.fields,
@@ -109,6 +118,89 @@ def rolling_fold_stream(
     )
 
 
+class TotalsProcessor(StatefulProcessor):
+    """Keeps one entry per key, merges partial totals into it and emits it once."""
+
+    def __init__(self, key: list[str], folds: list[Fold], attributes: list[str], state_schema: StructType):
+        self.key = key
+        self.folds = folds
+        self.attributes = attributes
+        self.state_schema = state_schema
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.entry = handle.getValueState("entry", self.state_schema)
+
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        given = initialState.asDict()
+        names = [f.name for f in self.folds] + self.attributes
+        self.entry.update(tuple(given.get(n) for n in names))
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        old = self.entry.get()
+        entry = list(old) if old is not None else [None] * len(self.state_schema)
+        for row in rows:
+            for i, f in enumerate(self.folds):
+                kind = "sum" if f.kind == "count" else f.kind
+                entry[i] = _combine(kind, entry[i], row[f.name])
+        self.entry.update(tuple(entry))
+        names = [f.name for f in self.folds] + self.attributes
+        yield Row(*self.key, *names)(*key, *entry)
+
+    def close(self) -> None:
+        pass
+
+
+def _partial_totals(key: list[str], folds: list[Fold]):
+    """Totals of the rows a task reads, passed on in portions of a bounded number of keys."""
+    named = {
+        f.name: (f.name, "sum" if f.kind in ("count", "sum") else f.kind) for f in folds
+    }
+
+    def combine(rows: pd.DataFrame) -> pd.DataFrame:
+        groups = rows.groupby(key, dropna=False, sort=False)
+        parts = {}
+        for name, (column, kind) in named.items():
+            parts[name] = groups[column].sum(min_count=1) if kind == "sum" else getattr(groups[column], kind)()
+        return pd.DataFrame(parts).reset_index()
+
+    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None
+        for batch in batches:
+            if not len(batch):
+                continue
+            held = combine(batch if held is None else pd.concat([held, batch]))
+            if len(held) >= KEYS_HELD:
+                yield held
+                held = None
+        if held is not None:
+            yield held
+
+    return partial
+
+
+def totals_stream(
+    stream: DataFrame, key: list[str], folds: list[Fold], side: DataFrame | None = None
+) -> DataFrame:
+    """Per key and micro-batch it occurs in: the key's totals so far and its attributes.
+
+    Rows are combined in the task that reads them, so what meets at a key is a few partial
+    totals per task. ``side`` is loaded once into the state, one row per key.
+    """
+    use_rocksdb_state(stream.sparkSession)
+    columns = [F.lit(1).cast("bigint") if f.kind == "count" else F.col(f.column) for f in folds]
+    rows = stream.select(*key, *[c.alias(f.name) for c, f in zip(columns, folds)])
+    partials = rows.mapInPandas(_partial_totals(key, folds), rows.schema)
+    attributes, state_schema = _entry_schema(stream, key, folds, side)
+    keys = [StructField(k, stream.schema[k].dataType, True) for k in key]
+    return partials.groupBy(*key).transformWithState(
+        statefulProcessor=TotalsProcessor(key, folds, attributes, state_schema),
+        outputStructType=StructType([*keys, *state_schema.fields]),
+        outputMode="Append",
+        timeMode="None",
+        initialState=None if side is None else side.groupBy(*key),
+    )
+
+
 class LatestValuesProcessor(StatefulProcessor):
     """Named values per key in a map, the last few rows per key in a list.
 
