@@ -73,7 +73,11 @@ def gradient_sums(rows: DataFrame, weights: list[float], metric: str = "log_loss
     parts = rows.select(F.col("label").cast("double"), fits.alias("features")).mapInArrow(
         partial, "n BIGINT, error DOUBLE, g ARRAY<DOUBLE>"
     )
-    return parts.agg(
+    # A vector sum of no rows is an error, so there is always this one.
+    nothing = rows.sparkSession.range(1).select(
+        F.lit(0).cast("bigint").alias("n"), F.lit(0.0).alias("error"), F.lit([0.0] * size).alias("g")
+    )
+    return parts.unionByName(nothing).agg(
         F.sum("n").alias("n"),
         F.sum("error").alias("error"),
         Summarizer.sum(array_to_vector(F.col("g"))).alias("g"),
