@@ -10,19 +10,23 @@ MAX_HOT_KEYS = 10_000
 ROWS_PER_TASK = 1_000_000
 
 
-def hot_keys(df: DataFrame, key: list[str], rows_per_task: int) -> DataFrame | None:
-    """Keys with more rows than one task should hold, with their row count; None if none.
+def rows_per_key(df: DataFrame, key: list[str]) -> DataFrame:
+    """Number of rows of each key as ``n_rows``, counted before the shuffle."""
+    return df.groupBy(*key).agg(F.count(F.lit(1)).alias("n_rows"))
 
-    Rows are counted with a partial aggregate. At most ``MAX_HOT_KEYS`` keys can be
-    above the limit that is used, so the result is small whatever the size of ``df``.
+
+def hot_keys(counts: DataFrame, rows_per_task: int) -> DataFrame | None:
+    """Of all keys with their ``n_rows``, those with more than one task should hold; None if none.
+
+    At most ``MAX_HOT_KEYS`` keys can be above the limit that is used, so the result is
+    small however many rows and keys there are.
     """
-    counts = df.groupBy(*key).agg(F.count(F.lit(1)).alias("n_rows"))
-    total, largest = counts.agg(F.sum("n_rows"), F.max("n_rows")).first()
+    ((total, largest),) = counts.agg(F.sum("n_rows"), F.max("n_rows")).collect()
     if total is None or largest <= rows_per_task:
         return None
     limit = max(rows_per_task, total // MAX_HOT_KEYS)
     hot = counts.where(F.col("n_rows") > limit).collect()
-    return df.sparkSession.createDataFrame(hot, counts.schema) if hot else None
+    return counts.sparkSession.createDataFrame(hot, counts.schema) if hot else None
 
 
 def with_key_slots(df: DataFrame, key: list[str]) -> tuple[DataFrame, list[str]]:
@@ -57,7 +61,7 @@ def key_by(
     Use it only where per-partition code needs the rows together: joins, windows and
     aggregates partition by themselves.
     """
-    hot = hot_keys(df, key, rows_per_task)
+    hot = hot_keys(rows_per_key(df, key), rows_per_task)
     share = F.lit(0).cast("bigint")
     if hot is not None:
         slotted, slots = with_key_slots(df, key)

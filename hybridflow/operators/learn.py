@@ -74,8 +74,9 @@ def gradient_sums(rows: DataFrame, weights: list[float], metric: str = "log_loss
         partial, "n BIGINT, error DOUBLE, g ARRAY<DOUBLE>"
     )
     # A vector sum of no rows is an error, so there is always this one.
-    nothing = rows.sparkSession.range(1).select(
-        F.lit(0).cast("bigint").alias("n"), F.lit(0.0).alias("error"), F.lit([0.0] * size).alias("g")
+    nothing = rows.sparkSession.range(0, 1, 1, 1).select(
+        F.lit(0).cast("bigint").alias("n"), F.lit(0.0).alias("error"),
+        F.array_repeat(F.lit(0.0), size).alias("g"),
     )
     return parts.unionByName(nothing).agg(
         F.sum("n").alias("n"),
@@ -86,7 +87,7 @@ def gradient_sums(rows: DataFrame, weights: list[float], metric: str = "log_loss
 
 def gradient(rows: DataFrame, weights: list[float], metric: str = "log_loss") -> Gradient:
     """Run :func:`gradient_sums`; one row of the size of the model comes to the driver."""
-    row = gradient_sums(rows, weights, metric).first()
+    (row,) = gradient_sums(rows, weights, metric).collect()
     if not row["n"]:
         return Gradient(0, None, None)
     n = row["n"]

@@ -19,7 +19,7 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
-from hybridflow.operators.keyed import ROWS_PER_TASK, hot_keys, with_key_slots
+from hybridflow.operators.keyed import ROWS_PER_TASK, hot_keys, rows_per_key, with_key_slots
 
 MAX_SLICES = 10_000
 NULL_AS_NUMBER = -sys.float_info.max
@@ -82,6 +82,7 @@ def rolling_fold(
     folds: list[Fold],
     side: DataFrame | None = None,
     rows_per_slice: int = ROWS_PER_TASK,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Each row with the folds of its key over all rows up to and including it.
 
@@ -98,7 +99,8 @@ def rolling_fold(
     extras = [] if side is None else [
         c for c in side.columns if c not in key and c not in {f.name for f in folds}
     ]
-    hot = hot_keys(rows, key, rows_per_slice)
+    counts = rows_per_key(rows, key) if counts is None else counts
+    hot = hot_keys(counts.select(*key, "n_rows"), rows_per_slice)
     keyed, slots = with_key_slots(rows, key)
     if side is not None:
         side, _ = with_key_slots(side, key)

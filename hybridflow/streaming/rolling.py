@@ -79,9 +79,13 @@ class MicroBatchJoin:
         entries = spark.read.parquet(self._slot(batch_id))
         if self.flush and batch_id == 0:
             entries.write.mode("overwrite").parquet(f"{self.path}/flush")
-        joined = rolling_fold(rows, self.key, self.order, self.folds, entries, self.rows_per_slice)
+        counted = [*self.folds, Fold("n_rows", "count")]
+        fold_totals(rows, self.key, counted).write.mode("overwrite").parquet(f"{self.path}/totals")
+        totals = spark.read.parquet(f"{self.path}/totals")
+        joined = rolling_fold(
+            rows, self.key, self.order, self.folds, entries, self.rows_per_slice, counts=totals
+        )
         joined.write.mode("overwrite").parquet(f"{self.path}/joined/batch_id={batch_id}")
-        totals = fold_totals(rows, self.key, self.folds)
         merged = merge_totals(entries, totals, self.key, self.folds)
         merged.write.mode("overwrite").parquet(self._slot(batch_id + 1))
 

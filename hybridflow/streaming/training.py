@@ -56,10 +56,12 @@ class HybridTrainer:
         self.settings = settings
         self.ready = ready
         self.models = ModelStore(spark, f"{path}/models")
+        self._next: tuple[int, list[float], list[int]] | None = None
 
     def start_from(self, weights: list[float] | None = None) -> None:
         """Push version 0, zeros if no weights are given."""
         first = weights or [0.0] * self.settings.n_features
+        self._next = None
         self.models.push(self.settings.model_key, 0, first, None)
 
     def trace(self) -> DataFrame:
@@ -70,6 +72,14 @@ class HybridTrainer:
         """The error rates that went out, one per push."""
         return self.trace().where("pushed").select("batch_id", "error_rate")
 
+    def _before(self, batch_id: int) -> tuple[list[float], list[int]]:
+        """Weights and buffer as a micro-batch finds them: what the one before it left, in this
+        process or else in the tables."""
+        if self._next is not None and self._next[0] == batch_id:
+            return self._next[1], list(self._next[2])
+        _, weights, _ = self.models.pull(self.settings.model_key, up_to=batch_id)
+        return weights, self._buffered(batch_id) if self.ready else []
+
     def _buffered(self, batch_id: int) -> list[int]:
         """Numbers of the micro-batches in the buffer. The trace has one short row per batch."""
         if batch_id == 0:
@@ -89,11 +99,11 @@ class HybridTrainer:
     def __call__(self, rows: DataFrame, batch_id: int) -> None:
         s = self.settings
         rows = rows.select("label", "features")
-        _, weights, _ = self.models.pull(s.model_key, up_to=batch_id)
-        held = self._buffered(batch_id) if self.ready else []
+        weights, held = self._before(batch_id)
         new = gradient(rows, weights, s.metric)
         if new.n == 0:
             self._record(batch_id, None, "empty", False)
+            self._next = (batch_id + 1, weights, held)
             return
         moved = stepped(weights, new, s.rate)
         action = "step"
@@ -109,6 +119,7 @@ class HybridTrainer:
         if not held:
             self.models.push(s.model_key, batch_id + 1, moved, new.error)
         self._record(batch_id, new.error, action, not held)
+        self._next = (batch_id + 1, weights if held else moved, held)
 
     def _mini_batch(self, held: list[int]) -> DataFrame:
         s = self.settings
