@@ -15,18 +15,18 @@ def rows_per_key(df: DataFrame, key: list[str]) -> DataFrame:
     return df.groupBy(*key).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-def hot_keys(counts: DataFrame, rows_per_task: int) -> DataFrame | None:
-    """Of all keys with their ``n_rows``, those with more than one task should hold; None if none.
+def hot_keys(counts: DataFrame, rows_per_task: int) -> tuple[DataFrame, int] | None:
+    """Of all keys with their ``n_rows``, those with more than one task should hold.
 
-    At most ``MAX_HOT_KEYS`` keys can be above the limit that is used, so the result is
-    small however many rows and keys there are.
+    Gives them with the number of rows they have together, or None if there are none. Only
+    the ``MAX_HOT_KEYS`` largest count as hot, so the result is small however many rows and
+    keys there are; any other key then has less than that fraction of all rows.
     """
-    ((total, largest),) = counts.agg(F.sum("n_rows"), F.max("n_rows")).collect()
-    if total is None or largest <= rows_per_task:
+    large = counts.where(F.col("n_rows") > rows_per_task).orderBy(F.desc("n_rows"))
+    hot = large.limit(MAX_HOT_KEYS).collect()
+    if not hot:
         return None
-    limit = max(rows_per_task, total // MAX_HOT_KEYS)
-    hot = counts.where(F.col("n_rows") > limit).collect()
-    return counts.sparkSession.createDataFrame(hot, counts.schema) if hot else None
+    return counts.sparkSession.createDataFrame(hot, counts.schema), sum(r["n_rows"] for r in hot)
 
 
 def with_key_slots(df: DataFrame, key: list[str]) -> tuple[DataFrame, list[str]]:
@@ -65,7 +65,7 @@ def key_by(
     share = F.lit(0).cast("bigint")
     if hot is not None:
         slotted, slots = with_key_slots(df, key)
-        sizes, _ = with_key_slots(hot, key)
+        sizes, _ = with_key_slots(hot[0], key)
         sizes = sizes.select(*slots, F.ceil(F.col("n_rows") / rows_per_task).alias("_shares"))
         df = slotted.join(F.broadcast(sizes), slots, "left").drop(*slots)
         share = F.pmod(F.xxhash64(spread_on), F.coalesce(F.col("_shares"), F.lit(1)))

@@ -22,6 +22,8 @@ from pyspark.sql.types import (
 from hybridflow.operators.keyed import ROWS_PER_TASK, hot_keys, rows_per_key, with_key_slots
 
 MAX_SLICES = 10_000
+# Rows looked at per slice to find cut points.
+SAMPLED_PER_SLICE = 1_000
 NULL_AS_NUMBER = -sys.float_info.max
 
 
@@ -126,12 +128,13 @@ def rolling_fold(
 
 def _sliced(keyed, side, slots, key, order, folds, starts, hot, rows_per_slice):
     """Cut the rows of hot keys into slices and give every slice its starting totals."""
+    hot, n_hot_rows = hot
     hot, _ = with_key_slots(hot, key)
-    n_hot_rows = hot.agg(F.sum("n_rows")).first()[0]
     hot = hot.select(*slots, F.lit(True).alias("_hot"))
     keyed = keyed.join(F.broadcast(hot), slots, "left")
     wanted = min(MAX_SLICES, math.ceil(n_hot_rows / rows_per_slice))
-    keyed = _with_slices(keyed, order, wanted).drop("_hot")
+    share = min(1.0, SAMPLED_PER_SLICE * wanted / n_hot_rows)
+    keyed = _with_slices(keyed, order, wanted, share).drop("_hot")
 
     # Slice -1 holds the whole of a key that is not hot.
     totals = fold_totals(keyed.where(F.col("_slice") >= 0), [*slots, "_slice"], folds)
@@ -166,23 +169,26 @@ def _sliced(keyed, side, slots, key, order, folds, starts, hot, rows_per_slice):
     return keyed, hot_side.unionByName(cold_side, allowMissingColumns=True), folds
 
 
-def _with_slices(rows: DataFrame, order: list[str], wanted: int) -> DataFrame:
+def _with_slices(rows: DataFrame, order: list[str], wanted: int, share: float = 1.0) -> DataFrame:
     """Number the slices of hot rows so that slice numbers never fall along the order.
 
     Cut points are quantiles of the first order column. A value that fills more than a
     slice by itself gets an interval of its own, cut further by the second column. The
-    cut points decide only how even the slices are; any cut points give right results.
+    cut points decide only how even the slices are, any cut points give right results;
+    so they are taken from a ``share`` of the rows.
     """
     hot = F.coalesce(F.col("_hot"), F.lit(False))
     rows = rows.withColumn("_first", _as_number(rows, order[0]))
-    cuts = _quantiles(rows.where(hot), "_first", wanted)
+    drawn = rows.where(F.rand(0) < share) if share < 1.0 else rows
+    cuts = _quantiles(drawn.where(hot), "_first", wanted)
     crowded = sorted(v for v, n in Counter(cuts).items() if n > 1 and _is_exact(rows, order[0], v))
     edges = sorted({*cuts, *(math.nextafter(v, math.inf) for v in crowded)})
     number, inner_size = _bucket(rows, "_first", edges, "_outer"), 1
     if crowded and len(order) > 1:
         number = number.withColumn("_second", _as_number(rows, order[1]))
         is_crowded = hot & F.col("_first").isin(crowded)
-        inner_edges = sorted(set(_quantiles(number.where(is_crowded), "_second", wanted)))
+        drawn = drawn.withColumn("_second", _as_number(rows, order[1])).where(is_crowded)
+        inner_edges = sorted(set(_quantiles(drawn, "_second", wanted)))
         inner_size = len(inner_edges) + 1
         number = _bucket(number, "_second", inner_edges, "_inner").drop("_second")
         number = number.withColumn("_inner", F.when(is_crowded, F.col("_inner")).otherwise(0.0))

@@ -62,7 +62,7 @@ def wordcount_sliding_stream(spark, folder):
         counts = sliding_counts(_event_words(stream), length=300, slide=60, watermark=0)
         return counts.writeStream.format("parquet").option("path", out).outputMode("append")
 
-    BatchQueue(spark).run(split_at(rows, "ts", CUTS), sink)
+    BatchQueue(spark).run(split_at(rows, "ts", CUTS[1:2]), sink)
     return spark.read.parquet(out).select(F.unix_seconds("w_end").alias("w_end"), "word", "n")
 
 

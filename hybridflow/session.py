@@ -12,6 +12,12 @@ import hybridflow
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
+STATE = "spark.sql.streaming.stateStore"
+STATE_SETTINGS = {
+    f"{STATE}.providerClass": ROCKSDB,
+    f"{STATE}.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
 _local_dirs: dict[str, str] = {}
 
 
@@ -27,7 +33,6 @@ def build_session(app: str = "hybridflow", cores: int | str = "*", **conf: str)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.python.unix.domain.socket.enabled", "true")
-        .config("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     )
     for name, value in conf.items():
         builder = builder.config(name, value)
@@ -59,10 +64,9 @@ def new_path(spark: SparkSession, label: str) -> str:
 
 
 def use_rocksdb_state(spark: SparkSession) -> None:
-    """Keyed state needs the RocksDB store; leave a provider someone chose on purpose alone."""
-    name = "spark.sql.streaming.stateStore.providerClass"
-    if "RocksDB" not in spark.conf.get(name, ""):
-        spark.conf.set(name, ROCKSDB)
+    """Keyed state needs the RocksDB store. A commit then writes what changed, not all state."""
+    for name, value in STATE_SETTINGS.items():
+        spark.conf.set(name, value)
 
 
 def prepare(spark: SparkSession) -> None:
@@ -72,5 +76,4 @@ def prepare(spark: SparkSession) -> None:
     executors with the job, so it need not be installed there.
     """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    use_rocksdb_state(spark)
     cloudpickle.register_pickle_by_value(hybridflow)

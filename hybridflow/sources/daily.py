@@ -60,10 +60,14 @@ def daily_lines(spark: SparkSession, folder: str, end: date, days: int) -> DataF
     )
 
 
-def archives(spark: SparkSession, folder: str) -> DataFrame:
-    """Zipped daily files as ``path`` and ``content``, one row each."""
+def archives(spark: SparkSession, folder: str, end: date, days: int) -> DataFrame:
+    """Zipped daily files of the window as ``path`` and ``content``, one row each.
+
+    As with :func:`daily_lines` files outside the window are not read.
+    """
     files = spark.read.format("binaryFile").option("pathGlobFilter", f"*{ARCHIVE_SUFFIX}")
-    return files.load(folder).select("path", "content")
+    named = files.load(folder).where(in_window(day_of_file(F.col("_metadata.file_name")), end, days))
+    return named.select("path", "content")
 
 
 def unzip_lines(zipped: DataFrame, end: date, days: int) -> DataFrame:
