@@ -8,6 +8,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -56,33 +57,31 @@ def reduce_by_key(
     """
     schema = df.select(key, value).schema
 
-    def combine(frame: pd.DataFrame) -> pd.DataFrame:
-        rows = []
-        for k, group in frame.groupby(key, dropna=False, sort=False)[value]:
-            it = iter(group.tolist())
-            total = next(it)
-            for v in it:
-                total = fn(total, v)
-            rows.append((None if pd.isna(k) else k, total))
-        return pd.DataFrame(rows, columns=[key, value])
-
-    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = None
+    def add(totals: dict, rows: pa.RecordBatch | pa.Table) -> None:
+        for k, v in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist()):
+            totals[k] = fn(totals[k], v) if k in totals else v
+
+    def columns(totals: dict, kinds: pa.Schema) -> list[pa.Array]:
+        return [pa.array(totals.keys(), kinds.types[0]), pa.array(totals.values(), kinds.types[1])]
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals, kinds = {}, None
         for batch in batches:
-            if not len(batch):
-                continue
-            held = combine(batch if held is None else pd.concat([held, batch]))
-            if len(held) >= KEYS_HELD:
-                yield held
-                held = None
-        if held is not None:
-            yield held
-
-    parts = df.select(key, value).mapInPandas(partial, schema)
+            kinds = batch.schema
+            add(totals, batch)
+            if len(totals) >= KEYS_HELD:
+                yield pa.RecordBatch.from_arrays(columns(totals, kinds), [key, value])
+                totals = {}
+        if totals:
+            yield pa.RecordBatch.from_arrays(columns(totals, kinds), [key, value])
+
+    def merge(parts: pa.Table) -> pa.Table:
+        parts, totals = parts.select([key, value]), {}
+        add(totals, parts)
+        return pa.Table.from_arrays(columns(totals, parts.schema), [key, value])
+
     branch = F.pmod(F.spark_partition_id(), F.lit(branches)).alias("branch")
+    parts = df.select(key, value).mapInArrow(partial, schema)
     return (
-        parts.groupBy(key, branch)
-        .applyInPandas(combine, schema)
-        .groupBy(key)
-        .applyInPandas(combine, schema)
+        parts.groupBy(key, branch).applyInArrow(merge, schema).groupBy(key).applyInArrow(merge, schema)
     )

@@ -11,10 +11,14 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
+    DataType,
     DateType,
     DecimalType,
     DoubleType,
     FloatType,
+    IntegralType,
+    LongType,
+    StructType,
     TimestampNTZType,
     TimestampType,
 )
@@ -46,6 +50,15 @@ class Fold:
     def over_totals(self, total: str) -> Column:
         return F.sum(total) if self.kind == "count" else getattr(F, self.kind)(total)
 
+    def result_type(self, schema: StructType) -> DataType:
+        """Type of the fold over rows of this schema."""
+        if self.kind == "count":
+            return LongType()
+        kind = schema[self.column].dataType
+        if self.kind == "sum" and isinstance(kind, IntegralType):
+            return LongType()
+        return DoubleType() if self.kind == "sum" and isinstance(kind, FloatType) else kind
+
     def merged(self, a: Column, b: Column) -> Column:
         """Of two totals either may be null, meaning no rows."""
         if self.kind in ("count", "sum"):

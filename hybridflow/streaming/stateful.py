@@ -2,15 +2,16 @@
 
 ``totals_stream`` emits a key's entry per micro-batch and combines rows before they meet,
 so it takes any distribution of keys. ``rolling_fold_stream`` emits an entry per row and
-has all of a key's rows of one micro-batch in one task: give its source a row limit per
-trigger, and where one key may dominate use ``hybridflow.streaming.rolling`` instead.
+passes all of a key's rows of one micro-batch through one task: give its source a row limit
+per trigger, and where one key may dominate use ``hybridflow.streaming.rolling`` instead.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import islice
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -20,6 +21,9 @@ from hybridflow.functions.python_udf import KEYS_HELD
 from hybridflow.operators.rolling import Fold
 from hybridflow.session import use_rocksdb_state
 
+# Rows of a key that are sorted at a time.
+RUN_LENGTH = 1_000_000
+
 
 def _combine(kind: str, total, value):
     if kind == "count":
@@ -42,6 +46,7 @@ class RollingFoldProcessor(StatefulProcessor):
         attributes: list[str],
         state_schema: StructType,
         ttl_ms: int | None = None,
+        run_length: int = RUN_LENGTH,
     ):
         self.columns = columns
         self.order = order
@@ -49,10 +54,15 @@ class RollingFoldProcessor(StatefulProcessor):
         self.attributes = attributes
         self.state_schema = state_schema
         self.ttl_ms = ttl_ms
+        self.run_length = run_length
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.entry = handle.getValueState("entry", self.state_schema, self.ttl_ms)
 
+    def _position(self, row: Row) -> tuple:
+        """Sort key of a row, nulls first."""
+        return tuple((row[c] is not None, row[c]) for c in self.order)
+
     def handleInitialState(self, key, initialState, timerValues) -> None:
         given = initialState.asDict()
         names = [f.name for f in self.folds] + self.attributes
@@ -63,11 +73,12 @@ class RollingFoldProcessor(StatefulProcessor):
         old = self.entry.get()
         width = len(self.folds) + len(self.attributes)
         entry = list(old) if old is not None else [None] * width
-        # Rows of a key come in no order inside a micro-batch; the trigger's limits bound them.
-        for row in sorted(rows, key=lambda r: tuple(r[c] for c in self.order)):
-            for i, f in enumerate(self.folds):
-                entry[i] = _combine(f.kind, entry[i], row[f.column] if f.column else None)
-            yield named(*[row[c] for c in self.columns], *entry)
+        # Rows of a key come in no order inside a micro-batch.
+        while run := sorted(islice(rows, self.run_length), key=self._position):
+            for row in run:
+                for i, f in enumerate(self.folds):
+                    entry[i] = _combine(f.kind, entry[i], row[f.column] if f.column else None)
+                yield named(*[row[c] for c in self.columns], *entry)
         self.entry.update(tuple(entry))
 
     def close(self) -> None:
@@ -75,10 +86,7 @@ class RollingFoldProcessor(StatefulProcessor):
 
 
 def _entry_schema(stream, key, folds, side) -> tuple[list[str], StructType]:
-    fields = []
-    for f in folds:
-        kind = LongType() if f.kind == "count" else stream.schema[f.column].dataType
-        fields.append(StructField(f.name, kind, True))
+    fields = [StructField(f.name, f.result_type(stream.schema), True) for f in folds]
     attributes = [] if side is None else [
         c for c in side.columns if c not in key and c not in {f.name for f in folds}
     ]
@@ -93,12 +101,14 @@ def rolling_fold_stream(
     folds: list[Fold],
     side: DataFrame | None = None,
     ttl_ms: int | None = None,
+    run_length: int = RUN_LENGTH,
 ) -> DataFrame:
     """Streaming form of ``rolling_fold``: each row with its key's folds so far.
 
     ``side`` is loaded once into the state, one row per key, and is checkpointed with it.
-    Across micro-batches rows fold in order of arrival. ``ttl_ms`` drops keys not seen
-    for that long; by default nothing is dropped.
+    A key's rows of one micro-batch are put in order ``run_length`` at a time, which bounds
+    what a task holds; beyond that and across micro-batches rows fold in order of arrival.
+    ``ttl_ms`` drops keys not seen for that long; by default nothing is dropped.
     """
     use_rocksdb_state(stream.sparkSession)
     attributes, state_schema = _entry_schema(stream, key, folds, side)
@@ -107,7 +117,7 @@ def rolling_fold_stream(
         *state_schema.fields,
     ])
     processor = RollingFoldProcessor(
-        stream.columns, order, folds, attributes, state_schema, ttl_ms
+        stream.columns, order, folds, attributes, state_schema, ttl_ms, run_length
     )
     return stream.groupBy(*key).transformWithState(
         statefulProcessor=processor,
@@ -152,28 +162,23 @@ class TotalsProcessor(StatefulProcessor):
 
 def _partial_totals(key: list[str], folds: list[Fold]):
     """Totals of the rows a task reads, passed on in portions of a bounded number of keys."""
-    named = {
-        f.name: (f.name, "sum" if f.kind in ("count", "sum") else f.kind) for f in folds
-    }
-
-    def combine(rows: pd.DataFrame) -> pd.DataFrame:
-        groups = rows.groupby(key, dropna=False, sort=False)
-        parts = {}
-        for name, (column, kind) in named.items():
-            parts[name] = groups[column].sum(min_count=1) if kind == "sum" else getattr(groups[column], kind)()
-        return pd.DataFrame(parts).reset_index()
-
-    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    kinds = {f.name: "sum" if f.kind == "count" else f.kind for f in folds}
+
+    def combine(rows: pa.Table) -> pa.Table:
+        totals = rows.group_by(key, use_threads=False).aggregate(list(kinds.items()))
+        named = totals.select([*key, *[f"{n}_{k}" for n, k in kinds.items()]])
+        return named.rename_columns(rows.schema.names).cast(rows.schema)
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
         for batch in batches:
-            if not len(batch):
-                continue
-            held = combine(batch if held is None else pd.concat([held, batch]))
-            if len(held) >= KEYS_HELD:
-                yield held
+            rows = pa.Table.from_batches([batch])
+            held = combine(rows if held is None else pa.concat_tables([held, rows]))
+            if held.num_rows >= KEYS_HELD:
+                yield from held.to_batches()
                 held = None
         if held is not None:
-            yield held
+            yield from held.to_batches()
 
     return partial
 
@@ -187,9 +192,12 @@ def totals_stream(
     totals per task. ``side`` is loaded once into the state, one row per key.
     """
     use_rocksdb_state(stream.sparkSession)
-    columns = [F.lit(1).cast("bigint") if f.kind == "count" else F.col(f.column) for f in folds]
-    rows = stream.select(*key, *[c.alias(f.name) for c, f in zip(columns, folds)])
-    partials = rows.mapInPandas(_partial_totals(key, folds), rows.schema)
+    columns = [
+        (F.lit(1) if f.kind == "count" else F.col(f.column)).cast(f.result_type(stream.schema)).alias(f.name)
+        for f in folds
+    ]
+    rows = stream.select(*key, *columns)
+    partials = rows.mapInArrow(_partial_totals(key, folds), rows.schema)
     attributes, state_schema = _entry_schema(stream, key, folds, side)
     keys = [StructField(k, stream.schema[k].dataType, True) for k in key]
     return partials.groupBy(*key).transformWithState(

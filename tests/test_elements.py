@@ -98,3 +98,10 @@ def test_python_reduce(spark):
     rows = spark.range(0, 20_000, 1, 6).select((F.col("id") % 3).alias("k"), "id")
     largest = python_udf.reduce_by_key(rows, "k", "id", max, branches=4)
     assert set(map(tuple, largest.collect())) == {(0, 19_998), (1, 19_999), (2, 19_997)}
+
+
+def test_python_reduce_keeps_large_numbers_and_null_keys(spark):
+    big = 2**62 + 1
+    rows = spark.createDataFrame([(big, big), (None, 1), (None, 2), (big, 1)], "k BIGINT, v BIGINT")
+    found = python_udf.reduce_by_key(rows, "k", "v", lambda a, b: a + b)
+    assert set(map(tuple, found.collect())) == {(big, big + 1), (None, 3)}

@@ -95,6 +95,31 @@ def test_totals_in_keyed_state(spark, rows, side, tmp_path, n):
     assert as_set(last.select("k", "e.*")) == as_set(expected)
 
 
+def test_totals_of_large_numbers_and_null_keys(spark, tmp_path):
+    out, big = str(tmp_path / "out"), 2**62 + 1
+    rows = spark.createDataFrame(
+        [(big, 2**31 - 1, big), (big, 1, None), (None, 3, 5), (None, 4, None)], "k BIGINT, i INT, v BIGINT"
+    )
+    folds = [Fold("total", "sum", "i"), Fold("high", "max", "v")]
+    BatchQueue(spark).run(
+        [rows], lambda s: totals_stream(s, KEY, folds).writeStream.foreachBatch(batch_folder(out))
+    )
+    found = read_batches(spark, out).select("k", "total", "high").collect()
+    assert set(map(tuple, found)) == {(big, 2**31, big), (None, 7, 5)}
+
+
+def test_short_runs_lose_no_row(spark, rows, tmp_path):
+    out = str(tmp_path / "out")
+    BatchQueue(spark).run(
+        [rows],
+        lambda s: rolling_fold_stream(s, KEY, ORDER, FOLDS, run_length=5).writeStream.foreachBatch(batch_folder(out)),
+    )
+    found = read_batches(spark, out)
+    assert found.count() == found.select("id").distinct().count() == rows.count()
+    last = found.groupBy("k").agg(F.max("n").alias("last"), F.count("n").alias("rows"))
+    assert last.where("last <> rows").count() == 0
+
+
 def test_a_stopped_queue_goes_on_where_it_was(spark, rows, tmp_path):
     out, first = str(tmp_path / "out"), BatchQueue(spark)
 
