@@ -72,13 +72,13 @@ def udf_map(spark, folder):
 
 
 def udf_flat_map(spark, folder):
-    halves = python_udf.flat_map_values(lambda n: [n // 2] if n % 2 == 0 else [], "bigint")
-    return numbers(spark, folder).select(halves(F.col("value")).alias("value"))
+    words = python_udf.flat_map_values(lambda line: line.split(" "), "string")
+    return table(spark, folder, "events").select(words(F.col("props")).alias("word"))
 
 
 def udf_filter(spark, folder):
-    wanted = python_udf.filter_values(lambda values: values % 5 != 3)
-    return numbers(spark, folder).where(wanted(F.col("value")))
+    wanted = python_udf.filter_values(lambda kinds: kinds != "error")
+    return table(spark, folder, "events").where(wanted(F.col("event_type"))).select("event_id", "event_type")
 
 
 def udf_group_reduce(spark, folder):
@@ -195,8 +195,8 @@ SQL = {
     "key_by": "SELECT user_id, count(*) AS n, TRUE AS together FROM events GROUP BY user_id",
     "random_spread": "SELECT event_id AS value FROM events",
     "udf_map": "SELECT event_id AS value, event_id * 2 AS doubled FROM events",
-    "udf_flat_map": "SELECT event_id // 2 AS value FROM events WHERE event_id % 2 = 0",
-    "udf_filter": "SELECT event_id AS value FROM events WHERE event_id % 5 <> 3",
+    "udf_flat_map": "SELECT unnest(string_split(props, ' ')) AS word FROM events",
+    "udf_filter": "SELECT event_id, event_type FROM events WHERE event_type <> 'error'",
     "udf_group_reduce": f"SELECT key, CAST(sum(value) AS BIGINT) AS value FROM ({_KEYED}) GROUP BY key",
     "reduce_rolling": _ROLLING.format(order="value"),
     "reduce_rolling_by_user": """

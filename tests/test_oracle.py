@@ -25,3 +25,23 @@ def test_same_rows_as_sql(spark, folder, con, name):
 
 def test_entry_has_a_row_per_event(spark, folder):
     assert contract.entry(spark).count() == spark.read.parquet(f"{folder}/events.parquet").count()
+
+
+@pytest.mark.parametrize(
+    "name",
+    [
+        "reduce_rolling",
+        "reduce_rolling_stream",
+        "hybrid_join_enrich",
+        "hybrid_join_enrich_orders",
+        "hybrid_join_full",
+        "hybrid_join_full_stream",
+    ],
+)
+def test_same_rows_if_every_key_is_hot(spark, folder, con, monkeypatch, name):
+    """The queries once more, with slices of a few rows."""
+    from hybridflow.operators import keyed, rolling
+
+    monkeypatch.setattr(rolling, "hot_keys", lambda counts, _: keyed.hot_keys(counts, 9))
+    monkeypatch.setattr(rolling, "MAX_SLICES", 50)
+    assert differences(QUERIES[name](spark, folder), con, SQL[name]) == ""

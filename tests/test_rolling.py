@@ -1,7 +1,8 @@
 """Running folds and hybrid joins against plain Python, with and without slicing."""
 
 import random
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -132,3 +133,22 @@ def test_totals_of_parts_are_totals_of_the_whole(spark):
     whole = fold_totals(df, ["k"], FOLDS)
     both = merge_totals(parts[0], parts[1], ["k"], FOLDS)
     assert sorted(map(str, both.collect())) == sorted(map(str, whole.collect()))
+
+
+@pytest.mark.parametrize("rows_per_slice", [1000, 20])
+def test_keys_of_several_columns_and_types(spark, rows_per_slice):
+    rng = random.Random(7)
+    columns = {
+        "s": ["0", "x", None],
+        "d": [date(1970, 1, 1), date(2024, 1, 1), None],
+        "b": [True, False, None],
+        "m": [Decimal("0.00"), Decimal("1.50"), None],
+    }
+    rows = [tuple(rng.choice(v) for v in columns.values()) + (i, i) for i in range(500)]
+    df = spark.createDataFrame(rows, "s STRING, d DATE, b BOOLEAN, m DECIMAL(5,2), id BIGINT, v BIGINT")
+    rolled = rolling_fold(df, list(columns), ["id"], [Fold("total", "sum", "v")], None, rows_per_slice)
+    totals, expected = {}, {}
+    for row in rows:
+        totals[row[:4]] = totals.get(row[:4], 0) + row[5]
+        expected[row[4]] = totals[row[:4]]
+    assert {r["id"]: r["total"] for r in rolled.collect()} == expected

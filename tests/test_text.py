@@ -1,5 +1,7 @@
 """Lines, words and messages at their edges."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -38,6 +40,21 @@ def test_split(spark, line, words):
     assert one_column(spark, [line]).select(split_blank(F.col("value"))).first()[0] == words
 
 
+def test_split_of_random_lines(spark):
+    rng = random.Random(1)
+    lines = ["".join(rng.choice("ab  \t") for _ in range(rng.randrange(9))) for _ in range(500)]
+
+    def expected(line):
+        words = line.split(" ")
+        while len(words) > 1 and words[-1] == "":
+            words.pop()
+        return [] if words == [""] and line else words
+
+    found = one_column(spark, lines).select("value", split_blank(F.col("value")).alias("words"))
+    for row in found.collect():
+        assert row["words"] == expected(row["value"]), repr(row["value"])
+
+
 def test_words_of_a_blank_line_are_none(spark):
     assert words_of(one_column(spark, ["  ", "x y"]), "value").count() == 2
 
