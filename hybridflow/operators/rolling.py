@@ -75,9 +75,8 @@ def merge_totals(old: DataFrame, new: DataFrame, key: list[str], folds: list[Fol
     """Totals of two sets of rows as totals of both; other columns of ``old`` are kept."""
     old, slots = with_key_slots(old, key)
     new, _ = with_key_slots(new, key)
-    new = new.select(*slots, *[F.col(k).alias(f"_new_{k}") for k in key],
-                     *[F.col(f.name).alias(f"_new_{f.name}") for f in folds])
     names = {f.name: f for f in folds}
+    new = new.select(*slots, *[F.col(c).alias(f"_new_{c}") for c in [*key, *names]])
     columns = []
     for name in old.drop(*slots).columns:
         if name in key:
@@ -101,7 +100,7 @@ def rolling_fold(
 ) -> DataFrame:
     """Each row with the folds of its key over all rows up to and including it.
 
-    ``order`` is a time or number followed by an optional tie-breaking number. ``side`` has
+    ``order`` is a time or number, followed by a number that breaks ties. ``side`` has
     one row per key: columns named like a fold start that fold, all others are attached
     to the key's rows (null where the key is missing).
 

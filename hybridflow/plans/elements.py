@@ -16,7 +16,7 @@ from hybridflow.operators.keyed import (
 from hybridflow.operators.rolling import Fold, rolling_fold
 from hybridflow.session import new_path
 from hybridflow.sources.queue import BatchQueue, split_at
-from hybridflow.sources.tables import events, inline_elements, table
+from hybridflow.sources.tables import inline_elements, table
 from hybridflow.streaming.rolling import MicroBatchJoin, per_batch_totals
 from hybridflow.streaming.sinks import batch_folder, first_rows, read_batches
 
@@ -26,6 +26,13 @@ CUTS = ["2024-01-08", "2024-01-15", "2024-01-22"]
 WEIGHTS = [("click", 1), ("view", 2), ("signup", 3), ("purchase", 4)]
 
 
+def event_batches(spark: SparkSession, folder: str, cuts: list[str] = CUTS) -> list[DataFrame]:
+    """The whole event table in runs of time. The cuts are on ``ts`` as stored, so that the
+    scan can use them; a stream wants it with a zone."""
+    runs = split_at(table(spark, folder, "events"), "ts", cuts)
+    return [run.withColumn("ts", F.col("ts").cast("timestamp")) for run in runs]
+
+
 def numbers(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "events").select(F.col("event_id").alias("value"))
 
@@ -98,15 +105,17 @@ def reduce_rolling_by_user(spark, folder):
 
 
 def reduce_rolling_stream(spark, folder):
-    rows = events(spark, folder).select(
-        "ts", parity(F.col("event_id")).alias("key"), F.col("event_id").alias("value")
-    )
     folds = [Fold("total", "sum", "value")]
     job = MicroBatchJoin(None, ["key"], ["ts", "value"], folds, new_path(spark, "rolling"))
-    BatchQueue(spark).run(split_at(rows, "ts", CUTS), lambda s: s.writeStream.foreachBatch(job))
+    BatchQueue(spark).run(_pair_batches(spark, folder), lambda s: s.writeStream.foreachBatch(job))
     return job.joined(spark).select("key", "value", "total")
 
 
+def _pair_batches(spark, folder):
+    pair = [parity(F.col("event_id")).alias("key"), F.col("event_id").alias("value")]
+    return [b.select("ts", *pair) for b in event_batches(spark, folder)]
+
+
 def reduce_by_key_total(spark, folder):
     return totals_by_key(pairs(spark, folder), ["key"], "value")
 
@@ -119,28 +128,25 @@ def reduce_per_batch(spark, folder):
 
 
 def reduce_per_batch_stream(spark, folder):
-    rows = events(spark, folder).select(
-        "ts", parity(F.col("event_id")).alias("key"), F.col("event_id").alias("value")
-    )
     out = new_path(spark, "per-batch")
     write = batch_folder(out, per_batch_totals(["key"], "value"))
-    BatchQueue(spark).run(split_at(rows, "ts", CUTS), lambda s: s.writeStream.foreachBatch(write))
+    BatchQueue(spark).run(_pair_batches(spark, folder), lambda s: s.writeStream.foreachBatch(write))
     return read_batches(spark, out).select(F.col("batch_id").cast("bigint"), "key", "total")
 
 
 def src_micro_batches(spark, folder):
-    rows = events(spark, folder).select("ts", "event_id")
+    batches = [b.select("ts", "event_id") for b in event_batches(spark, folder)]
     out = new_path(spark, "micro-batches")
     write = batch_folder(out, lambda batch, _: batch.agg(F.count(F.lit(1)).alias("n")))
-    BatchQueue(spark).run(split_at(rows, "ts", CUTS), lambda s: s.writeStream.foreachBatch(write))
+    BatchQueue(spark).run(batches, lambda s: s.writeStream.foreachBatch(write))
     return read_batches(spark, out).select(F.col("batch_id").cast("bigint"), "n")
 
 
 def sink_foreach_batch(spark, folder):
-    rows = events(spark, folder).select("ts", "event_id", "user_id")
+    batches = [b.select("ts", "event_id", "user_id") for b in event_batches(spark, folder)]
     out = new_path(spark, "sink")
     write = batch_folder(out)
-    BatchQueue(spark).run(split_at(rows, "ts", CUTS), lambda s: s.writeStream.foreachBatch(write))
+    BatchQueue(spark).run(batches, lambda s: s.writeStream.foreachBatch(write))
     return read_batches(spark, out).select(
         F.col("batch_id").cast("bigint"), "event_id", "user_id"
     )

@@ -6,10 +6,10 @@ from pyspark.sql import functions as F
 
 from hybridflow.operators.hybrid_join import enrich, full, one_per_key, snapshot
 from hybridflow.operators.rolling import Fold
-from hybridflow.plans.elements import CUTS
+from hybridflow.plans.elements import CUTS, event_batches
 from hybridflow.session import new_path
-from hybridflow.sources.queue import BatchQueue, split_at
-from hybridflow.sources.tables import events, table
+from hybridflow.sources.queue import BatchQueue
+from hybridflow.sources.tables import table
 from hybridflow.streaming.rolling import MicroBatchJoin
 from hybridflow.streaming.sinks import batch_folder, read_batches
 from hybridflow.streaming.stateful import totals_stream
@@ -96,15 +96,15 @@ def hybrid_join_full_suppliers(spark, folder):
 
 
 def hybrid_join_enrich_stream(spark, folder):
-    rows = _event_rows(events(spark, folder))
+    batches = [_event_rows(b) for b in event_batches(spark, folder)]
     job = MicroBatchJoin(_customers(spark, folder), KEY, ORDER, FOLDS, new_path(spark, "enriched"))
-    BatchQueue(spark).run(split_at(rows, "ts", CUTS), lambda s: s.writeStream.foreachBatch(job))
+    BatchQueue(spark).run(batches, lambda s: s.writeStream.foreachBatch(job))
     return _shown(job.joined(spark), "event_id", "c_mktsegment")
 
 
 def hybrid_join_snapshot_stream(spark, folder):
     """Entries kept in keyed state; the last one that came out for a key is its final one."""
-    rows = _event_rows(events(spark, folder))
+    batches = [_event_rows(b) for b in event_batches(spark, folder, CUTS[1:2])]
     side = _suppliers(spark, folder)
     out = new_path(spark, "entries")
 
@@ -112,18 +112,16 @@ def hybrid_join_snapshot_stream(spark, folder):
         entries = totals_stream(stream, KEY, FOLDS, side)
         return entries.writeStream.foreachBatch(batch_folder(out))
 
-    BatchQueue(spark).run(split_at(rows, "ts", CUTS[1:2]), sink)
+    BatchQueue(spark).run(batches, sink)
     latest = F.max_by(F.struct("n", "total", "balance"), "batch_id").alias("e")
     return _shown(read_batches(spark, out).groupBy("k").agg(latest).select("k", "e.*"))
 
 
 def hybrid_join_full_stream(spark, folder):
     """What came before completion is folded by a table job; the stream starts from its entries."""
-    rows = _event_rows(events(spark, folder))
-    cut = F.lit(COMPLETE_AT).cast("timestamp")
-    entries = snapshot(rows.where(F.col("ts") < cut), _suppliers(spark, folder), KEY, FOLDS)
+    early, *later = [_event_rows(b) for b in event_batches(spark, folder, CUTS[1:])]
+    entries = snapshot(early, _suppliers(spark, folder), KEY, FOLDS)
     job = MicroBatchJoin(entries, KEY, ORDER, FOLDS, new_path(spark, "full"), flush=True)
-    later = split_at(rows.where(F.col("ts") >= cut), "ts", CUTS[-1:])
     BatchQueue(spark).run(later, lambda s: s.writeStream.foreachBatch(job))
     flush = job.flushed(spark).withColumn("event_id", F.lit(None).cast("bigint"))
     columns = ["phase", "event_id", "k", "n", "total", "balance"]

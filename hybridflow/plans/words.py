@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 from hybridflow.functions.words import lines_of, paired_with_one, words_of
 from hybridflow.operators.keyed import totals_by_key
 from hybridflow.operators.windows import sliding_counts, trailing_counts
+from hybridflow.plans.elements import CUTS, event_batches
 from hybridflow.session import new_path
-from hybridflow.sources.queue import BatchQueue, split_at
-from hybridflow.sources.tables import events, table
+from hybridflow.sources.queue import BatchQueue
+from hybridflow.sources.tables import table
 from hybridflow.sources.text import read_clean_lines, read_lines
-from hybridflow.plans.elements import CUTS
 
 
 def _counted(lines):
@@ -56,13 +56,13 @@ def wordcount_sliding(spark, folder):
 def wordcount_sliding_stream(spark, folder):
     """Closed windows only: those that end 5 minutes or more before the last window."""
     out = new_path(spark, "sliding")
-    rows = events(spark, folder).select("ts", "event_type", "props")
+    batches = [b.select("ts", "event_type", "props") for b in event_batches(spark, folder, CUTS[1:2])]
 
     def sink(stream):
         counts = sliding_counts(_event_words(stream), length=300, slide=60, watermark=0)
         return counts.writeStream.format("parquet").option("path", out).outputMode("append")
 
-    BatchQueue(spark).run(split_at(rows, "ts", CUTS[1:2]), sink)
+    BatchQueue(spark).run(batches, sink)
     return spark.read.parquet(out).select(F.unix_seconds("w_end").alias("w_end"), "word", "n")
 
 

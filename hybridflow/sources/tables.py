@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 def inline_elements(spark: SparkSession, elements: Iterable, schema: str = "value INT") -> DataFrame:
@@ -16,8 +15,3 @@ def inline_elements(spark: SparkSession, elements: Iterable, schema: str = "valu
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
-
-
-def events(spark: SparkSession, folder: str) -> DataFrame:
-    """The event table with a zoned ``ts``, which watermarks ask for."""
-    return table(spark, folder, "events").withColumn("ts", F.col("ts").cast("timestamp"))

@@ -6,8 +6,10 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from hybridflow.operators.hybrid_join import enrich, snapshot
+from hybridflow.functions.words import words_of
+from hybridflow.operators.hybrid_join import enrich, full, snapshot
 from hybridflow.operators.rolling import Fold
+from hybridflow.operators.windows import sliding_counts
 from hybridflow.sources.queue import BatchQueue, split_at
 from hybridflow.sources.streams import file_stream, kafka_messages, kafka_options, socket_lines
 from hybridflow.streaming.rolling import MicroBatchJoin, per_batch_totals
@@ -120,6 +122,25 @@ def test_short_runs_lose_no_row(spark, rows, tmp_path):
     assert last.where("last <> rows").count() == 0
 
 
+def test_keyed_state_goes_on_from_given_totals(spark, rows, side, tmp_path):
+    out, cut = str(tmp_path / "out"), str(START + timedelta(seconds=100))
+    early, later = split_at(rows, "ts", [cut])
+    entries = snapshot(early, side, KEY, FOLDS)
+    BatchQueue(spark).run(
+        [later],
+        lambda s: rolling_fold_stream(s, KEY, ORDER, FOLDS, entries).writeStream.foreachBatch(batch_folder(out)),
+    )
+    expected = full(rows, side, KEY, ORDER, FOLDS, cut).where("phase = 'stream'")
+    columns = ["k", "id", "n", "total", "low", "high", "a"]
+    assert as_set(read_batches(spark, out).select(columns)) == as_set(expected.select(columns))
+
+
+def test_windowed_word_count_of_a_socket_is_a_stream(spark):
+    lines = socket_lines(spark, "localhost", 9999).withColumnRenamed("timestamp", "ts")
+    counts = sliding_counts(words_of(lines, "value", "ts"), length=300, slide=1, watermark=10)
+    assert counts.isStreaming and counts.columns == ["w_end", "word", "n"]
+
+
 def test_a_stopped_queue_goes_on_where_it_was(spark, rows, tmp_path):
     out, first = str(tmp_path / "out"), BatchQueue(spark)
 
