@@ -41,6 +41,9 @@ def _suppliers(spark, folder):
 
 
 def _shown(df, *columns):
+    """Result columns; a flushed entry has no event, shown as -1."""
+    if "phase" in columns:
+        df = df.withColumn("event_id", F.coalesce("event_id", F.lit(-1)))
     return df.select(*columns, "k", "n", F.round("total", 4).alias("total"), "balance")
 
 
@@ -172,7 +175,7 @@ def _snapshot_sql(batch: str, where: str = "TRUE") -> str:
 def _full_sql(batch: str) -> str:
     at = "TIMESTAMP '2024-01-15 00:00:00'"
     return f"""
-        SELECT 'flush' AS phase, CAST(NULL AS BIGINT) AS event_id, k, n, total, balance
+        SELECT 'flush' AS phase, CAST(-1 AS BIGINT) AS event_id, k, n, total, balance
         FROM ({_snapshot_sql(batch, f'ts < {at}')})
         UNION ALL
         SELECT 'stream', event_id, k, n, total, balance

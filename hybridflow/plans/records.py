@@ -53,7 +53,9 @@ def tagged_union_map(spark, folder):
     lines = _customer_lines(spark, folder).select(*left_side(F.col("value")))
     union = map_left(lines.unionByName(right_side(lines)), lambda v: F.from_csv(v, CUSTOMER))
     return union.select(
-        "side", F.col("value.c_custkey").alias("c_custkey"), F.col("value.c_acctbal").alias("c_acctbal")
+        "side",
+        F.coalesce("value.c_custkey", F.lit(-1)).alias("c_custkey"),
+        F.col("value.c_acctbal").alias("c_acctbal"),
     )
 
 
@@ -88,7 +90,7 @@ SQL = {
     "parse_lines": "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer",
     "tagged_union_map": """
         SELECT 'left' AS side, c_custkey, c_acctbal FROM customer
-        UNION ALL SELECT 'right', NULL, NULL""",
+        UNION ALL SELECT 'right', -1, NULL""",
     "connect_tagged_union": """
         SELECT k, count(*) FILTER (side = 'stream') AS n_stream,
                count(*) FILTER (side = 'batch') AS n_batch,
