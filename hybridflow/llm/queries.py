@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hybridflow.llm import line_dedup, mixing
+from hybridflow.llm import line_dedup, minhash, mixing
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -18,6 +18,11 @@ def op2_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Components of documents whose sets of four-word shingles overlap by 80%."""
+    return minhash.near_duplicates(table(spark, folder, "documents"), size=4, percent=80)
+
+
 def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Lines that repeated three-line windows remove from each document, and what stays."""
     out = line_dedup.dedup_lines(table(spark, folder, "documents"))
@@ -64,6 +69,32 @@ SELECT doc_id, size, source_size, target,
 FROM ordered
 """
 
+OP6_SQL = """
+WITH RECURSIVE tokens AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i : least(i + 3, len(w))], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM tokens WHERE len(w) > 0)
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), overlap AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS common
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2
+), links AS (
+  SELECT x, y FROM overlap JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+  WHERE 100 * common >= 80 * (p.n + q.n - common)
+), reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents
+  UNION
+  SELECT r.a, l.y FROM reach r JOIN links l ON l.x = r.b
+), least_of AS (
+  SELECT a, min(b) AS component_id FROM reach GROUP BY a
+)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM documents LEFT JOIN sizes USING (doc_id) JOIN least_of ON a = doc_id
+"""
+
 OP7_SQL = """
 WITH texts AS (
   SELECT doc_id, text, string_split(text, chr(10)) AS lines FROM documents
@@ -90,5 +121,13 @@ SELECT t.doc_id, CAST(coalesce(len(t.lines), 0) AS BIGINT) AS n_lines,
 FROM texts t LEFT JOIN kept k USING (doc_id)
 """
 
-QUERIES = {"op2_mix_sources": op2_mix_sources, "op7_line_dedup": op7_line_dedup}
-SQL = {"op2_mix_sources": OP2_SQL, "op7_line_dedup": OP7_SQL}
+QUERIES = {
+    "op2_mix_sources": op2_mix_sources,
+    "op6_minhash_near_dedup": op6_minhash_near_dedup,
+    "op7_line_dedup": op7_line_dedup,
+}
+SQL = {
+    "op2_mix_sources": OP2_SQL,
+    "op6_minhash_near_dedup": OP6_SQL,
+    "op7_line_dedup": OP7_SQL,
+}
