@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hybridflow.llm import line_dedup, minhash, mixing
+from hybridflow.llm import decontaminate, line_dedup, minhash, mixing
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -29,6 +29,21 @@ def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_removed", F.md5("text").alias("kept_md5"))
 
 
+def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    """Benchmark items that each document covers by 80% or more."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = decontaminate.contamination(docs, table(spark, folder, "benchmark"))
+    best = F.array_sort(F.transform("matches", lambda m: F.struct((-m["coverage"]).alias("order"), m["item_id"].alias("item"))))
+    top = F.get(best, F.lit(0))
+    return found.select(
+        "row.doc_id",
+        (F.size("matches") > 0).alias("contaminated"),
+        F.array_join(F.array_distinct(F.transform("matches", lambda m: m["item_id"].cast("string"))), ",").alias("item_ids"),
+        top["item"].alias("best_item"),
+        F.coalesce(-top["order"], F.lit(0.0)).alias("coverage"),
+    )
+
+
 OP2_SQL = """
 WITH base AS (
   SELECT doc_id, source,
@@ -125,6 +140,7 @@ QUERIES = {
     "op2_mix_sources": op2_mix_sources,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
     "op7_line_dedup": op7_line_dedup,
+    "op10_decontaminate": op10_decontaminate,
 }
 SQL = {
     "op2_mix_sources": OP2_SQL,
