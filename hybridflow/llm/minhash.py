@@ -24,11 +24,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hybridflow.llm import shingles as sh
-from hybridflow.llm.common import Cuts, ready
+from hybridflow.llm.common import Cuts, keyed_text, ready, text_tag
 from hybridflow.llm.components import components
 
 BANDS = 35
@@ -36,6 +36,9 @@ ROWS = 5
 BLOCK = 2000
 #: A pair at the threshold agrees in fewer of the minima than this share below it with p < 1e-9.
 SLACK = 6.0
+#: Components without any id are named from here on.
+NAMELESS = 1 << 62
+SPACES = " \t\n\x0b\f\r"
 
 U = np.uint64
 
@@ -67,14 +70,14 @@ def _signed(x: np.ndarray) -> list[int]:
 
 
 def set_rows(size: int, n_bands: int, n_rows: int, seed: int):
-    """Batches of (doc_id, text) to (doc_id, n, s1, s2, keys, minima)."""
+    """Batches of (doc_id, tag, text) to (doc_id, tag, n, s1, s2, keys, minima)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         family = hash_family(n_bands * n_rows, seed)
         place = sh.PLACES[:n_rows]
         band = sh.mix(np.arange(n_bands, dtype=U) + U(1))
         for batch in batches:
-            data, offsets = sh.text_buffers(batch.column(1))
+            data, offsets = sh.text_buffers(batch.column(2))
             ns, s1, s2, keys, sigs = [], [], [], [], []
             for _, _, part, at in sh.chunks(data, offsets):
                 for items in sh.shingle_sets(sh.words(part, at), size):
@@ -90,15 +93,15 @@ def set_rows(size: int, n_bands: int, n_rows: int, seed: int):
                         keys.append([])
                         sigs.append(b"")
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(ns, pa.int64()), pa.array(s1, pa.int64()), pa.array(s2, pa.int64()),
+                [batch.column(0), batch.column(1), pa.array(ns, pa.int64()), pa.array(s1, pa.int64()), pa.array(s2, pa.int64()),
                  pa.array(keys, pa.list_(pa.int64())), pa.array(sigs, pa.binary())],
-                ["doc_id", "n", "s1", "s2", "keys", "sig"],
+                ["doc_id", "tag", "n", "s1", "s2", "keys", "sig"],
             )
 
     return run
 
 
-SETS = "doc_id long, n long, s1 long, s2 long, keys array<long>, sig binary"
+SETS = "doc_id long, tag long, n long, s1 long, s2 long, keys array<long>, sig binary"
 
 
 def overlap_enough(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -171,25 +174,17 @@ def _across(percent: int):
     return run
 
 
-def near_duplicates(
-    docs: DataFrame,
-    size: int = 4,
-    percent: int = 80,
-    bands: int = BANDS,
-    rows: int = ROWS,
-    seed: int = 11,
-    block: int = BLOCK,
-) -> DataFrame:
-    """Per row of ``docs``: ``doc_id, n_shingles, component_id, kept``.
+def grouped(docs: DataFrame, size: int, percent: int, bands: int, rows: int, seed: int, block: int) -> DataFrame:
+    """Per row of ``docs``: ``doc_id, tag, n, c``, where ``c`` names the component (null without shingles).
 
-    Documents with ``100 * intersection >= percent * union`` of their shingle sets are linked.
+    ``c`` is the smallest id of the component, or at least NAMELESS if it has none.
     """
     spark = ready(docs.sparkSession)
     cuts = Cuts(spark, "minhash")
-    doc = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    doc = keyed_text(docs)
     marked = cuts.cut(doc.mapInArrow(set_rows(size, bands, rows, seed), SETS))
 
-    nameless = F.lit(1 << 62) + F.shiftrightunsigned("s1", 3)
+    nameless = F.lit(NAMELESS) + F.shiftrightunsigned("s1", 3)
     classes = cuts.cut(
         marked.where("n > 0")
         .groupBy("s1", "s2")
@@ -243,11 +238,57 @@ def near_duplicates(
     named = classes.join(found.withColumnRenamed("node", "f"), F.col("node") == F.col("f"), "left")
     named = named.select(F.col("s1").alias("c1"), F.col("s2").alias("c2"), comp.alias("c"))
     out = marked.join(named, (F.col("s1") == F.col("c1")) & (F.col("s2") == F.col("c2")), "left")
-    component = F.when(F.col("n") == 0, F.col("doc_id")).when(F.col("c") < (1 << 62), F.col("c"))
+    return out.select("doc_id", "tag", "n", "c")
+
+
+def near_duplicates(
+    docs: DataFrame,
+    size: int = 5,
+    percent: int = 80,
+    bands: int = BANDS,
+    rows: int = ROWS,
+    seed: int = 11,
+    block: int = BLOCK,
+) -> DataFrame:
+    """Per row of ``docs``: ``doc_id, n_shingles, component_id, kept``.
+
+    Documents with ``100 * intersection >= percent * union`` of their shingle sets are linked.
+    """
+    out = grouped(docs, size, percent, bands, rows, seed, block)
+    component = F.when(F.col("n") == 0, F.col("doc_id")).when(F.col("c") < NAMELESS, F.col("c"))
     out = out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
 
 
+def drop_near_duplicates(
+    docs: DataFrame,
+    size: int = 5,
+    percent: int = 80,
+    bands: int = BANDS,
+    rows: int = ROWS,
+    seed: int = 11,
+    block: int = BLOCK,
+) -> DataFrame:
+    """``docs`` with one document of each group: that of the smallest id. All columns stay.
+
+    Of rows that repeat id and text one stays; documents without shingles all do.
+    """
+    cuts = Cuts(ready(docs.sparkSession), "minhash-kept")
+    rows_ = cuts.cut(grouped(docs, size, percent, bands, rows, seed, block))
+    place = F.struct(F.col("doc_id").isNull().alias("late"), F.col("doc_id").alias("d"), F.col("tag").alias("t"))
+    firsts = rows_.where("c is not null").groupBy("c").agg(F.min(place).alias("first")).select("first.d", "first.t")
+    bare = rows_.where("c is null").select(F.col("doc_id").alias("d"), F.col("tag").alias("t")).distinct()
+    left = docs.select(F.struct("*").alias("row"), text_tag(docs["text"]).alias("tag"), docs["doc_id"].cast("long").alias("id"))
+    kept = firsts.union(bare)
+    out = left.join(kept, left["id"].eqNullSafe(kept["d"]) & (left["tag"] == kept["t"]), "left_semi")
+    twice = rows_.where("c is not null").groupBy("doc_id", "tag").count().where("count > 1")
+    if not twice.isEmpty():
+        nth = F.row_number().over(Window.partitionBy("id", "tag").orderBy(F.lit(0)))
+        bare_row = F.col("row").getField("text").isNull() | (F.trim(F.translate(F.col("row").getField("text"), SPACES, " " * len(SPACES))) == "")
+        out = out.withColumn("nth", nth).where((F.col("nth") == 1) | bare_row)
+    return out.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
+
+
 def _same_id_links(marked: DataFrame, classes: DataFrame) -> DataFrame:
     """An id that stands on rows of several classes joins those classes."""
     node = classes.select(F.col("s1").alias("c1"), F.col("s2").alias("c2"), "node")

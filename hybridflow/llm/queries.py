@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hybridflow.llm import decontaminate, line_dedup, minhash, mixing
+from hybridflow.llm import decontaminate, line_dedup, minhash, mixing, toxicity
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -18,6 +18,12 @@ def op2_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of every document, learnt from the labelled rows that are not held out."""
+    docs = table(spark, folder, "documents")
+    return toxicity.score_documents(docs, toxicity.fit(docs, table(spark, folder, "labels")))
+
+
 def op6_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Components of documents whose sets of four-word shingles overlap by 80%."""
     return minhash.near_duplicates(table(spark, folder, "documents"), size=4, percent=80)
@@ -138,6 +144,7 @@ FROM texts t LEFT JOIN kept k USING (doc_id)
 
 QUERIES = {
     "op2_mix_sources": op2_mix_sources,
+    "op4_toxicity": op4_toxicity,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
     "op7_line_dedup": op7_line_dedup,
     "op10_decontaminate": op10_decontaminate,
