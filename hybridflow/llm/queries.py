@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hybridflow.llm import decontaminate, line_dedup, minhash, mixing, toxicity
+from hybridflow.llm import decontaminate, line_dedup, minhash, mixing, pii, toxicity
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -35,6 +35,21 @@ def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_removed", F.md5("text").alias("kept_md5"))
 
 
+def op8_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    """E-mail addresses, IP addresses, card and phone numbers of every document."""
+    found = pii.personal_data(table(spark, folder, "documents").select("doc_id", "text"))
+
+    def joined(spans: str):
+        parts = F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"]))
+        return F.array_join(parts, ",")
+
+    def number(kind: str):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [number(kind) for kind in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(joined("base"), 256).alias("base_sha256"), joined("spans").alias("spans"))
+
+
 def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     """Benchmark items that each document covers by 80% or more."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
@@ -147,6 +162,7 @@ QUERIES = {
     "op4_toxicity": op4_toxicity,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
     "op7_line_dedup": op7_line_dedup,
+    "op8_personal_data": op8_personal_data,
     "op10_decontaminate": op10_decontaminate,
 }
 SQL = {
