@@ -5,13 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hybridflow.llm import decontaminate, line_dedup, minhash, mixing, pii, toxicity
+from hybridflow.llm import decontaminate, line_dedup, minhash, mixing, pii, toxicity, warc
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page written to a WARC archive and read back through the archives' index."""
+    return warc.round_trip(spark, table(spark, folder, "pages"), min_revisit_bytes=0)
+
+
 def op2_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     """Words each document gives to a mix of 150% of all words, sources weighing 5, 2, 1."""
     mixed = mixing.mix_sources(table(spark, folder, "documents"))
@@ -65,6 +70,23 @@ def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+OP1_SQL = """
+WITH hashed AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha1(coalesce(html, '')) AS hex FROM pages
+), coded AS (
+  SELECT page_id, n, hex, array_to_string(list_transform(range(0, 32), lambda i:
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(1 + ((CAST('0x' || substr(hex, CAST(1 + 5 * (i // 4) AS INTEGER), 5) AS BIGINT)
+      >> CAST(15 - 5 * (i % 4) AS BIGINT)) & 31) AS INTEGER), 1)), '') AS digest
+  FROM hashed
+), first AS (
+  SELECT *, min(page_id) OVER (PARTITION BY hex) AS first FROM coded
+)
+SELECT page_id, n AS payload_bytes, digest AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to
+FROM first
+"""
+
 OP2_SQL = """
 WITH base AS (
   SELECT doc_id, source,
@@ -158,6 +180,7 @@ FROM texts t LEFT JOIN kept k USING (doc_id)
 """
 
 QUERIES = {
+    "op1_warc": op1_warc,
     "op2_mix_sources": op2_mix_sources,
     "op4_toxicity": op4_toxicity,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
@@ -166,6 +189,7 @@ QUERIES = {
     "op10_decontaminate": op10_decontaminate,
 }
 SQL = {
+    "op1_warc": OP1_SQL,
     "op2_mix_sources": OP2_SQL,
     "op6_minhash_near_dedup": OP6_SQL,
     "op7_line_dedup": OP7_SQL,
