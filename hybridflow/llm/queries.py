@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hybridflow.llm import decontaminate, line_dedup, minhash, mixing, pii, toxicity, warc
+from hybridflow.llm import decontaminate, html_text, line_dedup, minhash, mixing, pii, toxicity, warc
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -55,6 +55,12 @@ def op8_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(joined("base"), 256).alias("base_sha256"), joined("spans").alias("spans"))
 
 
+def op9_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of every page, by a node classifier trained on made-up pages."""
+    text = html_text.extract(table(spark, folder, "pages"), html_text.fit(spark))
+    return text.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     """Benchmark items that each document covers by 80% or more."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
@@ -186,6 +192,7 @@ QUERIES = {
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
     "op7_line_dedup": op7_line_dedup,
     "op8_personal_data": op8_personal_data,
+    "op9_html_text": op9_html_text,
     "op10_decontaminate": op10_decontaminate,
 }
 SQL = {
