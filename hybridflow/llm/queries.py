@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hybridflow.llm import decontaminate, html_text, line_dedup, minhash, mixing, pii, toxicity, warc
+from hybridflow.llm import decontaminate, embedding_dedup, html_text, line_dedup, minhash, mixing, pii, toxicity, warc
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -23,6 +23,11 @@ def op2_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Vectors of one label whose cosine is 0.98 or more, their links and components."""
+    return embedding_dedup.near_vectors(table(spark, folder, "embeddings"), cosine=0.98)
+
+
 def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """Toxicity of every document, learnt from the labelled rows that are not held out."""
     docs = table(spark, folder, "documents")
@@ -133,6 +138,29 @@ SELECT doc_id, size, source_size, target,
 FROM ordered
 """
 
+#: The search is exact where a shard is no larger than its beam, as here; elsewhere it may miss a few.
+OP3_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+), good AS (
+  SELECT vec_id, label, e, sqrt(list_sum(list_transform(e, lambda x: x * x))) AS norm FROM v
+  WHERE label IS NOT NULL AND e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), links AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM good a JOIN good b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE a.norm > 0 AND b.norm > 0 AND len(a.e) = len(b.e) AND list_dot_product(a.e, b.e) / (a.norm * b.norm) >= 0.98
+), reach AS (
+  SELECT vec_id AS a, vec_id AS b FROM embeddings
+  UNION
+  SELECT r.a, l.y FROM reach r JOIN links l ON l.x = r.b
+), least_of AS (
+  SELECT a, min(b) AS component_id FROM reach GROUP BY a
+), counts AS (
+  SELECT x, count(*) AS n FROM links GROUP BY x
+)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN least_of ON a = vec_id LEFT JOIN counts ON x = vec_id
+"""
+
 OP6_SQL = """
 WITH RECURSIVE tokens AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
@@ -188,6 +216,7 @@ FROM texts t LEFT JOIN kept k USING (doc_id)
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_mix_sources": op2_mix_sources,
+    "op3_embedding_dedup": op3_embedding_dedup,
     "op4_toxicity": op4_toxicity,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
     "op7_line_dedup": op7_line_dedup,
@@ -198,6 +227,7 @@ QUERIES = {
 SQL = {
     "op1_warc": OP1_SQL,
     "op2_mix_sources": OP2_SQL,
+    "op3_embedding_dedup": OP3_SQL,
     "op6_minhash_near_dedup": OP6_SQL,
     "op7_line_dedup": OP7_SQL,
 }
