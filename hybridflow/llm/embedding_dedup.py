@@ -47,7 +47,7 @@ def unit(v: np.ndarray) -> np.ndarray:
     return v / np.sqrt((v * v).sum(axis=1, keepdims=True))
 
 
-def _build(key, rows: pd.DataFrame) -> pd.DataFrame:
+def _build(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     """A shard's rows (node, copies, v) to one row with its graph."""
     raw = np.stack(rows["v"].to_numpy()).astype(np.float64)
     graph = Graph.build(unit(raw).astype(np.float32))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hybridflow.llm import decontaminate, embedding_dedup, html_text, line_dedup, minhash, mixing, pii, toxicity, warc
+from hybridflow.llm import decontaminate, embedding_dedup, html_text, line_dedup, minhash, mixing, pii, suffix_dedup, toxicity, warc
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -34,6 +34,15 @@ def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score_documents(docs, toxicity.fit(docs, table(spark, folder, "labels")))
 
 
+def op5_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Bytes of every document under a 200-byte string that also starts elsewhere, taken out."""
+    out = suffix_dedup.remove_repeats(table(spark, folder, "documents"), length=200)
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return out.select(
+        "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op6_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Components of documents whose sets of four-word shingles overlap by 80%."""
     return minhash.near_duplicates(table(spark, folder, "documents"), size=4, percent=80)
@@ -218,6 +227,7 @@ QUERIES = {
     "op2_mix_sources": op2_mix_sources,
     "op3_embedding_dedup": op3_embedding_dedup,
     "op4_toxicity": op4_toxicity,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
     "op7_line_dedup": op7_line_dedup,
     "op8_personal_data": op8_personal_data,
