@@ -243,12 +243,16 @@ class Scorer:
     label_model: LabelModel | None = None
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
-    """(toxic, text) of at most ``rows`` labelled documents that are not held out."""
+def labelled_ids(labels: DataFrame, rows: int) -> DataFrame:
+    """(id, toxic) of at most ``rows`` labelled documents that are not held out."""
     given = labels.select(F.col("doc_id").cast("long").alias("id"), F.col("toxic").cast("int").alias("toxic"))
     given = given.where("id is not null and toxic in (0, 1)").groupBy("id").agg(F.max("toxic").alias("toxic"))
-    ids = given.where(~held_out(F.col("id"))).orderBy(F.xxhash64("id"), "id").limit(rows)
-    few = F.broadcast(ids)  # at most ``rows`` rows of two numbers
+    return given.where(~held_out(F.col("id"))).orderBy(F.xxhash64("id"), "id").limit(rows)
+
+
+def labelled_sample(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(toxic, text) of the labelled documents ``ids``."""
+    few = F.broadcast(ids)  # at most ``sample_rows`` rows of two numbers
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return text.join(few, F.col("doc_id") == F.col("id")).select("toxic", "text")
 
@@ -256,10 +260,15 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
 def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, max_features: int = MAX_FEATURES) -> Scorer:
     """Learn a scorer from the labelled rows that are not held out."""
     ready(docs.sparkSession)
-    sample = labelled_sample(docs, labels, sample_rows)
+    ids = labelled_ids(labels, sample_rows)
+    share = min(max(ids.agg(F.avg("toxic")).first()[0] or 0.0, 1e-3), 0.5)
+    sample = labelled_sample(docs, ids)
     counts = sample.mapInArrow(_counts, "code long, bad long, good long").groupBy("code")
     counts = counts.agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
-    counts = counts.where("bad >= 3 and bad > 2 * good")
+    # More often toxic than chance gives: by four standard deviations, and mostly.
+    n = F.col("bad") + F.col("good")
+    chance = n * share + 4 * F.sqrt(n * (share * (1 - share)))
+    counts = counts.where((F.col("bad") >= 3) & (F.col("bad") > 2 * F.col("good")) & (F.col("bad") > chance))
     best = counts.orderBy(F.desc(F.col("bad") - 2 * F.col("good")), "code").limit(max_features).collect()
     shown = np.array([r["code"] for r in best], dtype=np.int64).view(U)
     lexicons = lexicon_codes()

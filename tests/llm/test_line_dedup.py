@@ -1,0 +1,48 @@
+import random
+
+import brute
+
+from hybridflow.llm.line_dedup import dedup_lines, drop_repeated_lines
+
+
+def random_docs(seed, n=40):
+    rng = random.Random(seed)
+    lines = ["a b", "c", "d e f", "", " ", "g"]
+    return [(i, "\n".join(rng.choice(lines) for _ in range(rng.randint(0, 12)))) for i in range(n)]
+
+
+def test_as_brute_force(docs_of):
+    rows = random_docs(1)
+    got = {r["doc_id"]: r["text"] for r in dedup_lines(docs_of(rows)).collect()}
+    assert got == brute.line_dedup(rows)
+
+
+def test_a_window_of_two_lines(docs_of):
+    rows = random_docs(2)
+    got = {r["doc_id"]: r["text"] for r in dedup_lines(docs_of(rows), window=2).collect()}
+    assert got == brute.line_dedup(rows, window=2)
+
+
+def test_odd_rows(docs_of, odd_rows):
+    got = dedup_lines(docs_of(odd_rows)).collect()
+    assert len(got) == len(odd_rows)
+    null = [r for r in got if r["doc_id"] == 1]
+    assert (null[0]["text"], null[0]["n_lines"], null[0]["n_removed"]) == (None, 0, 0)
+    # The copy without an id sorts first and stays; the others lose all four lines, repeated rows alike.
+    assert [r["n_removed"] for r in got if r["doc_id"] is None and r["n_lines"]] == [0]
+    assert [r["n_removed"] for r in got if r["doc_id"] == 6] == [4, 4]
+
+
+def test_filter_keeps_columns_and_drops_emptied_documents(docs_of, odd_rows):
+    docs = docs_of(odd_rows)
+    out = drop_repeated_lines(docs)
+    assert out.columns == docs.columns and out.dtypes == docs.dtypes
+    rows = out.collect()
+    assert not [r for r in rows if r["doc_id"] in (5, 6)]
+    assert {1, 2, 3, 4, 8, 9, 10, 11} <= {r["doc_id"] for r in rows}
+    assert all(r["n_chars"] == len(r["text"] or "") for r in rows)
+
+
+def test_empty_table(docs_of):
+    assert dedup_lines(docs_of([])).count() == 0
+    assert drop_repeated_lines(docs_of([])).count() == 0
