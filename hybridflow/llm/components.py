@@ -19,7 +19,7 @@ def _large_star(links: DataFrame) -> DataFrame:
     both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.least("a", F.min("b")).alias("m")).withColumnRenamed("a", "node")
     moved = both.join(least, both["a"] == least["node"]).where("b > a")
-    return moved.select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+    return moved.select(F.col("b").alias("a"), F.col("m").alias("b"))
 
 
 def _small_star(links: DataFrame) -> DataFrame:

@@ -5,10 +5,11 @@
    class is one row, however many copies it has.
 2. ``bands * rows`` universal hashes ``(a * x + b) mod 2**64`` give minima; each band's minima are one
    bucket key. At similarity 0.8 a pair meets in no bucket with probability below 1e-6.
-3. Each member of a bucket is held against the bucket's first member: signatures first (a pair that
-   agrees in far too few minima is let go: below 1e-9 at 0.8), then the full sets. Confirmed links
-   are united. Buckets that still hold several components are searched once more, block against
-   block, members of different components only, so no link between different texts is lost.
+3. Each member of a bucket is held against the bucket's first member, by the full sets, and confirmed
+   links are united. Buckets that still hold several components are searched once more, block
+   against block: signatures first (a pair that agrees in far too few minima is let go: below 1e-8
+   at 0.8), then the full sets; members of one component need no second look. So no link between
+   different texts is lost, and no bucket's pairs are written out.
 4. Components come from alternating large-star and small-star.
 
 Buckets are never gathered whole: the first member is a minimum, and blocks hold ``block`` members.
@@ -23,6 +24,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,14 +35,16 @@ from hybridflow.llm.components import components
 
 BANDS = 35
 ROWS = 5
-BLOCK = 2000
+#: Members of a bucket that one task compares, and bytes of their sets.
+BLOCK = 1000
+BLOCK_BYTES = 8 << 20
 #: A pair at the threshold agrees in fewer of the minima than this share below it with p < 1e-9.
 SLACK = 6.0
 #: Components without any id are named from here on.
 NAMELESS = 1 << 62
 SPACES = " \t\n\x0b\f\r"
 
-U = np.uint64
+U, U8 = np.uint64, np.uint8
 
 
 def hash_family(n: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
@@ -153,22 +157,36 @@ def least_agreement(n: int, percent: int) -> int:
 
 
 def _across(percent: int):
-    """Two blocks of a bucket (node, comp, sig) to the pairs of different components that may be linked."""
+    """A bucket's members, or two blocks of them, to links that join components not joined before.
 
-    def run(key, left, right):
-        import pandas as pd
+    A pair is looked at in the first bucket it shares only; pairs of one component are passed over,
+    also of one that grew together here, so that at most one link per member comes out.
+    """
 
-        a = np.frombuffer(b"".join(left["sig"]), np.uint8).reshape(len(left), -1)
-        b = np.frombuffer(b"".join(right["sig"]), np.uint8).reshape(len(right), -1) if len(right) else a[:0]
-        least = least_agreement(a.shape[1], percent) if len(a) else 0
-        ca, cb = left["comp"].to_numpy(), right["comp"].to_numpy()
-        na, nb = left["node"].to_numpy(), right["node"].to_numpy()
+    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        n = len(rows)
+        sig = np.frombuffer(b"".join(rows["sig"]), U8).reshape(n, -1)
+        keys = np.stack(rows["keys"].to_numpy())
+        band = int(np.argmax(keys[0] == key[0]))
+        node, block = rows["node"].to_numpy(), rows["own"].to_numpy()
+        comp = rows["comp"].to_numpy().copy()
+        least = least_agreement(sig.shape[1], percent)
+        sets = [np.frombuffer(x, U) for x in rows["items"]]
+        sizes = np.array([len(x) for x in sets])
+        within = key[1] == key[2]
         out = []
-        for i in range(len(a)):
-            other = np.flatnonzero((cb != ca[i]) & (nb != na[i]))
-            if len(other):
-                near = other[(b[other] == a[i]).sum(axis=1) >= least]
-                out.extend((max(na[i], nb[j]), min(na[i], nb[j])) for j in near)
+        for x in range(n - 1):
+            other = np.arange(x + 1, n)
+            far = (comp[other] != comp[x]) & (100 * np.minimum(sizes[other], sizes[x]) >= percent * np.maximum(sizes[other], sizes[x]))
+            if not within:
+                far &= block[other] != block[x]
+            other = other[far]
+            other = other[(sig[other] == sig[x]).sum(axis=1) >= least]
+            other = other[~(keys[other, :band] == keys[x, :band]).any(axis=1)]
+            for y in other:
+                if comp[y] != comp[x] and overlap_enough(sets[x], sets[y], percent):
+                    out.append((max(node[x], node[y]), min(node[x], node[y])))
+                    comp[comp == comp[y]] = comp[x]
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
     return run
@@ -188,24 +206,24 @@ def grouped(docs: DataFrame, size: int, percent: int, bands: int, rows: int, see
     classes = cuts.cut(
         marked.where("n > 0")
         .groupBy("s1", "s2")
-        .agg(F.min("doc_id").alias("rep"), F.first("keys").alias("keys"), F.first("sig").alias("sig"))
-        .select("s1", "s2", "rep", F.coalesce("rep", nameless).alias("node"), "keys", "sig")
+        .agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("keys").alias("keys"), F.first("sig").alias("sig"))
+        .select("s1", "s2", "rep", F.coalesce("rep", nameless).alias("node"), "n", "keys", "sig")
     )
     links = [_same_id_links(marked, classes)]
 
     # Members of buckets that hold more than one class, each with the bucket's first member.
-    spread = classes.select(F.explode("keys").alias("key"), "node")
+    spread = classes.select(F.explode("keys").alias("key"), "node", "n")
     first = spread.groupBy("key").agg(F.min("node").alias("first"), F.count("*").alias("members")).where("members > 1")
     members = cuts.cut(spread.join(first.withColumnRenamed("key", "k"), F.col("key") == F.col("k")).drop("k"))
 
     pairs = members.where("node <> first").select(F.col("node").alias("a"), F.col("first").alias("b")).distinct()
     reloaded = classes.join(members.select(F.col("node").alias("m")).distinct(), F.col("node") == F.col("m"), "left_semi")
-    wanted = reloaded.select(F.col("rep").alias("r"), "s1", "s2", "node")
+    wanted = reloaded.select(F.col("rep").alias("r"), "s1", "s2", "node", "keys", "sig")
     texts = doc.join(wanted.select("r").distinct(), F.col("doc_id").eqNullSafe(F.col("r")), "left_semi")
     sets = texts.select("text").mapInArrow(_sets_of(size), "x1 long, x2 long, items binary")
     sets = cuts.cut(
         sets.join(wanted, (F.col("x1") == F.col("s1")) & (F.col("x2") == F.col("s2")))
-        .groupBy("node", "s1", "s2").agg(F.first("items").alias("items")).select("node", "items")
+        .groupBy("node", "s1", "s2").agg(*[F.first(c).alias(c) for c in ("items", "keys", "sig")]).drop("s1", "s2")
     )
 
     def confirmed(some: DataFrame) -> DataFrame:
@@ -219,21 +237,22 @@ def grouped(docs: DataFrame, size: int, percent: int, bands: int, rows: int, see
 
     # Buckets whose members are not of one component yet.
     comp = F.coalesce("component", "node")
-    placed = members.join(found.withColumnRenamed("node", "f"), F.col("node") == F.col("f"), "left").select("key", "node", comp.alias("comp"), "members")
-    open_ = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select(F.col("key").alias("k"))
-    open_ = cuts.cut(placed.join(open_, F.col("key") == F.col("k"), "left_semi"))
+    placed = members.join(found.withColumnRenamed("node", "f"), F.col("node") == F.col("f"), "left")
+    placed = placed.select("key", "node", comp.alias("comp"), "n", "members")
+    mixed = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.sum("n").alias("total"))
+    mixed = mixed.where("lo <> hi").select(F.col("key").alias("k"), "total")
+    open_ = cuts.cut(placed.join(mixed, F.col("key") == F.col("k")).drop("k"))
     if not open_.isEmpty():
-        sig = classes.select(F.col("node").alias("c"), "sig").groupBy("c").agg(F.first("sig").alias("sig"))
-        blocks = F.ceil(F.col("members") / block).cast("int")
-        rows_ = open_.join(sig, F.col("node") == F.col("c")).drop("c").withColumn("blocks", blocks)
-        rows_ = rows_.withColumn("i", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-        left = rows_.select("key", "node", "comp", "sig", "i", F.explode(F.sequence(F.col("i"), F.col("blocks") - 1)).alias("j"))
-        other = rows_.select(*[F.col(c).alias(c) for c in ("key", "node", "comp", "sig")], F.col("i").alias("v"))
-        right = other.select("key", "node", "comp", "sig", "v", F.explode(F.sequence(F.lit(0), F.col("v"))).alias("u"))
-        pairs_of = left.groupBy("key", "i", "j").cogroup(right.groupBy("key", "u", "v"))
-        more = pairs_of.applyInPandas(_across(percent), "a long, b long")
-        links.append(cuts.cut(confirmed(more.distinct())))
-        found = cuts.cut(components(links[0].union(links[1]).union(links[2]), cuts))
+        blocks = F.greatest(F.ceil(F.col("members") / block), F.ceil(F.col("total") * 8 / BLOCK_BYTES)).cast("int")
+        own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+        facts = sets.withColumnRenamed("node", "f")
+        each = open_.join(facts, F.col("node") == F.col("f")).drop("f").withColumn("blocks", blocks).withColumn("own", own)
+        each = each.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        i, j = F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j")
+        each = each.select("key", i, j, "own", "node", "comp", "sig", "keys", "items")
+        more = cuts.cut(each.groupBy("key", "i", "j").applyInPandas(_across(percent), "a long, b long"))
+        known = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        found = cuts.cut(components(known.union(more), cuts))
 
     named = classes.join(found.withColumnRenamed("node", "f"), F.col("node") == F.col("f"), "left")
     named = named.select(F.col("s1").alias("c1"), F.col("s2").alias("c2"), comp.alias("c"))
@@ -271,12 +290,16 @@ def drop_near_duplicates(
 ) -> DataFrame:
     """``docs`` with one document of each group: that of the smallest id. All columns stay.
 
-    Of rows that repeat id and text one stays; documents without shingles all do.
+    Of rows that repeat id and text one stays; different texts under that id are one document and
+    all stay, and so do documents without shingles.
     """
     cuts = Cuts(ready(docs.sparkSession), "minhash-kept")
     rows_ = cuts.cut(grouped(docs, size, percent, bands, rows, seed, block))
     place = F.struct(F.col("doc_id").isNull().alias("late"), F.col("doc_id").alias("d"), F.col("tag").alias("t"))
-    firsts = rows_.where("c is not null").groupBy("c").agg(F.min(place).alias("first")).select("first.d", "first.t")
+    firsts = rows_.where("c is not null").groupBy(F.col("c").alias("k")).agg(F.min(place).alias("first"))
+    chosen = (F.col("doc_id") == F.col("first.d")) | (F.col("first.late") & (F.col("tag") == F.col("first.t")))
+    firsts = rows_.join(firsts, F.col("c") == F.col("k")).where(chosen)
+    firsts = firsts.select(F.col("doc_id").alias("d"), F.col("tag").alias("t")).distinct()
     bare = rows_.where("c is null").select(F.col("doc_id").alias("d"), F.col("tag").alias("t")).distinct()
     left = docs.select(F.struct("*").alias("row"), text_tag(docs["text"]).alias("tag"), docs["doc_id"].cast("long").alias("id"))
     kept = firsts.union(bare)
