@@ -26,6 +26,13 @@ def one_per_key(
     return batch.groupBy(*key).agg(best.alias("_r")).select(*key, "_r.*")
 
 
+def known_keys(batch: DataFrame, key: list[str]) -> DataFrame:
+    """Batch rows with a key, folded to one per key."""
+    known = batch.where(" and ".join(f"{k} is not null" for k in key))
+    others = [c for c in batch.columns if c not in key]
+    return one_per_key(known, key, others) if others else known.distinct()
+
+
 def enrich(
     stream: DataFrame,
     batch: DataFrame,
@@ -37,16 +44,20 @@ def enrich(
     """One row per stream row: the folds so far and the attributes of the key.
 
     Keys only the batch has give no row; keys it does not have give null attributes.
-    ``batch`` has one row per key. A null key equals nothing, so it finds no attributes.
+    Batch rows that repeat a key are folded to one. A null key finds no attributes.
     """
-    known = batch.where(" and ".join(f"{k} is not null" for k in key))
+    known = known_keys(batch, key)
     return rolling_fold(stream, key, order, folds, known, rows_per_slice)
 
 
 def snapshot(stream: DataFrame, batch: DataFrame, key: list[str], folds: list[Fold]) -> DataFrame:
-    """The entry of every key of either side once the input has ended."""
+    """The entry of every key of either side once the input has ended.
+
+    Batch rows that repeat a key are folded to one; those without a key stay by themselves.
+    """
     totals = fold_totals(stream, key, folds)
-    joined = totals.join(batch, key, "full_outer")
+    keyless = batch.where(" or ".join(f"{k} is null" for k in key))
+    joined = totals.join(known_keys(batch, key).unionByName(keyless), key, "full_outer")
     counts = {f.name: F.coalesce(F.col(f.name), F.lit(0)) for f in folds if f.kind == "count"}
     return joined.withColumns(counts) if counts else joined
 

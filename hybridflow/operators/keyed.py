@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# How many keys may count as hot. The table of hot keys is broadcast, and this bounds it.
-MAX_HOT_KEYS = 10_000
+# Up to so many hot keys are broadcast; more are joined as a table.
+BROADCAST_KEYS = 10_000
 ROWS_PER_TASK = 1_000_000
 
 
@@ -15,18 +15,19 @@ def rows_per_key(df: DataFrame, key: list[str]) -> DataFrame:
     return df.groupBy(*key).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-def hot_keys(counts: DataFrame, rows_per_task: int) -> tuple[DataFrame, int] | None:
+def hot_keys(counts: DataFrame, rows_per_task: int) -> tuple[DataFrame, int, bool] | None:
     """Of all keys with their ``n_rows``, those with more than one task should hold.
 
-    Gives them with the number of rows they have together, or None if there are none. Only
-    the ``MAX_HOT_KEYS`` largest count as hot, so the result is small however many rows and
-    keys there are; any other key then has less than that fraction of all rows.
+    Gives them, the number of rows they have together, and whether they are few enough for a
+    broadcast; or None if there are none. However many there are, all count as hot.
     """
-    large = counts.where(F.col("n_rows") > rows_per_task).orderBy(F.desc("n_rows"))
-    hot = large.limit(MAX_HOT_KEYS).collect()
-    if not hot:
+    large = counts.where(F.col("n_rows") > rows_per_task)
+    n, n_rows = large.agg(F.count(F.lit(1)), F.sum("n_rows")).first()
+    if not n:
         return None
-    return counts.sparkSession.createDataFrame(hot, counts.schema), sum(r["n_rows"] for r in hot)
+    if n > BROADCAST_KEYS:
+        return large, n_rows, False
+    return counts.sparkSession.createDataFrame(large.collect(), counts.schema), n_rows, True
 
 
 def with_key_slots(df: DataFrame, key: list[str]) -> tuple[DataFrame, list[str]]:
@@ -47,30 +48,18 @@ def with_key_slots(df: DataFrame, key: list[str]) -> tuple[DataFrame, list[str]]
 
 
 def key_by(
-    df: DataFrame,
-    key: list[str],
-    spread_on: str,
-    partitions: int | None = None,
-    rows_per_task: int = ROWS_PER_TASK,
+    df: DataFrame, key: list[str], spread_on: str, shares: int, partitions: int | None = None
 ) -> DataFrame:
-    """Put rows of the same key into the same partition.
+    """Put rows of the same ``(key, share)`` into the same partition.
 
-    A key too large for one task is cut into as many shares as it needs; ``share`` tells
-    them apart and is 0 for every other key. ``spread_on`` picks a row's share.
+    Every key has ``shares`` shares, whatever its size; ``spread_on`` picks a row's. With one
+    share a key's rows are all together, and a key that dominates is the work of one task.
 
     Use it only where per-partition code needs the rows together: joins, windows and
     aggregates partition by themselves.
     """
-    hot = hot_keys(rows_per_key(df, key), rows_per_task)
-    share = F.lit(0).cast("bigint")
-    if hot is not None:
-        slotted, slots = with_key_slots(df, key)
-        sizes, _ = with_key_slots(hot[0], key)
-        sizes = sizes.select(*slots, F.ceil(F.col("n_rows") / rows_per_task).alias("_shares"))
-        df = slotted.join(F.broadcast(sizes), slots, "left").drop(*slots)
-        share = F.pmod(F.xxhash64(spread_on), F.coalesce(F.col("_shares"), F.lit(1)))
-    df = df.withColumn("share", share).drop("_shares")
-    target = [F.col(k) for k in key] + [F.col("share")]
+    df = df.withColumn("share", F.pmod(F.xxhash64(spread_on), F.lit(shares)))
+    target = [*key, "share"]
     return df.repartition(partitions, *target) if partitions else df.repartition(*target)
 
 

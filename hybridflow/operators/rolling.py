@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-import sys
 from collections import Counter
 from dataclasses import dataclass
 
@@ -18,6 +17,7 @@ from pyspark.sql.types import (
     FloatType,
     IntegralType,
     LongType,
+    NumericType,
     StructType,
     TimestampNTZType,
     TimestampType,
@@ -25,10 +25,8 @@ from pyspark.sql.types import (
 
 from hybridflow.operators.keyed import ROWS_PER_TASK, hot_keys, rows_per_key, with_key_slots
 
-MAX_SLICES = 10_000
 # Rows looked at per slice to find cut points.
 SAMPLED_PER_SLICE = 1_000
-NULL_AS_NUMBER = -sys.float_info.max
 
 
 @dataclass(frozen=True)
@@ -55,6 +53,8 @@ class Fold:
         if self.kind == "count":
             return LongType()
         kind = schema[self.column].dataType
+        if self.kind == "sum" and isinstance(kind, DecimalType):  # as Spark's own sum
+            return DecimalType(min(38, kind.precision + 10), kind.scale)
         if self.kind == "sum" and isinstance(kind, IntegralType):
             return LongType()
         return DoubleType() if self.kind == "sum" and isinstance(kind, FloatType) else kind
@@ -113,6 +113,8 @@ def rolling_fold(
     extras = [] if side is None else [
         c for c in side.columns if c not in key and c not in {f.name for f in folds}
     ]
+    for name in order:
+        _as_number(rows, name)  # one that cannot be cut into slices is an error at every size
     counts = rows_per_key(rows, key) if counts is None else counts
     hot = hot_keys(counts.select(*key, "n_rows"), rows_per_slice)
     keyed, slots = with_key_slots(rows, key)
@@ -140,11 +142,12 @@ def rolling_fold(
 
 def _sliced(keyed, side, slots, key, order, folds, starts, hot, rows_per_slice):
     """Cut the rows of hot keys into slices and give every slice its starting totals."""
-    hot, n_hot_rows = hot
+    hot, n_hot_rows, few = hot
     hot, _ = with_key_slots(hot, key)
     hot = hot.select(*slots, F.lit(True).alias("_hot"))
-    keyed = keyed.join(F.broadcast(hot), slots, "left")
-    wanted = min(MAX_SLICES, math.ceil(n_hot_rows / rows_per_slice))
+    hot = F.broadcast(hot) if few else hot
+    keyed = keyed.join(hot, slots, "left")
+    wanted = math.ceil(n_hot_rows / rows_per_slice)
     share = min(1.0, SAMPLED_PER_SLICE * wanted / n_hot_rows)
     keyed = _with_slices(keyed, order, wanted, share).drop("_hot")
 
@@ -175,7 +178,7 @@ def _sliced(keyed, side, slots, key, order, folds, starts, hot, rows_per_slice):
             for f in folds
         ],
     )
-    cold_side = side.join(F.broadcast(hot), slots, "left_anti").withColumn(
+    cold_side = side.join(hot, slots, "left_anti").withColumn(
         "_slice", F.lit(-1).cast("bigint")
     )
     return keyed, hot_side.unionByName(cold_side, allowMissingColumns=True), folds
@@ -196,14 +199,17 @@ def _with_slices(rows: DataFrame, order: list[str], wanted: int, share: float =
     crowded = sorted(v for v, n in Counter(cuts).items() if n > 1 and _is_exact(rows, order[0], v))
     edges = sorted({*cuts, *(math.nextafter(v, math.inf) for v in crowded)})
     number, inner_size = _bucket(rows, "_first", edges, "_outer"), 1
-    if crowded and len(order) > 1:
+    # Nulls sort first: slices below those of any number, cut by the second column like a crowded value.
+    number = number.withColumn("_outer", F.when(F.col("_first").isNull(), 0.0).otherwise(F.col("_outer") + 1))
+    if len(order) > 1:
         number = number.withColumn("_second", _as_number(rows, order[1]))
-        is_crowded = hot & F.col("_first").isin(crowded)
+        is_crowded = hot & (F.col("_first").isNull() | F.col("_first").isin(crowded))
         drawn = drawn.withColumn("_second", _as_number(rows, order[1])).where(is_crowded)
         inner_edges = sorted(set(_quantiles(drawn, "_second", wanted)))
-        inner_size = len(inner_edges) + 1
-        number = _bucket(number, "_second", inner_edges, "_inner").drop("_second")
-        number = number.withColumn("_inner", F.when(is_crowded, F.col("_inner")).otherwise(0.0))
+        inner_size = len(inner_edges) + 2
+        number = _bucket(number, "_second", inner_edges, "_inner")
+        inner = F.when(F.col("_second").isNull(), 0.0).otherwise(F.col("_inner") + 1)
+        number = number.withColumn("_inner", F.when(is_crowded, inner).otherwise(0.0)).drop("_second")
     else:
         number = number.withColumn("_inner", F.lit(0.0))
     slice_no = F.col("_outer").cast("bigint") * inner_size + F.col("_inner").cast("bigint")
@@ -213,20 +219,22 @@ def _with_slices(rows: DataFrame, order: list[str], wanted: int, share: float =
 
 
 def _as_number(rows: DataFrame, name: str) -> Column:
-    """A number that never falls along the order; nulls come first, as they sort."""
+    """A number that never falls along the order, or null where the value is."""
     kind = rows.schema[name].dataType
     c = F.col(name)
     if isinstance(kind, (TimestampType, TimestampNTZType)):
         c = F.unix_micros(c.cast("timestamp"))
     elif isinstance(kind, DateType):
         c = F.unix_date(c)
-    return F.coalesce(c.cast("double"), F.lit(NULL_AS_NUMBER))
+    elif not isinstance(kind, NumericType):
+        raise TypeError(f"rows are ordered by times and numbers; {name} is {kind.simpleString()}")
+    return c.cast("double")
 
 
 def _is_exact(rows: DataFrame, name: str, number: float) -> bool:
     """Whether only one value of the column has this number, so that ties are true ties."""
     kind = rows.schema[name].dataType
-    if isinstance(kind, (DoubleType, FloatType)) or number == NULL_AS_NUMBER:
+    if isinstance(kind, (DoubleType, FloatType)):
         return True
     return not isinstance(kind, DecimalType) and abs(number) < 2**53
 

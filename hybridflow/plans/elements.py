@@ -63,14 +63,14 @@ def filter_not_equal(spark, folder):
 
 
 def keyed_partitions(spark, folder):
-    keyed = key_by(table(spark, folder, "events").select("user_id", "event_id"), ["user_id"], "event_id")
+    keyed = key_by(table(spark, folder, "events").select("user_id", "event_id"), ["user_id"], "event_id", shares=4)
     return keyed.groupBy("user_id", "share", F.spark_partition_id().alias("p")).count().groupBy(
         "user_id"
-    ).agg(F.sum("count").alias("n"), (F.count("p") == F.max("share") + 1).alias("together"))
+    ).agg(F.sum("count").alias("n"), (F.count("p") == F.countDistinct("share")).alias("together"))
 
 
 def spread(spark, folder):
-    return random_spread(numbers(spark, folder), 16)
+    return random_spread(numbers(spark, folder), int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
 def udf_map(spark, folder):

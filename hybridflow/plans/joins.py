@@ -106,7 +106,10 @@ def hybrid_join_enrich_stream(spark, folder):
 
 
 def hybrid_join_snapshot_stream(spark, folder):
-    """Entries kept in keyed state; the last one that came out for a key is its final one."""
+    """Entries kept in keyed state; the last one that came out for a key is its final one.
+
+    Keys that only the batch side has never came by, so their entries are the batch side's.
+    """
     batches = [_event_rows(b) for b in event_batches(spark, folder, CUTS[1:2])]
     side = _suppliers(spark, folder)
     out = new_path(spark, "entries")
@@ -117,15 +120,19 @@ def hybrid_join_snapshot_stream(spark, folder):
 
     BatchQueue(spark).run(batches, sink)
     latest = F.max_by(F.struct("n", "total", "balance"), "batch_id").alias("e")
-    return _shown(read_batches(spark, out).groupBy("k").agg(latest).select("k", "e.*"))
+    seen = read_batches(spark, out).groupBy("k").agg(latest).select("k", "e.*")
+    unseen = side.join(seen, KEY, "left_anti").withColumn("n", F.lit(0).cast("bigint"))
+    return _shown(seen.unionByName(unseen, allowMissingColumns=True))
 
 
 def hybrid_join_full_stream(spark, folder):
-    """What came before completion is folded by a table job; the stream starts from its entries."""
-    early, *later = [_event_rows(b) for b in event_batches(spark, folder, CUTS[1:])]
-    entries = snapshot(early, _suppliers(spark, folder), KEY, FOLDS)
-    job = MicroBatchJoin(entries, KEY, ORDER, FOLDS, new_path(spark, "full"), flush=True)
-    BatchQueue(spark).run(later, lambda s: s.writeStream.foreachBatch(job))
+    """All events go through the stream; the batch side is complete from the second micro-batch on."""
+    batches = [_event_rows(b) for b in event_batches(spark, folder, CUTS[1:])]
+    side = _suppliers(spark, folder)
+    job = MicroBatchJoin(
+        side, KEY, ORDER, FOLDS, new_path(spark, "full"), flush=True, ready=lambda batch_id: batch_id >= 1
+    )
+    BatchQueue(spark).run(batches, lambda s: s.writeStream.foreachBatch(job))
     flush = job.flushed(spark).withColumn("event_id", F.lit(None).cast("bigint"))
     columns = ["phase", "event_id", "k", "n", "total", "balance"]
     both = flush.withColumn("phase", F.lit("flush")).select(columns).unionByName(
@@ -196,6 +203,6 @@ SQL = {
     "hybrid_join_full_stream": _full_sql(_SUPPLIERS),
     "hybrid_join_snapshot": _snapshot_sql(_CUSTOMERS),
     "hybrid_join_snapshot_suppliers": _snapshot_sql(_SUPPLIERS),
-    "hybrid_join_snapshot_stream": f"SELECT * FROM ({_snapshot_sql(_SUPPLIERS)}) WHERE n > 0",
+    "hybrid_join_snapshot_stream": _snapshot_sql(_SUPPLIERS),
     "hybrid_join_repeated_side": _snapshot_sql(_LATEST_LINES),
 }

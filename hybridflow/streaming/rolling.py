@@ -1,67 +1,71 @@
 """Running folds and hybrid joins of a stream, one table job per micro-batch.
 
 Every micro-batch goes through the same operators as a table does, so a key that holds
-most of its rows is sliced over many tasks. The entries of all keys are a table in the
-shared folder that is rewritten per micro-batch: suited to micro-batches that are large
-compared to the number of keys.
+most of its rows is sliced over many tasks, and stream and table give the same rows. The
+entries of all keys lie in the shared folder, dealt into buckets by key; a micro-batch reads
+and writes the buckets of its own keys only.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
-from hybridflow.operators.keyed import ROWS_PER_TASK
+from hybridflow.operators.hybrid_join import known_keys
+from hybridflow.operators.keyed import ROWS_PER_TASK, with_key_slots
 from hybridflow.operators.rolling import Fold, fold_totals, merge_totals, rolling_fold
 
+BUCKETS = 64
+
 
 class MicroBatchJoin:
     """``foreachBatch`` function that joins each micro-batch with the entries so far.
 
-    ``entries`` has one row per key: the batch side's attributes, and the folds to start
-    from if it has columns named like them. Without it keys start from nothing.
+    ``side`` holds the batch side's attributes, and the folds to start from if it has columns
+    named like them; a function gives it when it is needed. Rows that repeat a key are folded
+    to one (:func:`~hybridflow.operators.hybrid_join.one_per_key`); a null key finds no attributes. Without ``side`` keys start
+    from nothing.
 
-    Micro-batch ``b`` reads entries from slot ``b % 2`` and writes those after it to the
-    other slot. Run again after a failure it finds its input as it was, and replaces what
-    it wrote; two slots are all the space it takes.
+    ``ready(batch_id)`` tells whether the batch side is complete; once true it must stay so.
+    Until then micro-batches are only folded into the entries and give no rows. The first
+    micro-batch that finds it complete first joins the entries with the batch side, and with
+    ``flush`` writes every entry once, also those of batch rows without a key. From then on
+    each row of the stream gives a row. Without ``ready`` the side is complete from the start.
 
-    With ``flush`` the entries the stream starts from are written once, by micro-batch 0.
+    Entries have versions: micro-batch ``b`` starts from those up to ``2b``, completion writes
+    ``2b + 1`` and its own result is ``2b + 2``. Run again after a failure it finds its input
+    as it was, and replaces what it wrote. Versions nothing can need again are removed.
     ``keep_rows`` keeps a micro-batch while it is used, for sources that are slow to read twice.
     """
 
     def __init__(
         self,
-        entries: DataFrame | None,
+        side: DataFrame | Callable[[], DataFrame] | None,
         key: list[str],
         order: list[str],
         folds: list[Fold],
         path: str,
         flush: bool = False,
+        ready: Callable[[int], bool] | None = None,
         keep_rows: bool = False,
         rows_per_slice: int = ROWS_PER_TASK,
+        buckets: int = BUCKETS,
     ):
-        self.entries = entries
+        self.side = side
         self.key = key
         self.order = order
         self.folds = folds
         self.path = path
         self.flush = flush
+        self.ready = ready
         self.keep_rows = keep_rows
         self.rows_per_slice = rows_per_slice
-
-    def _slot(self, batch_id: int) -> str:
-        return f"{self.path}/entries/slot={batch_id % 2}"
-
-    def _start(self, rows: DataFrame) -> DataFrame:
-        none = fold_totals(rows.where(F.lit(False)), self.key, self.folds)
-        if self.entries is None:
-            return none
-        if all(f.name in self.entries.columns for f in self.folds):
-            return self.entries
-        return none.join(self.entries, self.key, "right")
+        self.buckets = buckets
 
     def __call__(self, rows: DataFrame, batch_id: int) -> None:
         if self.keep_rows:
@@ -74,26 +78,111 @@ class MicroBatchJoin:
 
     def _join(self, rows: DataFrame, batch_id: int) -> None:
         spark = rows.sparkSession
-        if batch_id == 0:
-            self._start(rows).write.mode("overwrite").parquet(self._slot(0))
-        entries = spark.read.parquet(self._slot(batch_id))
-        if self.flush and batch_id == 0:
-            entries.write.mode("overwrite").parquet(f"{self.path}/flush")
+        side = self.side() if callable(self.side) else self.side
         counted = [*self.folds, Fold("n_rows", "count")]
         fold_totals(rows, self.key, counted).write.mode("overwrite").parquet(f"{self.path}/totals")
         totals = spark.read.parquet(f"{self.path}/totals")
-        joined = rolling_fold(
-            rows, self.key, self.order, self.folds, entries, self.rows_per_slice, counts=totals
-        )
-        joined.write.mode("overwrite").parquet(f"{self.path}/joined/batch_id={batch_id}")
-        merged = merge_totals(entries, totals, self.key, self.folds)
-        merged.write.mode("overwrite").parquet(self._slot(batch_id + 1))
+        schema = self._schema(rows, side)
+        versions = self._versions(spark, 2 * batch_id)
+        complete = self.ready is None or self.ready(batch_id)
+        if complete and not self._done_before(spark, batch_id):
+            entries = self._completed(self._read(spark, schema, versions), side, schema)
+            self._write(entries, 2 * batch_id + 1)
+            versions = self._versions(spark, 2 * batch_id + 1)
+            self._flush(self._read(spark, schema, versions), side, batch_id)
+        touched = [r[0] for r in totals.select(self._bucket(totals)).distinct().collect()]
+        entries = self._read(spark, schema, {b: versions[b] for b in touched if b in versions})
+        if complete:
+            joined = rolling_fold(
+                rows, self.key, self.order, self.folds, entries, self.rows_per_slice, counts=totals
+            )
+            joined.write.mode("overwrite").parquet(f"{self.path}/joined/batch_id={batch_id}")
+        self._write(merge_totals(entries, totals, self.key, self.folds), 2 * batch_id + 2)
+        self._prune(spark, 2 * batch_id)
+
+    def _schema(self, rows: DataFrame, side: DataFrame | None) -> StructType:
+        """Key, folds and attributes of an entry."""
+        fields = [rows.schema[k] for k in self.key]
+        fields += [StructField(f.name, f.result_type(rows.schema)) for f in self.folds]
+        return StructType(fields + [f for f in (side.schema if side is not None else ()) if f.name in self._attributes(side)])
+
+    def _attributes(self, side: DataFrame | None) -> list[str]:
+        names = {*self.key, *(f.name for f in self.folds)}
+        return [] if side is None else [c for c in side.columns if c not in names]
+
+    def _bucket(self, df: DataFrame) -> Column:
+        return F.pmod(F.xxhash64(*self.key), F.lit(self.buckets)).cast("int").alias("bucket")
+
+    def _completed(self, entries: DataFrame, side: DataFrame | None, schema: StructType) -> DataFrame:
+        """Entries so far, joined with the batch side."""
+        if side is None:
+            return entries
+        others = [c for c in side.columns if c not in self.key]
+        known, slots = with_key_slots(known_keys(side, self.key), self.key)
+        own, _ = with_key_slots(entries, self.key)
+        known = known.select(*slots, *[F.col(c).alias(f"_side_{c}") for c in side.columns])
+        begun = {f.name: f for f in self.folds if f.name in others}
+        out = {k: F.coalesce(k, f"_side_{k}") for k in self.key}
+        for f in self.folds:
+            total = f.merged(F.col(f.name), F.col(f"_side_{f.name}")) if f.name in begun else F.col(f.name)
+            out[f.name] = F.coalesce(total, F.lit(0)) if f.kind == "count" else total
+        out |= {c: F.col(f"_side_{c}") for c in self._attributes(side)}
+        joined = own.join(known, slots, "full_outer")
+        return joined.select(*[out[f.name].cast(f.dataType).alias(f.name) for f in schema])
+
+    def _flush(self, entries: DataFrame, side: DataFrame | None, batch_id: int) -> None:
+        if self.flush and side is not None:
+            keyless = side.where(" or ".join(f"{k} is null" for k in self.key))
+            counts = {f.name: F.lit(0).cast("bigint") for f in self.folds if f.kind == "count" and f.name not in side.columns}
+            entries = entries.unionByName(keyless.withColumns(counts), allowMissingColumns=True)
+        out = entries if self.flush else entries.limit(0)
+        out.write.mode("overwrite").parquet(f"{self.path}/flush/batch_id={batch_id}")
+
+    def _write(self, entries: DataFrame, version: int) -> None:
+        bucketed = entries.withColumn("bucket", self._bucket(entries)).repartition("bucket")
+        bucketed.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/entries/version={version}")
+
+    def _read(self, spark: SparkSession, schema: StructType, versions: dict[int, int]) -> DataFrame:
+        if not versions:
+            return spark.createDataFrame([], schema)
+        paths = [f"{self.path}/entries/version={v}/bucket={b}" for b, v in versions.items()]
+        return spark.read.schema(schema).parquet(*paths)
+
+    def _found(self, spark: SparkSession, pattern: str) -> list[str]:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{pattern}")
+        listed = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path)
+        return [s.getPath().toString() for s in listed or []]
+
+    def _all_versions(self, spark: SparkSession) -> list[tuple[int, int]]:
+        """(bucket, version) of all that is written; at most a few per bucket."""
+        found = self._found(spark, "entries/version=*/bucket=*")
+        return [(int(m[2]), int(m[1])) for m in (re.search(r"version=(\d+)/bucket=(\d+)$", p) for p in found)]
+
+    def _versions(self, spark: SparkSession, most: int) -> dict[int, int]:
+        out: dict[int, int] = {}
+        for bucket, version in self._all_versions(spark):
+            if version <= most:
+                out[bucket] = max(version, out.get(bucket, -1))
+        return out
+
+    def _done_before(self, spark: SparkSession, batch_id: int) -> bool:
+        found = self._found(spark, "flush/batch_id=*")
+        return any(int(p.rpartition("=")[2]) < batch_id for p in found)
+
+    def _prune(self, spark: SparkSession, needed: int) -> None:
+        """Versions before the ones this micro-batch started from."""
+        base = self._versions(spark, needed)
+        hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+        for bucket, version in self._all_versions(spark):
+            if version < base.get(bucket, -1):
+                path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}/entries/version={version}/bucket={bucket}")
+                path.getFileSystem(hadoop).delete(path, True)
 
     def joined(self, spark: SparkSession) -> DataFrame:
         return spark.read.parquet(f"{self.path}/joined")
 
     def flushed(self, spark: SparkSession) -> DataFrame:
-        return spark.read.parquet(f"{self.path}/flush")
+        return spark.read.parquet(f"{self.path}/flush").drop("batch_id")
 
 
 def per_batch_totals(key: list[str], value: str, alias: str = "total") -> Callable:

@@ -1,30 +1,25 @@
-"""Folds of an unbounded stream in keyed state; only keys that occur are touched.
+"""Operators of an unbounded stream in keyed state; only keys that occur are touched.
 
 ``totals_stream`` emits a key's entry per micro-batch and combines rows before they meet,
-so it takes any distribution of keys. ``rolling_fold_stream`` emits an entry per row and
-passes all of a key's rows of one micro-batch through one task: give its source a row limit
-per trigger, and where one key may dominate use ``hybridflow.streaming.rolling`` instead.
+so it takes any distribution of keys. A row per row gives ``hybridflow.streaming.rolling``.
+``co_map_stream`` connects two inputs by user functions with shared state.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from itertools import islice
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from hybridflow.functions.python_udf import KEYS_HELD
+from hybridflow.operators.hybrid_join import known_keys
 from hybridflow.operators.rolling import Fold
 from hybridflow.session import use_rocksdb_state
 
-# Rows of a key that are sorted at a time.
-RUN_LENGTH = 1_000_000
-
-
 def _combine(kind: str, total, value):
     if kind == "count":
         return (total or 0) + 1
@@ -35,56 +30,6 @@ def _combine(kind: str, total, value):
     return min(total, value) if kind == "min" else max(total, value)
 
 
-class RollingFoldProcessor(StatefulProcessor):
-    """Keeps one entry per key, folds arriving rows into it and emits it for each row."""
-
-    def __init__(
-        self,
-        columns: list[str],
-        order: list[str],
-        folds: list[Fold],
-        attributes: list[str],
-        state_schema: StructType,
-        ttl_ms: int | None = None,
-        run_length: int = RUN_LENGTH,
-    ):
-        self.columns = columns
-        self.order = order
-        self.folds = folds
-        self.attributes = attributes
-        self.state_schema = state_schema
-        self.ttl_ms = ttl_ms
-        self.run_length = run_length
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.entry = handle.getValueState("entry", self.state_schema, self.ttl_ms)
-
-    def _position(self, row: Row) -> tuple:
-        """Sort key of a row, nulls first."""
-        return tuple((row[c] is not None, row[c]) for c in self.order)
-
-    def handleInitialState(self, key, initialState, timerValues) -> None:
-        given = initialState.asDict()
-        names = [f.name for f in self.folds] + self.attributes
-        self.entry.update(tuple(given.get(n) for n in names))
-
-    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        named = Row(*self.columns, *[f.name for f in self.folds], *self.attributes)
-        old = self.entry.get()
-        width = len(self.folds) + len(self.attributes)
-        entry = list(old) if old is not None else [None] * width
-        # Rows of a key come in no order inside a micro-batch.
-        while run := sorted(islice(rows, self.run_length), key=self._position):
-            for row in run:
-                for i, f in enumerate(self.folds):
-                    entry[i] = _combine(f.kind, entry[i], row[f.column] if f.column else None)
-                yield named(*[row[c] for c in self.columns], *entry)
-        self.entry.update(tuple(entry))
-
-    def close(self) -> None:
-        pass
-
-
 def _entry_schema(stream, key, folds, side) -> tuple[list[str], StructType]:
     fields = [StructField(f.name, f.result_type(stream.schema), True) for f in folds]
     attributes = [] if side is None else [
@@ -94,40 +39,6 @@ def _entry_schema(stream, key, folds, side) -> tuple[list[str], StructType]:
     return attributes, StructType(fields)
 
 
-def rolling_fold_stream(
-    stream: DataFrame,
-    key: list[str],
-    order: list[str],
-    folds: list[Fold],
-    side: DataFrame | None = None,
-    ttl_ms: int | None = None,
-    run_length: int = RUN_LENGTH,
-) -> DataFrame:
-    """Streaming form of ``rolling_fold``: each row with its key's folds so far.
-
-    ``side`` is loaded once into the state, one row per key, and is checkpointed with it.
-    A key's rows of one micro-batch are put in order ``run_length`` at a time, which bounds
-    what a task holds; beyond that and across micro-batches rows fold in order of arrival.
-    ``ttl_ms`` drops keys not seen for that long; by default nothing is dropped.
-    """
-    use_rocksdb_state(stream.sparkSession)
-    attributes, state_schema = _entry_schema(stream, key, folds, side)
-    out_schema = StructType([
-        *[StructField(f.name, f.dataType, True) for f in stream.schema.fields],
-        *state_schema.fields,
-    ])
-    processor = RollingFoldProcessor(
-        stream.columns, order, folds, attributes, state_schema, ttl_ms, run_length
-    )
-    return stream.groupBy(*key).transformWithState(
-        statefulProcessor=processor,
-        outputStructType=out_schema,
-        outputMode="Append",
-        timeMode="None" if ttl_ms is None else "ProcessingTime",
-        initialState=None if side is None else side.groupBy(*key),
-    )
-
-
 class TotalsProcessor(StatefulProcessor):
     """Keeps one entry per key, merges partial totals into it and emits it once."""
 
@@ -189,9 +100,10 @@ def totals_stream(
     """Per key and micro-batch it occurs in: the key's totals so far and its attributes.
 
     Rows are combined in the task that reads them, so what meets at a key is a few partial
-    totals per task. ``side`` is loaded once into the state, one row per key.
+    totals per task. ``side`` is loaded once into the state; rows that repeat a key are folded to one.
     """
     use_rocksdb_state(stream.sparkSession)
+    side = None if side is None else known_keys(side, key)  # a null key finds no attributes
     columns = [
         (F.lit(1) if f.kind == "count" else F.col(f.column)).cast(f.result_type(stream.schema)).alias(f.name)
         for f in folds
@@ -209,50 +121,52 @@ def totals_stream(
     )
 
 
-class LatestValuesProcessor(StatefulProcessor):
-    """Named values per key in a map, the last few rows per key in a list.
+class BufferedJoinProcessor(StatefulProcessor):
+    """Two connected inputs with shared keyed state: stream rows wait for their key's batch rows.
 
-    Emits, per key and micro-batch, how many names are known and how many rows are kept.
+    The list state holds the rows that wait, however many; the map state the batch side's
+    values by name. ``fn(key, value, attributes)`` makes a row of each stream value.
     """
 
-    def __init__(self, key: str, name: str, value: str, keep: int = 100):
-        self.key = key
-        self.name = name
-        self.value = value
-        self.keep = keep
+    def __init__(self, fn: Callable, value_schema: StructType, names: list[str]):
+        self.fn = fn
+        self.value_schema = value_schema
+        self.names = names
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         text = StructType([StructField("name", StringType(), True)])
-        entry = StructType([StructField("value", StringType(), True)])
-        self.values = handle.getMapState("values", text, entry)
-        self.recent = handle.getListState("recent", entry)
+        self.waiting = handle.getListState("waiting", self.value_schema)
+        self.attributes = handle.getMapState("attributes", text, text)
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        kept = [r[0] for r in self.recent.get()]
+        # A key's rows come in no order, so batch rows are taken in before stream rows are answered.
         for row in rows:
-            self.values.updateValue((row[self.name],), (str(row[self.value]),))
-            kept = [*kept, str(row[self.value])][-self.keep :]
-        self.recent.clear()
-        for value in kept:
-            self.recent.appendValue((value,))
-        n_names = sum(1 for _ in self.values.iterator())
-        yield Row(self.key, "n_names", "n_kept")(*key, n_names, len(kept))
+            if row["side"] == "batch":
+                self.attributes.updateValue((row["name"],), (row["text"],))
+            else:
+                self.waiting.appendValue((row["value"],))
+        known = {name[0]: text[0] for name, text in self.attributes.iterator()}
+        if known:
+            for (value,) in self.waiting.get():
+                yield Row(*self.names)(*self.fn(*key, value, known))
+            self.waiting.clear()
 
     def close(self) -> None:
         pass
 
 
-def latest_values_stream(stream: DataFrame, key: str, name: str, value: str, keep: int = 100) -> DataFrame:
-    """Per key and micro-batch: number of names seen so far and of rows kept."""
-    use_rocksdb_state(stream.sparkSession)
-    out = StructType([
-        StructField(key, stream.schema[key].dataType, True),
-        StructField("n_names", LongType(), True),
-        StructField("n_kept", LongType(), True),
-    ])
-    return stream.groupBy(key).transformWithState(
-        statefulProcessor=LatestValuesProcessor(key, name, value, keep),
-        outputStructType=out,
+def co_map_stream(both: DataFrame, key: str, fn: Callable, schema: StructType) -> DataFrame:
+    """``fn`` over a connected stream and batch side that share state by key.
+
+    ``both`` has ``side`` ("stream" or "batch"), the key, a stream row's ``value``, and a batch
+    row's ``name`` and ``text``. A stream row gives its row once a batch row of its key has come,
+    in this micro-batch or a later one; it waits in the state until then.
+    """
+    use_rocksdb_state(both.sparkSession)
+    value = StructType([StructField("value", both.schema["value"].dataType, True)])
+    return both.groupBy(key).transformWithState(
+        statefulProcessor=BufferedJoinProcessor(fn, value, schema.names),
+        outputStructType=schema,
         outputMode="Append",
         timeMode="None",
     )

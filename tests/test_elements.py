@@ -1,5 +1,6 @@
 """The small worked examples on 1, 2, 3, 4, and Python functions."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from hybridflow.functions import python_udf
@@ -65,18 +66,19 @@ def test_first_rows(spark):
 
 def test_key_by_keeps_keys_together(spark):
     rows = spark.range(1000).select((F.col("id") % 7).alias("k"), "id")
-    where = key_by(rows, ["k"], "id", partitions=5).select("k", F.spark_partition_id().alias("p"))
+    where = key_by(rows, ["k"], "id", shares=1, partitions=5).select("k", F.spark_partition_id().alias("p"))
     assert where.distinct().count() == 7
 
 
-def test_key_by_shares_out_a_hot_key(spark):
-    rows = spark.range(3000).select(F.when(F.col("id") % 3 == 0, None).otherwise(F.col("id")).alias("k"), "id")
-    keyed = key_by(rows, ["k"], "id", partitions=8, rows_per_task=100)
-    sizes = keyed.groupBy("k", "share").count()
-    assert keyed.count() == 3000 and keyed.columns == ["k", "id", "share"]
-    assert sizes.where("k is null").count() == 10
-    assert sizes.where("k is null").agg(F.max("count")).first()[0] < 200
-    assert sizes.where("k is not null and share <> 0").count() == 0
+@pytest.mark.parametrize("n", [30, 3000])
+def test_key_by_shares_out_every_key_at_every_size(spark, n):
+    rows = spark.range(n).select(F.when(F.col("id") % 3 == 0, None).otherwise(F.col("id") % 2).alias("k"), "id")
+    keyed = key_by(rows, ["k"], "id", shares=4, partitions=8)
+    assert keyed.count() == n and keyed.columns == ["k", "id", "share"]
+    places = keyed.select("k", "share", F.spark_partition_id().alias("p")).distinct()
+    assert places.count() == places.select("k", "share").distinct().count() <= 12
+    if n == 3000:
+        assert keyed.groupBy("k", "share").count().agg(F.max("count")).first()[0] < 400
 
 
 def test_random_spread(spark):

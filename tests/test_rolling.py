@@ -152,3 +152,48 @@ def test_keys_of_several_columns_and_types(spark, rows_per_slice):
         totals[row[:4]] = totals.get(row[:4], 0) + row[5]
         expected[row[4]] = totals[row[:4]]
     assert {r["id"]: r["total"] for r in rolled.collect()} == expected
+
+
+@pytest.mark.parametrize("rows_per_slice", [1000, 3, 1])
+def test_nulls_and_infinities_in_the_order(spark, rows_per_slice):
+    inf = float("inf")
+    rng = random.Random(8)
+    rows = [(1, rng.choice([None, -inf, inf, float("nan"), 0.0, -2.5, 7.0]), i, i) for i in range(60)]
+    df = spark.createDataFrame(rows, "k BIGINT, x DOUBLE, id BIGINT, v BIGINT")
+    rolled = rolling_fold(df, ["k"], ["x", "id"], [Fold("total", "sum", "v")], None, rows_per_slice)
+
+    def place(row):
+        x = row[1]
+        return (x is not None, x is not None and x != x, 0 if x is None or x != x else x, row[2])
+
+    total, expected = 0, {}
+    for row in sorted(rows, key=place):
+        total += row[3]
+        expected[row[2]] = total
+    assert {r["id"]: r["total"] for r in rolled.collect()} == expected
+
+
+@pytest.mark.parametrize("rows_per_slice", [1000, 1])
+def test_an_order_that_is_no_number_is_an_error_at_every_size(spark, rows_per_slice):
+    df = spark.createDataFrame([(1, "b", 1), (1, "a", 2)], "k BIGINT, s STRING, v BIGINT")
+    with pytest.raises(TypeError, match="ordered by"):
+        rolling_fold(df, ["k"], ["s"], [Fold("total", "sum", "v")], None, rows_per_slice)
+
+
+@pytest.mark.parametrize("rows_per_slice", [1000, 5])
+def test_many_hot_keys_are_joined_as_a_table(spark, rows_per_slice, monkeypatch):
+    from hybridflow.operators import keyed
+
+    monkeypatch.setattr(keyed, "BROADCAST_KEYS", 2)
+    rows = make_rows(9)
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert found(rolling_fold(df, ["k"], ["ts", "id"], FOLDS, None, rows_per_slice)) == brute(rows)[0]
+
+
+def test_a_batch_side_that_repeats_keys_gives_a_row_per_row(spark):
+    stream = spark.createDataFrame([(1, START, 1, 5), (2, START, 2, 6)], SCHEMA)
+    batch = spark.createDataFrame([(1, "x"), (1, "y"), (None, "n"), (None, "m")], "k BIGINT, a STRING")
+    joined = enrich(stream, batch, ["k"], ["ts", "id"], FOLDS).select("id", "a").collect()
+    assert sorted(map(tuple, joined)) == [(1, "y"), (2, None)]
+    kept = snapshot(stream, batch, ["k"], [Fold("n", "count")]).select("k", "n", "a").collect()
+    assert sorted(map(str, map(tuple, kept))) == ["(1, 1, 'y')", "(2, 1, None)", "(None, 0, 'm')", "(None, 0, 'n')"]

@@ -5,6 +5,7 @@ from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from hybridflow.functions.words import words_of
 from hybridflow.operators.hybrid_join import enrich, full, snapshot
@@ -14,11 +15,7 @@ from hybridflow.sources.queue import BatchQueue, split_at
 from hybridflow.sources.streams import file_stream, kafka_messages, kafka_options, socket_lines
 from hybridflow.streaming.rolling import MicroBatchJoin, per_batch_totals
 from hybridflow.streaming.sinks import batch_folder, every, print_stream, read_batches
-from hybridflow.streaming.stateful import (
-    latest_values_stream,
-    rolling_fold_stream,
-    totals_stream,
-)
+from hybridflow.streaming.stateful import co_map_stream, totals_stream
 
 KEY, ORDER = ["k"], ["ts", "id"]
 FOLDS = [Fold("n", "count"), Fold("total", "sum", "v"), Fold("low", "min", "v"), Fold("high", "max", "v")]
@@ -62,17 +59,6 @@ def as_set(df):
     return sorted(str(tuple(r)) for r in df.select(*sorted(df.columns)).collect())
 
 
-@pytest.mark.parametrize("n", [1, 2, 7])
-def test_keyed_state_equals_table(spark, rows, side, tmp_path, n):
-    out = str(tmp_path / "out")
-    BatchQueue(spark).run(
-        batches(rows, n),
-        lambda s: rolling_fold_stream(s, KEY, ORDER, FOLDS, side).writeStream.foreachBatch(batch_folder(out)),
-    )
-    expected = enrich(rows, side, KEY, ORDER, FOLDS)
-    assert as_set(read_batches(spark, out).drop("batch_id")) == as_set(expected)
-
-
 @pytest.mark.parametrize("n, rows_per_slice", [(1, 1000), (2, 10), (7, 1000)])
 def test_micro_batch_tables_equal_table(spark, rows, side, tmp_path, n, rows_per_slice):
     job = MicroBatchJoin(
@@ -110,29 +96,73 @@ def test_totals_of_large_numbers_and_null_keys(spark, tmp_path):
     assert set(map(tuple, found)) == {(big, 2**31, big), (None, 7, 5)}
 
 
-def test_short_runs_lose_no_row(spark, rows, tmp_path):
-    out = str(tmp_path / "out")
-    BatchQueue(spark).run(
-        [rows],
-        lambda s: rolling_fold_stream(s, KEY, ORDER, FOLDS, run_length=5).writeStream.foreachBatch(batch_folder(out)),
-    )
-    found = read_batches(spark, out)
-    assert found.count() == found.select("id").distinct().count() == rows.count()
-    last = found.groupBy("k").agg(F.max("n").alias("last"), F.count("n").alias("rows"))
-    assert last.where("last <> rows").count() == 0
+@pytest.fixture(scope="module")
+def odd_rows(rows):
+    """A sixth of the rows has no key."""
+    return rows.withColumn("k", F.when(F.col("id") % 6 == 1, None).otherwise(F.col("k")))
 
 
-def test_keyed_state_goes_on_from_given_totals(spark, rows, side, tmp_path):
-    out, cut = str(tmp_path / "out"), str(START + timedelta(seconds=100))
-    early, later = split_at(rows, "ts", [cut])
-    entries = snapshot(early, side, KEY, FOLDS)
-    BatchQueue(spark).run(
-        [later],
-        lambda s: rolling_fold_stream(s, KEY, ORDER, FOLDS, entries).writeStream.foreachBatch(batch_folder(out)),
+@pytest.fixture(scope="module")
+def odd_side(spark):
+    """Repeated keys, and rows without a key."""
+    return spark.createDataFrame([(k, f"a{k}") for k in range(6, 20)] + [(7, "b"), (7, "c"), (None, "n")], "k BIGINT, a STRING")
+
+
+def run(spark, parts, job):
+    BatchQueue(spark).run(parts, lambda s: s.writeStream.foreachBatch(job))
+    return job
+
+
+def test_null_and_repeated_keys_as_in_the_table(spark, odd_rows, odd_side, tmp_path):
+    job = run(spark, batches(odd_rows, 3), MicroBatchJoin(odd_side, KEY, ORDER, FOLDS, str(tmp_path / "out")))
+    expected = enrich(odd_rows, odd_side, KEY, ORDER, FOLDS)
+    assert as_set(job.joined(spark).drop("batch_id")) == as_set(expected)
+
+
+@pytest.mark.parametrize("twice", [False, True])
+def test_full_join_waits_for_the_batch_side(spark, odd_rows, odd_side, tmp_path, twice):
+    cut = str(START + timedelta(seconds=140))  # the third of three micro-batches
+    job = MicroBatchJoin(
+        lambda: odd_side, KEY, ORDER, FOLDS, str(tmp_path / "out"), flush=True, ready=lambda b: b >= 2, buckets=4
+    )
+    for batch_id, part in enumerate(batches(odd_rows, 3)):
+        for _ in range(1 + twice):
+            job(part, batch_id)
+    expected = full(odd_rows, odd_side, KEY, ORDER, FOLDS, cut)
+    columns = ["k", "n", "total", "low", "high", "a"]
+    assert as_set(job.flushed(spark).select(columns)) == as_set(expected.where("phase = 'flush'").select(columns))
+    assert as_set(job.joined(spark).select("id", *columns)) == as_set(
+        expected.where("phase = 'stream'").select("id", *columns)
     )
-    expected = full(rows, side, KEY, ORDER, FOLDS, cut).where("phase = 'stream'")
-    columns = ["k", "id", "n", "total", "low", "high", "a"]
-    assert as_set(read_batches(spark, out).select(columns)) == as_set(expected.select(columns))
+
+
+def test_a_side_with_some_of_the_folds(spark, rows, tmp_path):
+    side = spark.createDataFrame([(1, 100), (2, 200)], "k BIGINT, total BIGINT")
+    job = run(spark, batches(rows, 2), MicroBatchJoin(side, KEY, ORDER, FOLDS, str(tmp_path / "out")))
+    first = rows.where("k = 1").orderBy("id").select(F.coalesce("v", F.lit(0)).alias("v")).first()["v"]
+    got = job.joined(spark).where("k = 1").orderBy("id").select("n", "total").first()
+    assert (got["n"], got["total"]) == (1, 100 + first)
+
+
+def test_decimal_sums_outgrow_their_input(spark, tmp_path):
+    rows = spark.createDataFrame([(1, START, i, 900) for i in range(3)], "k BIGINT, ts TIMESTAMP, id BIGINT, v INT")
+    rows = rows.withColumn("v", F.col("v").cast("decimal(3,0)"))
+    job = run(spark, [rows], MicroBatchJoin(None, KEY, ORDER, [Fold("total", "sum", "v")], str(tmp_path / "a")))
+    assert sorted(int(r["total"]) for r in job.joined(spark).collect()) == [900, 1800, 2700]
+    out = str(tmp_path / "b")
+    folds = [Fold("total", "sum", "v")]
+    BatchQueue(spark).run([rows], lambda s: totals_stream(s, KEY, folds).writeStream.foreachBatch(batch_folder(out)))
+    assert [int(r["total"]) for r in read_batches(spark, out).collect()] == [2700]
+
+
+def test_only_touched_buckets_are_written(spark, rows, side, tmp_path):
+    job = MicroBatchJoin(side, KEY, ORDER, FOLDS, str(tmp_path / "out"), buckets=16)
+    one = rows.where("k = 1")
+    for batch_id, part in enumerate([rows, one, one]):
+        job(part, batch_id)
+    versions = dict.fromkeys(v for _, v in job._all_versions(spark))
+    assert len([b for b, v in job._all_versions(spark) if v == 6]) == 1
+    assert len(job._all_versions(spark)) <= 2 * 16 and 6 in versions
 
 
 def test_windowed_word_count_of_a_socket_is_a_stream(spark):
@@ -145,13 +175,13 @@ def test_a_stopped_queue_goes_on_where_it_was(spark, rows, tmp_path):
     out, first = str(tmp_path / "out"), BatchQueue(spark)
 
     def sink(s):
-        return rolling_fold_stream(s, KEY, ORDER, FOLDS).writeStream.foreachBatch(batch_folder(out))
+        return s.writeStream.foreachBatch(MicroBatchJoin(None, KEY, ORDER, FOLDS, out))
 
     parts = batches(rows, 2)
     first.run(parts[:1], sink)
     again = BatchQueue(spark, first.path, first.checkpoint)
     again.run(parts[1:], sink)
-    got = read_batches(spark, out)
+    got = read_batches(spark, f"{out}/joined")
     assert got.count() == rows.count() == got.select("id").distinct().count()
     assert got.agg(F.max("n")).first()[0] == rows.groupBy("k").count().agg(F.max("count")).first()[0]
 
@@ -183,19 +213,25 @@ def test_per_batch_totals_forget(spark, tmp_path):
     ]
 
 
-def test_map_and_list_state(spark, tmp_path):
+def test_connected_inputs_share_state(spark, tmp_path):
+    """Stream rows wait for their key's batch row, as many as there are."""
     out = str(tmp_path / "out")
-    schema = "k BIGINT, name STRING, value STRING"
+    schema = "side STRING, k BIGINT, value BIGINT, name STRING, text STRING"
+    early = [("stream", 1, v, None, None) for v in range(300)] + [("stream", 2, 7, None, None)]
     parts = [
-        spark.createDataFrame([(1, "x", "1"), (1, "y", "2"), (2, "x", "3")], schema),
-        spark.createDataFrame([(1, "x", "4"), (1, "z", "5")], schema),
+        spark.createDataFrame(early, schema),
+        spark.createDataFrame([("batch", 1, None, "a", "x"), ("stream", 3, 1, None, None)], schema),
+        spark.createDataFrame([("stream", 1, 300, None, None), ("batch", 3, None, "b", "y")], schema),
     ]
-    BatchQueue(spark).run(
-        parts,
-        lambda s: latest_values_stream(s, "k", "name", "value", keep=3).writeStream.foreachBatch(batch_folder(out)),
-    )
-    got = read_batches(spark, out).select("batch_id", "k", "n_names", "n_kept").collect()
-    assert sorted(map(tuple, got)) == [(0, 1, 2, 2), (0, 2, 1, 1), (1, 1, 3, 3)]
+    result = StructType([StructField(n, t) for n, t in (("k", LongType()), ("value", LongType()), ("seen", StringType()))])
+
+    def sink(s):
+        both = co_map_stream(s, "k", lambda k, v, known: (k, v, ",".join(sorted(known.values()))), result)
+        return both.writeStream.foreachBatch(batch_folder(out))
+
+    BatchQueue(spark).run(parts, sink)
+    got = sorted(map(tuple, read_batches(spark, out).select("batch_id", "k", "value", "seen").collect()))
+    assert got == [(1, 1, v, "x") for v in range(300)] + [(2, 1, 300, "x"), (2, 3, 1, "y")]
 
 
 def test_sources_are_lazy(spark, tmp_path):
