@@ -46,8 +46,8 @@ def enrich(
     Keys only the batch has give no row; keys it does not have give null attributes.
     Batch rows that repeat a key are folded to one. A null key finds no attributes.
     """
-    known = known_keys(batch, key)
-    return rolling_fold(stream, key, order, folds, known, rows_per_slice)
+    known = batch.where(" and ".join(f"{k} is not null" for k in key))
+    return rolling_fold(stream, key, order, folds, known, rows_per_slice, side_repeats=True)
 
 
 def snapshot(stream: DataFrame, batch: DataFrame, key: list[str], folds: list[Fold]) -> DataFrame:

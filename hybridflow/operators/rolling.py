@@ -97,6 +97,7 @@ def rolling_fold(
     side: DataFrame | None = None,
     rows_per_slice: int = ROWS_PER_TASK,
     counts: DataFrame | None = None,
+    side_repeats: bool = False,
 ) -> DataFrame:
     """Each row with the folds of its key over all rows up to and including it.
 
@@ -121,6 +122,11 @@ def rolling_fold(
     if side is not None:
         side, _ = with_key_slots(side, key)
         side = side.select(*slots, *extras, *[F.col(f.name).alias(f"_start_{f.name}") for f in starts])
+        given = [c for c in side.columns if c not in slots]
+        if side_repeats and given:
+            side = side.groupBy(*slots).agg(F.max(F.struct(*given)).alias("_r")).select(*slots, "_r.*")
+        elif side_repeats:
+            side = side.distinct()
 
     if hot is not None:
         keyed, side, starts = _sliced(keyed, side, slots, key, order, folds, starts, hot, rows_per_slice)

@@ -1,13 +1,54 @@
-"""Word counts over windows of event time."""
+"""Folds and word counts over windows of event time."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import math
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from hybridflow.operators.rolling import Fold
+
 CHUNK_SECONDS = 86_400
 
 
+def panes(ts: Column, length: int, slide: int) -> Column:
+    """Start of the pane a time lies in; every window is made of whole panes."""
+    width = math.gcd(length, slide)
+    return F.floor(F.unix_seconds(ts.cast("timestamp")) / width) * width
+
+
+def _window_ends(pane: Column, length: int, slide: int) -> Column:
+    """Ends of the windows that hold a pane, as multiples of ``slide``; none between windows."""
+    width = math.gcd(length, slide)
+    first = F.ceil((pane + width) / slide) * slide
+    last = F.floor((pane + length) / slide) * slide
+    return F.when(first <= last, F.sequence(first, last, F.lit(slide).cast("bigint")))
+
+
+def fold_panes(
+    paned: DataFrame, key: list[str], folds: list[Fold], pane: str, length: int, slide: int
+) -> DataFrame:
+    """Totals per key and pane as totals per key and window, the window named by ``w_end``."""
+    copied = paned.select(*key, *[f.name for f in folds], F.explode(_window_ends(F.col(pane), length, slide)).alias("w_end"))
+    out = copied.groupBy("w_end", *key).agg(*[f.over_totals(f.name).alias(f.name) for f in folds])
+    return out.withColumn("w_end", F.timestamp_seconds("w_end"))
+
+
+def windowed_fold(
+    rows: DataFrame, key: list[str], folds: list[Fold], ts: str = "ts", length: int = 300, slide: int = 60
+) -> DataFrame:
+    """Folds per key and window of ``length`` seconds, a window ending every ``slide`` seconds.
+
+    A window holds ``w_end - length <= ts < w_end``. Rows are folded per pane first, so only
+    totals are copied to the windows they belong to. Rows without a time are in no window.
+    For a stream fold the panes with ``totals_stream`` and the windows with :func:`fold_panes`.
+    """
+    paned = rows.groupBy(*key, panes(F.col(ts), length, slide).alias("_pane"))
+    paned = paned.agg(*[f.over_rows().alias(f.name) for f in folds])
+    return fold_panes(paned, key, folds, "_pane", length, slide)
+
+
 def sliding_counts(
     words: DataFrame,
     ts: str = "ts",
@@ -16,25 +57,20 @@ def sliding_counts(
     slide: int = 60,
     watermark: int | None = None,
 ) -> DataFrame:
-    """Count per word and window of ``length`` seconds, a window ending every ``slide`` seconds.
+    """Count per word and window, as :func:`windowed_fold` has windows.
 
-    A window holds ``w_end - length <= ts < w_end``. On a static input words are first
-    counted per slide, so only counts are copied to the windows they belong to. On a
-    stream give ``watermark``, the seconds a row may be late; a window is then emitted
-    when it has closed.
+    On a stream give ``watermark``, the seconds a row may be late; a window is then emitted
+    once, when it has closed. Windows that are still open come from ``totals_stream`` over panes.
     """
-    pane = F.floor(F.unix_seconds(F.col(ts).cast("timestamp")) / slide)
-    paned = words.select(F.col(word).alias("word"), (pane * slide).alias("s"))
-    if words.isStreaming:
-        paned = paned.withColumn("n", F.lit(1).cast("bigint"))
-    else:
-        paned = paned.groupBy("word", "s").agg(F.count(F.lit(1)).alias("n"))
-    ends = F.sequence(F.col("s") + slide, F.col("s") + length, F.lit(slide).cast("bigint"))
-    copied = paned.select("word", "n", F.explode(ends).alias("w_end"))
-    copied = copied.withColumn("w_end", F.timestamp_seconds("w_end"))
+    words = words.withColumnRenamed(word, "word")
+    if not words.isStreaming:
+        counts = windowed_fold(words, ["word"], [Fold("n", "count")], ts, length, slide)
+        return counts.select("w_end", "word", "n")
+    ends = F.explode(_window_ends(panes(F.col(ts), length, slide), length, slide)).alias("w_end")
+    copied = words.select("word", ends).withColumn("w_end", F.timestamp_seconds("w_end"))
     if watermark is not None:
         copied = copied.withWatermark("w_end", f"{length + watermark} seconds")
-    return copied.groupBy("w_end", "word").agg(F.sum("n").alias("n"))
+    return copied.groupBy("w_end", "word").agg(F.count(F.lit(1)).alias("n"))
 
 
 def trailing_counts(

@@ -44,7 +44,8 @@ def _archives(lines: DataFrame) -> DataFrame:
         F.ceil(F.count(F.lit(1)) / LINES_PER_ARCHIVE).alias("shares")
     )
     share = F.pmod(F.xxhash64("event_id"), F.col("shares")).alias("share")
-    placed = lines.join(shares, "file_date").select("file_date", share, "event_id", "value")
+    # One row per day, so a day is always dealt into its shares before it is shuffled.
+    placed = lines.join(F.broadcast(shares), "file_date").select("file_date", share, "event_id", "value")
 
     def pack(rows: pd.DataFrame) -> pd.DataFrame:
         day = rows["file_date"].iloc[0].strftime("%Y%m%d")
@@ -89,7 +90,8 @@ def daily_master_file(spark, folder):
     path = new_path(spark, "master")
     lines = _lines(spark, folder)
     wanted = lines.where(in_window(F.col("file_date"), _last_day(lines), DAYS))
-    write_master(wanted, ["file_date", "event_id"], path, parts=8)
+    parts = 1 + wanted.count() // LINES_PER_ARCHIVE
+    write_master(wanted, ["file_date", "event_id"], path, parts=parts)
     return read_lines(spark, path)
 
 

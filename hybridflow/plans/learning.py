@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from hybridflow.functions.sampling import sample_rows
 from hybridflow.functions.vectors import parse_labeled_vector, vector_add
-from hybridflow.operators.learn import error_rate, gradient, gradient_sums, score, stepped
+from hybridflow.operators.learn import error_rates, gradient, gradient_sums, score, stepped
 from hybridflow.session import new_path
 from hybridflow.sources.queue import BatchQueue, split_at
 from hybridflow.sources.tables import table
@@ -74,14 +74,11 @@ def lr_predict(spark, folder):
 
 
 def lr_error_rate(spark, folder):
-    rows = vectors(spark, folder)
-    rates = [
-        error_rate(rows, FIXED, metric).select(
-            F.lit(metric).alias("metric"), F.round("error_rate", 6).alias("error_rate"), "n"
-        )
-        for metric in ("log_loss", "misclassified")
-    ]
-    return rates[0].unionByName(rates[1])
+    """Both metrics from one scan, a row each."""
+    metrics = ["log_loss", "misclassified"]
+    rates = error_rates(vectors(spark, folder), FIXED, metrics)
+    each = F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("rate")) for m in metrics])).alias("r")
+    return rates.select(each, "n").select("r.metric", F.round("r.rate", 6).alias("error_rate"), "n")
 
 
 def lr_gradient(spark, folder):

@@ -43,10 +43,13 @@ def _customer_lines(spark, folder):
 
 
 def parsed_lines(spark, folder):
+    """Customers as lines, some cut off in front; a line that does not parse stays in ``_corrupt``."""
     path = new_path(spark, "customer-lines")
-    _customer_lines(spark, folder).write.text(path)
+    lines = _customer_lines(spark, folder)
+    cut = table(spark, folder, "customer").where("c_nationkey = 3").select(F.concat(F.lit("cut off "), "c_name").alias("value"))
+    lines.unionByName(cut).write.text(path)
     parsed = parse_lines(read_clean_lines(spark, path), "value", CUSTOMER)
-    return parsed.where("_corrupt is null").drop("_corrupt")
+    return parsed.withColumns({c: F.coalesce(c, F.lit(-1)) for c in ("c_custkey", "c_nationkey")})
 
 
 def tagged_union_map(spark, folder):
@@ -87,7 +90,10 @@ SQL = {
                || ',"event_type":"' || event_type || '"}' AS message
         FROM events""",
     "decode_csv_messages": "SELECT event_id, event_type, user_id FROM events",
-    "parse_lines": "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer",
+    "parse_lines": """
+        SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, CAST(NULL AS VARCHAR) AS _corrupt
+        FROM customer
+        UNION ALL SELECT -1, NULL, -1, NULL, NULL, 'cut off ' || c_name FROM customer WHERE c_nationkey = 3""",
     "tagged_union_map": """
         SELECT 'left' AS side, c_custkey, c_acctbal FROM customer
         UNION ALL SELECT 'right', -1, NULL""",

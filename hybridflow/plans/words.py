@@ -6,12 +6,15 @@ from pyspark.sql import functions as F
 
 from hybridflow.functions.words import lines_of, paired_with_one, words_of
 from hybridflow.operators.keyed import totals_by_key
-from hybridflow.operators.windows import sliding_counts, trailing_counts
+from hybridflow.operators.rolling import Fold
+from hybridflow.operators.windows import fold_panes, panes, sliding_counts, trailing_counts, windowed_fold
 from hybridflow.plans.elements import CUTS, event_batches
 from hybridflow.session import new_path
 from hybridflow.sources.queue import BatchQueue
 from hybridflow.sources.tables import table
 from hybridflow.sources.text import read_clean_lines, read_lines
+from hybridflow.streaming.sinks import batch_folder, read_batches
+from hybridflow.streaming.stateful import totals_stream
 
 
 def _counted(lines):
@@ -54,16 +57,26 @@ def wordcount_sliding(spark, folder):
 
 
 def wordcount_sliding_stream(spark, folder):
-    """Closed windows only: those that end 5 minutes or more before the last window."""
+    """Panes are counted in keyed state; a window is made of its panes' latest counts, open or closed."""
     out = new_path(spark, "sliding")
     batches = [b.select("ts", "event_type", "props") for b in event_batches(spark, folder, CUTS[1:2])]
+    folds = [Fold("n", "count")]
 
     def sink(stream):
-        counts = sliding_counts(_event_words(stream), length=300, slide=60, watermark=0)
-        return counts.writeStream.format("parquet").option("path", out).outputMode("append")
+        paned = _event_words(stream).select("word", panes(F.col("ts"), 300, 60).alias("pane"))
+        return totals_stream(paned, ["word", "pane"], folds).writeStream.foreachBatch(batch_folder(out))
 
     BatchQueue(spark).run(batches, sink)
-    return spark.read.parquet(out).select(F.unix_seconds("w_end").alias("w_end"), "word", "n")
+    latest = read_batches(spark, out).groupBy("word", "pane").agg(F.max_by("n", "batch_id").alias("n"))
+    counts = fold_panes(latest, ["word"], folds, "pane", 300, 60)
+    return counts.select(F.unix_seconds("w_end").alias("w_end"), "word", "n")
+
+
+def windowed_sum_by_key(spark, folder):
+    """Values of each event type over the last 5 minutes, each minute and a half."""
+    folds = [Fold("n", "count"), Fold("total", "sum", "value"), Fold("largest", "max", "value")]
+    sums = windowed_fold(table(spark, folder, "events"), ["event_type"], folds, length=300, slide=90)
+    return sums.select(F.unix_seconds("w_end").alias("w_end"), "event_type", "n", F.round("total", 4).alias("total"), "largest")
 
 
 def wordcount_trailing(spark, folder):
@@ -79,6 +92,7 @@ QUERIES = {
     "wordcount_sliding": wordcount_sliding,
     "wordcount_sliding_stream": wordcount_sliding_stream,
     "wordcount_trailing": wordcount_trailing,
+    "windowed_sum_by_key": windowed_sum_by_key,
 }
 
 _LINES = "SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents"
@@ -103,9 +117,12 @@ SQL = {
         SELECT word, count(*) AS n
         FROM (SELECT unnest({_SPLIT}) AS word FROM ({_LINES})) GROUP BY word""",
     "wordcount_sliding": _SLIDING,
-    "wordcount_sliding_stream": f"""
-        SELECT w_end, word, n FROM ({_SLIDING})
-        WHERE w_end <= (SELECT max(s) // 60 * 60 FROM ({_EVENT_WORDS}))""",
+    "wordcount_sliding_stream": _SLIDING,
+    "windowed_sum_by_key": """
+        SELECT w_end, event_type, count(*) AS n, round(sum(value), 4) AS total, max(value) AS largest
+        FROM (SELECT s, event_type, value, unnest(range((s // 90 + 1) * 90, s + 301, 90)) AS w_end
+              FROM (SELECT CAST(floor(epoch(ts)) AS BIGINT) AS s, event_type, value FROM events))
+        WHERE w_end - 300 <= s AND s < w_end GROUP BY 1, 2""",
     "wordcount_trailing": f"""
         SELECT s AS at, word, CAST(sum(n) OVER (PARTITION BY word ORDER BY s
                RANGE BETWEEN 299 PRECEDING AND CURRENT ROW) AS BIGINT) AS n

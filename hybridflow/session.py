@@ -48,9 +48,13 @@ def shared_dir(spark: SparkSession) -> str:
     whole cluster, so a temporary folder is shared by definition.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    one_machine = spark.sparkContext.master.startswith("local")
     if configured:
+        own = tempfile.gettempdir().rstrip("/")
+        if not one_machine and configured.rstrip("/") in (own, f"file://{own}", f"file:{own}"):
+            raise RuntimeError(f"{configured} is a machine's own temporary folder; executors would not share it")
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not one_machine:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
     app = spark.sparkContext.applicationId
     if app not in _local_dirs:

@@ -19,8 +19,8 @@ class ModelStore:
         """Write a version; pushing the same one again replaces it."""
         row = [(key, version, [float(w) for w in weights], error_rate)]
         frame = self.spark.createDataFrame(row, SCHEMA).coalesce(1)
-        folder = f"{self.path}/model_key={key}/version={version}"
-        frame.drop("model_key", "version").write.mode("overwrite").parquet(folder)
+        out = frame.write.mode("overwrite").partitionBy("model_key", "version")  # which escapes the key
+        out.option("partitionOverwriteMode", "dynamic").parquet(self.path)
 
     def history(self) -> DataFrame:
         """Every pushed version of every model."""

@@ -12,7 +12,7 @@ from hybridflow.functions.sampling import sample_rows
 from hybridflow.operators.learn import SAMPLING_RATE, THRESHOLD, gradient, stepped
 from hybridflow.streaming.model_store import ModelStore
 
-TRACE_SCHEMA = "batch_id BIGINT, error_rate DOUBLE, action STRING, pushed BOOLEAN"
+TRACE_SCHEMA = "batch_id BIGINT, error_rate DOUBLE, action STRING, pushed BOOLEAN, n_invalid BIGINT"
 
 
 @dataclass(frozen=True)
@@ -38,6 +38,9 @@ class HybridTrainer:
     micro-batch is buffered instead, and as long as the buffer holds rows no model is
     pushed. Without ``ready`` history is complete from the start.
 
+    Rows that cannot teach (no finite label, missing or other features) are set aside; the
+    trace has their number, those of the micro-batch itself.
+
     All that is remembered lies in tables below ``path``, by batch number: a micro-batch
     that is run again sees what it saw the first time.
     """
@@ -91,8 +94,8 @@ class HybridTrainer:
             held = held.where(F.col("batch_id") > drained)
         return [r[0] for r in held.select("batch_id").collect()]
 
-    def _record(self, batch_id: int, error: float | None, action: str, pushed: bool) -> None:
-        row = self.spark.createDataFrame([(batch_id, error, action, pushed)], TRACE_SCHEMA)
+    def _record(self, batch_id: int, error: float | None, action: str, pushed: bool, bad: int) -> None:
+        row = self.spark.createDataFrame([(batch_id, error, action, pushed, bad)], TRACE_SCHEMA)
         folder = f"{self.path}/trace/batch_id={batch_id}"
         row.drop("batch_id").coalesce(1).write.mode("overwrite").parquet(folder)
 
@@ -102,7 +105,7 @@ class HybridTrainer:
         weights, held = self._before(batch_id)
         new = gradient(rows, weights, s.metric)
         if new.n == 0:
-            self._record(batch_id, None, "empty", False)
+            self._record(batch_id, None, "empty", False, new.n_invalid)
             self._next = (batch_id + 1, weights, held)
             return
         moved = stepped(weights, new, s.rate)
@@ -118,7 +121,7 @@ class HybridTrainer:
                 held = [*held, batch_id]
         if not held:
             self.models.push(s.model_key, batch_id + 1, moved, new.error)
-        self._record(batch_id, new.error, action, not held)
+        self._record(batch_id, new.error, action, not held, new.n_invalid)
         self._next = (batch_id + 1, weights if held else moved, held)
 
     def _mini_batch(self, held: list[int]) -> DataFrame:

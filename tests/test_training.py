@@ -56,9 +56,31 @@ def test_gradient_without_rows(spark):
     assert stepped([1.0, 2.0], Gradient(0, None, None), 0.5) == [1.0, 2.0]
 
 
-def test_gradient_refuses_vectors_of_another_size(spark):
-    with pytest.raises(Exception, match="does not have 3 values"):
-        gradient(spark.createDataFrame([(1.0, [1.0])], SCHEMA), [0.0] * D)
+def test_rows_that_cannot_teach_are_set_aside_and_counted(spark):
+    nan, inf = float("nan"), float("inf")
+    good = [(1.0, [1.0, 2.0, 3.0]), (0.0, [0.5, 0.0, -1.0])]
+    bad = [(None, [1.0, 1.0, 1.0]), (1.0, None), (1.0, [1.0]), (1.0, [1.0, None, 1.0]), (nan, [1.0] * 3), (1.0, [1.0, inf, 1.0])]
+    weights = [0.1] * D
+    clean, mixed = spark.createDataFrame(good, SCHEMA), spark.createDataFrame(good + bad, SCHEMA)
+    g, h = gradient(clean, weights), gradient(mixed, weights)
+    assert (h.n, h.n_invalid) == (2, 6) and h.values == pytest.approx(g.values) and h.error == pytest.approx(g.error)
+    for metric in ("log_loss", "misclassified"):
+        rate = error_rate(mixed, weights, metric).first()
+        assert (rate["n"], rate["n_invalid"]) == (2, 6)
+        assert rate["error_rate"] == pytest.approx(error_rate(clean, weights, metric).first()["error_rate"])
+    assert gradient(spark.createDataFrame(bad, SCHEMA), weights) == Gradient(0, None, None, 6)
+
+
+def test_model_keys_may_hold_anything(spark, tmp_path):
+    from hybridflow.streaming.model_store import ModelStore
+
+    store = ModelStore(spark, str(tmp_path / "models"))
+    for key in ("a/b=c", "plain", "d e"):
+        store.push(key, 0, [1.0], None)
+        store.push(key, 1, [2.0], 0.5)
+    store.push("plain", 1, [3.0], 0.25)
+    assert store.pull("a/b=c") == (1, [2.0], 0.5) and store.pull("d e", up_to=0) == (0, [1.0], None)
+    assert store.pull("plain") == (1, [3.0], 0.25) and store.history().count() == 6
 
 
 def test_score_works_on_streams(spark, tmp_path):

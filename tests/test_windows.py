@@ -7,7 +7,8 @@ from datetime import datetime, timedelta, timezone
 import pytest
 from pyspark.sql import functions as F
 
-from hybridflow.operators.windows import sliding_counts, trailing_counts
+from hybridflow.operators.rolling import Fold
+from hybridflow.operators.windows import sliding_counts, trailing_counts, windowed_fold
 
 START = datetime(2024, 1, 1, 23, 55)
 EPOCH = int(START.replace(tzinfo=timezone.utc).timestamp())
@@ -49,3 +50,20 @@ def test_sliding_counts(words, occurrences, slide):
         for i in range(1, 300 // slide + 1):
             expected[(w, (s // slide + i) * slide)] += 1
     assert found == dict(expected)
+
+
+@pytest.mark.parametrize(("length", "slide"), [(300, 70), (60, 90), (7, 3), (300, 300)])
+def test_any_length_and_slide(spark, length, slide):
+    rng = random.Random(2)
+    rows = [(rng.choice("ab"), START + timedelta(seconds=s), s) for s in (rng.randrange(900) for _ in range(200))]
+    df = spark.createDataFrame([*rows, ("a", None, 5)], "k STRING, ts TIMESTAMP, v BIGINT")
+    folds = [Fold("n", "count"), Fold("total", "sum", "v"), Fold("low", "min", "v")]
+    found = windowed_fold(df, ["k"], folds, length=length, slide=slide)
+    got = {(r["e"], r["k"]): (r["n"], r["total"], r["low"]) for r in found.select("*", F.unix_seconds("w_end").alias("e")).collect()}
+    expected = {}
+    for end in range((EPOCH // slide) * slide, EPOCH + 900 + length + slide, slide):
+        for k in "ab":
+            inside = [v for x, _, v in rows if x == k and end - length <= EPOCH + v < end]
+            if inside:
+                expected[(end, k)] = (len(inside), sum(inside), min(inside))
+    assert got == expected
