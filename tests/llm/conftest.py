@@ -1,5 +1,3 @@
-import random
-
 import pytest
 from pyspark.sql import types as T
 
@@ -38,7 +36,3 @@ def odd_rows():
         (1, None), (2, ""), (3, "  \n\t "), (4, "word"), (5, same), (6, same), (6, same), (7, same + " eleven"),
         (None, same), (None, None), (8, long), (9, long + " end"), (10, "two words"), (10, "other text here"), (11, "é ß 漢字 \U0001f600"),
     ]
-
-
-def prose(rng: random.Random, n: int) -> str:
-    return " ".join("".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 6))) for _ in range(n))

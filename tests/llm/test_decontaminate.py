@@ -1,6 +1,6 @@
 import random
 
-from conftest import prose
+from brute import prose
 
 from hybridflow.llm.decontaminate import contamination, drop_contaminated, tile
 

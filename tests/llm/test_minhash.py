@@ -2,7 +2,7 @@ import random
 
 import brute
 import pytest
-from conftest import prose
+from brute import prose
 
 from hybridflow.llm import minhash
 from hybridflow.llm.minhash import drop_near_duplicates, near_duplicates

@@ -2,7 +2,7 @@ import random
 
 import brute
 import pytest
-from conftest import prose
+from brute import prose
 
 import corpus_pipeline
 from hybridflow.llm.common import Cuts

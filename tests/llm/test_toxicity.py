@@ -2,7 +2,7 @@ import random
 
 import numpy as np
 import pytest
-from conftest import prose
+from brute import prose
 
 from hybridflow.llm import toxicity
 
