@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from hybridflow.functions.records import (
     decode_csv,
@@ -15,9 +16,13 @@ from hybridflow.functions.records import (
     right_side,
 )
 from hybridflow.operators.connect import connect
+from hybridflow.plans.elements import CUTS, event_batches
 from hybridflow.session import new_path
+from hybridflow.sources.queue import BatchQueue
 from hybridflow.sources.tables import table
 from hybridflow.sources.text import read_clean_lines
+from hybridflow.streaming.sinks import batch_folder, read_batches
+from hybridflow.streaming.stateful import co_map_stream
 
 CUSTOMER = "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING"
 
@@ -74,6 +79,31 @@ def connect_tagged_union(spark, folder):
     )
 
 
+def connect_co_map(spark, folder):
+    """Each event with its user's market segment; events that come before their customer wait for it."""
+    stream = [
+        b.select(F.lit("stream").alias("side"), F.col("user_id").alias("k"), F.col("event_id").alias("value"))
+        for b in event_batches(spark, folder, CUTS[1:2])
+    ]
+    batch = table(spark, folder, "customer").select(
+        F.lit("batch").alias("side"), F.col("c_custkey").alias("k"),
+        F.lit("segment").alias("name"), F.col("c_mktsegment").alias("text"),
+    )
+    out = new_path(spark, "co-map")
+    no_text = {c: F.lit(None).cast("string") for c in ("name", "text")}
+    early, later = (b.withColumns(no_text) for b in stream)
+    later = later.unionByName(batch.withColumn("value", F.lit(None).cast("bigint")))
+    kinds = (("k", LongType()), ("event_id", LongType()), ("segment", StringType()))
+    schema = StructType([StructField(name, kind) for name, kind in kinds])
+
+    def sink(both):
+        joined = co_map_stream(both, "k", lambda k, event_id, known: (k, event_id, known["segment"]), schema)
+        return joined.writeStream.foreachBatch(batch_folder(out))
+
+    BatchQueue(spark).run([early, later], sink)
+    return read_batches(spark, out).select("k", "event_id", "segment")
+
+
 QUERIES = {
     "decode_messages": decode_messages,
     "encode_messages": encode_messages,
@@ -81,6 +111,7 @@ QUERIES = {
     "parse_lines": parsed_lines,
     "tagged_union_map": tagged_union_map,
     "connect_tagged_union": connect_tagged_union,
+    "connect_co_map": connect_co_map,
 }
 
 SQL = {
@@ -104,4 +135,7 @@ SQL = {
         FROM (SELECT 'stream' AS side, user_id AS k, value, NULL AS c_acctbal FROM events
               UNION ALL SELECT 'batch', c_custkey, NULL, c_acctbal FROM customer)
         GROUP BY k""",
+    "connect_co_map": """
+        SELECT c_custkey AS k, event_id, c_mktsegment AS segment
+        FROM events JOIN customer ON user_id = c_custkey""",
 }
