@@ -176,14 +176,20 @@ def near_vectors(
     dealt = dealt.select("label", "dim", "shard", "node", "copies", "v").repartition(2 * int(n_shards) + 1, "label", "dim", "shard")
     graphs = cuts.cut(dealt.groupBy("label", "dim", "shard").applyInPandas(_build, GRAPH))
 
-    def side(name: str) -> DataFrame:
-        return graphs.select(*[F.col(c).alias(f"{name}_{c}") for c in graphs.columns])
+    def side(name: str, columns: list[str]) -> DataFrame:
+        return graphs.select(*[F.col(c).alias(f"{name}_{c}") for c in columns])
 
-    p, q = side("p"), side("q")
-    kin = (p["p_label"] == q["q_label"]) & (p["p_dim"] == q["q_dim"]) & (p["p_shard"] <= q["q_shard"])
+    at = ["label", "dim", "shard"]
+    p, q = side("x", at), side("y", at)
+    kin = (p["x_label"] == q["y_label"]) & (p["x_dim"] == q["y_dim"]) & (p["x_shard"] <= q["y_shard"])
     pairs = int(per.agg(F.coalesce(F.sum(F.col("shards") * (F.col("shards") + 1) / 2), F.lit(0))).first()[0])
-    # Shard ids are paired first, then each pair fetches its two graphs.
-    both = p.join(q, kin).repartition(pairs + 1)
+    # Shard ids are paired first, then each pair fetches its two graphs by shard.
+    both = p.join(q, kin)
+    for ids, name in (("x", "p"), ("y", "q")):
+        graph = side(name, graphs.columns)
+        same = [F.col(f"{ids}_{c}") == F.col(f"{name}_{c}") for c in at]
+        both = both.join(graph, same)
+    both = both.drop(*[f"{ids}_{c}" for ids in "xy" for c in at]).repartition(pairs + 1)
     found = cuts.cut(both.mapInArrow(_search(cosine, recall), "node long, n_links long, root long"))
     links = found.groupBy(F.col("node").alias("f")).agg(F.sum("n_links").alias("n"))
     parts = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")), cuts).withColumnRenamed("node", "g")
