@@ -242,14 +242,20 @@ def repeated_spans(texts: DataFrame, cuts: Cuts, length: int, seed: int, task_ro
     context = cuts.cut(with_text.select("doc_id", "tag", "text", "places", "codes").mapInArrow(_contexts(length, seed), CONTEXT))
     cuts.drop(places)
 
-    classes = cuts.cut(context.groupBy("h", "c").agg(F.count("*").alias("n"), F.min("nl").alias("nl"), F.min("nr").alias("nr")))
+    # Each class is shown by one of its rows, so that rows meet by what tells them apart, not by piece.
+    own = F.xxhash64("doc_id", "tag", "pos")
+    counted = context.groupBy("h", "c")
+    classes = cuts.cut(
+        counted.agg(F.count("*").alias("n"), F.min("nl").alias("nl"), F.min("nr").alias("nr"), F.min(own).alias("shown"))
+    )
     per = classes.groupBy("h").agg(F.count("*").alias("m"))
     alone = classes.join(per.where("m = 1").select(F.col("h").alias("k")), F.col("h") == F.col("k"), "left_semi")
     alone = alone.where(f"n > 1 and nl + nr >= {length}").select("h", "c", F.col("nl").alias("before"), F.col("nr").alias("after"))
-    several = cuts.cut(per.where("m > 1").select(F.col("h").alias("k"), "m"))
-    bytes_ = context.select("h", "c", "left", "right").join(several, F.col("h") == F.col("k")).groupBy("h", "c")
-    bytes_ = bytes_.agg(F.count("*").alias("n"), F.first("left").alias("left"), F.first("right").alias("right"), F.first("m").alias("m"))
-    bytes_ = cuts.cut(bytes_)
+    several = classes.join(per.where("m > 1").select(F.col("h").alias("k"), "m"), F.col("h") == F.col("k"))
+    several = cuts.cut(several.select(F.col("h").alias("k"), F.col("c").alias("l"), "shown", "n", "m"))
+    rows = context.select("h", "c", own.alias("own"), "left", "right")
+    shown = (F.col("h") == F.col("k")) & (F.col("c") == F.col("l")) & (F.col("own") == F.col("shown"))
+    bytes_ = cuts.cut(rows.join(several, shown).select("h", "c", "n", "left", "right", "m"))
     few = bytes_.where(F.col("m") <= task_rows).select("h", "c", "n", "left", "right")
     n_tasks = 1 + bytes_.where(F.col("m") <= task_rows).count() // task_rows
     width = max(int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")), n_tasks)
