@@ -4,9 +4,10 @@
 2. The vectors of a label are dealt into shards of about ``shard_rows``; each shard becomes a graph,
    written as one row. A label that holds a third of all rows is many shards.
 3. Every vector is searched in every shard of its label, shard against shard; a pair of shards is
-   searched once and counts for both sides. The beam and the margin of a search widen until an
-   audit passes: a fixed part of the queries is compared with all vectors of the shard, and at
-   least ``recall`` of their links must have been found. The widest search compares everything.
+   searched once and counts for both sides. The beam and the margin of a search widen until two
+   audits pass, of a fixed part of the queries and of vectors planted at ``cosine`` from rows of the
+   shard: both are compared with all vectors of the shard, and at least ``recall`` of the links of
+   each, without those to itself, must have been found. The widest search compares everything.
 4. Candidates are verified by cosine in double precision. Per pair of shards come out the number of
    links of each vector, and one link to the component it has there; large-star and small-star
    join these.
@@ -35,7 +36,11 @@ COSINE = 0.98
 SHARD_ROWS = 8192
 RECALL = 0.995
 AUDIT_EVERY = 50
+#: Vectors planted in a shard for the audit: enough that no single one decides about 99.5%.
+PLANTED = 600
 BEAM = 32
+#: Vectors a search looks at for each place of its beam, at the least.
+REACH = 16
 MARGIN = 0.005
 NAMELESS = 1 << 62
 #: Float32 products of unit vectors differ from double ones by less than this.
@@ -71,23 +76,45 @@ class Shard:
         self.graph = Graph(self.unit.astype(np.float32), links, row["entry"])
 
 
+def planted(x: np.ndarray, cosine: float) -> np.ndarray:
+    """Up to PLANTED unit vectors at ``cosine`` from rows of ``x`` (unit vectors), each in a direction of its own."""
+    rows = x[np.unique(np.linspace(0, len(x) - 1, min(PLANTED, len(x))).astype(int))]
+    away = np.random.default_rng(13).normal(size=rows.shape)
+    away -= (away * rows).sum(axis=1, keepdims=True) * rows
+    length = np.sqrt((away * away).sum(axis=1, keepdims=True))
+    away /= np.maximum(length, 1e-12)  # one dimension has no other direction
+    return unit(cosine * rows + np.sqrt(max(0.0, 1 - cosine * cosine)) * away)
+
+
 def linked(queries: Shard, shard: Shard, cosine: float, recall: float, beam: int = BEAM) -> tuple[np.ndarray, np.ndarray]:
-    """Verified (query, node) pairs, after widening the search until the audit passes."""
+    """Verified (query, node) pairs, after widening the search until the audits pass.
+
+    One audit takes some of the queries, without what each finds of itself; the other takes planted
+    vectors, which have links whether or not the queries have any. Both must reach ``recall``.
+    """
     n = len(queries.nodes)
+    least = cosine - ROUNDING
     audit = np.arange(0, n, max(1, min(AUDIT_EVERY, n // 16)))
-    exact = [np.flatnonzero(shard.unit @ queries.unit[i] >= cosine - ROUNDING) for i in audit]
-    wanted = sum(map(len, exact))
+    trials = [(queries.unit[audit], audit if queries is shard else np.full(len(audit), -1)), (made := planted(shard.unit, cosine), np.full(len(made), -1))]
+    width = len(shard.nodes)
+    exact: list[np.ndarray] = []
     margin = MARGIN
+
+    def passes(x: np.ndarray, own: np.ndarray, wanted: np.ndarray) -> bool:
+        row, node = shard.graph.within(x, least, beam, margin)
+        other = node != own[row]
+        return len(np.intersect1d(row[other] * width + node[other], wanted)) >= recall * len(wanted)
+
     while True:
-        if beam >= len(shard.nodes):  # nothing is left to widen: compare everything
-            found = [np.nonzero(queries.unit[a : a + QUERY_BATCH] @ shard.unit.T >= cosine - ROUNDING) for a in range(0, n, QUERY_BATCH)]
+        if beam * REACH >= width:  # a wider search would look at as many vectors: compare everything
+            found = [np.nonzero(queries.unit[a : a + QUERY_BATCH] @ shard.unit.T >= least) for a in range(0, n, QUERY_BATCH)]
             break
-        row, node = shard.graph.within(queries.unit[audit], cosine - ROUNDING, beam, margin)
-        got = sum(len(np.intersect1d(node[row == i], exact[i])) for i in range(len(audit)))
-        if got >= recall * wanted:
-            found = [
-                shard.graph.within(queries.unit[a : a + QUERY_BATCH], cosine - ROUNDING, beam, margin) for a in range(0, n, QUERY_BATCH)
-            ]
+        if not exact:
+            for x, own in trials:
+                row, node = np.nonzero(x @ shard.unit.T >= least)
+                exact.append((row * width + node)[node != own[row]])
+        if all(passes(x, own, wanted) for (x, own), wanted in zip(trials, exact, strict=True)):
+            found = [shard.graph.within(queries.unit[a : a + QUERY_BATCH], least, beam, margin) for a in range(0, n, QUERY_BATCH)]
             break
         beam, margin = beam * 2, margin * 2
     row = np.concatenate([r + a for (r, _), a in zip(found, range(0, n, QUERY_BATCH), strict=True)]) if found else np.empty(0, int)

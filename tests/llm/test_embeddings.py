@@ -1,8 +1,9 @@
 import brute
 import numpy as np
+import pandas as pd
 import pytest
 
-from hybridflow.llm.embedding_dedup import local_roots, near_vectors
+from hybridflow.llm.embedding_dedup import Shard, _build, linked, local_roots, near_vectors, planted
 from hybridflow.llm.hnsw import Graph
 
 VECTORS = "vec_id long, embedding array<float>, label int, node long, shard int"
@@ -48,6 +49,43 @@ def test_recall_of_the_graph_with_dense_groups():
     assert exact[row, node].all() and len(set(zip(row.tolist(), node.tolist(), strict=True))) >= 0.9 * exact.sum()  # unwidened
 
 
+def shard_of(x):
+    rows = pd.DataFrame({"node": np.arange(len(x)), "copies": 1, "v": list(x)})
+    return Shard(_build((0, x.shape[1], 0), rows).iloc[0].to_dict())
+
+
+def sparse_pairs(n, seed=3, dim=32, spread=0.14, size=50):
+    """Rows of which one in 10 of the second part, never one the audit takes, is near one of the first."""
+    rng = np.random.default_rng(seed)
+
+    def unit(v):
+        return v / np.linalg.norm(v, axis=1, keepdims=True)
+
+    centres = np.repeat(unit(rng.normal(size=(n // size, dim))), size, axis=0)
+    x = unit(centres + spread * unit(rng.normal(size=centres.shape)))
+    y = unit(rng.normal(size=x.shape))
+    at = np.arange(3, n, 10)
+    y[at] = planted(x[at], 0.981)
+    return x, y
+
+
+def test_sparse_pairs_that_no_audited_row_has():
+    x, y = sparse_pairs(4000)
+    p, q = shard_of(x), shard_of(y)
+    exact = q.unit @ p.unit.T >= 0.98
+    assert exact.sum() > 400 and not exact[::50].any()
+    for beam in (1, 32):
+        row, node = linked(q, p, 0.98, 0.995, beam=beam)
+        assert exact[row, node].all() and len(row) >= 0.995 * exact.sum(), beam
+
+
+def test_planted_vectors_keep_their_distance():
+    x = shard_of(clusters(20, 50, 4)).unit
+    rows = np.unique(np.linspace(0, 999, 600).astype(int))
+    assert np.allclose((planted(x, 0.98) * x[rows]).sum(axis=1), 0.98)
+    assert planted(np.array([[1.0], [-1.0]]), 0.98).tolist() == [[1.0], [-1.0]]
+
+
 def test_local_roots():
     assert local_roots(6, np.array([5, 3]), np.array([4, 5])).tolist() == [0, 1, 2, 3, 3, 3]
     assert local_roots(0, np.empty(0, int), np.empty(0, int)).tolist() == []
