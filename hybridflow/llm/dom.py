@@ -9,7 +9,22 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr img br".split()
 )
-RAW = frozenset("script style noscript template iframe svg math object canvas textarea select title head".split())
+#: Inside these nothing is a tag: they end at the closing tag of their own name. Their content is left out.
+RAW = ("script", "style", "iframe", "textarea", "title")
+RAW_END = {name: re.compile(rf"</{name}(?=[\s/>]|\Z)[^>]*>?", re.I) for name in RAW}
+#: Without that closing tag the rest of the page is code, as in browsers; of the others only the tag is left out.
+CODE = frozenset(("script", "style"))
+FOREIGN = frozenset(
+    (
+        "math mi mn mo ms mtext mspace mrow mfrac msqrt mroot mstyle merror mpadded mphantom mfenced menclose msub msup msubsup munder mover munderover "
+        "mmultiscripts mprescripts mtable mtr mtd mlabeledtr maction semantics annotation annotation-xml "
+        "svg g path circle ellipse rect line polyline polygon text tspan textpath defs use symbol desc marker mask pattern filter stop image "
+        "lineargradient radialgradient clippath foreignobject"
+    ).split()
+)
+#: Belong to the text around them, so that a formula stays in its paragraph.
+EMBEDDED = FOREIGN | frozenset("object noscript canvas template select option optgroup".split())
+APART = frozenset("option optgroup annotation text".split())
 #: What the opening of a block closes if it is still open.
 CLOSES = {
     "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"),
@@ -36,7 +51,7 @@ GROUPS = {
 TOKEN_GROUP = {t: g for g, ts in GROUPS.items() for t in ts.split()}
 GROUP_NAMES = tuple(GROUPS)
 TAG_GROUPS = {
-    "nav": "menu", "header": "edge", "footer": "edge", "aside": "edge", "form": "form", "button": "form", "fieldset": "form",
+    "nav": "menu", "header": "edge", "footer": "edge", "aside": "edge", "form": "form", "button": "form", "fieldset": "form", "select": "form",
     "dialog": "notice", "article": "for", "main": "for",
 }
 TAGS = ("p", "div", "section", "li", "ul", "ol", "td", "h1", "h2", "h3", "blockquote", "pre", "article", "main", "nav", "header", "footer", "aside", "form", "figcaption", "dd", "body", "figure")
@@ -60,7 +75,7 @@ class Node:
         self.tag, self.parent, self.order, self.block = tag, parent, order, block
         self.depth = parent.depth + 1 if parent else 0
         self.groups, self.truth = set(), False
-        self.hidden = bool(attributes) and HIDDEN.search(attributes) is not None
+        self.hidden = tag == "template" or bool(attributes) and HIDDEN.search(attributes) is not None
         if attributes:
             for m in ATTRIBUTE.finditer(attributes):
                 if m[1].lower() == "data-truth":
@@ -83,12 +98,12 @@ class Node:
 def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
     """Nodes in page order, and the texts in page order: (node that it belongs to, text).
 
-    A text of -1 as node parts blocks. Scripts, styles and the like are left out.
+    A text of -1 as node parts blocks. Contents of RAW elements are left out.
     """
     root = Node("html", None, "", 0)
     nodes, pieces, stack = [root], [], [("html", root)]
     at, link = 0, 0
-    raw = None
+    endless: set[str] = set()
 
     def text(value: str) -> None:
         if not value:
@@ -103,15 +118,9 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
             if link:
                 node.links += len(value.strip())
 
-    for m in TAG.finditer(page):
+    tokens = TAG.finditer(page)
+    while (m := next(tokens, None)) is not None:
         name = m[2] or m[5]
-        if raw is not None:
-            if name is None or not (m[1] or m[4]) or name.lower() != raw:
-                continue
-            raw, at = None, m.end()
-            continue
-        if m.start() < at:
-            continue
         if m.start() > at:
             text(entities.unescape(page[at : m.start()]) if "&" in page[at : m.start()] else page[at : m.start()])
         at = m.end()
@@ -123,19 +132,26 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
         if tag == "br" or tag == "hr":
             pieces.append((stack[-1][1].order, " "))
             continue
-        if tag in RAW:
-            if tag == "head":
-                continue
-            if not shut and not attributes.endswith("/"):
-                raw = tag
+        if tag == "head":
+            continue
+        if tag in RAW_END:
+            if not shut and not attributes.endswith("/") and tag not in endless:
+                end = RAW_END[tag].search(page, at)
+                if end is None:
+                    endless.add(tag)
+                if end is not None or tag in CODE:
+                    at = end.end() if end else len(page)
+                    tokens = TAG.finditer(page, at)
             continue
         if tag == "a":
             link = 0 if shut else 1
         if tag in VOID:
             continue
-        inline = tag in INLINE
+        inline = tag in INLINE or tag in EMBEDDED
         if not inline:
             pieces.append((-1, " "))
+        elif tag in APART:
+            pieces.append((stack[-1][1].order, " "))
         if shut:
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k][0] == tag:
@@ -145,7 +161,9 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
                     break
             continue
         if inline:
-            if attributes and ("class" in attributes or "id" in attributes or "hidden" in attributes):
+            if tag in FOREIGN and attributes.endswith("/"):
+                continue
+            if tag in ("select", "template") or attributes and ("class" in attributes or "id" in attributes or "hidden" in attributes):
                 node = Node(tag, stack[-1][1], attributes, len(nodes), block=False)
                 if node.hidden or node.groups - {"for"}:
                     nodes.append(node)
@@ -172,7 +190,7 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
         node = Node(tag, stack[-1][1], attributes, len(nodes))
         nodes.append(node)
         stack.append((tag, node))
-    if raw is None and at < len(page):
+    if at < len(page):
         text(entities.unescape(page[at:]))
     return nodes, pieces
 

@@ -44,6 +44,49 @@ def test_written_pages(model, page, text):
     assert html_text.main_texts([page], model) == [text]
 
 
+STORY = "<p>This is the first paragraph of the story, with words.</p>{}<p>And this is the second one, with more of it.</p>"
+WHOLE = "This is the first paragraph of the story, with words. And this is the second one, with more of it."
+
+
+@pytest.mark.parametrize(
+    "odd",
+    [
+        "<script>for(i=0;i<n;i++){f(i)}</script>",
+        "<script><!-- f(); </script>",
+        "<style><!-- p > a {} </style>",
+        "<SCRIPT>if(a<b)document.write('</p>')</SCRIPT >",
+        "<textarea>a <b and </textarea>",
+        "<iframe src=x>",
+        "<math></math><object data=x>",
+        "<svg viewBox='0 0 1 1'><path class='nav' d='M0 0'/></svg>",
+        "<noscript><img src=x></noscript>",
+    ],
+)
+@pytest.mark.parametrize("before", [True, False])
+def test_no_text_is_lost_after(model, odd, before):
+    body = f"{odd}<article>{STORY.format('')}</article>" if before else f"<article>{STORY.format(odd)}</article>"
+    page = f"<html><head><title>A <b title</title></head><body><nav><a href=/>Home</a><a href=/x>News</a></nav>{body}<script>g()</script><footer>&copy; Some one</footer></body></html>"
+    assert html_text.main_texts([page], model) == [WHOLE]
+
+
+def test_formulas_and_objects_stay_in_their_paragraph(model):
+    page = (
+        "<body><nav><a href=/>Home</a></nav><article><p>The sum <math><mi>a</mi><mo>+</mo><mn>1</mn></math> is larger than any of its parts.</p>"
+        "<object data=x><p>What is shown here can also be read, word for word.</p></object><p>So it ends, as all things do.</p></article></body>"
+    )
+    want = "The sum a+1 is larger than any of its parts. What is shown here can also be read, word for word. So it ends, as all things do."
+    assert html_text.main_texts([page], model) == [want]
+
+
+@pytest.mark.parametrize("page", ["<title>" * 100_000, "<script><</script>" * 50_000, "<textarea><iframe>" * 50_000])
+def test_raw_elements_take_linear_time(page):
+    import time
+
+    started = time.perf_counter()
+    dom.parse(page)
+    assert time.perf_counter() - started < 20
+
+
 def test_spark_trees_and_arrays_agree(spark, model):
     from pyspark.ml.classification import GBTClassifier
 
