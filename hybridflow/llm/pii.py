@@ -100,10 +100,10 @@ INVISIBLE = "­​‌‍⁠﻿"
 
 DIGIT_OF = {w: d for words, digits in SPELLED.items() for w, d in zip(words.split(), digits, strict=True)}
 _WORD = "(?:" + "|".join(sorted(DIGIT_OF, key=len, reverse=True)) + ")"
-_NUM = rf"(?:\b{_WORD}\b|[0-9]+)"
-_JOIN = r"(?:[\s,/-]{1,3}|\s+(?:dot|punkt|point|punto)\s+|\s*\.\s*)"
-SPELLED_RUN = re.compile(rf"(?:\bplus\s+|\+\s*)?{_NUM}(?:{_JOIN}{_NUM}){{2,}}", re.I)
-SPELLED_HINT = re.compile(rf"\b{_WORD}\b[\s,/-]{{1,3}}\b{_WORD}\b", re.I)
+_NUM = rf"(?:\b{_WORD}\b|(?<![0-9])[0-9]++)"
+_JOIN = r"(?:[\s,/-]{1,3}|\s++(?:dot|punkt|point|punto)\s++|\s*+\.\s*+)"
+SPELLED_RUN = re.compile(rf"(?:\bplus\s++|\+\s*+)?{_NUM}(?:{_JOIN}{_NUM}){{2,}}", re.I)
+SPELLED_ONE = re.compile(rf"\b{_WORD}\b", re.I)
 PIECE = re.compile(rf"\bplus\b|\+|\b{_WORD}\b|[0-9]+|\b(?:dot|punkt|point|punto)\b|\.", re.I)
 
 _OPEN, _SHUT = r"[\[({<]", r"[\])}>]"
@@ -125,6 +125,8 @@ WRITTEN = re.compile("|".join([_written("at", "dot"), _written("arroba", "punto|
 WRITTEN_AT = re.compile(r"\s+(?:at|arroba|arobase|ät)\s+", re.I)
 WRITTEN_DOT = re.compile(r"\s+(?:dot|punto|point|punkt)\s+", re.I)
 DIGIT_DOT = re.compile(r"(?<=[0-9])\s+dot\s+(?=[0-9])", re.I)
+#: Words joined by written dots, of which some hold a sign already.
+DOTTED = re.compile(r"(?<![A-Za-z0-9._%+@-])[A-Za-z0-9._%+@-]++(?:\s++dot\s++[A-Za-z0-9._%+@-]++)++", re.I)
 HALF_WRITTEN = re.compile(r"(?<=[A-Za-z0-9])\s+dot\s+(?=[A-Za-z0-9])", re.I)
 RARE = re.compile(r"[­·ıɐ-᳿‐-—•․‧​-‍⁠-￿\U00010000-\U0001ffff]")
 
@@ -171,11 +173,11 @@ def without_invisible(m: Mapped) -> Mapped:
 def spelled_digits(m: Mapped) -> Mapped:
     """Runs of at least three numbers of which some are spelled, as digits."""
 
+    runs = [(run, list(PIECE.finditer(m.text, run.start(), run.end()))) for run in SPELLED_RUN.finditer(m.text)]
+    runs = [(run, pieces) for run, pieces in runs if sum(p.group().lower() in DIGIT_OF for p in pieces) >= 2]
+
     def changes():
-        for run in SPELLED_RUN.finditer(m.text):
-            pieces = list(PIECE.finditer(m.text, run.start(), run.end()))
-            if sum(p.group().lower() in DIGIT_OF for p in pieces) < 2:
-                continue
+        for run, pieces in runs:
             done = run.start()
             for p in pieces:
                 word = p.group().lower()
@@ -185,7 +187,7 @@ def spelled_digits(m: Mapped) -> Mapped:
                 yield p.start(), p.end(), new
                 done = p.end()
 
-    return m.rewrite(changes())
+    return m.rewrite(changes()) if runs else m
 
 
 def written_signs(m: Mapped) -> Mapped:
@@ -195,7 +197,8 @@ def written_signs(m: Mapped) -> Mapped:
         m = m.rewrite((x.start(), x.end(), ".") for x in BRACKET_DOT.finditer(m.text) if x.start() and x.end() < len(m.text))
     m = m.rewrite((x.start(), x.end(), ".") for x in DIGIT_DOT.finditer(m.text))
     if "@" in m.text:
-        m = m.rewrite((x.start(), x.end(), ".") for x in HALF_WRITTEN.finditer(m.text) if "@" in m.text[max(0, x.start() - 64) : x.end() + 64])
+        joined = [x.span() for x in DOTTED.finditer(m.text) if "@" in x.group()]
+        m = m.rewrite((x.start(), x.end(), ".") for a, b in joined for x in HALF_WRITTEN.finditer(m.text, a, b))
 
     def changes():
         for found in WRITTEN.finditer(m.text):
@@ -212,13 +215,13 @@ def disguised_spans(text: str, plain: list[Span]) -> list[Span]:
     odd = not text.isascii() and RARE.search(text) is not None
     low = text.lower()
     signs = any(w in low for w in ("dot", "arroba", "arobase", "punkt", "punto", "point")) or BRACKET_AT.search(text) or BRACKET_DOT.search(text)
-    digits = SPELLED_HINT.search(text)
+    digits = SPELLED_ONE.search(text) and SPELLED_RUN.search(text)
     if not (odd or signs or digits):
         return []
     m = Mapped(text)
     if odd:
         m = without_invisible(Mapped(text.translate(fold())))
-    if SPELLED_HINT.search(m.text):
+    if digits or odd:
         m = spelled_digits(m)
     if signs or odd:
         m = written_signs(m)

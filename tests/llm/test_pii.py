@@ -62,6 +62,30 @@ def test_disguises_map_back_to_source_places(text, kind, source):
     assert set(plain) <= set(every)
 
 
+@pytest.mark.parametrize(
+    ("text", "kind", "source"),
+    [
+        ("host one dot two dot three dot four", "ip", "one dot two dot three dot four"),
+        ("host 10 dot one.20 . two", "ip", "10 dot one.20 . two"),
+        ("call plus 1 five 5 five 5 two 5 seven 1 four", "phone", "plus 1 five 5 five 5 two 5 seven 1 four"),
+        ("card four 111 1111 one 111 1111", "card", "four 111 1111 one 111 1111"),
+        (f"j@{'a' * 70} dot {'b' * 70} dot org", "email", f"j@{'a' * 70} dot {'b' * 70} dot org"),
+        ("a@b.co, or john at mail dot example dot org", "email", "john at mail dot example dot org"),
+    ],
+)
+def test_disguises_without_two_spelled_digits_side_by_side(text, kind, source):
+    assert (kind, text.index(source), text.index(source) + len(source)) in find(text)[1]
+
+
+@pytest.mark.parametrize("text", ["one " + "1" * 300_000, "one two " + "1" * 300_000, "one 1" + " " * 300_000, "a@b " + "a dot " * 50_000, "one . " * 50_000, "a one 1 " * 40_000])
+def test_long_runs_beside_a_spelled_digit_take_linear_time(text):
+    import time
+
+    started = time.perf_counter()
+    find(text)
+    assert time.perf_counter() - started < 20
+
+
 @pytest.mark.parametrize(
     "text", ["we met at the dot com boom", "look at example.com", "he was at one point four", "one two three four five", "a (at) b", "Москва и люди"]
 )
