@@ -2,10 +2,26 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hybridflow.llm import decontaminate, embedding_dedup, html_text, line_dedup, minhash, mixing, pii, suffix_dedup, toxicity, warc
+from hybridflow.llm import (
+    decontaminate,
+    embedding_dedup,
+    filter_audit,
+    hard_negatives,
+    html_text,
+    line_dedup,
+    minhash,
+    mixing,
+    pii,
+    sharding,
+    suffix_dedup,
+    toxicity,
+    warc,
+)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -90,6 +106,25 @@ def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents in 16 shards that all match the mixture of sources."""
+    placed = sharding.assign(table(spark, folder, "documents"))
+    law, grown = F.lit(sharding.LAW).alias("law"), F.lit(None).cast("int").alias("grown_shard")
+    return placed.select("doc_id", "size", "text_crc32", law, "shard", "slot", grown)
+
+
+def op12_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    """What five filters remove from each source, in all 120 orders."""
+    masks = filter_audit.failure_masks(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return filter_audit.audit(masks)
+
+
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Hard negatives for every hundredth vector and each of its positives."""
+    rows = table(spark, folder, "embeddings")
+    return hard_negatives.hard_negatives(rows.withColumn("label", hard_negatives.relabelled(rows["label"], rows["vec_id"])))
+
+
 OP1_SQL = """
 WITH hashed AS (
   SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha1(coalesce(html, '')) AS hex FROM pages
@@ -222,6 +257,109 @@ SELECT t.doc_id, CAST(coalesce(len(t.lines), 0) AS BIGINT) AS n_lines,
 FROM texts t LEFT JOIN kept k USING (doc_id)
 """
 
+
+def _crc_step(c: int) -> int:
+    for _ in range(8):
+        c = 0xEDB88320 ^ c >> 1 if c & 1 else c >> 1
+    return c
+
+
+# The checksum's step over a byte is linear, so it is the sum of the steps of the byte's bits.
+_CRC_FOLD = functools.reduce(
+    lambda a, b: f"xor({a}, {b})", [f"((xor(c, b) >> {k}) & 1) * {_crc_step(1 << k)}" for k in range(8)], "(c >> 8)"
+)
+_U48 = "(CAST('0x' || substr(md5({}), 1, 12) AS BIGINT) + 0.5::DOUBLE) / 281474976710656::DOUBLE"
+
+OP11_SQL = f"""
+WITH coded AS (
+  SELECT doc_id, source, regexp_extract_all(hex(encode(coalesce(text, ''))), '..') AS bytes FROM documents
+), base AS (
+  SELECT doc_id, CASE WHEN source IS NULL THEN '-' ELSE '+' || source END AS s, CAST(len(bytes) + 1 AS BIGINT) AS size,
+    xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(bytes, lambda h: CAST('0x' || h AS BIGINT))),
+        lambda c, b: {_CRC_FOLD})) AS text_crc32
+  FROM coded
+), keyed AS (
+  SELECT *, {_U48.format("coalesce(CAST(doc_id AS VARCHAR), '') || ':' || text_crc32 || ':29'")} AS key,
+    {_U48.format("'source:' || s || ':29'")} AS start
+  FROM base
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY s ORDER BY key, doc_id NULLS FIRST, size, text_crc32) - 1 AS rank,
+    count(*) OVER (PARTITION BY s) AS source_n
+  FROM keyed
+), placed AS (
+  SELECT *, row_number() OVER (ORDER BY (CAST(rank AS DOUBLE) + start) / source_n, s, rank) - 1 AS place, count(*) OVER () AS total
+  FROM ranked
+)
+SELECT doc_id, size, CAST(text_crc32 AS BIGINT) AS text_crc32, 'rows' AS law, CAST(place * 16 // total AS INTEGER) AS shard,
+  CAST(place - ((place * 16 // total) * total + 15) // 16 AS BIGINT) AS slot, CAST(NULL AS INTEGER) AS grown_shard
+FROM placed
+"""
+
+OP12_SQL = """
+WITH base AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+    regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w
+  FROM documents
+), masks AS (
+  SELECT doc_id, part,
+    CASE WHEN len(w) < 200 THEN 1 ELSE 0 END + CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 2 ELSE 0 END
+    + CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]+', '', 'g')) > 2 * length(t) THEN 4 ELSE 0 END
+    + CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END
+    + CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 16 ELSE 0 END AS mask
+  FROM base
+), told AS (
+  SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+  FROM labels GROUP BY doc_id
+), counts AS (
+  SELECT part, mask, count(*) AS n, sum(coalesce(good, 0)) AS good, sum(coalesce(toxic, 0)) AS toxic
+  FROM masks LEFT JOIN told USING (doc_id) GROUP BY part, mask
+), letters AS (
+  SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS letter, unnest([1, 2, 4, 8, 16]) AS bit
+), orders AS (
+  SELECT a.letter || b.letter || c.letter || d.letter || e.letter AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+  FROM letters a, letters b, letters c, letters d, letters e WHERE a.bit | b.bit | c.bit | d.bit | e.bit = 31
+), placed AS (
+  SELECT filter_order, bits, unnest([1, 2, 3, 4, 5]) AS step FROM orders
+), steps AS (
+  SELECT filter_order, step, bits[step] AS bit, coalesce(list_sum(bits[1:step - 1]), 0)::INTEGER AS before FROM placed
+), counted AS (
+  SELECT part, filter_order, step, bit,
+    coalesce(sum(n) FILTER (mask & (before | bit) = 0), 0) AS kept,
+    coalesce(sum(n) FILTER (mask & before = 0 AND mask & bit > 0), 0) AS removed,
+    coalesce(sum(n) FILTER (mask & before > 0 AND mask & bit > 0), 0) AS redundant,
+    coalesce(sum(n) FILTER (mask = bit), 0) AS unique_fails,
+    coalesce(sum(good) FILTER (mask & before = 0 AND mask & bit > 0), 0) AS good_lost,
+    coalesce(sum(toxic) FILTER (mask & before = 0 AND mask & bit > 0), 0) AS toxic_lost
+  FROM counts, steps GROUP BY part, filter_order, step, bit
+)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+  CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+  CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley
+FROM counted
+"""
+
+OP13_SQL = """
+WITH rows AS (
+  SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS q
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scores AS (
+  SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same, a.label = r.label AND a.vec_id = r.vec_id AS itself,
+    CAST(list_inner_product(a.q, r.q) AS BIGINT) AS score
+  FROM rows a, rows r WHERE a.vec_id % 100 = 0
+), positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scores WHERE same AND NOT itself
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+), ranked AS (
+  SELECT anchor_id, positive_id, vec_id AS negative_id, positive_score, score AS negative_score,
+    row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS rank
+  FROM positives JOIN scores USING (anchor_id)
+  WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 10
+"""
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_mix_sources": op2_mix_sources,
@@ -233,6 +371,9 @@ QUERIES = {
     "op8_personal_data": op8_personal_data,
     "op9_html_text": op9_html_text,
     "op10_decontaminate": op10_decontaminate,
+    "op11_sharding": op11_sharding,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 SQL = {
     "op1_warc": OP1_SQL,
@@ -240,4 +381,7 @@ SQL = {
     "op3_embedding_dedup": OP3_SQL,
     "op6_minhash_near_dedup": OP6_SQL,
     "op7_line_dedup": OP7_SQL,
+    "op11_sharding": OP11_SQL,
+    "op12_filter_audit": OP12_SQL,
+    "op13_hard_negatives": OP13_SQL,
 }
