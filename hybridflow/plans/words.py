@@ -7,7 +7,14 @@ from pyspark.sql import functions as F
 from hybridflow.functions.words import lines_of, paired_with_one, words_of
 from hybridflow.operators.keyed import totals_by_key
 from hybridflow.operators.rolling import Fold
-from hybridflow.operators.windows import fold_panes, panes, sliding_counts, trailing_counts, windowed_fold
+from hybridflow.operators.windows import (
+    fold_panes,
+    panes,
+    sliding_counts,
+    trailing_counts,
+    window_runs,
+    windowed_fold,
+)
 from hybridflow.plans.elements import CUTS, event_batches
 from hybridflow.session import new_path
 from hybridflow.sources.queue import BatchQueue
@@ -72,6 +79,18 @@ def wordcount_sliding_stream(spark, folder):
     return counts.select(F.unix_seconds("w_end").alias("w_end"), "word", "n")
 
 
+def wordcount_sliding_1s(spark, folder):
+    """Words of the last 5 minutes at each second: in how many windows a word counts ``n``, and the largest
+    value of an event in one of these. All windows are folded; equal counts are put together."""
+    events = table(spark, folder, "events").select("ts", "value", F.concat_ws(" ", "event_type", "props").alias("line"))
+    words = words_of(events, "line", "ts", "value")
+    folds = [Fold("n", "count"), Fold("largest", "max", "value")]
+    paned = words.groupBy("word", panes(F.col("ts"), 300, 1).alias("pane")).agg(*[f.over_rows().alias(f.name) for f in folds])
+    runs = window_runs(paned, ["word"], folds, "pane", 300, 1)
+    windows = F.sum(F.col("last_end") - F.col("first_end") + 1)
+    return runs.groupBy("word", "n").agg(windows.alias("n_windows"), F.max("largest").alias("largest"))
+
+
 def windowed_sum_by_key(spark, folder):
     """Values of each event type over the last 5 minutes, each minute and a half."""
     folds = [Fold("n", "count"), Fold("total", "sum", "value"), Fold("largest", "max", "value")]
@@ -91,6 +110,7 @@ QUERIES = {
     "wordcount_total": wordcount_total,
     "wordcount_sliding": wordcount_sliding,
     "wordcount_sliding_stream": wordcount_sliding_stream,
+    "wordcount_sliding_1s": wordcount_sliding_1s,
     "wordcount_trailing": wordcount_trailing,
     "windowed_sum_by_key": windowed_sum_by_key,
 }
@@ -118,6 +138,16 @@ SQL = {
         FROM (SELECT unnest({_SPLIT}) AS word FROM ({_LINES})) GROUP BY word""",
     "wordcount_sliding": _SLIDING,
     "wordcount_sliding_stream": _SLIDING,
+    "wordcount_sliding_1s": """
+        SELECT word, n, count(*) AS n_windows, max(largest) AS largest
+        FROM (SELECT word, s + i AS w_end, CAST(sum(n) AS BIGINT) AS n, max(largest) AS largest
+              FROM (SELECT word, s, count(*) AS n, max(value) AS largest
+                    FROM (SELECT CAST(floor(epoch(ts)) AS BIGINT) AS s, value,
+                                 unnest(string_split(event_type || ' ' || props, ' ')) AS word FROM events)
+                    GROUP BY word, s)
+              CROSS JOIN (SELECT unnest(range(1, 301)) AS i)
+              GROUP BY word, w_end)
+        GROUP BY word, n""",
     "windowed_sum_by_key": """
         SELECT w_end, event_type, count(*) AS n, round(sum(value), 4) AS total, max(value) AS largest
         FROM (SELECT s, event_type, value, unnest(range((s // 90 + 1) * 90, s + 301, 90)) AS w_end
