@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hybridflow.operators.keyed import ROWS_PER_TASK
-from hybridflow.operators.rolling import Fold, fold_totals, rolling_fold
+from hybridflow.operators.rolling import Fold, fold_totals, rolling_fold, with_values
 
 
 def one_per_key(
@@ -47,7 +47,7 @@ def enrich(
     Batch rows that repeat a key are folded to one. A null key finds no attributes.
     """
     known = batch.where(" and ".join(f"{k} is not null" for k in key))
-    return rolling_fold(stream, key, order, folds, known, rows_per_slice, side_repeats=True)
+    return with_values(rolling_fold(stream, key, order, folds, known, rows_per_slice, side_repeats=True), folds)
 
 
 def snapshot(stream: DataFrame, batch: DataFrame, key: list[str], folds: list[Fold]) -> DataFrame:
@@ -55,6 +55,11 @@ def snapshot(stream: DataFrame, batch: DataFrame, key: list[str], folds: list[Fo
 
     Batch rows that repeat a key are folded to one; those without a key stay by themselves.
     """
+    return with_values(entries_of(stream, batch, key, folds), folds)
+
+
+def entries_of(stream: DataFrame, batch: DataFrame, key: list[str], folds: list[Fold]) -> DataFrame:
+    """As :func:`snapshot`, with totals that can go on accumulating."""
     totals = fold_totals(stream, key, folds)
     keyless = batch.where(" or ".join(f"{k} is null" for k in key))
     joined = totals.join(known_keys(batch, key).unionByName(keyless), key, "full_outer")
@@ -80,13 +85,14 @@ def full(
     has_key = F.expr(" and ".join(f"{k} is not null" for k in key))
     at, time = F.lit(complete_at).cast(stream.schema[order[0]].dataType), F.col(order[0])
     early = stream.where(time.isNull() | (time < at))
-    entries = snapshot(early, batch.where(has_key), key, folds)
+    entries = entries_of(early, batch.where(has_key), key, folds)
     later = rolling_fold(stream.where(time >= at), key, order, folds, entries, rows_per_slice)
     attributes = [c for c in batch.columns if c not in key]
     shown = [*key, *order, *[f.name for f in folds], *attributes]
-    keyless = snapshot(early.where(F.lit(False)), batch.where(~has_key), key, folds)
+    keyless = entries_of(early.where(F.lit(False)), batch.where(~has_key), key, folds)
     flush = entries.unionByName(keyless)
     flush = flush.withColumns({c: F.lit(None).cast(stream.schema[c].dataType) for c in order})
-    return flush.select(F.lit("flush").alias("phase"), *shown).unionByName(
+    both = flush.select(F.lit("flush").alias("phase"), *shown).unionByName(
         later.select(F.lit("stream").alias("phase"), *shown)
     )
+    return with_values(both, folds)

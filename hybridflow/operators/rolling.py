@@ -18,6 +18,7 @@ from pyspark.sql.types import (
     IntegralType,
     LongType,
     NumericType,
+    StructField,
     StructType,
     TimestampNTZType,
     TimestampType,
@@ -31,28 +32,40 @@ SAMPLED_PER_SLICE = 1_000
 
 @dataclass(frozen=True)
 class Fold:
-    """How rows accumulate: ``count``, ``sum``, ``min`` or ``max`` of a column.
+    """How rows accumulate: ``count``, ``sum``, ``min``, ``max`` or ``last`` of a column.
 
-    Each kind can be merged, so totals of parts give the total of the whole.
+    Each kind can be merged, so totals of parts give the total of the whole. ``last`` is the value
+    of the latest row that has one, by the columns ``order`` (null comes first; of rows that tie the
+    highest value counts). Its total is a struct of that row's order and ``value``, so totals of slices,
+    micro-batches and sides merge in any sequence; :func:`with_values` shows the value alone.
     """
 
     name: str
     kind: str
     column: str | None = None
+    order: tuple[str, ...] = ()
 
     def over_rows(self) -> Column:
         if self.kind == "count":
             return F.count(F.lit(1))
+        if self.kind == "last":
+            at = [F.col(c).alias(f"at{i}") for i, c in enumerate(self.order)]
+            return F.max(F.when(F.col(self.column).isNotNull(), F.struct(*at, F.col(self.column).alias("value"))))
         return getattr(F, self.kind)(self.column)
 
     def over_totals(self, total: str) -> Column:
-        return F.sum(total) if self.kind == "count" else getattr(F, self.kind)(total)
+        if self.kind in ("count", "last"):
+            return F.sum(total) if self.kind == "count" else F.max(total)
+        return getattr(F, self.kind)(total)
 
     def result_type(self, schema: StructType) -> DataType:
         """Type of the fold over rows of this schema."""
         if self.kind == "count":
             return LongType()
         kind = schema[self.column].dataType
+        if self.kind == "last":
+            at = [StructField(f"at{i}", schema[c].dataType) for i, c in enumerate(self.order)]
+            return StructType([*at, StructField("value", kind)])
         if self.kind == "sum" and isinstance(kind, DecimalType):  # as Spark's own sum
             return DecimalType(min(38, kind.precision + 10), kind.scale)
         if self.kind == "sum" and isinstance(kind, IntegralType):
@@ -66,6 +79,12 @@ class Fold:
         return F.least(a, b) if self.kind == "min" else F.greatest(a, b)
 
 
+def with_values(df: DataFrame, folds: list[Fold]) -> DataFrame:
+    """Totals as they are shown: of ``last`` folds the value without its order."""
+    values = {f.name: F.col(f.name)["value"] for f in folds if f.kind == "last"}
+    return df.withColumns(values) if values else df
+
+
 def fold_totals(rows: DataFrame, key: list[str], folds: list[Fold]) -> DataFrame:
     """Final totals per key."""
     return rows.groupBy(*key).agg(*[f.over_rows().alias(f.name) for f in folds])

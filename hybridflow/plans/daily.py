@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
-import io
-import zipfile
+import itertools
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hybridflow.session import new_path
+from hybridflow.sources.archives import write_zip
 from hybridflow.sources.daily import (
     ARCHIVE_SUFFIX,
     DAY_FORMAT,
     FILE_SUFFIX,
+    archives,
     file_key,
     in_window,
     unzip_lines,
@@ -21,10 +23,12 @@ from hybridflow.sources.daily import (
     write_master,
 )
 from hybridflow.sources.tables import table
-from hybridflow.sources.text import read_lines
+from hybridflow.sources.text import numbered_lines, read_lines
 
 DAYS = 15
-LINES_PER_ARCHIVE = 100_000
+LINES_PER_PART = 100_000
+LINES_PER_MEMBER = 25_000
+MEMBERS_PER_ARCHIVE = 40
 
 
 def _lines(spark: SparkSession, folder: str) -> DataFrame:
@@ -38,25 +42,29 @@ def _last_day(lines: DataFrame):
     return lines.agg(F.max("file_date")).first()[0]
 
 
-def _archives(lines: DataFrame) -> DataFrame:
-    """The lines of each day as zip archives of a bounded number of lines."""
+def _write_archives(lines: DataFrame, folder: str) -> None:
+    """The lines of each day as zip archives below ``folder``, each share of a day a member of its own."""
     shares = lines.groupBy("file_date").agg(
-        F.ceil(F.count(F.lit(1)) / LINES_PER_ARCHIVE).alias("shares")
+        F.ceil(F.count(F.lit(1)) / LINES_PER_MEMBER).alias("shares")
     )
-    share = F.pmod(F.xxhash64("event_id"), F.col("shares")).alias("share")
+    share = F.pmod(F.xxhash64("event_id"), F.col("shares"))
     # One row per day, so a day is always dealt into its shares before it is shuffled.
-    placed = lines.join(F.broadcast(shares), "file_date").select("file_date", share, "event_id", "value")
+    placed = lines.join(F.broadcast(shares), "file_date").withColumn("share", share)
+    day = F.date_format("file_date", DAY_FORMAT)
+    placed = placed.select(
+        F.concat(F.floor(F.col("share") / MEMBERS_PER_ARCHIVE), F.lit("/"), day, F.lit(ARCHIVE_SUFFIX)).alias("archive"),
+        F.concat(day, F.lit(FILE_SUFFIX)).alias("name"), "share", "event_id", "value",
+    )
 
-    def pack(rows: pd.DataFrame) -> pd.DataFrame:
-        day = rows["file_date"].iloc[0].strftime("%Y%m%d")
-        rows = rows.sort_values("event_id")
-        buffer = io.BytesIO()
-        with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as archive:
-            archive.writestr(day + FILE_SUFFIX, "".join(v + "\n" for v in rows["value"]))
-        path = f"{rows['share'].iloc[0]}/{day}{ARCHIVE_SUFFIX}"
-        return pd.DataFrame({"path": [path], "content": [buffer.getvalue()]})
+    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows = (row for batch in batches for row in batch.itertuples(index=False))
+        for archive, held in itertools.groupby(rows, key=lambda r: r.archive):
+            members = ((m[0] if m[1] == 0 else f"{m[1]}/{m[0]}", (r.value for r in own)) for m, own in itertools.groupby(held, key=lambda r: (r.name, r.share)))
+            yield pd.DataFrame({"path": [archive], "length": [write_zip(f"{folder}/{archive}", members)]})
 
-    return placed.groupBy("file_date", "share").applyInPandas(pack, "path STRING, content BINARY")
+    order = ["archive", "share", "event_id"]
+    packed = placed.repartition("archive").sortWithinPartitions(*order).mapInPandas(pack, "path STRING, length BIGINT")
+    packed.write.mode("overwrite").parquet(f"{folder}-written")
 
 
 def date_keys(spark, folder):
@@ -81,8 +89,10 @@ def daily_window_union(spark, folder):
 
 
 def daily_unzip(spark, folder):
-    lines = _lines(spark, folder)
-    unpacked = unzip_lines(_archives(lines), _last_day(lines), DAYS)
+    """Zipped days, each member read by its byte range; archives outside the window are not opened."""
+    lines, path = _lines(spark, folder), new_path(spark, "archives")
+    _write_archives(lines, path)
+    unpacked = unzip_lines(archives(spark, path, _last_day(lines), DAYS))
     return unpacked.select(F.date_format("file_date", DAY_FORMAT).alias("day"), "file_name", "value")
 
 
@@ -90,20 +100,30 @@ def daily_master_file(spark, folder):
     path = new_path(spark, "master")
     lines = _lines(spark, folder)
     wanted = lines.where(in_window(F.col("file_date"), _last_day(lines), DAYS))
-    parts = 1 + wanted.count() // LINES_PER_ARCHIVE
+    parts = 1 + wanted.count() // LINES_PER_PART
     write_master(wanted, ["file_date", "event_id"], path, parts=parts)
     return read_lines(spark, path)
 
 
+def daily_numbered_lines(spark, folder):
+    """The lines of the window's master file with their numbers in it, from files cut anywhere."""
+    path = new_path(spark, "numbered")
+    lines = _lines(spark, folder)
+    wanted = lines.where(in_window(F.col("file_date"), _last_day(lines), DAYS))
+    write_master(wanted, ["file_date", "event_id"], path, parts=8)
+    return numbered_lines(spark, path).select("line_no", "value")
+
+
 QUERIES = {
     "date_keys": date_keys,
     "daily_window_union": daily_window_union,
     "daily_unzip": daily_unzip,
     "daily_master_file": daily_master_file,
+    "daily_numbered_lines": daily_numbered_lines,
 }
 
 _LINES = """
-    SELECT CAST(ts AS DATE) AS d, strftime(ts, '%Y%m%d') AS day,
+    SELECT event_id, CAST(ts AS DATE) AS d, strftime(ts, '%Y%m%d') AS day,
            event_id || chr(9) || user_id || chr(9) || event_type AS value,
            (SELECT CAST(max(ts) AS DATE) FROM events) AS last
     FROM events"""
@@ -117,4 +137,5 @@ SQL = {
     "daily_window_union": f"SELECT day, value, count(*) AS n FROM ({_WINDOW}) GROUP BY day, value",
     "daily_unzip": f"SELECT day, day || '.export.CSV' AS file_name, value FROM ({_WINDOW})",
     "daily_master_file": f"SELECT value FROM ({_WINDOW})",
+    "daily_numbered_lines": f"SELECT row_number() OVER (ORDER BY d, event_id) AS line_no, value FROM ({_WINDOW})",
 }

@@ -13,12 +13,13 @@ from hybridflow.operators.keyed import (
     totals_by_key,
     totals_per_batch,
 )
-from hybridflow.operators.rolling import Fold, rolling_fold
+from hybridflow.operators.rolling import Fold, rolling_fold, with_values
 from hybridflow.session import new_path
 from hybridflow.sources.queue import BatchQueue, split_at
 from hybridflow.sources.tables import inline_elements, table
-from hybridflow.streaming.rolling import MicroBatchJoin, per_batch_totals
-from hybridflow.streaming.sinks import batch_folder, first_rows, read_batches
+from hybridflow.streaming.keyed_join import join_stream
+from hybridflow.streaming.sinks import batch_folder, first_rows, per_batch_totals, read_batches
+from hybridflow.streaming.transactional import read_committed, register_sink
 
 # Where the event table is cut into micro-batches.
 CUTS = ["2024-01-08", "2024-01-15", "2024-01-22"]
@@ -105,10 +106,39 @@ def reduce_rolling_by_user(spark, folder):
 
 
 def reduce_rolling_stream(spark, folder):
-    folds = [Fold("total", "sum", "value")]
-    job = MicroBatchJoin(None, ["key"], ["ts", "value"], folds, new_path(spark, "rolling"))
-    BatchQueue(spark).run(_pair_batches(spark, folder), lambda s: s.writeStream.foreachBatch(job))
-    return job.joined(spark).select("key", "value", "total")
+    folds, out = [Fold("total", "sum", "value")], new_path(spark, "rolling")
+
+    def sink(stream):
+        return join_stream(stream, ["key"], ["ts", "value"], folds).writeStream.foreachBatch(batch_folder(out))
+
+    BatchQueue(spark).run(_pair_batches(spark, folder), sink)
+    return read_batches(spark, out).select("key", "value", "total")
+
+
+def _purchases(rows):
+    """Events with the value of a purchase; null for events of other kinds."""
+    bought = F.when(F.col("event_type") == "purchase", F.col("value"))
+    return rows.select(F.col("user_id").alias("key"), "ts", "event_id", bought.alias("bought"))
+
+
+LAST_FOLDS = [Fold("n", "count"), Fold("latest", "last", "bought", ("ts", "event_id"))]
+
+
+def reduce_rolling_last(spark, folder):
+    """The value of each user's latest purchase, at every event."""
+    rolled = rolling_fold(_purchases(table(spark, folder, "events")), ["key"], ["ts", "event_id"], LAST_FOLDS)
+    return with_values(rolled, LAST_FOLDS).select("key", "event_id", "n", "latest")
+
+
+def reduce_rolling_last_stream(spark, folder):
+    out = new_path(spark, "rolling-last")
+
+    def sink(stream):
+        rolled = join_stream(stream, ["key"], ["ts", "event_id"], LAST_FOLDS)
+        return with_values(rolled, LAST_FOLDS).writeStream.foreachBatch(batch_folder(out))
+
+    BatchQueue(spark).run([_purchases(b) for b in event_batches(spark, folder)], sink)
+    return read_batches(spark, out).select("key", "event_id", "n", "latest")
 
 
 def _pair_batches(spark, folder):
@@ -152,6 +182,15 @@ def sink_foreach_batch(spark, folder):
     )
 
 
+def sink_transactional(spark, folder):
+    """Micro-batches through a sink with commits; what counts is what their manifests name."""
+    register_sink(spark)
+    batches = [b.select("ts", "event_id", "user_id") for b in event_batches(spark, folder)]
+    out = new_path(spark, "transactional")
+    BatchQueue(spark).run(batches, lambda s: s.writeStream.format("transactional").option("path", out))
+    return read_committed(spark, out, batches[0].schema).select("event_id", "user_id")
+
+
 def sink_first_10(spark, folder):
     return first_rows(table(spark, folder, "events").select("event_id", "event_type"), ["event_id"])
 
@@ -172,11 +211,14 @@ QUERIES = {
     "reduce_rolling": reduce_rolling,
     "reduce_rolling_by_user": reduce_rolling_by_user,
     "reduce_rolling_stream": reduce_rolling_stream,
+    "reduce_rolling_last": reduce_rolling_last,
+    "reduce_rolling_last_stream": reduce_rolling_last_stream,
     "reduce_by_key_total": reduce_by_key_total,
     "reduce_per_batch": reduce_per_batch,
     "reduce_per_batch_stream": reduce_per_batch_stream,
     "sink_first_10": sink_first_10,
     "sink_foreach_batch": sink_foreach_batch,
+    "sink_transactional": sink_transactional,
 }
 
 _KEYED = "SELECT CASE WHEN event_id % 2 = 0 THEN 'even' ELSE 'odd' END AS key, event_id AS value, ts FROM events"
@@ -186,6 +228,10 @@ _ROLLING = f"""
     SELECT key, value, CAST(sum(value) OVER (PARTITION BY key ORDER BY {{order}}
            ROWS UNBOUNDED PRECEDING) AS BIGINT) AS total
     FROM ({_KEYED})"""
+_LAST = """
+    SELECT user_id AS key, event_id, count(*) OVER w AS n,
+           last_value(CASE WHEN event_type = 'purchase' THEN value END IGNORE NULLS) OVER w AS latest
+    FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)"""
 
 SQL = {
     "src_inline_elements": """
@@ -210,6 +256,8 @@ SQL = {
         FROM events
         WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)""",
     "reduce_rolling_stream": _ROLLING.format(order="ts, value"),
+    "reduce_rolling_last": _LAST,
+    "reduce_rolling_last_stream": _LAST,
     "reduce_by_key_total": f"SELECT key, CAST(sum(value) AS BIGINT) AS total FROM ({_KEYED}) GROUP BY key",
     "reduce_per_batch": f"""
         SELECT strftime(ts, '%Y-%m-%d') AS batch, key, CAST(sum(value) AS BIGINT) AS total
@@ -218,5 +266,6 @@ SQL = {
         SELECT {_BATCH_ID} AS batch_id, key, CAST(sum(value) AS BIGINT) AS total
         FROM ({_KEYED}) GROUP BY 1, 2""",
     "sink_first_10": "SELECT event_id, event_type FROM events ORDER BY event_id LIMIT 10",
+    "sink_transactional": "SELECT event_id, user_id FROM events",
     "sink_foreach_batch": f"SELECT {_BATCH_ID} AS batch_id, event_id, user_id FROM events",
 }

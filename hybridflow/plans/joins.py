@@ -10,8 +10,9 @@ from hybridflow.plans.elements import CUTS, event_batches
 from hybridflow.session import new_path
 from hybridflow.sources.queue import BatchQueue
 from hybridflow.sources.tables import table
-from hybridflow.streaming.rolling import MicroBatchJoin
+from hybridflow.streaming.keyed_join import join_stream
 from hybridflow.streaming.sinks import batch_folder, read_batches
+from hybridflow.streaming.state import state_table
 from hybridflow.streaming.stateful import totals_stream
 
 COMPLETE_AT = "2024-01-15 00:00:00"
@@ -98,47 +99,35 @@ def hybrid_join_full_suppliers(spark, folder):
     return _full(spark, folder, _suppliers(spark, folder))
 
 
+def _joined(spark, batches, label, *args, **kwargs):
+    """All rows that :func:`join_stream` gives for a queue of micro-batches."""
+    out = new_path(spark, label)
+
+    def sink(stream):
+        return join_stream(stream, KEY, ORDER, FOLDS, *args, **kwargs).writeStream.foreachBatch(batch_folder(out))
+
+    BatchQueue(spark).run(batches, sink)
+    return read_batches(spark, out)
+
+
 def hybrid_join_enrich_stream(spark, folder):
     batches = [_event_rows(b) for b in event_batches(spark, folder)]
-    job = MicroBatchJoin(_customers(spark, folder), KEY, ORDER, FOLDS, new_path(spark, "enriched"))
-    BatchQueue(spark).run(batches, lambda s: s.writeStream.foreachBatch(job))
-    return _shown(job.joined(spark), "event_id", "c_mktsegment")
+    return _shown(_joined(spark, batches, "enriched", _customers(spark, folder)), "event_id", "c_mktsegment")
 
 
 def hybrid_join_snapshot_stream(spark, folder):
-    """Entries kept in keyed state; the last one that came out for a key is its final one.
-
-    Keys that only the batch side has never came by, so their entries are the batch side's.
-    """
+    """The entries that the keyed state holds once the stream has ended, read from the state alone."""
     batches = [_event_rows(b) for b in event_batches(spark, folder, CUTS[1:2])]
-    side = _suppliers(spark, folder)
-    out = new_path(spark, "entries")
-
-    def sink(stream):
-        entries = totals_stream(stream, KEY, FOLDS, side)
-        return entries.writeStream.foreachBatch(batch_folder(out))
-
-    BatchQueue(spark).run(batches, sink)
-    latest = F.max_by(F.struct("n", "total", "balance"), "batch_id").alias("e")
-    seen = read_batches(spark, out).groupBy("k").agg(latest).select("k", "e.*")
-    unseen = side.join(seen, KEY, "left_anti").withColumn("n", F.lit(0).cast("bigint"))
-    return _shown(seen.unionByName(unseen, allowMissingColumns=True))
+    side, queue = _suppliers(spark, folder), BatchQueue(spark)
+    queue.run(batches, lambda stream: totals_stream(stream, KEY, FOLDS, side).writeStream.format("noop"))
+    entries = state_table(spark, queue.checkpoint, "entry")
+    return _shown(entries.withColumn("n", F.coalesce("n", F.lit(0))))
 
 
 def hybrid_join_full_stream(spark, folder):
-    """All events go through the stream; the batch side is complete from the second micro-batch on."""
+    """All events go through the stream. Entries come out by their timers once the watermark passes completion."""
     batches = [_event_rows(b) for b in event_batches(spark, folder, CUTS[1:])]
-    side = _suppliers(spark, folder)
-    job = MicroBatchJoin(
-        side, KEY, ORDER, FOLDS, new_path(spark, "full"), flush=True, ready=lambda batch_id: batch_id >= 1
-    )
-    BatchQueue(spark).run(batches, lambda s: s.writeStream.foreachBatch(job))
-    flush = job.flushed(spark).withColumn("event_id", F.lit(None).cast("bigint"))
-    columns = ["phase", "event_id", "k", "n", "total", "balance"]
-    both = flush.withColumn("phase", F.lit("flush")).select(columns).unionByName(
-        job.joined(spark).withColumn("phase", F.lit("stream")).select(columns)
-    )
-    return _shown(both, "phase", "event_id")
+    return _shown(_joined(spark, batches, "full", _suppliers(spark, folder), complete_at=COMPLETE_AT), "phase", "event_id")
 
 
 QUERIES = {

@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 
 from hybridflow.functions.sampling import sample_rows
 from hybridflow.functions.vectors import parse_labeled_vector, vector_add
+from hybridflow.functions.words import lines_of, words_of
 from hybridflow.operators.learn import error_rates, gradient, gradient_sums, score, stepped
+from hybridflow.operators.sparse import train
 from hybridflow.session import new_path
 from hybridflow.sources.queue import BatchQueue, split_at
 from hybridflow.sources.tables import table
@@ -36,7 +38,7 @@ def vectors(spark: SparkSession, folder: str) -> DataFrame:
 
 def parts(rows: DataFrame, n: int) -> list[DataFrame]:
     """The whole table as ``n`` runs of ``vec_id`` of equal width, each a range filter."""
-    width = rows.agg(F.max("vec_id")).first()[0] + 1
+    width = (rows.agg(F.max("vec_id")).first()[0] or 0) + 1
     return split_at(rows, "vec_id", [-(-i * width // n) for i in range(1, n)])
 
 
@@ -160,7 +162,26 @@ def model_pull_latest(spark, folder):
     return _exploded(latest, "weights", "w", "model_key", "version", "error_rate")
 
 
+SPARSE_STEPS, SPARSE_RATE = 2, 4.0
+
+
+def lr_sparse_steps(spark, folder):
+    """A model of a million features: hashed words of the labelled documents, to tell good from bad."""
+    words = words_of(lines_of(table(spark, folder, "documents"), "text", "doc_id"), "line", "doc_id")
+    feature = F.conv(F.substring(F.md5("word"), 1, 5), 16, 10).cast("bigint")
+    counted = words.groupBy("doc_id", feature.alias("j")).agg(F.count(F.lit(1)).alias("n"))
+    entries = F.sort_array(F.collect_list(F.struct("j", "n")))
+    rows = counted.groupBy("doc_id").agg(entries.alias("e"), F.sum("n").alias("total"))
+    labels = table(spark, folder, "labels").select("doc_id", F.col("quality").cast("double").alias("label"))
+    rows = rows.join(labels, "doc_id").select(
+        "label", F.col("e.j").alias("indices"), F.transform("e.n", lambda n: n / F.col("total")).alias("values")
+    )
+    weights, _ = train(rows, SPARSE_STEPS, SPARSE_RATE)
+    return weights.select("j", (F.round("w", 9) + F.lit(0.0)).alias("w"))
+
+
 QUERIES = {
+    "lr_sparse_steps": lr_sparse_steps,
     "parse_labeled_vectors": parse_labeled_vectors,
     "vector_add": added_vectors,
     "bernoulli_sample": bernoulli_sample,
@@ -264,7 +285,23 @@ _WEIGHT_ROWS = f"""
         FROM versions) {{where}}"""
 _TRACE = "SELECT batch_id, error_rate, action, pushed FROM trace"
 
+_SPARSE = f"""
+    WITH words AS (
+      SELECT doc_id, CAST('0x' || substr(md5(word), 1, 5) AS BIGINT) AS j
+      FROM (SELECT doc_id, unnest(CASE WHEN line = '' THEN [''] WHEN rtrim(line, ' ') = '' THEN []
+                                       ELSE string_split(rtrim(line, ' '), ' ') END) AS word
+            FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents))
+    ), x AS (
+      SELECT doc_id, j, CAST(quality AS DOUBLE) AS y, count(*) / CAST(sum(count(*)) OVER (PARTITION BY doc_id) AS DOUBLE) AS x
+      FROM words JOIN labels USING (doc_id) GROUP BY doc_id, j, quality
+    ), n AS (SELECT count(DISTINCT doc_id) AS n FROM x
+    ), w1 AS (SELECT j, -{SPARSE_RATE} * sum((0.5 - y) * x) / any_value(n) AS w FROM x, n GROUP BY j
+    ), p AS (SELECT doc_id, 1 / (1 + exp(-sum(w * x))) AS p FROM x JOIN w1 USING (j) GROUP BY doc_id
+    ), g AS (SELECT j, sum((p - y) * x) / any_value(n) AS g FROM n, x JOIN p USING (doc_id) GROUP BY j)
+    SELECT j, round(w - {SPARSE_RATE} * g, 9) + 0.0::DOUBLE AS w FROM w1 JOIN g USING (j)"""
+
 SQL = {
+    "lr_sparse_steps": _SPARSE,
     "parse_labeled_vectors": f"""
         SELECT label, j, count(*) AS n, round(sum(x), 4) + 0.0 AS x FROM (
             SELECT y AS label, unnest(range(1, {N + 1})) AS j, round(unnest(x), 6) AS x FROM ({_VECTORS}))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
@@ -15,6 +16,7 @@ from hybridflow.functions.records import (
     parse_lines,
     right_side,
 )
+from hybridflow.functions.table_functions import FlatMap, connected, register
 from hybridflow.operators.connect import connect
 from hybridflow.plans.elements import CUTS, event_batches
 from hybridflow.session import new_path
@@ -96,14 +98,42 @@ def connect_co_map(spark, folder):
     kinds = (("k", LongType()), ("event_id", LongType()), ("segment", StringType()))
     schema = StructType([StructField(name, kind) for name, kind in kinds])
 
+    def segments(key, event_ids, known):
+        return pd.DataFrame({"k": key[0], "event_id": event_ids, "segment": known["segment"]})
+
     def sink(both):
-        joined = co_map_stream(both, "k", lambda k, event_id, known: (k, event_id, known["segment"]), schema)
+        joined = co_map_stream(both, "k", segments, schema, salts=4)
         return joined.writeStream.foreachBatch(batch_folder(out))
 
     BatchQueue(spark).run([early, later], sink)
     return read_batches(spark, out).select("k", "event_id", "segment")
 
 
+class SegmentOf(FlatMap):
+    """Each event with the segment of its customer, who comes first in a partition if there is one."""
+
+    def open(self):
+        self.segment, self.seen = None, 0
+
+    def flat_map(self, row):
+        if row["side"] == 0:
+            self.segment = row["c_mktsegment"]
+        elif self.segment is not None:
+            self.seen += 1
+            yield row["k"], row["event_id"], self.segment
+
+
+def udtf_co_flat_map(spark, folder):
+    """A stateful flat map over connected inputs, as a table function in SQL."""
+    stream = table(spark, folder, "events").select(F.col("user_id").alias("k"), "ts", "event_id")
+    batch = table(spark, folder, "customer").select(F.col("c_custkey").alias("k"), "c_mktsegment")
+    connected(stream, batch, ["k"]).createOrReplaceTempView("hybridflow_connected")
+    register(spark, "hybridflow_segment_of", SegmentOf, "k BIGINT, event_id BIGINT, segment STRING")
+    return spark.sql("""
+        SELECT k, event_id, segment
+        FROM hybridflow_segment_of(TABLE(hybridflow_connected) PARTITION BY (k, salt) ORDER BY (side, ts, event_id))""")
+
+
 QUERIES = {
     "decode_messages": decode_messages,
     "encode_messages": encode_messages,
@@ -112,8 +142,13 @@ QUERIES = {
     "tagged_union_map": tagged_union_map,
     "connect_tagged_union": connect_tagged_union,
     "connect_co_map": connect_co_map,
+    "udtf_co_flat_map": udtf_co_flat_map,
 }
 
+_SEGMENTS = """
+    SELECT c_custkey AS k, event_id, c_mktsegment AS segment
+    FROM events JOIN customer ON user_id = c_custkey"""
+
 SQL = {
     "decode_messages": "SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events",
     "encode_messages": """
@@ -135,7 +170,6 @@ SQL = {
         FROM (SELECT 'stream' AS side, user_id AS k, value, NULL AS c_acctbal FROM events
               UNION ALL SELECT 'batch', c_custkey, NULL, c_acctbal FROM customer)
         GROUP BY k""",
-    "connect_co_map": """
-        SELECT c_custkey AS k, event_id, c_mktsegment AS segment
-        FROM events JOIN customer ON user_id = c_custkey""",
+    "connect_co_map": _SEGMENTS,
+    "udtf_co_flat_map": _SEGMENTS,
 }

@@ -2,22 +2,18 @@
 
 from __future__ import annotations
 
-import io
-import zipfile
-from collections.abc import Iterator
 from datetime import date, timedelta
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hybridflow.sources.archives import TASK_BYTES, list_archives, list_members, read_members
+
 # Fixed value: the naming rule of the daily files.
 DAY_FORMAT = "yyyyMMdd"
 FILE_SUFFIX = ".export.CSV"
 ARCHIVE_SUFFIX = ".export.CSV.zip"
 
-LINES_PER_CHUNK = 20_000
-
 
 def window_days(end: date, days: int) -> tuple[date, date]:
     """First and last day of the window: the ``days - 1`` full days before ``end``.
@@ -61,58 +57,23 @@ def daily_lines(spark: SparkSession, folder: str, end: date, days: int) -> DataF
 
 
 def archives(spark: SparkSession, folder: str, end: date, days: int) -> DataFrame:
-    """Zipped daily files of the window as ``path`` and ``content``, one row each.
+    """Zipped daily files of the window below a folder: ``path``, ``file_name`` and ``length``.
 
-    As with :func:`daily_lines` files outside the window are not read.
+    Only names are looked at; no file is opened.
     """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", f"*{ARCHIVE_SUFFIX}")
-    named = files.load(folder).where(in_window(day_of_file(F.col("_metadata.file_name")), end, days))
-    return named.select("path", "content")
+    listed = list_archives(spark, folder, f"*{ARCHIVE_SUFFIX}")
+    return listed.where(in_window(day_of_file(F.col("file_name")), end, days))
 
 
-def unzip_lines(zipped: DataFrame, end: date, days: int) -> DataFrame:
-    """Lines of the archives whose name lies in the window.
+def unzip_lines(zipped: DataFrame, task_bytes: int = TASK_BYTES) -> DataFrame:
+    """Lines of archives as :func:`archives` lists them, with the day of the archive's name.
 
-    Archives are spread over the tasks one by one, and each is read as a stream of
-    bounded chunks. A zip member cannot be split, so an archive is the smallest unit.
+    Members are read by their byte ranges, so a large archive is the work of many tasks.
     """
-    wanted = zipped.where(in_window(day_of_file(F.col("path")), end, days)).select(
-        day_of_file(F.col("path")).alias("file_date"), "path", "content"
-    )
-
-    def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for day, path, content in batch.itertuples(index=False):
-                with zipfile.ZipFile(io.BytesIO(content)) as archive:
-                    for member in sorted(archive.namelist()):
-                        with archive.open(member) as raw:
-                            yield from chunks(day, path, member, raw)
-
-    def chunks(day, path, member, raw) -> Iterator[pd.DataFrame]:
-        text = io.TextIOWrapper(raw, encoding="utf-8", newline="\n")
-        start, lines = 0, []
-        for line in text:
-            lines.append(line.removesuffix("\n"))
-            if len(lines) == LINES_PER_CHUNK:
-                yield frame(day, path, member, start, lines)
-                start, lines = start + len(lines), []
-        if lines:
-            yield frame(day, path, member, start, lines)
-
-    def frame(day, path, member, start, lines) -> pd.DataFrame:
-        return pd.DataFrame(
-            {
-                "file_date": day,
-                "path": path,
-                "file_name": member,
-                "line_no": range(start, start + len(lines)),
-                "value": lines,
-            }
-        )
-
-    return wanted.mapInPandas(
-        unpack, "file_date DATE, path STRING, file_name STRING, line_no BIGINT, value STRING"
-    )
+    n_bytes = zipped.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    lines = read_members(list_members(zipped), n_bytes, task_bytes)
+    name = F.element_at(F.split("member", "/"), -1).alias("file_name")
+    return lines.select(day_of_file(F.col("path")).alias("file_date"), "path", "member", name, "line_no", "value")
 
 
 def write_by_day(lines: DataFrame, path: str) -> None:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 
@@ -33,6 +34,15 @@ def batch_folder(
     return write
 
 
+def per_batch_totals(key: list[str], value: str, alias: str = "total") -> Callable[[DataFrame, int], DataFrame]:
+    """For :func:`batch_folder`: sum per key inside the micro-batch, forgotten after it."""
+
+    def reduce(rows: DataFrame, batch_id: int) -> DataFrame:
+        return rows.groupBy(*key).agg(F.sum(value).alias(alias))
+
+    return reduce
+
+
 def read_batches(spark: SparkSession, path: str) -> DataFrame:
     """What :func:`batch_folder` wrote, with its ``batch_id``."""
     return spark.read.parquet(path)

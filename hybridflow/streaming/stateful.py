@@ -1,14 +1,16 @@
 """Operators of an unbounded stream in keyed state; only keys that occur are touched.
 
 ``totals_stream`` emits a key's entry per micro-batch and combines rows before they meet,
-so it takes any distribution of keys. A row per row gives ``hybridflow.streaming.rolling``.
+so it takes any distribution of keys. A row per row gives ``hybridflow.streaming.keyed_join``.
 ``co_map_stream`` connects two inputs by user functions with shared state.
 """
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Callable, Iterator
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
@@ -20,6 +22,11 @@ from hybridflow.operators.hybrid_join import known_keys
 from hybridflow.operators.rolling import Fold
 from hybridflow.session import use_rocksdb_state
 
+#: Groups that the rows of one key are dealt into, and waiting values answered at a time.
+SALTS = 8
+WAITING_PART = 10_000
+
+
 def _combine(kind: str, total, value):
     if kind == "count":
         return (total or 0) + 1
@@ -124,48 +131,72 @@ def totals_stream(
 class BufferedJoinProcessor(StatefulProcessor):
     """Two connected inputs with shared keyed state: stream rows wait for their key's batch rows.
 
-    The list state holds the rows that wait, however many; the map state the batch side's
-    values by name. ``fn(key, value, attributes)`` makes a row of each stream value.
+    The list state holds the values that wait, however many; the map state the batch side's
+    values by name. ``fn(key, values, attributes)`` makes rows of a series of stream values.
     """
 
-    def __init__(self, fn: Callable, value_schema: StructType, names: list[str]):
+    def __init__(self, fn: Callable, value_schema: StructType, key_length: int):
         self.fn = fn
         self.value_schema = value_schema
-        self.names = names
+        self.key_length = key_length
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         text = StructType([StructField("name", StringType(), True)])
         self.waiting = handle.getListState("waiting", self.value_schema)
         self.attributes = handle.getMapState("attributes", text, text)
 
-    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         # A key's rows come in no order, so batch rows are taken in before stream rows are answered.
-        for row in rows:
-            if row["side"] == "batch":
-                self.attributes.updateValue((row["name"],), (row["text"],))
-            else:
-                self.waiting.appendValue((row["value"],))
+        # Every call on a state is a message, so none is made that cannot matter.
+        values = []
+        for part in rows:
+            batch = part["side"] == "batch"
+            for name, text in part.loc[batch, ["name", "text"]].itertuples(index=False):
+                self.attributes.updateValue((name,), (text,))
+            values.append(part.loc[~batch, "value"])
+        values = [part for part in values if len(part)]
+        waits = self.waiting.exists()
+        if not values and not waits:
+            return
         known = {name[0]: text[0] for name, text in self.attributes.iterator()}
-        if known:
-            for (value,) in self.waiting.get():
-                yield Row(*self.names)(*self.fn(*key, value, known))
+        if not known:
+            self.waiting.appendList([(v,) for part in values for v in part.tolist()])
+            return
+        for part in values:
+            yield self.fn(key[: self.key_length], part.reset_index(drop=True), known)
+        if waits:
+            for part in self._waited():
+                yield self.fn(key[: self.key_length], part, known)
             self.waiting.clear()
 
+    def _waited(self) -> Iterator[pd.Series]:
+        held = (v for (v,) in self.waiting.get())
+        while part := list(itertools.islice(held, WAITING_PART)):
+            yield pd.Series(part)
+
     def close(self) -> None:
         pass
 
 
-def co_map_stream(both: DataFrame, key: str, fn: Callable, schema: StructType) -> DataFrame:
+def co_map_stream(both: DataFrame, key: str, fn: Callable, schema: StructType, salts: int = SALTS) -> DataFrame:
     """``fn`` over a connected stream and batch side that share state by key.
 
     ``both`` has ``side`` ("stream" or "batch"), the key, a stream row's ``value``, and a batch
-    row's ``name`` and ``text``. A stream row gives its row once a batch row of its key has come,
-    in this micro-batch or a later one; it waits in the state until then.
+    row's ``name`` and ``text``. A stream row gives its rows once a batch row of its key has come,
+    in this micro-batch or a later one; it waits in the state until then. A null key meets nothing, so
+    its rows are left out. ``fn((key,), values, attributes)`` gets series of values and returns a frame.
+
+    Each key is ``salts`` groups with a state of their own: batch rows go to all of them, stream rows
+    are dealt among them, so a key that holds most of a stream is the work of ``salts`` tasks. The
+    batch side is held as often.
     """
     use_rocksdb_state(both.sparkSession)
     value = StructType([StructField("value", both.schema["value"].dataType, True)])
-    return both.groupBy(key).transformWithState(
-        statefulProcessor=BufferedJoinProcessor(fn, value, schema.names),
+    every = F.sequence(F.lit(0), F.lit(salts - 1))
+    one = F.array(F.floor(F.rand(0) * salts).cast("int"))
+    salted = both.where(F.col(key).isNotNull()).withColumn("_salt", F.explode(F.when(F.col("side") == "batch", every).otherwise(one)))
+    return salted.groupBy(key, "_salt").transformWithStateInPandas(
+        statefulProcessor=BufferedJoinProcessor(fn, value, 1),
         outputStructType=schema,
         outputMode="Append",
         timeMode="None",

@@ -2,20 +2,24 @@
 
 import random
 from datetime import datetime, timedelta
+from pathlib import Path
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from hybridflow.functions.words import words_of
 from hybridflow.operators.hybrid_join import enrich, full, snapshot
-from hybridflow.operators.rolling import Fold
+from hybridflow.operators.rolling import Fold, rolling_fold, with_values
 from hybridflow.operators.windows import sliding_counts
 from hybridflow.sources.queue import BatchQueue, split_at
 from hybridflow.sources.streams import file_stream, kafka_messages, kafka_options, socket_lines
-from hybridflow.streaming.rolling import MicroBatchJoin, per_batch_totals
-from hybridflow.streaming.sinks import batch_folder, every, print_stream, read_batches
+from hybridflow.streaming.keyed_join import join_stream
+from hybridflow.streaming.sinks import batch_folder, every, per_batch_totals, print_stream, read_batches
+from hybridflow.streaming.state import state_table
 from hybridflow.streaming.stateful import co_map_stream, totals_stream
+from hybridflow.streaming.transactional import committed_files, read_committed, register_sink
 
 KEY, ORDER = ["k"], ["ts", "id"]
 FOLDS = [Fold("n", "count"), Fold("total", "sum", "v"), Fold("low", "min", "v"), Fold("high", "max", "v")]
@@ -59,14 +63,21 @@ def as_set(df):
     return sorted(str(tuple(r)) for r in df.select(*sorted(df.columns)).collect())
 
 
-@pytest.mark.parametrize("n, rows_per_slice", [(1, 1000), (2, 10), (7, 1000)])
-def test_micro_batch_tables_equal_table(spark, rows, side, tmp_path, n, rows_per_slice):
-    job = MicroBatchJoin(
-        side, KEY, ORDER, FOLDS, str(tmp_path / "out"), keep_rows=True, rows_per_slice=rows_per_slice
-    )
-    BatchQueue(spark).run(batches(rows, n), lambda s: s.writeStream.foreachBatch(job))
-    expected = enrich(rows, side, KEY, ORDER, FOLDS)
-    assert as_set(job.joined(spark).drop("batch_id")) == as_set(expected)
+def joined(spark, parts, path, *args, folds=FOLDS, **kwargs):
+    """All rows :func:`join_stream` gives for micro-batches."""
+    def sink(s):
+        return with_values(join_stream(s, KEY, ORDER, folds, *args, **kwargs), folds).writeStream.foreachBatch(batch_folder(path))
+
+    queue = BatchQueue(spark)
+    queue.run(parts, sink)
+    return read_batches(spark, path).drop("batch_id"), queue
+
+
+@pytest.mark.parametrize("n, width", [(1, 3_600), (2, 10), (7, 60)])
+def test_stream_rows_equal_table_rows(spark, rows, side, tmp_path, n, width):
+    got, _ = joined(spark, batches(rows, n), str(tmp_path / "out"), side, slice_width=width)
+    assert as_set(got.drop("phase")) == as_set(enrich(rows, side, KEY, ORDER, FOLDS))
+    assert got.where("phase <> 'stream'").count() == 0
 
 
 @pytest.mark.parametrize("n", [1, 3])
@@ -108,99 +119,114 @@ def odd_side(spark):
     return spark.createDataFrame([(k, f"a{k}") for k in range(6, 20)] + [(7, "b"), (7, "c"), (None, "n")], "k BIGINT, a STRING")
 
 
-def run(spark, parts, job):
-    BatchQueue(spark).run(parts, lambda s: s.writeStream.foreachBatch(job))
-    return job
+def test_null_and_repeated_keys_as_in_the_table(spark, odd_rows, odd_side, tmp_path):
+    got, _ = joined(spark, batches(odd_rows, 3), str(tmp_path / "out"), odd_side)
+    assert as_set(got.drop("phase")) == as_set(enrich(odd_rows, odd_side, KEY, ORDER, FOLDS))
 
 
-def test_null_and_repeated_keys_as_in_the_table(spark, odd_rows, odd_side, tmp_path):
-    job = run(spark, batches(odd_rows, 3), MicroBatchJoin(odd_side, KEY, ORDER, FOLDS, str(tmp_path / "out")))
-    expected = enrich(odd_rows, odd_side, KEY, ORDER, FOLDS)
-    assert as_set(job.joined(spark).drop("batch_id")) == as_set(expected)
+LAST = [*FOLDS, Fold("latest", "last", "v", ("ts", "id"))]
 
 
-@pytest.mark.parametrize("twice", [False, True])
-def test_full_join_waits_for_the_batch_side(spark, odd_rows, odd_side, tmp_path, twice):
-    cut = str(START + timedelta(seconds=140))  # the third of three micro-batches
-    job = MicroBatchJoin(
-        lambda: odd_side, KEY, ORDER, FOLDS, str(tmp_path / "out"), flush=True, ready=lambda b: b >= 2, buckets=4
-    )
-    for batch_id, part in enumerate(batches(odd_rows, 3)):
-        for _ in range(1 + twice):
-            job(part, batch_id)
-    expected = full(odd_rows, odd_side, KEY, ORDER, FOLDS, cut)
-    columns = ["k", "n", "total", "low", "high", "a"]
-    assert as_set(job.flushed(spark).select(columns)) == as_set(expected.where("phase = 'flush'").select(columns))
-    assert as_set(job.joined(spark).select("id", *columns)) == as_set(
-        expected.where("phase = 'stream'").select("id", *columns)
+@pytest.mark.parametrize("n, width", [(1, 7), (3, 3_600), (4, 20)])
+def test_full_join_flushes_out_of_keyed_state(spark, odd_rows, odd_side, tmp_path, n, width):
+    """Entries come out once: with their key's next row, or by their timer; also keys only the batch side has."""
+    cut = str(START + timedelta(seconds=100))
+    side = odd_side.where("k IS NOT NULL")
+    got, queue = joined(spark, batches(odd_rows, n), str(tmp_path / "out"), side, folds=LAST, complete_at=cut, slice_width=width)
+    expected = full(odd_rows, side, KEY, ORDER, LAST, cut)
+    flushed = ["k", "n", "total", "low", "high", "latest", "a"]
+    assert as_set(got.where("phase = 'flush'").select(flushed)) == as_set(expected.where("phase = 'flush'").select(flushed))
+    assert as_set(got.where("phase = 'stream'").select("id", "ts", *flushed)) == as_set(
+        expected.where("phase = 'stream'").select("id", "ts", *flushed)
     )
+    assert state_table(spark, queue.checkpoint, "flushed").where("NOT flushed").count() == 0
+    state = with_values(state_table(spark, queue.checkpoint, "entry"), LAST)
+    assert as_set(state.drop("_bucket")) == as_set(snapshot(odd_rows, side, KEY, LAST))
+
+
+def test_nothing_comes_out_before_completion(spark, rows, side, tmp_path):
+    never = str(START + timedelta(days=1))
+    got, queue = joined(spark, batches(rows, 2), str(tmp_path / "out"), side, complete_at=never)
+    assert got.count() == 0
+    assert state_table(spark, queue.checkpoint, "entry").count() == snapshot(rows, side, KEY, FOLDS).count()
 
 
 def test_a_side_with_some_of_the_folds(spark, rows, tmp_path):
     side = spark.createDataFrame([(1, 100), (2, 200)], "k BIGINT, total BIGINT")
-    job = run(spark, batches(rows, 2), MicroBatchJoin(side, KEY, ORDER, FOLDS, str(tmp_path / "out")))
+    got, _ = joined(spark, batches(rows, 2), str(tmp_path / "out"), side)
     first = rows.where("k = 1").orderBy("id").select(F.coalesce("v", F.lit(0)).alias("v")).first()["v"]
-    got = job.joined(spark).where("k = 1").orderBy("id").select("n", "total").first()
-    assert (got["n"], got["total"]) == (1, 100 + first)
-
+    one = got.where("k = 1").orderBy("id").select("n", "total").first()
+    assert (one["n"], one["total"]) == (1, 100 + first)
+
+
+@pytest.mark.parametrize("kind", ["int", "double", "decimal(5,2)", "string", "timestamp", "date"])
+def test_running_folds_of_every_type(spark, tmp_path, kind):
+    rng = random.Random(4)
+    values = [None if rng.random() < 0.3 else rng.randrange(1, 28) for _ in range(60)]
+    data = [(i % 2, START + timedelta(seconds=i // 2 * 2), i, v) for i, v in enumerate(values)]
+    rows = spark.createDataFrame(data, "k BIGINT, ts TIMESTAMP, id BIGINT, v BIGINT")
+    value = F.date_add(F.lit("2024-01-01"), F.col("v").cast("int")).cast(kind) if kind in ("timestamp", "date") else F.col("v").cast(kind)
+    rows = rows.withColumn("v", value)
+    folds = [Fold("n", "count"), Fold("low", "min", "v"), Fold("high", "max", "v"), Fold("latest", "last", "v", ("ts", "id"))]
+    if kind not in ("string", "timestamp", "date"):
+        folds.append(Fold("total", "sum", "v"))
+    got, _ = joined(spark, batches(rows, 2), str(tmp_path / "out"), folds=folds, slice_width=9)
+    expected = with_values(rolling_fold(rows, KEY, ORDER, folds), folds)
+    assert as_set(got.drop("phase")) == as_set(expected)
+    assert dict(got.drop("phase").dtypes) == dict(expected.dtypes)
+
+
+def test_a_third_of_the_rows_under_one_key_is_sliced(spark, rows, tmp_path):
+    """What the keyed state gets of a key is a row per slice, not per row."""
+    seen = []
 
-def test_decimal_sums_outgrow_their_input(spark, tmp_path):
-    rows = spark.createDataFrame([(1, START, i, 900) for i in range(3)], "k BIGINT, ts TIMESTAMP, id BIGINT, v INT")
-    rows = rows.withColumn("v", F.col("v").cast("decimal(3,0)"))
-    job = run(spark, [rows], MicroBatchJoin(None, KEY, ORDER, [Fold("total", "sum", "v")], str(tmp_path / "a")))
-    assert sorted(int(r["total"]) for r in job.joined(spark).collect()) == [900, 1800, 2700]
-    out = str(tmp_path / "b")
-    folds = [Fold("total", "sum", "v")]
-    BatchQueue(spark).run([rows], lambda s: totals_stream(s, KEY, folds).writeStream.foreachBatch(batch_folder(out)))
-    assert [int(r["total"]) for r in read_batches(spark, out).collect()] == [2700]
+    def sink(s):
+        chunks = join_stream(s, KEY, ORDER, FOLDS, slice_width=50)
+        return chunks.writeStream.foreachBatch(lambda b, _: seen.append(b.count()))
 
+    BatchQueue(spark).run([rows], sink)
+    assert seen == [210]
+    slices = rows.where("k = 1").select(F.floor(F.unix_seconds("ts") / 50)).distinct().count()
+    assert slices == 5 and rows.where("k = 1").count() >= 70
 
-def test_only_touched_buckets_are_written(spark, rows, side, tmp_path):
-    job = MicroBatchJoin(side, KEY, ORDER, FOLDS, str(tmp_path / "out"), buckets=16)
-    one = rows.where("k = 1")
-    for batch_id, part in enumerate([rows, one, one]):
-        job(part, batch_id)
-    versions = dict.fromkeys(v for _, v in job._all_versions(spark))
-    assert len([b for b, v in job._all_versions(spark) if v == 6]) == 1
-    assert len(job._all_versions(spark)) <= 2 * 16 and 6 in versions
 
+def test_late_last_values_do_not_win(spark, tmp_path):
+    """The order counts, not the arrival; a null order comes first, a null value never counts."""
+    def at(s):
+        return None if s is None else START + timedelta(seconds=s)
 
-def test_windowed_word_count_of_a_socket_is_a_stream(spark):
-    lines = socket_lines(spark, "localhost", 9999).withColumnRenamed("timestamp", "ts")
-    counts = sliding_counts(words_of(lines, "value", "ts"), length=300, slide=1, watermark=10)
-    assert counts.isStreaming and counts.columns == ["w_end", "word", "n"]
+    parts = [[(1, at(5), 1, 50), (1, at(9), 2, None)], [(1, at(3), 3, 30), (1, None, 4, 1)], [(1, at(7), 5, 70), (1, at(7), 6, None)]]
+    frames = [spark.createDataFrame(p, "k BIGINT, ts TIMESTAMP, id BIGINT, v BIGINT") for p in parts]
+    folds = [Fold("latest", "last", "v", ("ts", "id"))]
+    got, _ = joined(spark, frames, str(tmp_path / "out"), folds=folds)
+    assert {r["id"]: r["latest"] for r in got.collect()} == {1: 50, 2: 50, 3: 50, 4: 50, 5: 70, 6: 70}
 
 
-def test_a_stopped_queue_goes_on_where_it_was(spark, rows, tmp_path):
+def test_a_stopped_join_goes_on_where_it_was(spark, rows, tmp_path):
     out, first = str(tmp_path / "out"), BatchQueue(spark)
 
     def sink(s):
-        return s.writeStream.foreachBatch(MicroBatchJoin(None, KEY, ORDER, FOLDS, out))
+        return join_stream(s, KEY, ORDER, FOLDS).writeStream.foreachBatch(batch_folder(out))
 
     parts = batches(rows, 2)
     first.run(parts[:1], sink)
-    again = BatchQueue(spark, first.path, first.checkpoint)
-    again.run(parts[1:], sink)
-    got = read_batches(spark, f"{out}/joined")
-    assert got.count() == rows.count() == got.select("id").distinct().count()
-    assert got.agg(F.max("n")).first()[0] == rows.groupBy("k").count().agg(F.max("count")).first()[0]
+    BatchQueue(spark, first.path, first.checkpoint).run(parts[1:], sink)
+    got = read_batches(spark, out).drop("batch_id", "phase")
+    assert as_set(got) == as_set(rolling_fold(rows, KEY, ORDER, FOLDS))
 
 
-def test_a_micro_batch_run_again_changes_nothing(spark, rows, side, tmp_path):
-    job = MicroBatchJoin(side, KEY, ORDER, FOLDS, str(tmp_path / "out"), flush=True)
-    parts = batches(rows, 3)
-    for batch_id in (0, 0, 1, 1, 2, 2):
-        job(parts[batch_id], batch_id)
-    expected = enrich(rows, side, KEY, ORDER, FOLDS)
-    assert as_set(job.joined(spark).drop("batch_id")) == as_set(expected)
-    assert job.flushed(spark).count() == side.count()
+def test_decimal_totals_in_keyed_state(spark, tmp_path):
+    rows = spark.createDataFrame([(1, START, i, 900) for i in range(3)], "k BIGINT, ts TIMESTAMP, id BIGINT, v INT")
+    rows, out = rows.withColumn("v", F.col("v").cast("decimal(3,0)")), str(tmp_path / "b")
+    folds = [Fold("total", "sum", "v")]
+    BatchQueue(spark).run([rows], lambda s: totals_stream(s, KEY, folds).writeStream.foreachBatch(batch_folder(out)))
+    assert [int(r["total"]) for r in read_batches(spark, out).collect()] == [2700]
 
 
-def test_without_a_side_keys_start_from_nothing(spark, rows, tmp_path):
-    job = MicroBatchJoin(None, KEY, ORDER, FOLDS, str(tmp_path / "out"))
-    for batch_id, part in enumerate(batches(rows, 2)):
-        job(part, batch_id)
-    assert job.joined(spark).count() == rows.count()
+def test_windowed_word_count_of_a_socket_is_a_stream(spark):
+    lines = socket_lines(spark, "localhost", 9999).withColumnRenamed("timestamp", "ts")
+    counts = sliding_counts(words_of(lines, "value", "ts"), length=300, slide=1, watermark=10)
+    assert counts.isStreaming and counts.columns == ["w_end", "word", "n"]
 
 
 def test_per_batch_totals_forget(spark, tmp_path):
@@ -225,15 +251,75 @@ def test_connected_inputs_share_state(spark, tmp_path):
     ]
     result = StructType([StructField(n, t) for n, t in (("k", LongType()), ("value", LongType()), ("seen", StringType()))])
 
+    def seen(key, values, known):
+        return pd.DataFrame({"k": key[0], "value": values, "seen": ",".join(sorted(known.values()))})
+
     def sink(s):
-        both = co_map_stream(s, "k", lambda k, v, known: (k, v, ",".join(sorted(known.values()))), result)
-        return both.writeStream.foreachBatch(batch_folder(out))
+        return co_map_stream(s, "k", seen, result, salts=3).writeStream.foreachBatch(batch_folder(out))
 
     BatchQueue(spark).run(parts, sink)
     got = sorted(map(tuple, read_batches(spark, out).select("batch_id", "k", "value", "seen").collect()))
     assert got == [(1, 1, v, "x") for v in range(300)] + [(2, 1, 300, "x"), (2, 3, 1, "y")]
 
 
+def test_a_hot_key_waits_in_all_its_salts(spark, tmp_path):
+    """A third of the rows under one key: no group holds more than its share; null keys meet nothing."""
+    schema = "side STRING, k BIGINT, value BIGINT, name STRING, text STRING"
+    early = [("stream", 1 if v % 3 == 0 else 1000 + v, v, None, None) for v in range(900)] + [("stream", None, 5, None, None)]
+    late = [("batch", 1, None, "a", "x"), ("batch", None, None, "a", "none"), ("batch", 1004, None, "a", "y"), ("batch", 1004, None, "b", None)]
+    result = StructType([StructField(n, t) for n, t in (("k", LongType()), ("value", LongType()), ("seen", StringType()))])
+    out, queue = str(tmp_path / "out"), BatchQueue(spark)
+
+    def seen(key, values, known):
+        return pd.DataFrame({"k": key[0], "value": values, "seen": ",".join(sorted(v or "-" for v in known.values()))})
+
+    def sink(s):
+        return co_map_stream(s, "k", seen, result, salts=8).writeStream.foreachBatch(batch_folder(out))
+
+    queue.run([spark.createDataFrame(early, schema)], sink)
+    waiting = state_table(spark, queue.checkpoint, "waiting").where("k = 1").groupBy("_salt").count().collect()
+    assert sum(r["count"] for r in waiting) == 300 and max(r["count"] for r in waiting) < 2 * 300 / 8
+    queue.run([spark.createDataFrame(late, schema)], sink)
+    got = sorted(map(tuple, read_batches(spark, out).select("k", "value", "seen").collect()))
+    assert got == [(1, v, "x") for v in range(0, 900, 3)] + [(1004, 4, "-,y")]
+    held = state_table(spark, queue.checkpoint, "attributes").where("k = 1004")
+    assert held.groupBy("_salt").count().where("count <> 2").count() == 0 and held.select("_salt").distinct().count() == 8
+
+
+def test_a_failed_and_repeated_micro_batch_leaves_one_copy(spark, tmp_path):
+    register_sink(spark)
+    out, queue = str(tmp_path / "out"), BatchQueue(spark)
+    parts = [spark.range(i * 100, i * 100 + 100).withColumn("v", F.col("id") % 7).repartition(3) for i in range(3)]
+
+    def sink(s):
+        return s.writeStream.format("transactional").option("path", out).option("fileBytes", "1")
+
+    def failing(s):
+        bad = s.withColumn("v", F.when(F.col("id") == 150, F.raise_error(F.lit("no more"))).otherwise(F.col("v")).cast("bigint"))
+        return sink(bad)
+
+    def ids():
+        return sorted(r["id"] for r in read_committed(spark, out, parts[0].schema).collect())
+
+    queue.run(parts[:1], sink)
+    assert ids() == list(range(100))
+    with pytest.raises(Exception, match="no more"):
+        queue.run(parts[1:2], failing)
+    assert ids() == list(range(100)) and set(committed_files(out)) == {0}
+    queue.run([parts[2]], sink)  # the failed micro-batch comes again, as it was planned, then the new one
+    assert ids() == list(range(300))
+    # A driver that was lost after the manifest and before Spark's own log runs the micro-batch once more.
+    before, log = committed_files(out), max(Path(queue.checkpoint, "commits").glob("[0-9]*"), key=lambda p: int(p.name))
+    log.unlink()
+    log.with_name(f".{log.name}.crc").unlink(missing_ok=True)
+    queue.run([parts[0].limit(0)], sink)
+    after = committed_files(out)
+    assert all(after[b] == files for b, files in before.items())
+    assert ids() == list(range(300))
+    kept = {f for files in after.values() for f in files}
+    assert {f"{out}/data/{p.name}" for p in Path(out, "data").glob("*.parquet")} == kept
+
+
 def test_sources_are_lazy(spark, tmp_path):
     lines = socket_lines(spark, "localhost", 9999)
     assert lines.isStreaming and lines.columns == ["value", "timestamp"]
