@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from bisect import bisect_right
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
@@ -32,13 +33,8 @@ CLOSES = {
 }
 SCOPE = frozenset("html body table ul ol dl div section article main aside nav header footer form td th blockquote".split())
 
-# Tokens of class, id and role that speak for or against main text.
+# Tokens of class, id and role that tell what a block is.
 FOR = "article content main post entry body text story prose blog news page"
-AGAINST = (
-    "nav menu sidebar aside footer header foot head ad ads advert advertisement sponsor sponsored banner promo cookie consent notice alert popup modal "
-    "comment comments reply discussion respondent form search login signup subscribe newsletter share social related "
-    "recommended breadcrumb breadcrumbs pagination pager widget toolbar copyright legal disclaimer tags meta hidden toc"
-)
 GROUPS = {
     "menu": "nav menu breadcrumb breadcrumbs pagination pager toolbar toc tags navigation",
     "edge": "sidebar aside footer header foot head widget copyright legal disclaimer related recommended masthead contentinfo complementary",
@@ -56,11 +52,9 @@ TAG_GROUPS = {
 }
 TAGS = ("p", "div", "section", "li", "ul", "ol", "td", "h1", "h2", "h3", "blockquote", "pre", "article", "main", "nav", "header", "footer", "aside", "form", "figcaption", "dd", "body", "figure")
 
-TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<(/?)([A-Za-z][^\s/>]*)([^>]*)>",
-    re.S,
-)
+OPENING = re.compile(r"<(?:!--|[!?]|(/?)([A-Za-z][^\s/>]*))")
+DECLARATION = re.compile(r"<[!?]")
+SPECIAL = re.compile("[>\"']")
 ATTRIBUTE = re.compile(r"(class|id|role|data-truth|aria-label|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
 WORDS_IN = re.compile(r"[A-Za-z]+")
@@ -95,19 +89,104 @@ class Node:
         self.chars = self.words = self.links = self.stops = self.tags = 0
 
 
+class _Ends:
+    """Where tags end: at the first ``>`` outside quotes, or at the first one if quotes are left open.
+
+    What a quote leads to is kept by its place, so every place is looked at a bounded number of times.
+    """
+
+    def __init__(self, page: str):
+        self.page = page
+        self.ends: dict[int, int] = {}
+
+    def after(self, at: int) -> int:
+        """Place of the ``>`` that ends a tag whose attributes begin at ``at``; there is a ``>`` after it."""
+        first = self.page.find(">", at)
+        double, single = self.page.count('"', at, first), self.page.count("'", at, first)
+        if not (double or single) or not (double and single) and (double + single) % 2 == 0:
+            return first
+        end = self._outside_quotes(at)
+        return first if end < 0 else end
+
+    def _outside_quotes(self, at: int) -> int:
+        page, passed, end = self.page, [], -1
+        while (m := SPECIAL.search(page, at)) is not None:
+            if m[0] == ">":
+                end = m.start()
+                break
+            if m.start() in self.ends:
+                end = self.ends[m.start()]
+                break
+            passed.append(m.start())
+            at = page.find(m[0], m.end()) + 1
+            if not at:
+                break
+        self.ends.update(dict.fromkeys(passed, end))
+        return end
+
+
+class _Open:
+    """The elements that are open, innermost last, and where those of a name and the scopes stand among them."""
+
+    def __init__(self, root: Node):
+        self.stack: list[tuple[str, Node]] = [("html", root)]
+        self.named: dict[str, list[int]] = {}
+        self.scopes: list[int] = []
+        self.blocks: list[int] = []
+
+    def push(self, tag: str, node: Node) -> None:
+        at = len(self.stack)
+        self.stack.append((tag, node))
+        self.named.setdefault(tag, []).append(at)
+        if tag in SCOPE:
+            self.scopes.append(at)
+            if tag not in ("td", "th"):
+                self.blocks.append(at)
+
+    def close(self, at: int) -> None:
+        """Close the element at a place of the stack and all inside it."""
+        while len(self.stack) > at:
+            tag, _ = self.stack.pop()
+            here = len(self.stack)
+            self.named[tag].pop()
+            for places in (self.scopes, self.blocks):
+                if places and places[-1] == here:
+                    places.pop()
+
+    def innermost(self, tag: str) -> int:
+        """Place of the innermost element of a name, 0 if there is none."""
+        places = self.named.get(tag)
+        return places[-1] if places else 0
+
+    def outermost_in_block(self, tags: tuple[str, ...]) -> int:
+        """Place of the outermost element of these names inside the innermost block, 0 if there is none."""
+        block = self.blocks[-1] if self.blocks else 0
+        found = 0
+        for tag in tags:
+            places = self.named.get(tag, [])
+            k = bisect_right(places, block)
+            if k < len(places) and (not found or places[k] < found):
+                found = places[k]
+        return found
+
+
 def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
     """Nodes in page order, and the texts in page order: (node that it belongs to, text).
 
-    A text of -1 as node parts blocks. Contents of RAW elements are left out.
+    A text of -1 as node parts blocks. Contents of RAW elements are left out. The time grows with the
+    page, whatever stands in it: tags without an end, any depth, closing tags without an opening one.
     """
     root = Node("html", None, "", 0)
-    nodes, pieces, stack = [root], [], [("html", root)]
+    nodes, pieces, opened = [root], [], _Open(root)
+    stack = opened.stack
     at, link = 0, 0
     endless: set[str] = set()
 
     def text(value: str) -> None:
         if not value:
             return
+        if "&" in value:
+            value = entities.unescape(value)
         node = stack[-1][1]
         pieces.append((node.order, value))
         n = len(value) - value.count(" ")
@@ -118,83 +197,95 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
             if link:
                 node.links += len(value.strip())
 
-    tokens = TAG.finditer(page)
-    while (m := next(tokens, None)) is not None:
-        name = m[2] or m[5]
-        if m.start() > at:
-            text(entities.unescape(page[at : m.start()]) if "&" in page[at : m.start()] else page[at : m.start()])
-        at = m.end()
-        if name is None:
+    ends, last, look = _Ends(page), page.rfind(">"), 0
+    while (start := page.find("<", look)) >= 0:
+        if start > last:  # no tag ends any more; a comment or declaration takes the rest
+            m = DECLARATION.search(page, start)
+            if m is not None:
+                text(page[at : m.start()])
+                at = len(page)
+            break
+        m = OPENING.match(page, start)
+        if m is None:
+            look = start + 1
             continue
-        tag, shut = name.lower(), bool(m[1] or m[4])
-        attributes = (m[3] or "") if m[2] else (m[6] or "")
-        stack[-1][1].tags += 1
-        if tag == "br" or tag == "hr":
-            pieces.append((stack[-1][1].order, " "))
-            continue
-        if tag == "head":
+        if start > at:
+            text(page[at:start])
+        if m[2] is None:
+            mark = "-->" if m[0] == "<!--" else ">"
+            end = page.find(mark, m.end())
+            look = at = len(page) if end < 0 else end + len(mark)
             continue
+        tag, shut = m[2].lower(), m[1] == "/"
+        close = ends.after(m.end())
+        attributes, at = page[m.end() : close], close + 1
         if tag in RAW_END:
+            stack[-1][1].tags += 1
             if not shut and not attributes.endswith("/") and tag not in endless:
-                end = RAW_END[tag].search(page, at)
-                if end is None:
+                raw = RAW_END[tag].search(page, at)
+                if raw is None:
                     endless.add(tag)
-                if end is not None or tag in CODE:
-                    at = end.end() if end else len(page)
-                    tokens = TAG.finditer(page, at)
-            continue
-        if tag == "a":
-            link = 0 if shut else 1
-        if tag in VOID:
-            continue
-        inline = tag in INLINE or tag in EMBEDDED
-        if not inline:
-            pieces.append((-1, " "))
-        elif tag in APART:
-            pieces.append((stack[-1][1].order, " "))
-        if shut:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] == tag:
-                    del stack[k:]
-                    break
-                if not inline and tag not in SCOPE and stack[k][0] in SCOPE:
-                    break
-            continue
-        if inline:
-            if tag in FOREIGN and attributes.endswith("/"):
-                continue
-            if tag in ("select", "template") or attributes and ("class" in attributes or "id" in attributes or "hidden" in attributes):
-                node = Node(tag, stack[-1][1], attributes, len(nodes), block=False)
-                if node.hidden or node.groups - {"for"}:
-                    nodes.append(node)
-                    stack.append((tag, node))
-                else:
-                    node.parent.children.pop()
-            continue
-        if stack[-1][0] == "p" or any(n == "p" for n, _ in stack[-4:]):
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] == "p":
-                    del stack[k:]
-                    break
-                if stack[k][0] in SCOPE:
-                    break
-        for k in range(len(stack) - 1, 0, -1):
-            if stack[k][0] in CLOSES.get(tag, ()):
-                del stack[k:]
-            elif stack[k][0] in SCOPE and stack[k][0] not in ("td", "th"):
-                break
-        if tag in ("html", "body") and any(n == tag for n, _ in stack[1:] or stack):
-            continue
-        if attributes.endswith("/") and tag not in SCOPE and tag != "p":
-            continue
-        node = Node(tag, stack[-1][1], attributes, len(nodes))
-        nodes.append(node)
-        stack.append((tag, node))
+                if raw is not None or tag in CODE:
+                    at = raw.end() if raw else len(page)
+        else:
+            link = _tag(tag, shut, attributes, opened, nodes, pieces, link)
+        look = at
     if at < len(page):
-        text(entities.unescape(page[at:]))
+        text(page[at:])
     return nodes, pieces
 
 
+def _tag(tag: str, shut: bool, attributes: str, opened: _Open, nodes: list[Node], pieces: list, link: int) -> int:
+    """What a tag does to the open elements; gives whether what follows is in a link."""
+    stack = opened.stack
+    stack[-1][1].tags += 1
+    if tag == "br" or tag == "hr":
+        pieces.append((stack[-1][1].order, " "))
+        return link
+    if tag == "head":
+        return link
+    if tag == "a":
+        link = 0 if shut else 1
+    if tag in VOID:
+        return link
+    inline = tag in INLINE or tag in EMBEDDED
+    if not inline:
+        pieces.append((-1, " "))
+    elif tag in APART:
+        pieces.append((stack[-1][1].order, " "))
+    if shut:
+        k = opened.innermost(tag)
+        # A closing tag reaches out of a scope only if it is a scope itself, or inline.
+        if k and (inline or tag in SCOPE or not opened.scopes or opened.scopes[-1] <= k):
+            opened.close(k)
+        return link
+    if inline:
+        if tag in FOREIGN and attributes.endswith("/"):
+            return link
+        if tag in ("select", "template") or attributes and ("class" in attributes or "id" in attributes or "hidden" in attributes):
+            node = Node(tag, stack[-1][1], attributes, len(nodes), block=False)
+            if node.hidden or node.groups - {"for"}:
+                nodes.append(node)
+                opened.push(tag, node)
+            else:
+                node.parent.children.pop()
+        return link
+    if any(n == "p" for n, _ in stack[-4:]):
+        k = opened.innermost("p")
+        if k and (not opened.scopes or opened.scopes[-1] < k):
+            opened.close(k)
+    if tag in CLOSES and (k := opened.outermost_in_block(CLOSES[tag])):
+        opened.close(k)
+    if tag in ("html", "body") and (opened.innermost(tag) or tag == "html" and len(stack) == 1):
+        return link
+    if attributes.endswith("/") and tag not in SCOPE and tag != "p":
+        return link
+    node = Node(tag, stack[-1][1], attributes, len(nodes))
+    nodes.append(node)
+    opened.push(tag, node)
+    return link
+
+
 FEATURES = (
     ["depth", "own", "own_words", "own_link", "own_stops", "sub", "sub_words", "sub_link", "sub_stops", "density", "blocks", "share", "place", "index", "siblings", "alike", "near_sub", "near_link", "up_link", "up_stops", "up_sub", "hidden", "block"]
     + [f"tag_{t}" for t in TAGS]

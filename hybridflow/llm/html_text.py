@@ -14,12 +14,11 @@ Defined results: a null or empty page, or one without main text, gives an empty
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,29 +49,24 @@ def training_nodes(spark: SparkSession, pages: int, seed: int = 1) -> DataFrame:
     return nodes.select("label", array_to_vector("values").alias("features"), "page")
 
 
-SPLIT = re.compile(r"(If|Else) \(feature (\d+) (<=|>) (\S+)\)|Predict: (\S+)")
-
-
-def _trees(text: str) -> list[tuple[float, np.ndarray]]:
-    """(weight, rows of feature, threshold, left, right, value) of every tree in Spark's printed form."""
+def _trees(model: GBTClassificationModel) -> list[tuple[float, np.ndarray]]:
+    """(weight, rows of feature, threshold, left, right, value) of every tree, read node by node."""
     out = []
-    for weight, body in re.findall(r"Tree \d+ \(weight ([^)]+)\):\n(.*?)(?=\n\s*Tree \d+ \(weight|\Z)", text, re.S):
-        steps = iter(SPLIT.findall(body))
-        nodes: list[list[float]] = []
-
-        def grow(steps=steps, nodes=nodes) -> int:
-            kind, feature, _, threshold, value = next(steps)
-            at = len(nodes)
-            nodes.append([-1, 0.0, 0, 0, float(value or 0)])
-            if kind == "If":
-                nodes[at][:2] = [int(feature), float(threshold)]
-                nodes[at][2] = grow()
-                next(steps)  # the matching Else
-                nodes[at][3] = grow()
+    for weight, tree in zip(model.treeWeights, model.trees, strict=True):
+        rows: list[list[float]] = []
+
+        def grow(node, rows=rows) -> int:
+            at = len(rows)
+            rows.append([-1, 0.0, 0, 0, node.prediction()])
+            if node.subtreeDepth() > 0:
+                split = node.split()
+                rows[at][:2] = [split.featureIndex(), split.threshold()]
+                rows[at][2] = grow(node.leftChild())
+                rows[at][3] = grow(node.rightChild())
             return at
 
-        grow()
-        out.append((float(weight), np.array(nodes, dtype=float)))
+        grow(tree._java_obj.rootNode())
+        out.append((float(weight), np.array(rows, dtype=float)))
     return out
 
 
@@ -104,7 +98,7 @@ def fit(spark: SparkSession, pages: int = TRAINING_PAGES, trees: int = TREES, de
     rows = cuts.cut(training_nodes(spark, pages))
     model = GBTClassifier(maxIter=trees, maxDepth=depth, stepSize=0.3, seed=7, maxBins=64).fit(rows)
     cuts.drop(rows)
-    return NodeModel(_trees(model.toDebugString))
+    return NodeModel(_trees(model))
 
 
 def decode(nodes: list[Node], chance: np.ndarray) -> list[bool]:

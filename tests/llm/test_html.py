@@ -1,5 +1,8 @@
+import html.parser
 import itertools
 import random
+import re
+import time
 
 import numpy as np
 import pytest
@@ -80,19 +83,90 @@ def test_formulas_and_objects_stay_in_their_paragraph(model):
 
 @pytest.mark.parametrize("page", ["<title>" * 100_000, "<script><</script>" * 50_000, "<textarea><iframe>" * 50_000])
 def test_raw_elements_take_linear_time(page):
-    import time
-
     started = time.perf_counter()
     dom.parse(page)
     assert time.perf_counter() - started < 20
 
 
+def plain_text(page):
+    """All text of a page, by a parser of its own kind: what no extractor may alter or reorder."""
+    class Reader(html.parser.HTMLParser):
+        def __init__(self):
+            super().__init__()
+            self.parts, self.raw = [], 0
+
+        def handle_starttag(self, tag, attrs):
+            self.raw += tag in ("script", "style", "title")
+
+        def handle_endtag(self, tag):
+            self.raw -= tag in ("script", "style", "title")
+
+        def handle_data(self, data):
+            if not self.raw:
+                self.parts.append(data)
+
+    reader = Reader()
+    reader.feed(page)
+    return "".join("".join(reader.parts).split())
+
+
+def test_nodes_hold_all_text_of_given_pages(spark, folder):
+    """The tree against the standard library's parser: every character once, in page order."""
+    pages = [r["html"] for r in spark.read.parquet(f"{folder}/pages.parquet").collect() if r["html"]]
+    assert pages
+    for page in pages:
+        nodes, pieces = dom.parse(page)
+        assert "".join(dom.chosen_text(pieces, [True] * len(nodes)).split()) == plain_text(page)
+
+
+def test_given_pages_give_their_article(spark, folder, model):
+    """The whole result against the text inside the article element, read without the tree."""
+    rows = spark.read.parquet(f"{folder}/pages.parquet")
+    got = {r["page_id"]: r["text"] for r in html_text.extract(rows, model).collect()}
+    right = wanted = 0
+    for r in rows.collect():
+        bodies = re.findall(r"<article[^>]*>(.*?)</article>", r["html"] or "", re.S)
+        if len(bodies) == 1:
+            wanted += 1
+            right += "".join(got[r["page_id"]].split()) == plain_text(bodies[0])
+    assert wanted and right / wanted > 0.95
+
+
+def old_end(page, at):
+    """End of a tag by a pattern that looks at everything again each time."""
+    m = re.compile(r"((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>").match(page, at)
+    return m.end() - 1 if m else page.find(">", at)
+
+
+def test_tags_end_outside_quotes_or_at_the_first_end():
+    rng = random.Random(9)
+    for _ in range(3000):
+        page = "".join(rng.choice(["<a ", '"', "'", ">", "x", "=", " ", "</b"]) for _ in range(rng.randint(2, 40))) + ">"
+        ends = dom._Ends(page)
+        places = [k for k in range(len(page)) if rng.random() < 0.5]
+        assert [ends.after(k) for k in places] == [old_end(page, k) for k in places]
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<a " * 350_000, "<foo>" * 200_000, "<div>" * 90_000 + "</b>" * 100_000 + "</p>" * 50_000, '<a "x>"' * 150_000, "<a'\">" * 150_000,
+        "<ul><li><div>" + "<foo>" * 90_000 + "</li>" * 100_000, "<p><foo><foo>" * 80_000, "<div>" * 90_000 + "<body>" * 90_000,
+        "<" * 1_000_000, "<a" * 500_000, '<i class="' * 100_000, "<table><tr><td>" * 60_000 + "</tr>" * 60_000,
+    ],
+)
+def test_pages_of_a_megabyte_take_linear_time(model, page):
+    started = time.perf_counter()
+    assert isinstance(html_text.main_texts([page], model)[0], str)
+    assert time.perf_counter() - started < 40
+
+
 def test_spark_trees_and_arrays_agree(spark, model):
     from pyspark.ml.classification import GBTClassifier
 
     rows = html_text.training_nodes(spark, 60, seed=3).cache()
     spark_model = GBTClassifier(maxIter=4, maxDepth=4, seed=1).fit(rows)
-    own = html_text.NodeModel(html_text._trees(spark_model.toDebugString))
+    own = html_text.NodeModel(html_text._trees(spark_model))
     found = spark_model.transform(rows).select("features", "probability").collect()
     chance = own.chance(np.array([r["features"].toArray() for r in found]))
     assert np.allclose(chance, [r["probability"][1] for r in found], atol=1e-6)
