@@ -1,6 +1,7 @@
 import random
 
 import brute
+import numpy as np
 import pytest
 from brute import prose
 
@@ -43,6 +44,26 @@ def test_links_that_miss_the_first_member_are_found(docs_of, monkeypatch):
     assert all(want[got[i]] == want[i] for i in got)  # never joined without a link
 
 
+def test_signatures_tell_long_texts_apart():
+    """Minima of large sets are small numbers; what is kept of them must differ all the same."""
+    rng = np.random.default_rng(1)
+    base = rng.integers(0, 2**63, 5000).astype(np.uint64)
+    family = minhash.hash_family(128, 3)
+
+    def signature(items):
+        return minhash.sh.mix(minhash.minima(np.sort(items), family)).astype(np.uint8)
+
+    def agreement(share):
+        other = np.concatenate([base[: int(share * 5000)], rng.integers(0, 2**63, 5000 - int(share * 5000)).astype(np.uint64)])
+        both = int(share * 5000) / (10_000 - int(share * 5000))
+        return (signature(base) == signature(other)).mean(), both
+
+    for share in (0.0, 0.5, 0.9):
+        found, similarity = agreement(share)
+        assert abs(found - similarity) < 0.2
+    assert agreement(0.3)[0] * 128 < minhash.least_agreement(128, 80)
+
+
 def test_odd_rows(docs_of, odd_rows):
     got = near_duplicates(docs_of(odd_rows), size=4).collect()
     assert len(got) == len(odd_rows)
