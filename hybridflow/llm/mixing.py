@@ -12,8 +12,9 @@ No task holds a source: its documents are dealt into ranges of the key holding a
 range. Sources need one row each in the plan of targets.
 
 Defined results: a null or blank text has size 0 and is taken 0 times. A null source is a source of
-its own, last in the order of code points. Rows that repeat id and text are separate documents. An
-empty table gives no rows.
+its own, last in the order of code points. Rows that repeat id and text are separate documents, and stand
+next to each other in the sample; however many there are, they are placed as one. An empty table gives no
+rows.
 """
 
 from __future__ import annotations
@@ -29,6 +30,8 @@ WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 EPOCHS = 2
 ROWS_PER_RANGE = 10_000
+#: Copies of a row that one task tells apart at a time.
+COPIES = 10_000
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -85,30 +88,37 @@ def mix_sources(
     spark = ready(docs.sparkSession)
     cuts = Cuts(spark, "mix")
     key = -F.log(uniform(docs["doc_id"], seed)) / quality(docs["text"])
-    base = cuts.cut(
-        docs.select(
-            docs["doc_id"].cast("long").alias("doc_id"),
-            docs["source"].cast("string").alias("source"),
-            n_words(docs["text"]).alias("size"),
-            key.alias("key"),
-            *[docs[c].alias(f"extra_{c}") for c in extra],
-        )
+    base = docs.select(
+        docs["doc_id"].cast("long").alias("doc_id"),
+        docs["source"].cast("string").alias("source"),
+        n_words(docs["text"]).alias("size"),
+        key.alias("key"),
+        *[docs[c].alias(f"extra_{c}") for c in extra],
     )
-    totals = base.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n_docs"))
+    # Rows that are alike in all of this are one row with their number until they have been placed.
+    base = cuts.cut(base.groupBy(*base.columns).agg(F.count("*").alias("copies")))
+    totals = base.groupBy("source").agg(F.sum(F.col("size") * F.col("copies")).alias("source_size"), F.sum("copies").alias("n_docs"))
     plan = targets(totals, weights, share, epochs).withColumnRenamed("source", "s")
     rows = base.join(plan, base["source"].eqNullSafe(plan["s"])).drop("s")
     span = F.floor(F.col("key") * F.ceil(F.col("n_docs") / rows_per_range)).cast("long")
     rows = rows.withColumn("span", span)
-    spans = rows.groupBy(F.col("source").alias("s"), F.col("span").alias("p")).agg(F.sum("size").alias("words"))
+    spans = rows.groupBy(F.col("source").alias("s"), F.col("span").alias("p")).agg(F.sum(F.col("size") * F.col("copies")).alias("words"))
     earlier = Window.partitionBy("s").orderBy("p").rowsBetween(Window.unboundedPreceding, -1)
     starts = spans.select("s", "p", F.coalesce(F.sum("words").over(earlier), F.lit(0)).alias("start"))
     rows = rows.join(starts, rows["source"].eqNullSafe(starts["s"]) & (rows["span"] == starts["p"])).drop("s", "p")
     ahead = Window.partitionBy("source", "span").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
-    prefix = F.col("start") + F.coalesce(F.sum("size").over(ahead), F.lit(0))
+    prefix = F.col("start") + F.coalesce(F.sum(F.col("size") * F.col("copies")).over(ahead), F.lit(0))
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
     rest = F.floor(F.col("target") - F.col("whole") * F.col("source_size")).cast("long")
     part = F.greatest(F.lit(0), F.least(F.col("size"), F.col("rest") - F.col("prefix")))
-    rows = rows.withColumn("prefix", prefix).withColumn("whole", whole).withColumn("rest", rest)
+    rows = rows.withColumn("first", prefix).withColumn("whole", whole).withColumn("rest", rest)
+    # Copies follow each other; many of them are told apart by several tasks.
+    parts = F.sequence(F.lit(0).cast("long"), F.col("copies") - 1, F.lit(COPIES).cast("long"))
+    rows = rows.withColumn("begin", F.explode(parts))
+    if (base.agg(F.max("copies")).first()[0] or 0) > COPIES:
+        rows = rows.repartition("source", "key", "begin")
+    end = F.least(F.col("begin") + COPIES, F.col("copies")) - 1
+    rows = rows.withColumn("copy", F.explode(F.sequence("begin", end))).withColumn("prefix", F.col("first") + F.col("copy") * F.col("size"))
     taken = (F.col("whole") * F.col("size") + part).cast("long")
     repeats = (F.col("whole") + F.when((part == F.col("size")) & (part > 0), 1).otherwise(0)).cast("long")
     return rows.select(
