@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hybridflow.llm import shingles as sh
-from hybridflow.llm.common import ready
+from hybridflow.llm.common import ready, text_tag
 
 SAMPLE_ROWS = 12_000
 MAX_FEATURES = 4096
@@ -251,10 +251,13 @@ def labelled_ids(labels: DataFrame, rows: int) -> DataFrame:
 
 
 def labelled_sample(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """(toxic, text) of the labelled documents ``ids``."""
+    """(toxic, text) of the labelled documents ``ids``, a row per id; of several texts one picked by its fingerprint."""
     few = F.broadcast(ids)  # at most ``sample_rows`` rows of two numbers
-    text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return text.join(few, F.col("doc_id") == F.col("id")).select("toxic", "text")
+    text = F.col("text").cast("string")
+    row = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_tag(text).alias("tag"), text.alias("text"))
+    found = row.join(few, F.col("doc_id") == F.col("id")).groupBy("doc_id")
+    # Repeated rows are put together where they are read, so what moves is a text per id and task.
+    return found.agg(F.first("toxic").alias("toxic"), F.min_by("text", F.struct("tag", "text")).alias("text")).select("toxic", "text")
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, max_features: int = MAX_FEATURES) -> Scorer:

@@ -53,6 +53,39 @@ def test_the_label_model_finds_accuracies_and_a_dependence():
     assert ((post > 0.5) == y).mean() > 0.95
 
 
+def test_an_id_that_repeats_teaches_once(spark, docs_of):
+    """A third of the rows under one labelled id: the sample is bounded in rows, and the fit is the same."""
+    rng = random.Random(2)
+    rows = [(i, prose(rng, 20) + (" zzgrmbl" if i % 4 == 0 else "")) for i in range(120)]
+    labels = spark.createDataFrame([(i, 0, int(i % 4 == 0), "x") for i in range(120)], LABELS)
+    ids = toxicity.labelled_ids(labels, 50)
+    one = ids.first()["id"]
+    many = docs_of([*rows, *[r for r in rows if r[0] == one] * 60])
+    assert toxicity.labelled_sample(many, ids).count() == 50
+    a, b = toxicity.fit(docs_of(rows), labels, sample_rows=50), toxicity.fit(many, labels, sample_rows=50)
+    assert (a.codes == b.codes).all() and np.allclose(a.weights, b.weights) and a.bias == b.bias
+    other = docs_of([*rows, (one, "another text"), (one, None)])
+    assert toxicity.labelled_sample(other, ids).count() == 50
+
+
+def plain_score(fitted, text):
+    """The score by looking at each word and word beginning on its own."""
+    from hybridflow.llm import shingles as sh
+
+    vocabulary = toxicity.Vocabulary(fitted.codes)
+    data = np.frombuffer((text or "").encode(), np.uint8)
+    found = vocabulary.of_texts(sh.words(data, np.array([0, len(data)]), letters=True), toxicity.lowered(data))
+    z = fitted.bias + sum(fitted.weights[k] for own in found for k in own)
+    return 1 / (1 + np.exp(-z))
+
+
+def test_scores_are_the_linear_classifier_on_each_text_alone(scorer):
+    fitted, docs, _ = scorer
+    rows = docs.limit(80).collect()
+    got = {r["doc_id"]: r["score"] for r in toxicity.score_documents(docs, fitted).collect()}
+    assert all(abs(got[r["doc_id"]] - plain_score(fitted, r["text"])) < 1e-9 for r in rows)
+
+
 def test_odd_rows(scorer, docs_of, odd_rows):
     fitted, *_ = scorer
     docs = docs_of([*odd_rows, (99, "You IDIOT, you moron! Stupid scum, worthless loser.")])
