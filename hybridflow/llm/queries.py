@@ -279,11 +279,11 @@ WITH coded AS (
         lambda c, b: {_CRC_FOLD})) AS text_crc32
   FROM coded
 ), keyed AS (
-  SELECT *, {_U48.format("coalesce(CAST(doc_id AS VARCHAR), '') || ':' || text_crc32 || ':29'")} AS key,
+  SELECT *, {_U48.format("coalesce(CAST(doc_id AS VARCHAR), '') || ':' || text_crc32 || ':' || copy || ':29'")} AS key,
     {_U48.format("'source:' || s || ':29'")} AS start
-  FROM base
+  FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, s, size, text_crc32) - 1 AS copy FROM base)
 ), ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY s ORDER BY key, doc_id NULLS FIRST, size, text_crc32) - 1 AS rank,
+  SELECT *, row_number() OVER (PARTITION BY s ORDER BY key, doc_id NULLS FIRST, size, text_crc32, copy) - 1 AS rank,
     count(*) OVER (PARTITION BY s) AS source_n
   FROM keyed
 ), placed AS (

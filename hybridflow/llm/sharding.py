@@ -12,8 +12,8 @@ ranges before it (summed by blocks of ranges first), and rows are ranked within
 shuffled is ids, sizes and checksums; texts move only in :func:`write_shards`.
 
 Defined results: a null text has size 1 and checksum 0, as an empty one. A null source is a source of
-its own. Rows equal in all columns are folded to one with their number before they are dealt, get a
-consecutive run of ranks and are told apart again, so that they spread over the shards. A null id is
+its own. Rows equal in all columns are folded to one with their number, and told apart again by numbering
+the copies, so that each is shuffled by a key of its own and no task holds them all. A null id is
 an id like others, ordered first. An empty table gives no rows. Extra columns of any name are kept by
 :func:`write_shards` (but for its own ``shard`` and ``slot``).
 """
@@ -46,8 +46,8 @@ def _source_key(source: Column) -> Column:
     return F.concat(F.when(source.isNull(), F.lit("-")).otherwise(F.lit("+")), F.coalesce(source, F.lit("")))
 
 
-def folded_rows(docs: DataFrame, seed: int) -> DataFrame:
-    """Rows without their texts, equal ones as one with their number ``n`` and a seeded ``key`` in (0, 1)."""
+def folded_rows(docs: DataFrame) -> DataFrame:
+    """Rows without their texts, equal ones as one with their number ``n``."""
     text = F.coalesce(docs["text"].cast("string"), F.lit(""))
     rows = docs.select(
         docs["doc_id"].cast("long").alias("doc_id"),
@@ -57,8 +57,22 @@ def folded_rows(docs: DataFrame, seed: int) -> DataFrame:
         row_hash(docs).alias("hash"),
     )
     folded = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("n"))
-    name = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "text_crc32")
-    return folded.withColumn("key", uniform(name, seed)).withColumn("s", _source_key(F.col("source")))
+    return folded.withColumn("s", _source_key(F.col("source")))
+
+
+def copies_of(folded: DataFrame, seed: int) -> DataFrame:
+    """A row per copy with a seeded ``key`` in (0, 1); rows with many copies are told apart by several tasks."""
+
+    def told(rows: DataFrame, begin: Column) -> DataFrame:
+        end = F.least(begin + BLOCK, F.col("n")) - 1
+        return rows.withColumn("copy", F.explode(F.sequence(begin, end)))
+
+    none = F.lit(0).cast("long")
+    few = told(folded.where(F.col("n") <= BLOCK), none)
+    many = folded.where(F.col("n") > BLOCK).withColumn("part", F.explode(F.sequence(none, F.floor((F.col("n") - 1) / BLOCK))))
+    many = told(many.repartition("hash", "part"), F.col("part") * BLOCK).drop("part")
+    name = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "text_crc32", "copy")
+    return few.unionByName(many).withColumn("key", uniform(name, seed)).drop("n")
 
 
 def firsts(counts: DataFrame, group: list[str]) -> DataFrame:
@@ -72,44 +86,29 @@ def firsts(counts: DataFrame, group: list[str]) -> DataFrame:
     return placed.join(blocks, [*group, "block"]).select(*group, "range", first.alias("first"))
 
 
-def _copies(ranked: DataFrame) -> DataFrame:
-    """A row per copy with its ``rank``; rows with many copies are told apart by several tasks."""
-
-    def told(rows: DataFrame, begin: Column) -> DataFrame:
-        end = F.least(begin + (BLOCK - 1), F.col("n") - 1)
-        first = F.col("first_rank")
-        return rows.withColumn("rank", F.explode(F.sequence(first + begin, first + end)))
-
-    few = told(ranked.where(F.col("n") <= BLOCK), F.lit(0).cast("long"))
-    many = ranked.where(F.col("n") > BLOCK).withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / BLOCK))))
-    many = told(many.repartition("s", "key", "part"), F.col("part") * BLOCK)
-    return few.unionByName(many.drop("part"))
-
-
 def assign(docs: DataFrame, n_shards: int = SHARDS, seed: int = SEED, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     """Per row of ``docs``: ``doc_id, source, size, text_crc32, hash, shard, slot``; slots count from 0 in each shard."""
     spark = ready(docs.sparkSession)
     cuts = Cuts(spark, "shards")
-    folded = cuts.cut(folded_rows(docs, seed))
+    folded = cuts.cut(folded_rows(docs))
     offset = F.first(uniform(F.concat(F.lit("source:"), "s"), seed))
     totals = folded.groupBy("s").agg(F.sum("n").alias("source_n"), offset.alias("offset"))
+    total = folded.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     # Salted, so that no task holds a source's rows if there are too many sources for a broadcast.
     salted = totals.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    rows = folded.withColumn("salt", F.pmod("hash", F.lit(SALTS)).cast("int")).join(salted, ["s", "salt"]).drop("salt")
-
+    rows = copies_of(folded, seed).withColumn("salt", F.pmod(F.col("hash") + F.col("copy"), F.lit(SALTS)).cast("int"))
+    rows = rows.join(salted, ["s", "salt"]).drop("salt")
     spans = F.ceil(F.col("source_n") / rows_per_range)
-    rows = rows.withColumn("range", F.floor(F.col("key") * spans).cast("long"))
-    starts = firsts(rows.groupBy("s", "range").agg(F.sum("n").alias("n")), ["s"])
-    ahead = Window.partitionBy("s", "range").orderBy("key", "doc_id", "size", "text_crc32", "hash").rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.join(starts, ["s", "range"])
-    ranked = cuts.cut(rows.withColumn("first_rank", F.col("first") + F.coalesce(F.sum("n").over(ahead), F.lit(0))).drop("first", "range"))
-
-    total = folded.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    rows = cuts.cut(rows.withColumn("range", F.floor(F.col("key") * spans).cast("long")))
+    starts = firsts(rows.groupBy("s", "range").agg(F.count(F.lit(1)).alias("n")), ["s"])
+    shuffled = Window.partitionBy("s", "range").orderBy("key", "doc_id", "size", "text_crc32", "hash", "copy")
+    rank = F.col("first") + F.row_number().over(shuffled) - 1
+    ranked = rows.join(starts, ["s", "range"]).withColumn("rank", rank)
     fraction = (F.col("rank").cast("double") + F.col("offset")) / F.col("source_n")
-    single = _copies(ranked).withColumn("fraction", fraction)
     ranges = -(-total // rows_per_range)
-    single = cuts.cut(single.withColumn("range", F.floor(F.col("fraction") * ranges).cast("long")).drop("n", "key", "offset", "source_n", "first_rank"))
-    cuts.drop(folded, ranked)
+    single = ranked.withColumn("fraction", fraction).withColumn("range", F.floor(F.col("fraction") * ranges).cast("long"))
+    single = cuts.cut(single.drop("key", "offset", "source_n", "first", "copy"))
+    cuts.drop(folded, rows)
     starts = firsts(single.groupBy("range").agg(F.count(F.lit(1)).alias("n")), [])
     within = Window.partitionBy("range").orderBy("fraction", "s", "rank")
     place = F.col("first") + F.row_number().over(within) - 1
