@@ -4,10 +4,12 @@ A string of ``length`` bytes that starts at two places has the same lowest-ranke
 at both, so it is enough to sort suffixes at such pieces, the anchors (about one place in 75):
 
 1. Anchors are found where texts are read (sliding minimum of piece fingerprints) and counted; those
-   whose piece occurs once anywhere are done.
-2. The others get their context, the ``length - seed`` bytes before and ``length`` bytes from the
-   anchor on. Equal contexts become one class with a count; copies cost nothing further.
-3. Classes of one anchor piece are sorted by what follows: a suffix array with the common prefixes of
+   whose piece occurs once anywhere are done. Anchors of one piece that follow each other at equal
+   distance, as in a run of one byte, are one row with their number.
+2. The others get a fingerprint of their context, the ``length - seed`` bytes before and ``length`` bytes
+   from the anchor on. Equal contexts become one class with a count; copies cost nothing further, and equal
+   contexts that follow each other in a text stay one row.
+3. Each class is shown by the bytes of one place. Classes of one anchor piece are sorted by what follows: a suffix array with the common prefixes of
    neighbours. A scan with a stack walks its intervals of common prefixes, from the longest to the
    shortest; in each, members fall into groups by what precedes them, and a group of two or more is a
    repeat that no further interval prolongs to the right. Its members learn how far they agree to
@@ -16,10 +18,12 @@ at both, so it is enough to sort suffixes at such pieces, the anchors (about one
 
 A piece with more than ``task_rows`` distinct contexts is not sorted in one task: its strings of
 ``length`` bytes around the anchor are counted as fingerprints, with the same result. Texts travel
-to the list of their own anchors and spans only.
+to the list of their own anchors and spans only. What meets by a piece or a context that holds more
+than its share of all rows is joined by broadcast: of such keys there are at most ``HOT_KEYS``.
 
 Defined results: a null text is empty; texts shorter than ``length`` keep everything. Matches never
-cross rows. Rows that repeat id and text are separate documents, and remove each other.
+cross rows. Rows that repeat id and text are separate documents, and remove each other; they are
+looked at once, with their number. A text of any length is gone through in blocks.
 """
 
 from __future__ import annotations
@@ -37,6 +41,13 @@ from hybridflow.llm.common import Cuts, keyed_text, ready
 LENGTH = 200
 SEED = 50
 TASK_ROWS = 100_000
+#: A key with more than one in so many of all rows, and more than HOT_ROWS, is joined by broadcast.
+HOT_KEYS = 10_000
+HOT_ROWS = 50_000
+#: Bytes of a text gone through at a time; places looked at and contexts passed on at a time.
+BLOCK = 4 << 20
+PORTION = 1_000_000
+BATCH = 4_096
 U = np.uint64
 
 
@@ -71,52 +82,134 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int, seed: int) -> tu
     return at, codes[at]
 
 
+def text_anchors(part: np.ndarray, at: np.ndarray, length: int, seed: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """:func:`anchors` in bounded memory: a text of more than BLOCK bytes in blocks that see what is around them."""
+    n = len(part)
+    if n <= BLOCK or len(at) > 2:
+        yield anchors(part, at, length, seed)
+        return
+    for start in range(0, n, BLOCK):
+        a, b = max(0, start - length), min(n, start + BLOCK + length)
+        place, code = anchors(part[a:b], np.array([0, b - a]), length, seed)
+        own = (place + a >= start) & (place + a < start + BLOCK)
+        yield place[own] + a, code[own]
+
+
+def runs(place: np.ndarray, code: np.ndarray, text: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of one code that follow each other at an equal distance of at most ``most``: first, last, distance."""
+    n = len(place)
+    if not n:
+        return np.empty(0, int), np.empty(0, int), np.empty(0, int)
+    gap = np.diff(place)
+    linked = (code[1:] == code[:-1]) & (text[1:] == text[:-1]) & (gap <= most)
+    begins = np.ones(n, dtype=bool)
+    begins[1:] = ~linked
+    begins[2:] |= linked[1:] & linked[:-1] & (gap[1:] != gap[:-1])
+    first = np.flatnonzero(begins)
+    last = np.append(first[1:], n) - 1
+    step = np.where(last > first, np.append(gap, 1)[first], 1)
+    return first, last, step
+
+
 def _anchor_rows(length: int, seed: int):
-    """(doc_id, tag, text) to a row per anchor: (h, doc_id, tag, pos)."""
+    """(doc_id, tag, text, copies) to a row per run of anchors: (h, doc_id, tag, pos, last, step, n)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = sh.text_buffers(batch.column(2))
-            for first, _, part, at in sh.chunks(data, offsets):
-                place, code = anchors(part, at, length, seed)
-                text = np.searchsorted(at, place, side="right") - 1
-                which = pa.array(first + text)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(code.view(np.int64)), batch.column(0).take(which), batch.column(1).take(which),
-                     pa.array((place - at[text]).astype(np.int32))],
-                    ["h", "doc_id", "tag", "pos"],
-                )
+            copies = batch.column(3).to_numpy()
+            for begin, _, part, at in sh.chunks(data, offsets):
+                for place, code in text_anchors(part, at, length, seed):
+                    text = np.searchsorted(at, place, side="right") - 1
+                    first, last, step = runs(place, code, text, length)
+                    which = pa.array(begin + text[first])
+                    own = at[text[first]]
+                    n = ((place[last] - place[first]) // step + 1) * copies[begin + text[first]]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(code[first].view(np.int64)), batch.column(0).take(which), batch.column(1).take(which),
+                         pa.array((place[first] - own).astype(np.int32)), pa.array((place[last] - own).astype(np.int32)),
+                         pa.array(step.astype(np.int32)), pa.array(n)],
+                        ["h", "doc_id", "tag", "pos", "last", "step", "n"],
+                    )
 
     return run
 
 
+ANCHORS = "h long, doc_id long, tag long, pos int, last int, step int, n long"
+
+
+def _portions(found: list[dict]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Runs of anchors as places, their pieces and the number of their run, a bounded number at a time."""
+    held, size = [], 0
+    for k, r in enumerate(found):
+        for start in range(r["pos"], r["last"] + 1, r["step"] * PORTION):
+            held.append((k, np.arange(start, min(r["last"] + 1, start + r["step"] * PORTION), r["step"])))
+            size += len(held[-1][1])
+            if size >= PORTION:
+                yield _joined_runs(held, found)
+                held, size = [], 0
+    if held:
+        yield _joined_runs(held, found)
+
+
+def _joined_runs(held: list, found: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    which = np.repeat([k for k, _ in held], [len(p) for _, p in held])
+    return np.concatenate([p for _, p in held]), np.array([r["h"] for r in found])[which], which
+
+
 def _contexts(length: int, seed: int):
-    """(doc_id, tag, text, places, codes) to a row per place with its context."""
+    """(doc_id, tag, text, copies, anchors) to a row per run of places that have the same context."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before = length - seed
         for batch in batches:
             data, offsets = sh.text_buffers(batch.column(2))
-            raw = data.tobytes()
-            places, codes = batch.column(3), batch.column(4)
             for i in range(batch.num_rows):
-                pos = np.asarray(places[i].as_py(), dtype=np.int64)
-                a, b = int(offsets[i]), int(offsets[i + 1])
-                start, at, end = np.maximum(pos - before, 0) + a, pos + a, np.minimum(pos + length, b - a) + a
-                code = sh.range_codes(data[a:b], start - a, end - a) ^ sh.mix((at - start).astype(U) + U(1))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(codes[i].as_py(), pa.int64()), pa.array(code.view(np.int64)),
-                     pa.array([batch.column(0)[i].as_py()] * len(pos), pa.int64()), pa.array([batch.column(1)[i].as_py()] * len(pos), pa.int64()),
-                     pa.array(pos.astype(np.int32)), pa.array((at - start).astype(np.int32)), pa.array((end - at).astype(np.int32)),
-                     pa.array([raw[x:y][::-1] for x, y in zip(start.tolist(), at.tolist(), strict=True)], pa.binary()),
-                     pa.array([raw[x:y] for x, y in zip(at.tolist(), end.tolist(), strict=True)], pa.binary())],
-                    ["h", "c", "doc_id", "tag", "pos", "nl", "nr", "left", "right"],
-                )
+                own = data[int(offsets[i]) : int(offsets[i + 1])]
+                size = len(own)
+                copies = batch.column(3)[i].as_py()
+                for pos, h, which in _portions(batch.column(4)[i].as_py()):
+                    start, end = np.maximum(pos - before, 0), np.minimum(pos + length, size)
+                    code = sh.range_codes(own, start, end) ^ sh.mix((pos - start).astype(U) + U(1))
+                    first, last, step = runs(pos, code, which, length)
+                    for k in range(0, len(first), BATCH):
+                        f, t, d = first[k : k + BATCH], last[k : k + BATCH], step[k : k + BATCH]
+                        m, at = len(f), pos[f]
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(h[f], pa.int64()), pa.array(code[f].view(np.int64)),
+                             pa.array([batch.column(0)[i].as_py()] * m, pa.int64()), pa.array([batch.column(1)[i].as_py()] * m, pa.int64()),
+                             pa.array(at.astype(np.int32)), pa.array(pos[t].astype(np.int32)), pa.array(((pos[t] - at) // d + 1) * copies),
+                             pa.array((at - start[f]).astype(np.int32)), pa.array((end[f] - at).astype(np.int32))],
+                            ["h", "c", "doc_id", "tag", "pos", "last", "n", "nl", "nr"],
+                        )
 
     return run
 
 
-CONTEXT = "h long, c long, doc_id long, tag long, pos int, nl int, nr int, left binary, right binary"
+CONTEXT = "h long, c long, doc_id long, tag long, pos int, last int, n long, nl int, nr int"
+
+
+def _bytes_of(length: int, seed: int):
+    """(text, places) to a row per place with the bytes before it, reversed, and those from it on."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before = length - seed
+        for batch in batches:
+            data, offsets = sh.text_buffers(batch.column(0))
+            for i in range(batch.num_rows):
+                raw = data[int(offsets[i]) : int(offsets[i + 1])].tobytes()
+                shown = batch.column(1)[i].as_py()
+                for k in range(0, len(shown), BATCH):
+                    part = shown[k : k + BATCH]
+                    columns = {name: pa.array([p[name] for p in part], pa.int64()) for name in ("h", "c", "n", "m")}
+                    columns["left"] = pa.array([raw[max(p["p"] - before, 0) : p["p"]][::-1] for p in part], pa.binary())
+                    columns["right"] = pa.array([raw[p["p"] : p["p"] + length] for p in part], pa.binary())
+                    yield pa.RecordBatch.from_pydict({name: columns[name] for name in ("h", "c", "n", "left", "right", "m")})
+
+    return run
+
+
+BYTES = "h long, c long, n long, left binary, right binary, m long"
 
 
 def common(a: bytes, b: bytes) -> int:
@@ -231,31 +324,58 @@ def _windows(length: int):
     return run
 
 
+def one_of_each(texts: DataFrame, cuts: Cuts) -> DataFrame:
+    """``texts`` with rows that repeat id and text put together, and their number as ``copies``."""
+    repeated = cuts.cut(texts.groupBy("doc_id", "tag").agg(F.count("*").alias("k")).where("k > 1"))
+    if repeated.isEmpty():
+        return texts.withColumn("copies", F.lit(1).cast("long"))
+    repeated = repeated.select(F.col("doc_id").alias("d"), F.col("tag").alias("t"))
+    single = texts.join(repeated, _key(texts), "left_anti").withColumn("copies", F.lit(1).cast("long"))
+    # Copies meet where they are read, so what moves is a text per task that has it.
+    several = texts.join(repeated, _key(texts), "left_semi").groupBy("doc_id", "tag")
+    return single.unionByName(several.agg(F.first("text").alias("text"), F.count("*").alias("copies")))
+
+
+def meet(rows: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
+    """``rows`` joined with ``keys``, which has a row per key and counts that key's ``rows_of_key`` in ``rows``.
+
+    Keys with more than their share are broadcast, there can be only HOT_KEYS of them; so their rows stay where they are.
+    """
+    total = keys.agg(F.coalesce(F.sum("rows_of_key"), F.lit(0))).first()[0]
+    is_hot = F.col("rows_of_key") > max(HOT_ROWS, total // HOT_KEYS)
+    hot = keys.where(is_hot)
+    if hot.isEmpty():
+        return rows.join(keys.drop("rows_of_key"), on)
+    apart = rows.join(F.broadcast(hot.select(on)), on, "left_anti").join(keys.where(~is_hot).drop("rows_of_key"), on)
+    return apart.unionByName(rows.join(F.broadcast(hot.drop("rows_of_key")), on))
+
+
 def repeated_spans(texts: DataFrame, cuts: Cuts, length: int, seed: int, task_rows: int) -> DataFrame:
     """``doc_id, tag, start, end`` of repeated bytes (overlapping ones not joined)."""
-    found = cuts.cut(texts.mapInArrow(_anchor_rows(length, seed), "h long, doc_id long, tag long, pos int"))
-    often = cuts.cut(found.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select(F.col("h").alias("k")))
-    places = found.join(often, F.col("h") == F.col("k")).groupBy("doc_id", "tag")
-    places = cuts.cut(places.agg(F.collect_list("pos").alias("places"), F.collect_list("h").alias("codes")))
+    texts = one_of_each(texts, cuts)
+    found = cuts.cut(texts.mapInArrow(_anchor_rows(length, seed), ANCHORS))
+    often = cuts.cut(found.groupBy("h").agg(F.sum("n").alias("n"), F.count("*").alias("rows_of_key")).where("n > 1").drop("n"))
+    places = meet(found, often, ["h"]).groupBy("doc_id", "tag")
+    places = cuts.cut(places.agg(F.collect_list(F.struct("pos", "last", "step", "h")).alias("anchors")))
     cuts.drop(found, often)
     with_text = texts.join(places.withColumnsRenamed({"doc_id": "d", "tag": "t"}), _key(texts))
-    context = cuts.cut(with_text.select("doc_id", "tag", "text", "places", "codes").mapInArrow(_contexts(length, seed), CONTEXT))
+    context = cuts.cut(with_text.select("doc_id", "tag", "text", "copies", "anchors").mapInArrow(_contexts(length, seed), CONTEXT))
     cuts.drop(places)
 
-    # Each class is shown by one of its rows, so that rows meet by what tells them apart, not by piece.
+    # Each class is shown by one of its places, whose bytes are read from its text again; the others move as numbers.
     own = F.xxhash64("doc_id", "tag", "pos")
+    shown = [F.min_by(column, own).alias(name) for column, name in (("doc_id", "d"), ("tag", "t"), ("pos", "p"))]
     counted = context.groupBy("h", "c")
     classes = cuts.cut(
-        counted.agg(F.count("*").alias("n"), F.min("nl").alias("nl"), F.min("nr").alias("nr"), F.min(own).alias("shown"))
+        counted.agg(F.sum("n").alias("n"), F.count("*").alias("rows_of_class"), F.min("nl").alias("nl"), F.min("nr").alias("nr"), *shown)
     )
-    per = classes.groupBy("h").agg(F.count("*").alias("m"))
-    alone = classes.join(per.where("m = 1").select(F.col("h").alias("k")), F.col("h") == F.col("k"), "left_semi")
-    alone = alone.where(f"n > 1 and nl + nr >= {length}").select("h", "c", F.col("nl").alias("before"), F.col("nr").alias("after"))
-    several = classes.join(per.where("m > 1").select(F.col("h").alias("k"), "m"), F.col("h") == F.col("k"))
-    several = cuts.cut(several.select(F.col("h").alias("k"), F.col("c").alias("l"), "shown", "n", "m"))
-    rows = context.select("h", "c", own.alias("own"), "left", "right")
-    shown = (F.col("h") == F.col("k")) & (F.col("c") == F.col("l")) & (F.col("own") == F.col("shown"))
-    bytes_ = cuts.cut(rows.join(several, shown).select("h", "c", "n", "left", "right", "m"))
+    per = cuts.cut(classes.groupBy("h").agg(F.count("*").alias("m")).withColumn("rows_of_key", F.col("m")))
+    by_piece = cuts.cut(meet(classes, per, ["h"]))
+    cuts.drop(classes, per)
+    alone = by_piece.where(f"m = 1 and n > 1 and nl + nr >= {length}").select("h", "c", F.col("nl").alias("before"), F.col("nr").alias("after"), "rows_of_class")
+    several = by_piece.where("m > 1")
+    wanted = several.groupBy("d", "t").agg(F.collect_list(F.struct("p", "h", "c", "n", "m")).alias("places"))
+    bytes_ = cuts.cut(texts.join(wanted, _key(texts)).select("text", "places").mapInArrow(_bytes_of(length, seed), BYTES))
     few = bytes_.where(F.col("m") <= task_rows).select("h", "c", "n", "left", "right")
     n_tasks = 1 + bytes_.where(F.col("m") <= task_rows).count() // task_rows
     width = max(int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")), n_tasks)
@@ -269,11 +389,13 @@ def repeated_spans(texts: DataFrame, cuts: Cuts, length: int, seed: int, task_ro
         hit = strings.join(again, (F.col("h") == F.col("k")) & (F.col("before") == F.col("b")) & (F.col("code") == F.col("x")))
         reach = hit.groupBy("h", "c").agg(F.max("before").alias("before"), (length - F.min("before")).alias("after"))
         agreed = agreed.union(reach.select("h", "c", "before", F.col("after").cast("int")))
-    agreed = cuts.cut(alone.union(agreed).withColumnsRenamed({"h": "k", "c": "l"}))
-    cuts.drop(classes, several, bytes_)
-    at = context.select("h", "c", "doc_id", "tag", "pos")
-    spans = at.join(agreed, (F.col("h") == F.col("k")) & (F.col("c") == F.col("l")))
-    spans = spans.select("doc_id", "tag", (F.col("pos") - F.col("before")).alias("start"), (F.col("pos") + F.col("after")).alias("end"))
+    counts = several.select("h", "c", "rows_of_class")
+    agreed = alone.unionByName(agreed.join(counts, ["h", "c"])).withColumnRenamed("rows_of_class", "rows_of_key")
+    agreed = cuts.cut(agreed)
+    cuts.drop(by_piece, bytes_)
+    at = context.select("h", "c", "doc_id", "tag", "pos", "last")
+    spans = meet(at, agreed, ["h", "c"])
+    spans = spans.select("doc_id", "tag", (F.col("pos") - F.col("before")).alias("start"), (F.col("last") + F.col("after")).alias("end"))
     spans = cuts.cut(spans)
     cuts.drop(context, agreed)
     return spans

@@ -1,8 +1,11 @@
 import random
+import time
 
 import brute
+import numpy as np
 import pytest
 
+from hybridflow.llm import suffix_dedup
 from hybridflow.llm.suffix_dedup import agreements, intervals, remove_repeats
 
 
@@ -30,6 +33,56 @@ def test_as_brute_force(docs_of, task_rows):
         assert (r["n_bytes"], sum(s["end"] - s["start"] for s in r["spans"]), len(r["spans"]), bytes(r["kept"])) == (size, removed, spans, kept), i
 
 
+def checked(docs_of, rows, **options):
+    """Rows as brute force gives them, in any order."""
+    got = sorted(
+        (r["doc_id"] is None, r["doc_id"] or 0, r["n_bytes"], sum(s["end"] - s["start"] for s in r["spans"] or []), len(r["spans"] or []), bytes(r["kept"]))
+        for r in remove_repeats(docs_of(rows), **options).collect()
+    )
+    plain = brute.repeated_bytes([t for _, t in rows], options["length"])
+    want = sorted((i is None, i or 0, size, removed, spans, kept) for (i, _), (size, removed, spans, kept) in zip(rows, plain, strict=True))
+    assert got == want
+
+
+def test_a_third_of_the_rows_repeated_and_null_ids(docs_of):
+    rows = planted(4)
+    checked(docs_of, rows + [rows[5]] * 20 + [(None, rows[7][1])] * 15 + [(None, None)] * 4 + [(9, "short")] * 3, length=40, seed=10)
+
+
+def test_many_equal_rows_make_few_contexts(spark, docs_of, monkeypatch):
+    """Work grows with the number of equal rows, not with its square."""
+    cuts, sizes = suffix_dedup.Cuts, []
+    cut = cuts.cut
+    monkeypatch.setattr(cuts, "cut", lambda self, df: sizes.append(cut(self, df)) or sizes[-1])
+    kept = []
+    monkeypatch.setattr(cuts, "drop", lambda self, *tables: kept.extend(tables))
+    text = planted(5)[3][1] * 4
+    checked(docs_of, [(1, text)] * 2000 + [(2, text)] * 1000, length=40, seed=10)
+    assert max(df.count() for df in sizes) <= 4 * len(text)
+
+
+@pytest.mark.parametrize("text", ["x" * 3000, "ab" * 1500, "abc" * 700 + "x" + "abc" * 700, "x" * 60 + "y" + "x" * 60, ("y" * 90 + "z") * 20])
+def test_runs_and_periods(docs_of, text):
+    checked(docs_of, [(1, text), (2, "q" + text[:150] + "r"), (3, "other text of no use")], length=40, seed=10)
+
+
+def test_blocks_portions_and_batches(docs_of, monkeypatch):
+    for name, value in (("BLOCK", 97), ("PORTION", 5), ("BATCH", 3), ("HOT_ROWS", 4), ("HOT_KEYS", 50)):
+        monkeypatch.setattr(suffix_dedup, name, value)
+    rows = planted(6)
+    checked(docs_of, rows[:25] + rows[50:] + [(60, "x" * 700), (61, rows[3][1]), (62, rows[3][1] + " z")], length=40, seed=10)
+
+
+def test_a_run_of_megabytes_takes_linear_work():
+    data = np.full(9 << 20, 120, np.uint8)
+    at = np.array([0, len(data)])
+    begun, rows = time.perf_counter(), 0
+    for place, code in suffix_dedup.text_anchors(data, at, 200, 50):
+        first, last, step = suffix_dedup.runs(place, code, np.zeros(len(place), int), 200)
+        rows += len(first)
+    assert rows <= 4 and time.perf_counter() - begun < 60
+
+
 def test_intervals_of_a_suffix_array():
     text = "banana$"
     order = sorted(range(len(text)), key=lambda i: text[i:])
