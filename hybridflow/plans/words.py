@@ -41,6 +41,14 @@ def text_lines_strip_cr(spark, folder):
     return _counted(read_clean_lines(spark, path))
 
 
+def text_lines_delimited(spark, folder):
+    """Lines with an end of their own, of two characters; newlines are text."""
+    path, end = new_path(spark, "delimited"), "\x1e\n"
+    lines = lines_of(table(spark, folder, "documents"), "text").select(F.concat("line", F.lit("\n.")))
+    lines.write.option("lineSep", end).text(path)
+    return _counted(read_clean_lines(spark, path, end))
+
+
 def split_words(spark, folder):
     lines = lines_of(table(spark, folder, "documents"), "text", "doc_id")
     return words_of(lines, "line", "doc_id").groupBy("doc_id").agg(
@@ -106,6 +114,7 @@ def wordcount_trailing(spark, folder):
 QUERIES = {
     "src_text_lines": src_text_lines,
     "text_lines_strip_cr": text_lines_strip_cr,
+    "text_lines_delimited": text_lines_delimited,
     "split_words": split_words,
     "wordcount_total": wordcount_total,
     "wordcount_sliding": wordcount_sliding,
@@ -130,6 +139,7 @@ _SLIDING = f"""
 SQL = {
     "src_text_lines": f"SELECT line AS value, count(*) AS n FROM ({_LINES}) GROUP BY line",
     "text_lines_strip_cr": f"SELECT line AS value, count(*) AS n FROM ({_LINES}) GROUP BY line",
+    "text_lines_delimited": f"SELECT line || chr(10) || '.' AS value, count(*) AS n FROM ({_LINES}) GROUP BY line",
     "split_words": f"""
         SELECT doc_id, count(*) AS n_words, count(*) FILTER (word = '') AS n_empty
         FROM (SELECT doc_id, unnest({_SPLIT}) AS word FROM ({_LINES})) GROUP BY doc_id""",

@@ -8,17 +8,18 @@ from hybridflow.functions.words import strip_cr
 from pyspark.sql import functions as F
 
 
-def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """One row per line ended by a newline. Lone carriage returns stay inside the line."""
-    return spark.read.option("lineSep", "\n").text(path)
+def read_lines(spark: SparkSession, path: str | list[str], delimiter: str = "\n") -> DataFrame:
+    """One row per line ended by the delimiter, of any length. Other line ends stay inside the line."""
+    return spark.read.option("lineSep", delimiter).text(path)
 
 
-def read_clean_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """As :func:`read_lines`, with the ``\\r`` of Windows line ends taken off."""
-    return read_lines(spark, path).withColumn("value", strip_cr(F.col("value")))
+def read_clean_lines(spark: SparkSession, path: str | list[str], delimiter: str = "\n") -> DataFrame:
+    """As :func:`read_lines`; lines ended by a newline lose the ``\\r`` of Windows line ends."""
+    lines = read_lines(spark, path, delimiter)
+    return lines.withColumn("value", strip_cr(F.col("value"))) if delimiter == "\n" else lines
 
 
-def numbered_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def numbered_lines(spark: SparkSession, path: str | list[str], delimiter: str = "\n") -> DataFrame:
     """Lines with ``file_name`` and ``line_no``, their number from 1 over all files in the order of their paths.
 
     Spark reads a text in splits, in any order. Lines are counted per split, a split's first number is the
@@ -26,7 +27,7 @@ def numbered_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     splits, and what is summed is a row per split.
     """
     split = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
-    lines = spark.read.option("lineSep", "\n").text(path).select(
+    lines = read_lines(spark, path, delimiter).select(
         "value", F.col("_metadata.file_name").alias("file_name"), split.alias("split"), F.monotonically_increasing_id().alias("id")
     )
     # A split lies within one partition, where ids are consecutive.
