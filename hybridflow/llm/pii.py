@@ -124,7 +124,7 @@ def _written(at: str, dot: str) -> str:
 WRITTEN = re.compile("|".join([_written("at", "dot"), _written("arroba", "punto|dot"), _written("arobase", "point|dot"), _written("ät", "punkt|dot")]), re.I)
 WRITTEN_AT = re.compile(r"\s+(?:at|arroba|arobase|ät)\s+", re.I)
 WRITTEN_DOT = re.compile(r"\s+(?:dot|punto|point|punkt)\s+", re.I)
-DIGIT_DOT = re.compile(r"(?<=[0-9])\s+dot\s+(?=[0-9])", re.I)
+DIGIT_DOT = re.compile(r"(?<=[0-9])\s+(?:dot|punkt|point|punto)\s+(?=[0-9])", re.I)
 #: Words joined by written dots, of which some hold a sign already.
 DOTTED = re.compile(r"(?<![A-Za-z0-9._%+@-])[A-Za-z0-9._%+@-]++(?:\s++dot\s++[A-Za-z0-9._%+@-]++)++", re.I)
 HALF_WRITTEN = re.compile(r"(?<=[A-Za-z0-9])\s+dot\s+(?=[A-Za-z0-9])", re.I)

@@ -66,6 +66,9 @@ def test_disguises_map_back_to_source_places(text, kind, source):
     ("text", "kind", "source"),
     [
         ("host one dot two dot three dot four", "ip", "one dot two dot three dot four"),
+        ("host 10 point 0 point 0 point 1 ici", "ip", "10 point 0 point 0 point 1"),
+        ("host 1 Punkt 2 Punkt 3 Punkt 4 hier", "ip", "1 Punkt 2 Punkt 3 Punkt 4"),
+        ("host 1 punto 2 punto 3 punto 4", "ip", "1 punto 2 punto 3 punto 4"),
         ("host 10 dot one.20 . two", "ip", "10 dot one.20 . two"),
         ("call plus 1 five 5 five 5 two 5 seven 1 four", "phone", "plus 1 five 5 five 5 two 5 seven 1 four"),
         ("card four 111 1111 one 111 1111", "card", "four 111 1111 one 111 1111"),
