@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from hybridflow.operators.hybrid_join import enrich, full, one_per_key, snapshot
-from hybridflow.operators.rolling import Fold, fold_totals, merge_totals, rolling_fold
+from hybridflow.operators.rolling import Fold, fold_totals, merge_totals, rolling_fold, with_values
 
 FOLDS = [
     Fold("n", "count"),
@@ -197,3 +197,22 @@ def test_a_batch_side_that_repeats_keys_gives_a_row_per_row(spark):
     assert sorted(map(tuple, joined)) == [(1, "y"), (2, None)]
     kept = snapshot(stream, batch, ["k"], [Fold("n", "count")]).select("k", "n", "a").collect()
     assert sorted(map(str, map(tuple, kept))) == ["(1, 1, 'y')", "(2, 1, None)", "(None, 0, 'm')", "(None, 0, 'n')"]
+
+
+@pytest.mark.parametrize("rows_per_slice", [1000, 20])
+def test_last_value_by_its_own_order(spark, rows_per_slice):
+    """Also where a key is sliced, where the order is null or ties, and where totals of parts merge."""
+    rng = random.Random(9)
+    rows = [(1 if i % 3 else i % 5, i, rng.choice([None, *range(20)]), rng.choice([None, *range(9)])) for i in range(300)]
+    df = spark.createDataFrame(rows, "k BIGINT, id BIGINT, at BIGINT, v BIGINT")
+    folds = [Fold("latest", "last", "v", ("at",)), Fold("n", "count")]
+    rolled = with_values(rolling_fold(df, ["k"], ["id"], folds, None, rows_per_slice), folds)
+    held, expected = {}, {}
+    for k, i, at, v in rows:
+        if v is not None:
+            held[k] = max(held.get(k, ((False,), -1)), ((at is not None, at) if at is not None else (False,), v))
+        expected[i] = held[k][1] if k in held else None
+    assert {r["id"]: r["latest"] for r in rolled.collect()} == expected
+    parts = [fold_totals(df.where(f"id % 2 = {i}"), ["k"], folds) for i in (0, 1)]
+    both = with_values(merge_totals(parts[0], parts[1], ["k"], folds), folds)
+    assert {r["k"]: r["latest"] for r in both.collect()} == {k: v for k, (_, v) in held.items()}
