@@ -138,23 +138,29 @@ def _anchor_rows(length: int, seed: int):
 ANCHORS = "h long, doc_id long, tag long, pos int, last int, step int, n long"
 
 
-def _portions(found: list[dict]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Runs of anchors as places, their pieces and the number of their run, a bounded number at a time."""
-    held, size = [], 0
-    for k, r in enumerate(found):
-        for start in range(r["pos"], r["last"] + 1, r["step"] * PORTION):
-            held.append((k, np.arange(start, min(r["last"] + 1, start + r["step"] * PORTION), r["step"])))
-            size += len(held[-1][1])
-            if size >= PORTION:
-                yield _joined_runs(held, found)
-                held, size = [], 0
-    if held:
-        yield _joined_runs(held, found)
+def _fields(rows: pa.ListArray, i: int, *names: str) -> list[np.ndarray]:
+    """Fields of the structs in a row's list, as arrays."""
+    held = rows[i].values
+    return [held.field(name).to_numpy(zero_copy_only=False).astype(np.int64) for name in names]
 
 
-def _joined_runs(held: list, found: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    which = np.repeat([k for k, _ in held], [len(p) for _, p in held])
-    return np.concatenate([p for _, p in held]), np.array([r["h"] for r in found])[which], which
+def _portions(pos: np.ndarray, last: np.ndarray, step: np.ndarray, h: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Runs of anchors as places, their pieces and the number of their run, a bounded number at a time."""
+    size = (last - pos) // step + 1
+    cuts = -(-size // PORTION)  # a run longer than a portion is cut
+    which = np.repeat(np.arange(len(pos)), cuts)
+    part = np.arange(len(which)) - np.repeat(np.cumsum(cuts) - cuts, cuts)
+    begin = pos[which] + part * PORTION * step[which]
+    size = np.minimum(PORTION, size[which] - part * PORTION)
+    total = np.cumsum(size)
+    at = 0
+    while at < len(which):
+        end = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + PORTION, side="right")))
+        n, own = size[at:end], which[at:end]
+        along = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+        run = np.repeat(own, n)
+        yield np.repeat(begin[at:end], n) + along * step[run], h[run], run
+        at = end
 
 
 def _contexts(length: int, seed: int):
@@ -168,7 +174,8 @@ def _contexts(length: int, seed: int):
                 own = data[int(offsets[i]) : int(offsets[i + 1])]
                 size = len(own)
                 copies = batch.column(3)[i].as_py()
-                for pos, h, which in _portions(batch.column(4)[i].as_py()):
+                ids = [batch.column(k).take(pa.array(np.full(BATCH, i))) for k in (0, 1)]
+                for pos, h, which in _portions(*_fields(batch.column(4), i, "pos", "last", "step", "h")):
                     start, end = np.maximum(pos - before, 0), np.minimum(pos + length, size)
                     code = sh.range_codes(own, start, end) ^ sh.mix((pos - start).astype(U) + U(1))
                     first, last, step = runs(pos, code, which, length)
@@ -177,7 +184,7 @@ def _contexts(length: int, seed: int):
                         m, at = len(f), pos[f]
                         yield pa.RecordBatch.from_arrays(
                             [pa.array(h[f], pa.int64()), pa.array(code[f].view(np.int64)),
-                             pa.array([batch.column(0)[i].as_py()] * m, pa.int64()), pa.array([batch.column(1)[i].as_py()] * m, pa.int64()),
+                             ids[0].slice(0, m), ids[1].slice(0, m),
                              pa.array(at.astype(np.int32)), pa.array(pos[t].astype(np.int32)), pa.array(((pos[t] - at) // d + 1) * copies),
                              pa.array((at - start[f]).astype(np.int32)), pa.array((end[f] - at).astype(np.int32))],
                             ["h", "c", "doc_id", "tag", "pos", "last", "n", "nl", "nr"],
@@ -198,13 +205,14 @@ def _bytes_of(length: int, seed: int):
             data, offsets = sh.text_buffers(batch.column(0))
             for i in range(batch.num_rows):
                 raw = data[int(offsets[i]) : int(offsets[i + 1])].tobytes()
-                shown = batch.column(1)[i].as_py()
-                for k in range(0, len(shown), BATCH):
-                    part = shown[k : k + BATCH]
-                    columns = {name: pa.array([p[name] for p in part], pa.int64()) for name in ("h", "c", "n", "m")}
-                    columns["left"] = pa.array([raw[max(p["p"] - before, 0) : p["p"]][::-1] for p in part], pa.binary())
-                    columns["right"] = pa.array([raw[p["p"] : p["p"] + length] for p in part], pa.binary())
-                    yield pa.RecordBatch.from_pydict({name: columns[name] for name in ("h", "c", "n", "left", "right", "m")})
+                h, c, n, m, place = _fields(batch.column(1), i, "h", "c", "n", "m", "p")
+                for k in range(0, len(place), BATCH):
+                    part = slice(k, k + BATCH)
+                    at = place[part].tolist()
+                    columns = [pa.array(x[part]) for x in (h, c, n)]
+                    columns.append(pa.array([raw[x - before if x > before else 0 : x][::-1] for x in at], pa.binary()))
+                    columns.append(pa.array([raw[x : x + length] for x in at], pa.binary()))
+                    yield pa.RecordBatch.from_arrays([*columns, pa.array(m[part])], ["h", "c", "n", "left", "right", "m"])
 
     return run
 
