@@ -1,13 +1,18 @@
 """User functions over partitions of a table, and text with ends of its own."""
 
+import sys
 from collections import Counter
 
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from hybridflow.functions.table_functions import FlatMap, connected, flat_map_table, register
 from hybridflow.sources.text import numbered_lines, read_clean_lines, read_lines
 
+# Workers cannot import a test module.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 class Running(FlatMap):
     """Sums so far of a partition, and their number at its end."""
