@@ -15,7 +15,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import (
+    ArrayType,
+    BinaryType,
+    BooleanType,
+    DateType,
+    DoubleType,
+    FloatType,
+    IntegralType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+)
 
 from hybridflow.functions.python_udf import KEYS_HELD
 from hybridflow.operators.hybrid_join import known_keys
@@ -25,6 +37,10 @@ from hybridflow.session import use_rocksdb_state
 #: Groups that the rows of one key are dealt into, and waiting values answered at a time.
 SALTS = 8
 WAITING_PART = 10_000
+#: Groups of connected keys for each salt; like the number of state partitions it is fixed when a query first starts.
+BUCKETS = 256
+#: Entries are read one by one if the bucket holds so many times more.
+READ_ALONE = 20
 
 
 def _combine(kind: str, total, value):
@@ -131,54 +147,107 @@ def totals_stream(
 class BufferedJoinProcessor(StatefulProcessor):
     """Two connected inputs with shared keyed state: stream rows wait for their key's batch rows.
 
-    The list state holds the values that wait, however many; the map state the batch side's
-    values by name. ``fn(key, values, attributes)`` makes rows of a series of stream values.
+    A group is a bucket of keys. Its list state holds the values that wait, however many, each with its key; its
+    map state the batch side's values by key and name. ``fn((key,), values, attributes)`` makes rows of a series
+    of one key's stream values.
     """
 
-    def __init__(self, fn: Callable, value_schema: StructType, key_length: int):
+    def __init__(self, fn: Callable, key: StructField, value: StructField):
         self.fn = fn
-        self.value_schema = value_schema
-        self.key_length = key_length
+        self.key = key
+        self.value = value
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        text = StructType([StructField("name", StringType(), True)])
-        self.waiting = handle.getListState("waiting", self.value_schema)
-        self.attributes = handle.getMapState("attributes", text, text)
+        name, text = StructField("name", StringType(), True), StructField("text", StringType(), True)
+        told = StructType([StructField("names", ArrayType(StringType()), True), StructField("size", LongType(), True)])
+        self.waiting = handle.getListState("waiting", StructType([self.key, self.value]))
+        self.attributes = handle.getMapState("attributes", StructType([self.key, name]), StructType([text]))
+        self.told = handle.getValueState("told", told)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        # A key's rows come in no order, so batch rows are taken in before stream rows are answered.
+        # A bucket's rows come in no order, so batch rows are taken in before stream rows are answered.
         # Every call on a state is a message, so none is made that cannot matter.
-        values = []
+        new, arrived, values = {}, {}, []
         for part in rows:
             batch = part["side"] == "batch"
-            for name, text in part.loc[batch, ["name", "text"]].itertuples(index=False):
-                self.attributes.updateValue((name,), (text,))
-            values.append(part.loc[~batch, "value"])
-        values = [part for part in values if len(part)]
-        waits = self.waiting.exists()
-        if not values and not waits:
-            return
-        known = {name[0]: text[0] for name, text in self.attributes.iterator()}
-        if not known:
-            self.waiting.appendList([(v,) for part in values for v in part.tolist()])
-            return
-        for part in values:
-            yield self.fn(key[: self.key_length], part.reset_index(drop=True), known)
-        if waits:
-            for part in self._waited():
-                yield self.fn(key[: self.key_length], part, known)
-            self.waiting.clear()
-
-    def _waited(self) -> Iterator[pd.Series]:
-        held = (v for (v,) in self.waiting.get())
-        while part := list(itertools.islice(held, WAITING_PART)):
-            yield pd.Series(part)
+            for k, shown, name, text in part.loc[batch, ["matched", "shown", "name", "text"]].itertuples(index=False):
+                new[k, name] = text
+                arrived[k] = shown
+            values.append(part.loc[~batch, ["matched", "shown", "value", "given"]])
+        values = pd.concat(values, ignore_index=True)
+        waits = bool(arrived) and self.waiting.exists()
+        known = self._known({*values["matched"].tolist(), *(arrived if waits else ())}, new)
+        frames, size = [], 0
+        for frame in itertools.chain(self._waited(known, arrived) if waits else (), self._answers(known, values)):
+            frames.append(frame)
+            size += len(frame)
+            if size >= WAITING_PART:
+                yield pd.concat(frames, ignore_index=True)
+                frames, size = [], 0
+        if frames:
+            yield pd.concat(frames, ignore_index=True)
+        self._wait(values[~values["matched"].isin(list(known))])
+
+    def _known(self, keys: set, new: dict) -> dict:
+        """Values by name of those of the keys that have any, once the ``new`` ones are in the state.
+
+        Entries are read by key and name, or all of the bucket's if these are not many more. ``told`` has the names
+        that occur and the number of entries.
+        """
+        names, size = self.told.get() or ([], 0)
+        whole = READ_ALONE * len(keys) * len(names) >= size
+        if whole:
+            held = {tuple(at): text[0] for at, text in self.attributes.iterator()} if size else {}
+            found = {at: text for at, text in held.items() if at[0] in keys}
+        else:
+            read = (((k, name), self.attributes.getValue((k, name))) for k in keys for name in names)
+            found = {at: text[0] for at, text in read if text is not None}
+        for at, text in new.items():
+            size += not (at in held if whole else at in found or self.attributes.containsKey(at))
+            self.attributes.updateValue(at, (text,))
+        if new:
+            self.told.update((sorted({*names, *(name for _, name in new)}, key=str), size))
+        known = {}
+        for (k, name), text in [*found.items(), *((at, text) for at, text in new.items() if at[0] in keys)]:
+            known.setdefault(k, {})[name] = text
+        return known
+
+    def _waited(self, known: dict, arrived: dict) -> Iterator[pd.DataFrame]:
+        """Answers to the values that waited for the keys that have arrived; the others go on waiting."""
+        held, left, n = {}, [], 0
+        for k, value in self.waiting.get():
+            if k not in arrived:
+                left.append((k, value))
+                continue
+            held.setdefault(k, []).append(value)
+            n += 1
+            if n == WAITING_PART:
+                yield from (self.fn((arrived[k],), pd.Series(part), known[k]) for k, part in held.items())
+                held, n = {}, 0
+        yield from (self.fn((arrived[k],), pd.Series(part), known[k]) for k, part in held.items())
+        self.waiting.clear()
+        self._append(left)
+
+    def _answers(self, known: dict, values: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        for k, part in values[values["matched"].isin(list(known))].groupby("matched", sort=False):
+            given = part["value"] if part["given"].all() else part["value"].where(part["given"])
+            yield self.fn((part["shown"].tolist()[0],), given.reset_index(drop=True), known[k])
+
+    def _wait(self, values: pd.DataFrame) -> None:
+        rows = zip(*[values[c].tolist() for c in ("matched", "value", "given")], strict=True)
+        self._append([(k, v if given else None) for k, v, given in rows])
+
+    def _append(self, waiting: list[tuple]) -> None:
+        for at in range(0, len(waiting), WAITING_PART):
+            self.waiting.appendList(waiting[at : at + WAITING_PART])
 
     def close(self) -> None:
         pass
 
 
-def co_map_stream(both: DataFrame, key: str, fn: Callable, schema: StructType, salts: int = SALTS) -> DataFrame:
+def co_map_stream(
+    both: DataFrame, key: str, fn: Callable, schema: StructType, salts: int = SALTS, buckets: int = BUCKETS
+) -> DataFrame:
     """``fn`` over a connected stream and batch side that share state by key.
 
     ``both`` has ``side`` ("stream" or "batch"), the key, a stream row's ``value``, and a batch
@@ -186,17 +255,38 @@ def co_map_stream(both: DataFrame, key: str, fn: Callable, schema: StructType, s
     in this micro-batch or a later one; it waits in the state until then. A null key meets nothing, so
     its rows are left out. ``fn((key,), values, attributes)`` gets series of values and returns a frame.
 
-    Each key is ``salts`` groups with a state of their own: batch rows go to all of them, stream rows
+    Each key has ``salts`` states of its own: batch rows go to all of them, stream rows
     are dealt among them, so a key that holds most of a stream is the work of ``salts`` tasks. The
-    batch side is held as often.
+    batch side is held as often. Keys are put into ``buckets`` for each salt, fixed when a query first starts: a
+    group costs a dozen messages to the state however many keys it has, an entry of the batch side one.
+    Values that wait are read again when a batch row comes to their bucket.
     """
     use_rocksdb_state(both.sparkSession)
-    value = StructType([StructField("value", both.schema["value"].dataType, True)])
+    kind, value = both.schema[key].dataType, both.schema["value"].dataType
+    # Keys are compared in Python; those that could differ there from what Spark calls equal are compared as text.
+    plain = isinstance(kind, (IntegralType, StringType, DateType, BooleanType))
+    same = F.col(key)
+    if isinstance(kind, BinaryType):
+        same = F.hex(key)
+    elif isinstance(kind, (FloatType, DoubleType)):
+        same = (F.col(key) + F.lit(0.0).cast(kind)).cast("string")  # 0.0 and -0.0 are one
+    elif not plain:
+        same = F.col(key).cast("string")
+    # A null would make pandas read whole numbers as floats. (Names of columns have no underscore in front, frames lose these.)
+    filled = isinstance(value, (IntegralType, BooleanType))
+    given = F.coalesce("value", F.lit(0).cast(value)) if filled else F.col("value")
     every = F.sequence(F.lit(0), F.lit(salts - 1))
     one = F.array(F.floor(F.rand(0) * salts).cast("int"))
-    salted = both.where(F.col(key).isNotNull()).withColumn("_salt", F.explode(F.when(F.col("side") == "batch", every).otherwise(one)))
-    return salted.groupBy(key, "_salt").transformWithStateInPandas(
-        statefulProcessor=BufferedJoinProcessor(fn, value, 1),
+    salted = both.where(F.col(key).isNotNull()).select(
+        F.pmod(F.xxhash64(same), F.lit(buckets)).cast("int").alias("_bucket"),
+        F.explode(F.when(F.col("side") == "batch", every).otherwise(one)).alias("_salt"),
+        "side", same.alias("matched"), F.col(key).alias("shown"),
+        given.alias("value"), F.col("value").isNotNull().alias("given"), "name", "text",
+    )
+    return salted.groupBy("_bucket", "_salt").transformWithStateInPandas(
+        statefulProcessor=BufferedJoinProcessor(
+            fn, StructField(key, kind if plain else StringType(), True), StructField("value", value, True)
+        ),
         outputStructType=schema,
         outputMode="Append",
         timeMode="None",

@@ -7,7 +7,7 @@ from pathlib import Path
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 from hybridflow.functions.words import words_of
 from hybridflow.operators.hybrid_join import enrich, full, snapshot
@@ -286,6 +286,54 @@ def test_a_hot_key_waits_in_all_its_salts(spark, tmp_path):
     assert held.groupBy("_salt").count().where("count <> 2").count() == 0 and held.select("_salt").distinct().count() == 8
 
 
+def test_connected_keys_share_groups(spark, tmp_path):
+    """The state has a group per bucket and salt, not per key; the rows are those of a join, values unchanged."""
+    schema, big = "side STRING, k BIGINT, value BIGINT, name STRING, text STRING", 2**53 + 1
+    early = [("stream", v % 50, big + v, None, None) for v in range(400)]
+    first = [("batch", k, None, "a", f"x{k}") for k in range(0, 30)] + [("stream", 70, big, None, None), ("stream", 70, big + 1, None, None)]
+    second = [("batch", k, None, "b", f"y{k}") for k in range(20, 40)] + [("stream", 25, -1, None, None), ("stream", 70, -2, None, None)]
+    result = StructType([StructField(n, t) for n, t in (("k", LongType()), ("value", LongType()), ("seen", StringType()))])
+    out, queue = str(tmp_path / "out"), BatchQueue(spark)
+
+    def seen(key, values, known):
+        assert values.dtype == "int64"
+        return pd.DataFrame({"k": key[0], "value": values, "seen": ",".join(known[n] for n in sorted(known))})
+
+    def sink(s):
+        return co_map_stream(s, "k", seen, result, salts=2, buckets=3).writeStream.foreachBatch(batch_folder(out))
+
+    queue.run([spark.createDataFrame(rows, schema) for rows in (early, first, second)], sink)
+    got = sorted(map(tuple, read_batches(spark, out).select("batch_id", "k", "value", "seen").collect()))
+    expected = [(1, v % 50, big + v, f"x{v % 50}") for v in range(400) if v % 50 < 30]
+    expected += [(2, v % 50, big + v, f"y{v % 50}") for v in range(400) if 30 <= v % 50 < 40]
+    assert got == sorted([*expected, (2, 25, -1, "x25,y25")])
+    assert state_table(spark, queue.checkpoint, "told").count() <= 2 * 3
+    waiting = state_table(spark, queue.checkpoint, "waiting")
+    assert sorted(r["value"] for r in waiting.where("k = 70").collect()) == [-2, big, big + 1]
+    assert waiting.count() == 3 + 8 * 10 and state_table(spark, queue.checkpoint, "attributes").count() == 2 * 50
+
+
+@pytest.mark.parametrize("kind", ["double", "timestamp", "string", "decimal(5,2)"])
+def test_connected_keys_of_any_type(spark, tmp_path, kind):
+    schema = "side STRING, k BIGINT, value DOUBLE, name STRING, text STRING"
+    key = F.when(F.col("k") < 0, F.lit("NaN").cast("double") if kind == "double" else None).otherwise(F.col("k").cast("int")).cast(kind)
+    early = [("stream", k, v, None, None) for k, v in ((3, 0.5), (3, None), (-1, 2.0), (4, 1.0))]
+    late = [("batch", 3, None, "a", "x"), ("batch", -1, None, "a", "n"), ("stream", 3, 9.0, None, None), ("stream", -1, 3.0, None, None)]
+    frames = [spark.createDataFrame(rows, schema).withColumn("k", key) for rows in (early, late)]
+    result = StructType([StructField("k", frames[0].schema["k"].dataType), StructField("value", DoubleType()), StructField("seen", StringType())])
+    out = str(tmp_path / "out")
+
+    def seen(key, values, known):
+        return pd.DataFrame({"k": [key[0]] * len(values), "value": values, "seen": known["a"]})
+
+    BatchQueue(spark).run(frames, lambda s: co_map_stream(s, "k", seen, result, salts=2).writeStream.foreachBatch(batch_folder(out)))
+    got = read_batches(spark, out)
+    expected = [("x", 0.5), ("x", 9.0), ("x", None)] + ([("n", 2.0), ("n", 3.0)] if kind == "double" else [])
+    found = [(r["seen"], None if r["value"] is None or r["value"] != r["value"] else r["value"]) for r in got.collect()]
+    assert sorted(found, key=str) == sorted(expected, key=str)
+    assert got.where(F.col("seen") == "x").select("k").distinct().collect() == frames[1].where("text = 'x'").select("k").collect()
+
+
 def test_a_failed_and_repeated_micro_batch_leaves_one_copy(spark, tmp_path):
     register_sink(spark)
     out, queue = str(tmp_path / "out"), BatchQueue(spark)
