@@ -2,11 +2,11 @@
 
 A micro-batch's rows are first brought together by bucket of keys and slice of their order. Each such part
 is sorted and folded by its own task, all its keys at once, as Arrow arrays. What the keyed state then gets is
-one row per part: the totals of its keys, and its rows packed, with their running folds inside the
-part. The state keeps an entry per key. It merges the parts' totals in order, and hands each part on with
-the totals its keys had before, which the last step adds to the part's rows. So sorting and folding the rows
-of a key that holds a third of a stream is spread over its slices, and the state's own work grows with
-keys and slices and not with rows.
+one row per part: the totals of its keys. The state keeps an entry per key. It merges the parts' totals in
+order, and tells for each part the totals its keys had before. These meet the part's rows, which are brought
+together once more and never pass through the state, and their running folds go on from there. So sorting and
+folding the rows of a key that holds a third of a stream is spread over its slices, and the state's own work
+and memory grow with keys and slices and not with rows.
 
 The entries of a bucket are one map state, read and written by key; a bucket has a timer. They are in the
 checkpoint of the query; :func:`hybridflow.streaming.state.state_table` reads them as a table.
@@ -45,6 +45,8 @@ from hybridflow.session import use_rocksdb_state
 SLICE_WIDTH = 86_400
 #: Groups of keys in the state; like the number of state partitions it is fixed when a query first starts.
 BUCKETS = 128
+#: A part: the rows of a micro-batch that are folded together.
+PART = ["_bucket", "_after", "_slice"]
 #: Entries in one row on their way out of the state.
 ENTRIES_PER_ROW = 10_000
 #: Entries are read one by one if the bucket holds so many times more.
@@ -168,26 +170,30 @@ def _key_numbers(table: pa.Table, keys: list[str]) -> np.ndarray:
     return number
 
 
-def _chunk(rows: list[str], keys: list[str], folds: list[Fold]):
-    """A part's rows as one row: its keys with their totals, and, if they come out, its rows with running folds."""
+def _sorted(table: pa.Table, keys: list[str]) -> tuple[pa.Table, np.ndarray]:
+    """A part's rows by key and order, and the numbers of their keys, which count from 0."""
+    table = table.append_column("_code", pa.array(_key_numbers(table, keys)))
+    sort = [("_code", "ascending")] + [(name, "ascending") for name in table.column_names if name.startswith("_order")]
+    table = table.take(pc.sort_indices(table, sort, null_placement="at_start")).combine_chunks()
+    return table, table["_code"].to_numpy()
+
+
+def _folded(table: pa.Table, code: np.ndarray, folds: list[Fold]) -> dict[str, pa.Array]:
+    return {f"_f{i}": running(f.kind, _whole(table[f"_v{i}"]), code, table[f"_t{i}"].type) for i, f in enumerate(folds)}
+
+
+def _chunk(keys: list[str], folds: list[Fold]):
+    """A part's rows as one row: its keys with their totals."""
 
     def chunk(table: pa.Table) -> pa.Table:
-        table = table.append_column("_code", pa.array(_key_numbers(table, keys)))
-        sort = [("_code", "ascending")] + [(name, "ascending") for name in table.column_names if name.startswith("_order")]
-        table = table.take(pc.sort_indices(table, sort, null_placement="at_start")).combine_chunks()
-        code = table["_code"].to_numpy()
+        table, code = _sorted(table, keys)
         begins = np.flatnonzero(np.diff(code, prepend=-1))
-        ends = np.append(begins[1:], len(code)) - 1
-        folded = {
-            f"_f{i}": running(f.kind, _whole(table[f"_v{i}"]), code, table[f"_t{i}"].type) for i, f in enumerate(folds)
-        }
-        by_key = pa.table({k: table[k].take(begins) for k in keys} | {name: column.take(pa.array(ends)) for name, column in folded.items()})
-        packed = None
-        if table["_after"][0].as_py():
-            packed = _packed(pa.table({name: table[name] for name in rows} | {"_code": table["_code"]} | folded))
-        out = {name: table[name].slice(0, 1) for name in ("_bucket", "_after", "_slice")}
+        ends = pa.array(np.append(begins[1:], len(code)) - 1)
+        totals = {name: column.take(ends) for name, column in _folded(table, code, folds).items()}
+        by_key = pa.table({k: table[k].take(begins) for k in keys} | totals)
+        out = {name: table[name].slice(0, 1) for name in PART}
         out["_at"] = pa.array([pc.max(table["_at"]).as_py()], table["_at"].type)
-        return pa.table(out | {"_keys": pa.array([_packed(by_key)], pa.binary()), "_rows": pa.array([packed], pa.binary())})
+        return pa.table(out | {"_keys": pa.array([_packed(by_key)], pa.binary())})
 
     return chunk
 
@@ -243,15 +249,16 @@ class EntryProcessor(StatefulProcessor):
         for row in sorted(rows, key=lambda r: (r["_after"], r["_slice"])):
             by_key = _read(bytes(row["_keys"]))
             keys = [_utc(k, self.key) for k in zip(*[_plain(by_key[k]) for k in self.key.names], strict=True)]
-            parts.append((row, keys, [_plain(by_key[name]) for name in names]))
-        held = self._entries(dict.fromkeys(k for _, keys, _ in parts for k in keys))
-        for row, keys, totals in parts:
+            parts.append((row, by_key, keys, [_plain(by_key[name]) for name in names]))
+        held = self._entries(dict.fromkeys(k for _, _, keys, _ in parts for k in keys))
+        for row, by_key, keys, totals in parts:
             if row["_after"] and waits:
                 self._store(held)
-                yield from self._flush()
+                yield from self._flush(key[0])
                 waits = False
             if row["_after"]:
-                yield self._row("stream", None, [held.get(k, self.nothing) for k in keys], row["_rows"])
+                shown = [_whole(by_key[k]) for k in self.key.names]
+                yield self._row((key[0], True, row["_slice"]), "stream", shown, [held.get(k, self.nothing) for k in keys])
             for k, *added in zip(keys, *totals, strict=True):
                 old = held.get(k, self.nothing)
                 # The kind "last" merges as the highest order does.
@@ -282,56 +289,67 @@ class EntryProcessor(StatefulProcessor):
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         if not self.flushed.get()[0]:
-            yield from self._flush()
+            yield from self._flush(key[0])
 
-    def _flush(self) -> Iterator[Row]:
-        keys, entries = [], []
+    def _flush(self, bucket: int) -> Iterator[Row]:
+        """All entries, in rows that are parts of their own."""
+        keys, entries, n = [], [], 0
         for key, entry in self.entries.iterator():
             keys.append(_utc(tuple(key), self.key))
             entries.append(_utc(tuple(entry), self.state))
             if len(keys) == ENTRIES_PER_ROW:
-                yield self._row("flush", keys, entries, None)
-                keys, entries = [], []
+                yield self._row((bucket, False, n), "flush", self._columns(keys), entries)
+                keys, entries, n = [], [], n + 1
         if keys:
-            yield self._row("flush", keys, entries, None)
+            yield self._row((bucket, False, n), "flush", self._columns(keys), entries)
         self.flushed.update((True,))
 
-    def _row(self, phase: str, keys: list[tuple] | None, entries: list[tuple], rows: bytes | None) -> Row:
-        columns = {}
-        if keys is not None:
-            columns |= {f"_k{i}": _arrow([k[i] for k in keys], kind) for i, kind in enumerate(self.key_kinds)}
+    def _columns(self, keys: list[tuple]) -> list[pa.Array]:
+        return [_arrow([k[i] for k in keys], kind) for i, kind in enumerate(self.key_kinds)]
+
+    def _row(self, part: tuple, phase: str, keys: list[pa.Array], entries: list[tuple]) -> Row:
+        columns = {f"_k{i}": column for i, column in enumerate(keys)}
         columns |= {f"_e{i}": _arrow([e[i] for e in entries], kind) for i, kind in enumerate(self.kinds)}
-        return Row("phase", "_entries", "_rows")(phase, _packed(pa.table(columns)), rows)
+        return Row(*PART, "_phase", "_entries")(*part, phase, _packed(pa.table(columns)))
 
     def close(self) -> None:
         pass
 
 
-def _unpacked(keys: list[str], rows: list[str], folds: list[Fold], attributes: list[str], out: StructType):
-    """Parts and entries as rows: a part's rows continue the totals before it; an entry is a row by itself."""
+def _continued_rows(keys: list[str], rows: list[str], folds: list[Fold], attributes: list[str], out: StructType):
+    """A part's rows, with folds that continue the totals its entries have; entries that are flushed are rows by themselves."""
     names, kinds = out.names, [to_arrow_type(f.dataType) for f in out]
 
-    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for phase, entries, packed in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                entry = _read(entries)
-                if packed is None:
-                    columns = {k: _whole(entry[f"_k{i}"]) for i, k in enumerate(keys)}
-                    columns |= {name: _whole(entry[f"_e{i}"]) for i, name in enumerate([*[f.name for f in folds], *attributes])}
-                    n = entry.num_rows
-                else:
-                    table = _read(packed)
-                    code, n = _whole(table["_code"]), table.num_rows
-                    columns = {name: _whole(table[name]) for name in rows}
-                    for i, f in enumerate(folds):
-                        before, parts = _whole(entry[f"_e{i}"]).take(code), _whole(table[f"_f{i}"])
-                        columns[f.name] = continued(f.kind, before, parts.cast(before.type))
-                    columns |= {a: _whole(entry[f"_e{len(folds) + i}"]).take(code) for i, a in enumerate(attributes)}
-                columns["phase"] = pa.array([phase] * n, pa.string())
-                arrays = [columns[name].cast(kind) if name in columns else pa.nulls(n, kind) for name, kind in zip(names, kinds, strict=True)]
-                yield pa.RecordBatch.from_arrays(arrays, names)
-
-    return unpack
+    def shaped(columns: dict, n: int, phase: str) -> pa.Table:
+        columns["phase"] = pa.array([phase] * n, pa.string())
+        arrays = [columns[name].cast(kind) if name in columns else pa.nulls(n, kind) for name, kind in zip(names, kinds, strict=True)]
+        return pa.table(arrays, names)
+
+    def continue_rows(table: pa.Table) -> pa.Table:
+        told = table.filter(pc.is_valid(table["_entries"]))
+        if not told.num_rows:  # later than the watermark allows: the state has not seen them
+            return shaped({}, 0, "stream")
+        entry = _read(told["_entries"][0].as_py())
+        if told["_phase"][0].as_py() == "flush":
+            columns = {k: _whole(entry[f"_k{i}"]) for i, k in enumerate(keys)}
+            columns |= {name: _whole(entry[f"_e{i}"]) for i, name in enumerate([*[f.name for f in folds], *attributes])}
+            return shaped(columns, entry.num_rows, "flush")
+        table, code = _sorted(table.filter(pc.is_null(table["_entries"])), keys)
+        n, begins = table.num_rows, np.flatnonzero(np.diff(code, prepend=-1))
+        # The entries' keys are those of the rows, in a sequence of their own.
+        both = {k: pa.concat_arrays([_whole(table[k].take(begins)), _whole(entry[f"_k{i}"]).cast(table[k].type)]) for i, k in enumerate(keys)}
+        number = _key_numbers(pa.table(both), keys)
+        place = np.empty(len(begins), np.int64)
+        place[np.argsort(number[: len(begins)])] = np.argsort(number[len(begins) :])
+        at = pa.array(place[code])
+        columns = {name: _whole(table[name]) for name in rows}
+        for i, (f, parts) in enumerate(zip(folds, _folded(table, code, folds).values(), strict=True)):
+            before = _whole(entry[f"_e{i}"]).take(at)
+            columns[f.name] = continued(f.kind, before, parts.cast(before.type))
+        columns |= {a: _whole(entry[f"_e{len(folds) + i}"]).take(at) for i, a in enumerate(attributes)}
+        return shaped(columns, n, "stream")
+
+    return continue_rows
 
 
 def join_stream(
@@ -385,12 +403,10 @@ def join_stream(
         else:
             value = F.lit(1) if f.kind == "count" else F.col(f.column)
         helpers |= {f"_v{i}": value, f"_t{i}": F.lit(None).cast(kind)}
-    part = ["_bucket", "_after", "_slice"]
-    chunked = StructType(
-        [StructField("_bucket", stream.select(helpers["_bucket"]).schema[0].dataType), StructField("_after", BooleanType()), StructField("_slice", LongType()),
-         StructField("_at", TimestampType()), StructField("_keys", BinaryType()), StructField("_rows", BinaryType())]
-    )
-    chunks = stream.withColumns(helpers).groupBy(*part).applyInArrow(_chunk(rows, key, folds), chunked)
+    of_part = [StructField("_bucket", stream.select(helpers["_bucket"]).schema[0].dataType), StructField("_after", BooleanType()), StructField("_slice", LongType())]
+    chunked = StructType([*of_part, StructField("_at", TimestampType()), StructField("_keys", BinaryType())])
+    placed = stream.withColumns(helpers)
+    chunks = placed.drop(*[c for c in rows if c not in key]).groupBy(*PART).applyInArrow(_chunk(key, folds), chunked)
     if complete_at is not None:
         chunks = chunks.withWatermark("_at", watermark)
 
@@ -404,8 +420,8 @@ def join_stream(
         same = [F.col(k).cast(stream.schema[k].dataType).alias(k) for k in key]
         known = known.select(*same, *[c for c in known.columns if c not in key])
         known = known.withColumn("_bucket", helpers["_bucket"]).groupBy("_bucket")
-    told = StructType([StructField("phase", StringType()), StructField("_entries", BinaryType()), StructField("_rows", BinaryType())])
-    parts = chunks.groupBy("_bucket").transformWithState(
+    told = StructType([*of_part, StructField("_phase", StringType()), StructField("_entries", BinaryType())])
+    entries = chunks.groupBy("_bucket").transformWithState(
         statefulProcessor=EntryProcessor(keys, folds, totals, extra, complete_ms),
         outputStructType=told,
         outputMode="Append",
@@ -413,4 +429,5 @@ def join_stream(
         initialState=known,
     )
     out = StructType([*stream.schema.fields, *totals.fields, *extra.fields, StructField("phase", StringType())])
-    return parts.mapInArrow(_unpacked(key, rows, folds, attributes, out), out)
+    both = placed.where("_after").drop("_at").unionByName(entries, allowMissingColumns=True)
+    return both.groupBy(*PART).applyInArrow(_continued_rows(key, rows, folds, attributes, out), out)

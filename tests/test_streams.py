@@ -5,6 +5,7 @@ from datetime import datetime, timedelta
 from pathlib import Path
 
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
@@ -15,7 +16,7 @@ from hybridflow.operators.rolling import Fold, rolling_fold, with_values
 from hybridflow.operators.windows import sliding_counts
 from hybridflow.sources.queue import BatchQueue, split_at
 from hybridflow.sources.streams import file_stream, kafka_messages, kafka_options, socket_lines
-from hybridflow.streaming.keyed_join import join_stream
+from hybridflow.streaming.keyed_join import _chunk, join_stream
 from hybridflow.streaming.sinks import batch_folder, every, per_batch_totals, print_stream, read_batches
 from hybridflow.streaming.state import state_table
 from hybridflow.streaming.stateful import co_map_stream, totals_stream
@@ -190,6 +191,26 @@ def test_a_third_of_the_rows_under_one_key_is_sliced(spark, rows, tmp_path):
     assert slices == 5 and rows.where("k = 1").count() >= 70
 
 
+def test_the_state_gets_no_rows(spark, tmp_path):
+    """What a part gives the state does not grow with its rows; the rows meet their keys' entries, also by several keys."""
+    n = 20_000
+    part = pa.table({
+        "k": pa.array([7] * n), "_bucket": pa.array([0] * n, pa.int32()), "_after": pa.array([True] * n), "_slice": pa.array([0] * n),
+        "_at": pa.nulls(n, pa.timestamp("us", "UTC")), "_order0": pa.array(range(n)), "_v0": pa.array(range(n)), "_t0": pa.nulls(n, pa.int64()),
+    })
+    chunk = _chunk(["k"], [Fold("total", "sum", "v")])(part)
+    assert chunk.num_rows == 1 and chunk.nbytes < 2_000
+
+    rng = random.Random(5)
+    data = [(rng.choice(["a", "b", None]), rng.choice([1, 2, None]), START + timedelta(seconds=i), i, rng.randrange(9)) for i in range(300)]
+    rng.shuffle(data)
+    rows = spark.createDataFrame(data, "a STRING, b INT, ts TIMESTAMP, id BIGINT, v BIGINT").repartition(5)
+    out, folds = str(tmp_path / "out"), [Fold("total", "sum", "v"), Fold("n", "count")]
+    cuts = split_at(rows, "ts", [str(START + timedelta(seconds=s)) for s in (90, 200)])
+    BatchQueue(spark).run(cuts, lambda s: join_stream(s, ["a", "b"], ORDER, folds, slice_width=20, buckets=3).writeStream.foreachBatch(batch_folder(out)))
+    assert as_set(read_batches(spark, out).drop("batch_id", "phase")) == as_set(rolling_fold(rows, ["a", "b"], ORDER, folds))
+
+
 def test_late_last_values_do_not_win(spark, tmp_path):
     """The order counts, not the arrival; a null order comes first, a null value never counts."""
     def at(s):
