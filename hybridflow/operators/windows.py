@@ -113,7 +113,7 @@ def windowed_fold(
 
     A window holds ``w_end - length <= ts < w_end``. Rows are folded per pane first, and panes to
     windows by :func:`fold_panes`. Rows without a time are in no window.
-    For a stream fold the panes with ``totals_stream`` and the windows with :func:`fold_panes`.
+    For a stream fold the panes with ``totals_updates`` and the windows with :func:`fold_panes`.
     """
     paned = rows.where(F.col(ts).isNotNull()).groupBy(*key, panes(F.col(ts), length, slide).alias("_pane"))
     paned = paned.agg(*[f.over_rows().alias(f.name) for f in folds])
@@ -131,7 +131,7 @@ def sliding_counts(
     """Count per word and window, as :func:`windowed_fold` has windows.
 
     On a stream give ``watermark``, the seconds a row may be late; a window is then emitted
-    once, when it has closed. Windows that are still open come from ``totals_stream`` over panes.
+    once, when it has closed. Windows that are still open come from ``totals_updates`` over panes.
     """
     words = words.withColumnRenamed(word, "word")
     if not words.isStreaming:

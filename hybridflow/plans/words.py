@@ -21,7 +21,7 @@ from hybridflow.sources.queue import BatchQueue
 from hybridflow.sources.tables import table
 from hybridflow.sources.text import read_clean_lines, read_lines
 from hybridflow.streaming.sinks import batch_folder, read_batches
-from hybridflow.streaming.stateful import totals_stream
+from hybridflow.streaming.stateful import totals_updates
 
 
 def _counted(lines):
@@ -79,7 +79,8 @@ def wordcount_sliding_stream(spark, folder):
 
     def sink(stream):
         paned = _event_words(stream).select("word", panes(F.col("ts"), 300, 60).alias("pane"))
-        return totals_stream(paned, ["word", "pane"], folds).writeStream.foreachBatch(batch_folder(out))
+        counted = totals_updates(paned, ["word", "pane"], folds)
+        return counted.writeStream.outputMode("update").foreachBatch(batch_folder(out))
 
     BatchQueue(spark).run(batches, sink)
     latest = read_batches(spark, out).groupBy("word", "pane").agg(F.max_by("n", "batch_id").alias("n"))

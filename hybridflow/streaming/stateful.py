@@ -1,7 +1,9 @@
 """Operators of an unbounded stream in keyed state; only keys that occur are touched.
 
-``totals_stream`` emits a key's entry per micro-batch and combines rows before they meet,
-so it takes any distribution of keys. A row per row gives ``hybridflow.streaming.keyed_join``.
+``totals_updates`` emits a key's totals per micro-batch out of Spark's own aggregation, in output mode "update".
+``totals_stream`` does so in any mode and with a batch side, out of entries that can be read from the state; an
+entry costs a message or two. Both combine rows before they meet, so they take any distribution of keys. A row per
+row gives ``hybridflow.streaming.keyed_join``.
 ``co_map_stream`` connects two inputs by user functions with shared state.
 """
 
@@ -33,65 +35,42 @@ from hybridflow.functions.python_udf import KEYS_HELD
 from hybridflow.operators.hybrid_join import known_keys
 from hybridflow.operators.rolling import Fold
 from hybridflow.session import use_rocksdb_state
+from hybridflow.streaming.keyed_join import READ_ALONE, EntryProcessor, merged
 
 #: Groups that the rows of one key are dealt into, and waiting values answered at a time.
 SALTS = 8
 WAITING_PART = 10_000
-#: Groups of connected keys for each salt; like the number of state partitions it is fixed when a query first starts.
+#: Groups of keys in the state; like the number of state partitions it is fixed when a query first starts.
 BUCKETS = 256
-#: Entries are read one by one if the bucket holds so many times more.
-READ_ALONE = 20
 
 
-def _combine(kind: str, total, value):
-    if kind == "count":
-        return (total or 0) + 1
-    if value is None or total is None:
-        return total if value is None else value
-    if kind == "sum":
-        return total + value
-    return min(total, value) if kind == "min" else max(total, value)
-
-
-def _entry_schema(stream, key, folds, side) -> tuple[list[str], StructType]:
-    fields = [StructField(f.name, f.result_type(stream.schema), True) for f in folds]
-    attributes = [] if side is None else [
-        c for c in side.columns if c not in key and c not in {f.name for f in folds}
-    ]
-    fields += [StructField(c, side.schema[c].dataType, True) for c in attributes]
-    return attributes, StructType(fields)
-
-
-class TotalsProcessor(StatefulProcessor):
-    """Keeps one entry per key, merges partial totals into it and emits it once."""
-
-    def __init__(self, key: list[str], folds: list[Fold], attributes: list[str], state_schema: StructType):
-        self.key = key
-        self.folds = folds
-        self.attributes = attributes
-        self.state_schema = state_schema
+def _entry_schema(stream, key, folds, side) -> tuple[StructType, StructType]:
+    """Types of a key's totals and of its attributes."""
+    names = {f.name for f in folds}
+    attributes = [] if side is None else [c for c in side.columns if c not in key and c not in names]
+    return (
+        StructType([StructField(f.name, f.result_type(stream.schema), True) for f in folds]),
+        StructType([StructField(c, side.schema[c].dataType, True) for c in attributes]),
+    )
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.entry = handle.getValueState("entry", self.state_schema)
 
-    def handleInitialState(self, key, initialState, timerValues) -> None:
-        given = initialState.asDict()
-        names = [f.name for f in self.folds] + self.attributes
-        self.entry.update(tuple(given.get(n) for n in names))
+class TotalsProcessor(EntryProcessor):
+    """Keeps an entry per key of a bucket, merges partial totals into it and emits it once."""
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        old = self.entry.get()
-        entry = list(old) if old is not None else [None] * len(self.state_schema)
+        kinds, added = ["sum" if f.kind == "count" else f.kind for f in self.folds], {}
         for row in rows:
-            for i, f in enumerate(self.folds):
-                kind = "sum" if f.kind == "count" else f.kind
-                entry[i] = _combine(kind, entry[i], row[f.name])
-        self.entry.update(tuple(entry))
-        names = [f.name for f in self.folds] + self.attributes
-        yield Row(*self.key, *names)(*key, *entry)
-
-    def close(self) -> None:
-        pass
+            k, totals = tuple(row[c] for c in self.key.names), [row[f.name] for f in self.folds]
+            held = added.get(k, [None] * len(kinds))
+            added[k] = [merged(kind, a, b) for kind, a, b in zip(kinds, held, totals, strict=True)]
+        held = self._entries(dict.fromkeys(added))
+        shown = Row(*self.key.names, *self.state.names)
+        for k, totals in added.items():
+            old = held.get(k, self.nothing)
+            new = [merged(kind, a, b) for kind, a, b in zip(kinds, old, totals, strict=False)]
+            held[k] = (*new, *old[len(kinds) :])
+            yield shown(*k, *held[k])
+        self._store(held)
 
 
 def _partial_totals(key: list[str], folds: list[Fold]):
@@ -118,12 +97,13 @@ def _partial_totals(key: list[str], folds: list[Fold]):
 
 
 def totals_stream(
-    stream: DataFrame, key: list[str], folds: list[Fold], side: DataFrame | None = None
+    stream: DataFrame, key: list[str], folds: list[Fold], side: DataFrame | None = None, buckets: int = BUCKETS
 ) -> DataFrame:
     """Per key and micro-batch it occurs in: the key's totals so far and its attributes.
 
     Rows are combined in the task that reads them, so what meets at a key is a few partial
     totals per task. ``side`` is loaded once into the state; rows that repeat a key are folded to one.
+    Keys are put into ``buckets``, fixed when a query first starts.
     """
     use_rocksdb_state(stream.sparkSession)
     side = None if side is None else known_keys(side, key)  # a null key finds no attributes
@@ -133,17 +113,31 @@ def totals_stream(
     ]
     rows = stream.select(*key, *columns)
     partials = rows.mapInArrow(_partial_totals(key, folds), rows.schema)
-    attributes, state_schema = _entry_schema(stream, key, folds, side)
-    keys = [StructField(k, stream.schema[k].dataType, True) for k in key]
-    return partials.groupBy(*key).transformWithState(
-        statefulProcessor=TotalsProcessor(key, folds, attributes, state_schema),
-        outputStructType=StructType([*keys, *state_schema.fields]),
+    totals, extra = _entry_schema(stream, key, folds, side)
+    keys = StructType([StructField(k, stream.schema[k].dataType, True) for k in key])
+    bucket = F.pmod(F.xxhash64(*key), F.lit(buckets)).cast("int")
+    if side is not None:
+        side = side.withColumns({k: F.col(k).cast(stream.schema[k].dataType) for k in key})
+        side = side.withColumn("_bucket", bucket).groupBy("_bucket")
+    return partials.withColumn("_bucket", bucket).groupBy("_bucket").transformWithState(
+        statefulProcessor=TotalsProcessor(keys, folds, totals, extra, None),
+        outputStructType=StructType([*keys.fields, *totals.fields, *extra.fields]),
         outputMode="Append",
         timeMode="None",
-        initialState=None if side is None else side.groupBy(*key),
+        initialState=side,
     )
 
 
+def totals_updates(stream: DataFrame, key: list[str], folds: list[Fold]) -> DataFrame:
+    """Per key and micro-batch it occurs in: the key's totals so far. Write it in output mode "update".
+
+    The state is Spark's own, so keys may be many more than :func:`totals_stream` is good for.
+    """
+    use_rocksdb_state(stream.sparkSession)
+    kinds = {f.name: f.result_type(stream.schema) for f in folds}
+    return stream.groupBy(*key).agg(*[f.over_rows().cast(kinds[f.name]).alias(f.name) for f in folds])
+
+
 class BufferedJoinProcessor(StatefulProcessor):
     """Two connected inputs with shared keyed state: stream rows wait for their key's batch rows.
 

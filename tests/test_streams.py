@@ -12,14 +12,14 @@ from pyspark.sql.types import DoubleType, LongType, StringType, StructField, Str
 
 from hybridflow.functions.words import words_of
 from hybridflow.operators.hybrid_join import enrich, full, snapshot
-from hybridflow.operators.rolling import Fold, rolling_fold, with_values
+from hybridflow.operators.rolling import Fold, fold_totals, rolling_fold, with_values
 from hybridflow.operators.windows import sliding_counts
 from hybridflow.sources.queue import BatchQueue, split_at
 from hybridflow.sources.streams import file_stream, kafka_messages, kafka_options, socket_lines
 from hybridflow.streaming.keyed_join import _chunk, join_stream
 from hybridflow.streaming.sinks import batch_folder, every, per_batch_totals, print_stream, read_batches
 from hybridflow.streaming.state import state_table
-from hybridflow.streaming.stateful import co_map_stream, totals_stream
+from hybridflow.streaming.stateful import co_map_stream, totals_stream, totals_updates
 from hybridflow.streaming.transactional import committed_files, read_committed, register_sink
 
 KEY, ORDER = ["k"], ["ts", "id"]
@@ -95,6 +95,34 @@ def test_totals_in_keyed_state(spark, rows, side, tmp_path, n):
     assert as_set(last.select("k", "e.*")) == as_set(expected)
 
 
+@pytest.mark.parametrize("n", [1, 3])
+def test_totals_in_update_mode(spark, rows, tmp_path, n):
+    """Spark's own state: no Python in the plan, a row per key and micro-batch."""
+    out, folds = str(tmp_path / "out"), [*FOLDS, Fold("latest", "last", "v", ("ts", "id"))]
+    odd = rows.withColumn("k", F.when(F.col("k") != 3, F.col("k")))
+    queue = BatchQueue(spark)
+    queue.run(batches(odd, n), lambda s: totals_updates(s, KEY, folds).writeStream.outputMode("update").foreachBatch(batch_folder(out)))
+    entries = read_batches(spark, out)
+    assert entries.groupBy("k", "batch_id").count().where("count > 1").count() == 0
+    names = [f.name for f in folds]
+    last = entries.groupBy("k").agg(F.max_by(F.struct(*names), "batch_id").alias("e")).select("k", "e.*")
+    assert as_set(last) == as_set(fold_totals(odd, KEY, folds))
+    plan = totals_updates(queue.stream(odd), KEY, folds)._jdf.queryExecution().analyzed().toString()
+    assert "Python" not in plan and "TransformWithState" not in plan
+
+
+def test_totals_share_groups(spark, rows, side, tmp_path):
+    """The state has a group per bucket, not per key; times and keys with a batch side too."""
+    out, queue, first = str(tmp_path / "out"), BatchQueue(spark), [*FOLDS, Fold("begun", "min", "ts")]
+    def sink(s):
+        return totals_stream(s, KEY, first, side, buckets=3).writeStream.foreachBatch(batch_folder(out))
+
+    queue.run(batches(rows, 3), sink)
+    assert state_table(spark, queue.checkpoint, "size").count() <= 3
+    entries = state_table(spark, queue.checkpoint, "entry").drop("_bucket")
+    assert as_set(entries) == as_set(snapshot(rows, side, KEY, first))
+
+
 def test_totals_of_large_numbers_and_null_keys(spark, tmp_path):
     out, big = str(tmp_path / "out"), 2**62 + 1
     rows = spark.createDataFrame(
