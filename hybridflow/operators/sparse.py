@@ -84,8 +84,11 @@ def tiles_of(
         y = np.concatenate(labels)
         yield tile(group, LABELS, np.arange(len(y)), np.zeros(len(y), int), y)
         row, feature, x = (np.concatenate(c) for c in zip(*entries, strict=True))
-        order = np.argsort(feature, kind="stable")
+        order = np.lexsort((row, feature))
         row, feature, x = row[order], feature[order], x[order]
+        if len(x):  # a feature that a row repeats is one entry
+            first = np.flatnonzero((np.diff(feature, prepend=-1) != 0) | (np.diff(row, prepend=-1) != 0))
+            row, feature, x = row[first], feature[first], np.add.reduceat(x, first)
         block = feature // block_features
         edges = np.flatnonzero(np.diff(block, prepend=-1, append=-1)) if len(block) else []
         for a, b in zip(edges[:-1], edges[1:], strict=True):

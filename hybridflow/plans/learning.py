@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from hybridflow.functions.sampling import sample_rows
 from hybridflow.functions.vectors import parse_labeled_vector, vector_add
-from hybridflow.functions.words import lines_of, words_of
+from hybridflow.functions.words import split_blank
 from hybridflow.operators.learn import error_rates, gradient, gradient_sums, score, stepped
 from hybridflow.operators.sparse import train
 from hybridflow.session import new_path
@@ -166,16 +166,18 @@ SPARSE_STEPS, SPARSE_RATE = 2, 4.0
 
 
 def lr_sparse_steps(spark, folder):
-    """A model of a million features: hashed words of the labelled documents, to tell good from bad."""
-    words = words_of(lines_of(table(spark, folder, "documents"), "text", "doc_id"), "line", "doc_id")
-    feature = F.conv(F.substring(F.md5("word"), 1, 5), 16, 10).cast("bigint")
-    counted = words.groupBy("doc_id", feature.alias("j")).agg(F.count(F.lit(1)).alias("n"))
-    entries = F.sort_array(F.collect_list(F.struct("j", "n")))
-    rows = counted.groupBy("doc_id").agg(entries.alias("e"), F.sum("n").alias("total"))
+    """A model of a million features: hashed words of the labelled documents, to tell good from bad.
+
+    A document's words stay an array, a feature as often as its words occur: they are added up where rows are packed.
+    """
     labels = table(spark, folder, "labels").select("doc_id", F.col("quality").cast("double").alias("label"))
-    rows = rows.join(labels, "doc_id").select(
-        "label", F.col("e.j").alias("indices"), F.transform("e.n", lambda n: n / F.col("total")).alias("values")
-    )
+    known = labels.where("label IS NOT NULL").select("doc_id")
+    words = F.flatten(F.transform(F.split("text", "\n"), split_blank))
+    features = F.transform(words, lambda w: F.conv(F.substring(F.md5(w), 1, 5), 16, 10).cast("int"))
+    hashed = table(spark, folder, "documents").join(known, "doc_id", "left_semi").select("doc_id", features.alias("j"))
+    rows = hashed.where(F.size("j") > 0).groupBy("doc_id").agg(F.flatten(F.collect_list("j")).alias("j"))
+    share = F.array_repeat(F.lit(1.0) / F.size("j"), F.size("j"))
+    rows = rows.join(labels, "doc_id").select("label", F.col("j").alias("indices"), share.alias("values"))
     weights, _ = train(rows, SPARSE_STEPS, SPARSE_RATE)
     return weights.select("j", (F.round("w", 9) + F.lit(0.0)).alias("w"))
 

@@ -1,5 +1,6 @@
 """Sparse models against the dense way and plain numpy."""
 
+import hashlib
 import random
 
 import numpy as np
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 
 from hybridflow.operators import sparse
 from hybridflow.operators.learn import gradient, stepped
+from hybridflow.plans import learning
 
 SCHEMA = "label DOUBLE, indices ARRAY<BIGINT>, values ARRAY<DOUBLE>"
 
@@ -81,3 +83,34 @@ def test_groups_close_early_on_long_rows(spark, monkeypatch):
     assert sparse.tiles_of(frame).select("grp").distinct().count() == 15
     got, _ = sparse.train(frame, 2, 0.3)
     assert as_dict(got) == pytest.approx(plain(rows, 2, 0.3))
+
+
+def test_a_feature_that_a_row_repeats_is_one_entry(spark):
+    rows = [(1.0, [5, 1, 5, 5], [0.5, 1.0, 0.25, 0.25]), (0.0, [], []), (0.0, [1, 1], [2.0, 1.0])]
+    frame = spark.createDataFrame(rows, SCHEMA).coalesce(1)
+    tile = sparse.tiles_of(frame).where("block <> -1").collect()
+    assert [(t["rows"], t["features"], t["x"]) for t in tile] == [([0, 2, 0], [1, 1, 5], [1.0, 3.0, 1.0])]
+    got, _ = sparse.train(frame, 2, 0.7)
+    assert as_dict(got) == pytest.approx(plain(rows, 2, 0.7))
+
+
+def test_words_of_labelled_documents_are_not_exploded(spark, tmp_path):
+    """Repeated ids are one document; no text, blanks only, no label and no id teach nothing."""
+    texts = [(1, "a b a\n\nb  c  "), (2, "c c"), (1, "d a"), (3, "   "), (4, None), (5, "a z"), (6, "q"), (None, "a"), (7, "")]
+    labels = [(1, 1), (2, 0), (3, 1), (4, 0), (6, None), (None, 1), (7, 0)]
+    spark.createDataFrame(texts, "doc_id BIGINT, text STRING").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame(labels, "doc_id BIGINT, quality INT").write.parquet(str(tmp_path / "labels.parquet"))
+    words = {1: (1.0, ["a", "b", "a", "", "b", "", "c", "d", "a"]), 2: (0.0, ["c", "c"]), 7: (0.0, [""])}
+    rows = [(y, [int(hashlib.md5(w.encode()).hexdigest()[:5], 16) for w in ws], [1 / len(ws)] * len(ws)) for y, ws in words.values()]
+    plans = []
+    train = learning.train
+
+    def seen(rows, *args):
+        plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        return train(rows, *args)
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(learning, "train", seen)
+        got = learning.lr_sparse_steps(spark, str(tmp_path))
+    assert as_dict(got) == pytest.approx(plain(rows, learning.SPARSE_STEPS, learning.SPARSE_RATE), abs=1e-9)
+    assert "Generate" not in plans[0]
