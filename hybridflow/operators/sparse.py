@@ -13,6 +13,7 @@ are dealt over ``salts`` copies of its weights.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +30,11 @@ BLOCK_FEATURES = 1 << 16
 GROUP_ENTRIES = 4_000_000
 SALTS = 16
 
+LARGE_ROWS = {
+    "spark.sql.parquet.enableNestedColumnVectorizedReader": "false",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20),
+}
+
 #: The tile that carries a group's labels.
 LABELS = -1
 TILE = "grp BIGINT, block BIGINT, rows ARRAY<INT>, features ARRAY<INT>, x ARRAY<DOUBLE>"
@@ -174,6 +180,19 @@ def gradient_of(tiles: DataFrame, found: DataFrame, block_features: int = BLOCK_
     return parts.groupBy("j").agg(F.sum("g").alias("g"))
 
 
+@contextmanager
+def few_at_once(spark: SparkSession) -> Iterator[None]:
+    """Settings for rows of megabytes: Spark counts rows, thousands of which make a batch when it reads or goes to Python."""
+    before = {name: spark.conf.get(name) for name in LARGE_ROWS}
+    for name, value in LARGE_ROWS.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 def no_weights(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], "j BIGINT, w DOUBLE")
 
@@ -197,15 +216,16 @@ def train(
         df.write.parquet(f"{path}/{name}")
         return spark.read.schema(df.schema).parquet(f"{path}/{name}")
 
-    tiles = written(tiles_of(rows, block_features=block_features, **columns), "tiles")
-    weights, losses = no_weights(spark) if start is None else start, []
-    for step in range(steps):
-        found = written(residuals(tiles, weights, block_features), f"residuals-{step}")
-        n, loss = found.agg(F.sum("n"), F.sum("loss")).first()
-        if not n:
-            return weights, losses
-        losses.append(loss / n)
-        moved = weights.join(gradient_of(tiles, found, block_features), "j", "full_outer")
-        w = F.coalesce("w", F.lit(0.0)) - F.lit(rate / n) * F.coalesce("g", F.lit(0.0))
-        weights = written(moved.select("j", w.alias("w")), f"weights-{step}")
-    return weights, losses
+    with few_at_once(spark):
+        tiles = written(tiles_of(rows, block_features=block_features, **columns), "tiles")
+        weights, losses = no_weights(spark) if start is None else start, []
+        for step in range(steps):
+            found = written(residuals(tiles, weights, block_features), f"residuals-{step}")
+            n, loss = found.agg(F.sum("n"), F.sum("loss")).first()
+            if not n:
+                return weights, losses
+            losses.append(loss / n)
+            moved = weights.join(gradient_of(tiles, found, block_features), "j", "full_outer")
+            w = F.coalesce("w", F.lit(0.0)) - F.lit(rate / n) * F.coalesce("g", F.lit(0.0))
+            weights = written(moved.select("j", w.alias("w")), f"weights-{step}")
+        return weights, losses

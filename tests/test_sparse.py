@@ -114,3 +114,21 @@ def test_words_of_labelled_documents_are_not_exploded(spark, tmp_path):
         got = learning.lr_sparse_steps(spark, str(tmp_path))
     assert as_dict(got) == pytest.approx(plain(rows, learning.SPARSE_STEPS, learning.SPARSE_RATE), abs=1e-9)
     assert "Generate" not in plans[0]
+
+
+def test_tiles_are_read_few_at_once(spark, monkeypatch):
+    """Thousands of tiles in a batch fill a task's memory; the session's own settings come back, also after an error."""
+    before, seen, residuals = {n: spark.conf.get(n) for n in sparse.LARGE_ROWS}, [], sparse.residuals
+
+    def watched(*args):
+        seen.append({n: spark.conf.get(n) for n in sparse.LARGE_ROWS})
+        return residuals(*args)
+
+    monkeypatch.setattr(sparse, "residuals", watched)
+    frame = spark.createDataFrame([(1.0, [3], [2.0])], SCHEMA)
+    sparse.train(frame, 1, 1.0)
+    assert seen == [sparse.LARGE_ROWS] != [before] and {n: spark.conf.get(n) for n in before} == before
+    monkeypatch.setattr(sparse, "residuals", None)
+    with pytest.raises(TypeError):
+        sparse.train(frame, 1, 1.0)
+    assert {n: spark.conf.get(n) for n in before} == before
